@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ruleweave.operators import hierarchy as H
 from ruleweave.operators import rules as R
+from ruleweave.operators import triples as T
 from ruleweave.plans import bindings as B
 from ruleweave.sources.ntriples import parse_ntriples
 
@@ -100,7 +101,80 @@ def q_top_concepts(spark, sf_dir):
     return R.top_concepts(m.facts, m.edges, FIRST, m.ancestors)
 
 
+# --- taxonomy listings -------------------------------------------------------
+
+def q_taxo_edges(spark, sf_dir):
+    return taxonomy_edges(spark, sf_dir)
+
+
+def q_taxo_concepts(spark, sf_dir):
+    return H.concepts(taxonomy_edges(spark, sf_dir))
+
+
+def q_taxo_children(spark, sf_dir):
+    return H.children(taxonomy_edges(spark, sf_dir))
+
+
+def q_taxo_closure(spark, sf_dir):
+    return H.closure(taxonomy_edges(spark, sf_dir))
+
+
+def q_uri_dictionary(spark, sf_dir):
+    return H.uri_dictionary(taxonomy_triples(spark, sf_dir))
+
+
+# --- N-Triples statistics -----------------------------------------------------
+
+def _triples(spark, sf_dir):
+    return parse_ntriples(B.triple_lines(spark, sf_dir))
+
+
+def q_nt_parse(spark, sf_dir):
+    return _triples(spark, sf_dir)
+
+
+def q_nt_preview(spark, sf_dir):
+    return T.preview(_triples(spark, sf_dir), 5)
+
+
+def q_nt_by_predicate(spark, sf_dir):
+    return T.by_predicate(_triples(spark, sf_dir), "#type", object_prefix="http")
+
+
+def q_nt_count(spark, sf_dir):
+    return T.line_counts(B.triple_lines(spark, sf_dir))
+
+
+def q_subject_counts(spark, sf_dir):
+    return T.subject_counts(_triples(spark, sf_dir))
+
+
+def q_class_counts(spark, sf_dir):
+    return T.class_counts(_triples(spark, sf_dir))
+
+
+def q_top_subjects(spark, sf_dir):
+    return T.top_by_count(T.subject_counts(_triples(spark, sf_dir)), "s", 5)
+
+
+def q_top_typed_subjects(spark, sf_dir):
+    return T.top_by_count(T.types_per_subject(_triples(spark, sf_dir)), "s", 5)
+
+
 QUERIES: dict[str, Query] = {
+    "taxo_edges": q_taxo_edges,
+    "taxo_concepts": q_taxo_concepts,
+    "taxo_children": q_taxo_children,
+    "taxo_closure": q_taxo_closure,
+    "uri_dictionary": q_uri_dictionary,
+    "nt_parse": q_nt_parse,
+    "nt_preview": q_nt_preview,
+    "nt_by_predicate": q_nt_by_predicate,
+    "nt_count": q_nt_count,
+    "subject_counts": q_subject_counts,
+    "class_counts": q_class_counts,
+    "top_subjects": q_top_subjects,
+    "top_typed_subjects": q_top_typed_subjects,
     "rules_mine": q_rules_mine,
     "rules_mine_full": q_rules_mine_full,
     "rules_mine_mapped_top": q_rules_mine_mapped_top,

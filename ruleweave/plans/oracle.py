@@ -177,4 +177,60 @@ UNION SELECT k, {_q(TOP)} FROM nv"""
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(rules_sql())
+    out.update(triples_sql())
+    out.update(taxonomy_sql())
     return out
+
+
+# --- N-Triples statistics ----------------------------------------------------
+_RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
+_XSD_DECIMAL = "http://www.w3.org/2001/XMLSchema#decimal"
+_S = B.SCHEMA
+_BASE = B.BASE
+
+TRIPLES_CTE = f"""
+triples(s, p, o, s_kind, o_kind, o_lang, o_datatype) AS (
+  SELECT '{_BASE}customer/' || c_custkey, '{_RDF_TYPE}', '{_S}Customer', 'iri', 'iri', NULL::VARCHAR, NULL::VARCHAR FROM customer
+  UNION ALL SELECT '{_BASE}customer/' || c_custkey, '{_S}name', c_name, 'iri', 'literal', NULL, NULL FROM customer
+  UNION ALL SELECT '{_BASE}customer/' || c_custkey, '{_S}inNation', '{_BASE}nation/' || c_nationkey, 'iri', 'iri', NULL, NULL FROM customer
+  UNION ALL SELECT '{_BASE}customer/' || c_custkey, '{_S}segment', c_mktsegment, 'iri', 'literal', 'en', NULL FROM customer
+  UNION ALL SELECT '{_BASE}customer/' || c_custkey, '{_S}acctbal', CAST(CAST(c_acctbal AS DECIMAL(15,2)) AS VARCHAR), 'iri', 'literal', NULL, '{_XSD_DECIMAL}' FROM customer
+  UNION ALL SELECT '{_BASE}nation/' || n_nationkey, '{_RDF_TYPE}', '{_S}Nation', 'iri', 'iri', NULL, NULL FROM nation
+  UNION ALL SELECT '{_BASE}nation/' || n_nationkey, '{_S}name', n_name, 'iri', 'literal', NULL, NULL FROM nation
+  UNION ALL SELECT '{_BASE}nation/' || n_nationkey, '{_S}inRegion', '{_BASE}region/' || n_regionkey, 'iri', 'iri', NULL, NULL FROM nation
+  UNION ALL SELECT '{_BASE}nation/' || n_nationkey, '{_S}comment', 'nation "' || n_name || '" <region ' || n_regionkey || '>', 'iri', 'literal', 'en', NULL FROM nation
+  UNION ALL SELECT '{_BASE}region/' || r_regionkey, '{_RDF_TYPE}', '{_S}Region', 'iri', 'iri', NULL, NULL FROM region
+  UNION ALL SELECT '{_BASE}region/' || r_regionkey, '{_S}name', r_name, 'iri', 'literal', NULL, NULL FROM region
+  UNION ALL SELECT '_:geo' || r_regionkey, '{_S}covers', '{_BASE}region/' || r_regionkey, 'bnode', 'iri', NULL, NULL FROM region
+  UNION ALL SELECT '{_BASE}region/' || r_regionkey, '{_S}hasArea', '_:area' || r_regionkey, 'iri', 'bnode', NULL, NULL FROM region
+)"""
+
+
+def triples_sql() -> dict[str, str]:
+    w = "WITH " + TRIPLES_CTE.strip() + "\n"
+    n_cust, n_nat, n_reg = "(SELECT count(*) FROM customer)", "(SELECT count(*) FROM nation)", "(SELECT count(*) FROM region)"
+    return {
+        "nt_parse": w + "SELECT * FROM triples",
+        "nt_preview": w + "SELECT * FROM triples ORDER BY s, p, o, o_lang, o_datatype LIMIT 5",
+        "nt_by_predicate": w + "SELECT * FROM triples WHERE contains(p, '#type') AND starts_with(o, 'http')",
+        "nt_count": f"""SELECT 5 * {n_cust} + 4 * {n_nat} + 7 * {n_reg} AS n_lines, {n_reg} AS n_comment,
+  {n_reg} AS n_blank, 5 * {n_cust} + 4 * {n_nat} + 4 * {n_reg} AS n_triples, {n_reg} AS n_malformed""",
+        "subject_counts": w + "SELECT s, count(*) AS n FROM triples GROUP BY s",
+        "class_counts": w + f"SELECT o AS class, count(*) AS n FROM triples WHERE p = '{_RDF_TYPE}' AND o_kind = 'iri' AND starts_with(o, 'http') GROUP BY o",
+        "top_subjects": w + "SELECT s, count(*) AS n FROM triples GROUP BY s ORDER BY n DESC, s LIMIT 5",
+        "top_typed_subjects": w + f"SELECT s, count(*) AS n FROM triples WHERE p = '{_RDF_TYPE}' AND o_kind = 'iri' AND starts_with(o, 'http') GROUP BY s ORDER BY n DESC, s LIMIT 5",
+    }
+
+
+def taxonomy_sql() -> dict[str, str]:
+    w = f"WITH RECURSIVE {EDGES_CTE.strip()},\n{CLOSURE_CTE.strip()}\n"
+    ns = B.TAXO_NS
+    return {
+        "taxo_edges": w + "SELECT DISTINCT k, child, parent FROM edges",
+        "taxo_concepts": w + "SELECT k, child AS concept FROM edges UNION SELECT k, parent FROM edges",
+        "taxo_children": w + "SELECT k, parent, list(DISTINCT child ORDER BY child) AS children FROM edges GROUP BY k, parent",
+        "taxo_closure": w + "SELECT k, anc, leaf, depth FROM clo_min",
+        "uri_dictionary": w + f""", terms AS (SELECT k, child AS c FROM edges UNION SELECT k, parent FROM edges)
+SELECT CASE k WHEN 0 THEN '{ns[0]}' WHEN 1 THEN '{ns[1]}' ELSE '{ns[2]}' END || c AS uri, c AS local_name FROM terms
+UNION SELECT '{B.OWL_CLASS}', 'Class'""",
+    }
