@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ruleweave.functions.numeric import grid_round
+from ruleweave.operators import graph as G
 from ruleweave.operators import hierarchy as H
 from ruleweave.operators import rules as R
 from ruleweave.operators import triples as T
@@ -161,7 +163,80 @@ def q_top_typed_subjects(spark, sf_dir):
     return T.top_by_count(T.types_per_subject(_triples(spark, sf_dir)), "s", 5)
 
 
+# --- graph --------------------------------------------------------------------
+SUBGRAPH_ATTR = B.SCHEMA + "inNation"
+PAGERANK_ITER = 20
+PAGERANK_TOL = 1e-4
+
+
+def _triple_graph(spark, sf_dir):
+    return G.build_graph(_triples(spark, sf_dir))
+
+
+def _supply_graph(spark, sf_dir):
+    return G.build_graph(B.supply_edges(spark, sf_dir))
+
+
+def q_graph_vertices(spark, sf_dir):
+    return _triple_graph(spark, sf_dir)[0]
+
+
+def q_graph_edges(spark, sf_dir):
+    return _triple_graph(spark, sf_dir)[1]
+
+
+def q_graph_subgraph(spark, sf_dir):
+    return G.subgraph(_triple_graph(spark, sf_dir)[1], SUBGRAPH_ATTR)
+
+
+def q_graph_degree(spark, sf_dir):
+    return G.out_degrees(_triple_graph(spark, sf_dir)[1])
+
+
+def q_graph_components(spark, sf_dir):
+    v, e = _triple_graph(spark, sf_dir)
+    return G.connected_components(v, G.subgraph(e, SUBGRAPH_ATTR))
+
+
+def q_graph_pagerank(spark, sf_dir):
+    v, e = _triple_graph(spark, sf_dir)
+    ranks = G.pagerank(v, e, max_iter=PAGERANK_ITER)
+    return ranks.join(v, "id").select("id", "label", grid_round("rank").alias("rank"))
+
+
+def q_graph_pagerank_top(spark, sf_dir):
+    v, e = _triple_graph(spark, sf_dir)
+    return G.ranked_vertices(G.pagerank(v, e, max_iter=PAGERANK_ITER), v, k=5)
+
+
+def q_graph_pagerank_tol(spark, sf_dir):
+    v, e = _triple_graph(spark, sf_dir)
+    ranks = G.pagerank(v, e, max_iter=1000, tol=PAGERANK_TOL, normalize=True)
+    return ranks.join(v, "id").select("id", "label", "rank")
+
+
+def q_graph_supply_components(spark, sf_dir):
+    v, e = _supply_graph(spark, sf_dir)
+    return G.connected_components(v, e)
+
+
+def q_graph_supply_pagerank(spark, sf_dir):
+    v, e = _supply_graph(spark, sf_dir)
+    ranks = G.pagerank(v, e, max_iter=PAGERANK_ITER)
+    return ranks.join(v, "id").select("id", "label", grid_round("rank").alias("rank"))
+
+
 QUERIES: dict[str, Query] = {
+    "graph_vertices": q_graph_vertices,
+    "graph_edges": q_graph_edges,
+    "graph_subgraph": q_graph_subgraph,
+    "graph_degree": q_graph_degree,
+    "graph_components": q_graph_components,
+    "graph_pagerank": q_graph_pagerank,
+    "graph_pagerank_top": q_graph_pagerank_top,
+    "graph_pagerank_tol": q_graph_pagerank_tol,
+    "graph_supply_components": q_graph_supply_components,
+    "graph_supply_pagerank": q_graph_supply_pagerank,
     "taxo_edges": q_taxo_edges,
     "taxo_concepts": q_taxo_concepts,
     "taxo_children": q_taxo_children,

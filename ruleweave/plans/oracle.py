@@ -179,6 +179,7 @@ def all_sql() -> dict[str, str]:
     out.update(rules_sql())
     out.update(triples_sql())
     out.update(taxonomy_sql())
+    out.update(graph_sql())
     return out
 
 
@@ -234,3 +235,63 @@ def taxonomy_sql() -> dict[str, str]:
 SELECT CASE k WHEN 0 THEN '{ns[0]}' WHEN 1 THEN '{ns[1]}' ELSE '{ns[2]}' END || c AS uri, c AS local_name FROM terms
 UNION SELECT '{B.OWL_CLASS}', 'Class'""",
     }
+
+
+# --- graph ---------------------------------------------------------------------
+def _graph_ctes(triples_cte: str) -> str:
+    return f"""WITH RECURSIVE {triples_cte.strip()},
+terms AS (SELECT s AS label FROM triples UNION SELECT o FROM triples),
+v AS (SELECT row_number() OVER (ORDER BY label) - 1 AS id, label FROM terms),
+e AS (SELECT vs.id AS src, vo.id AS dst, t.p AS attr FROM triples t JOIN v vs ON vs.label = t.s JOIN v vo ON vo.label = t.o)"""
+
+
+SUPPLY_CTE = """
+triples(s, p, o) AS (
+  SELECT 'supplier/' || l_suppkey, 'supplies', 'part/' || l_partkey FROM lineitem
+)"""
+
+
+def _pagerank_ctes(iters: int, edges: str = "e") -> str:
+    parts = [f"""w AS (
+  SELECT m.src, m.dst, m.m / d.d AS w FROM (SELECT src, dst, count(*) AS m FROM {edges} GROUP BY src, dst) m
+  JOIN (SELECT src, count(*) AS d FROM {edges} GROUP BY src) d ON d.src = m.src
+)""", "r0 AS (SELECT id, 1.0::DOUBLE AS rank FROM v)"]
+    for i in range(1, iters + 1):
+        parts.append(f"""r{i} AS (
+  SELECT v.id, 0.15::DOUBLE + 0.85::DOUBLE * coalesce(c.s, 0.0::DOUBLE) AS rank FROM v LEFT JOIN (
+    SELECT w.dst, sum(p.rank * w.w) AS s FROM w JOIN r{i - 1} p ON p.id = w.src GROUP BY w.dst
+  ) c ON c.dst = v.id
+)""")
+    return ",\n".join(parts)
+
+
+def _components(edges: str) -> str:
+    return f"""ue AS (SELECT src AS a, dst AS b FROM {edges} WHERE src <> dst UNION SELECT dst, src FROM {edges} WHERE src <> dst),
+reach(x, c) AS (
+  SELECT id, id FROM v
+  UNION SELECT ue.b, reach.c FROM reach JOIN ue ON ue.a = reach.x WHERE reach.c < ue.b
+)
+SELECT x AS id, min(c) AS component FROM reach GROUP BY x"""
+
+
+def graph_sql() -> dict[str, str]:
+    g = _graph_ctes(TRIPLES_CTE)
+    sub = f"sub AS (SELECT * FROM e WHERE attr = '{B.SCHEMA}inNation')"
+    it = 20
+    pr = g + ",\n" + _pagerank_ctes(it)
+    out = {
+        "graph_vertices": g + "\nSELECT * FROM v",
+        "graph_edges": g + "\nSELECT * FROM e",
+        "graph_subgraph": g + f"\nSELECT * FROM e WHERE attr = '{B.SCHEMA}inNation'",
+        "graph_degree": g + "\nSELECT src AS id, count(*) AS out_degree FROM e GROUP BY src",
+        "graph_components": g + ",\n" + sub + ",\n" + _components("sub"),
+        "graph_pagerank": pr + f"\nSELECT r.id, v.label, round(r.rank * 1048576.0) / 1048576.0 AS rank FROM r{it} r JOIN v USING (id)",
+        "graph_pagerank_top": pr + f"""
+SELECT r.id, v.label, round(r.rank * 1048576.0) / 1048576.0 AS rank FROM r{it} r JOIN v USING (id)
+ORDER BY round(r.rank * 1048576.0) / 1048576.0 DESC, v.label LIMIT 5""",
+    }
+    sg = _graph_ctes(SUPPLY_CTE)
+    out["graph_supply_components"] = sg + ",\n" + _components("e")
+    out["graph_supply_pagerank"] = sg + ",\n" + _pagerank_ctes(it) + f"""
+SELECT r.id, v.label, round(r.rank * 1048576.0) / 1048576.0 AS rank FROM r{it} r JOIN v USING (id)"""
+    return out
