@@ -15,6 +15,7 @@ from ruleweave.functions.numeric import grid_round
 from ruleweave.operators import graph as G
 from ruleweave.operators import hierarchy as H
 from ruleweave.operators import rules as R
+from ruleweave.operators import text as X
 from ruleweave.operators import triples as T
 from ruleweave.plans import bindings as B
 from ruleweave.sources.ntriples import parse_ntriples
@@ -226,7 +227,40 @@ def q_graph_supply_pagerank(spark, sf_dir):
     return ranks.join(v, "id").select("id", "label", grid_round("rank").alias("rank"))
 
 
+# --- text ---------------------------------------------------------------------
+
+def q_tokens_ws(spark, sf_dir):
+    return X.tokenize_whitespace(B.documents(spark, sf_dir)).select("doc_id", "tokens")
+
+
+def q_tokens_regex(spark, sf_dir):
+    return X.tokenize_regex(B.documents(spark, sf_dir)).select("doc_id", "tokens")
+
+
+def q_token_counts(spark, sf_dir):
+    return X.token_counts(B.documents(spark, sf_dir))
+
+
+def q_tfidf_terms(spark, sf_dir):
+    return X.term_tfidf(B.documents(spark, sf_dir))
+
+
+def q_tfidf_hashed(spark, sf_dir):
+    return X.hashed_tfidf(B.documents(spark, sf_dir), num_features=20)
+
+
+def q_lr_predict(spark, sf_dir):
+    model = X.fit_text_classifier(B.labeled_documents(spark, sf_dir))
+    return X.predict(model, B.documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "tokens_ws": q_tokens_ws,
+    "tokens_regex": q_tokens_regex,
+    "token_counts": q_token_counts,
+    "tfidf_terms": q_tfidf_terms,
+    "tfidf_hashed": q_tfidf_hashed,
+    "lr_predict": q_lr_predict,
     "graph_vertices": q_graph_vertices,
     "graph_edges": q_graph_edges,
     "graph_subgraph": q_graph_subgraph,

@@ -180,6 +180,7 @@ def all_sql() -> dict[str, str]:
     out.update(triples_sql())
     out.update(taxonomy_sql())
     out.update(graph_sql())
+    out.update(text_sql())
     return out
 
 
@@ -295,3 +296,25 @@ ORDER BY round(r.rank * 1048576.0) / 1048576.0 DESC, v.label LIMIT 5""",
     out["graph_supply_pagerank"] = sg + ",\n" + _pagerank_ctes(it) + f"""
 SELECT r.id, v.label, round(r.rank * 1048576.0) / 1048576.0 AS rank FROM r{it} r JOIN v USING (id)"""
     return out
+
+
+# --- text -------------------------------------------------------------------------
+_WS = r"list_filter(string_split_regex(lower(text), '\s'), lambda x: x <> '')"
+_RX = r"list_filter(string_split_regex(lower(text), '\W'), lambda x: x <> '')"
+_GRID = 1048576.0
+
+
+def text_sql() -> dict[str, str]:
+    return {
+        "tokens_ws": f"SELECT doc_id, {_WS} AS tokens FROM documents",
+        "tokens_regex": f"SELECT doc_id, {_RX} AS tokens FROM documents",
+        "token_counts": f"SELECT doc_id, len({_WS})::INTEGER AS n_ws, len({_RX})::INTEGER AS n_regex FROM documents",
+        "tfidf_terms": f"""WITH toks AS (SELECT doc_id, unnest({_WS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT count(*)::DOUBLE AS n FROM documents)
+SELECT doc_id, term, tf, df,
+       round(ln((n + 1.0) / (df::DOUBLE + 1.0)) * {_GRID}) / {_GRID} AS idf,
+       round(tf * ln((n + 1.0) / (df::DOUBLE + 1.0)) * {_GRID}) / {_GRID} AS tfidf
+FROM tf JOIN df USING (term), n""",
+    }
