@@ -15,6 +15,7 @@ from ruleweave.functions.numeric import grid_round
 from ruleweave.operators import graph as G
 from ruleweave.operators import hierarchy as H
 from ruleweave.operators import rules as R
+from ruleweave.operators import sets as S
 from ruleweave.operators import text as X
 from ruleweave.operators import triples as T
 from ruleweave.plans import bindings as B
@@ -254,7 +255,75 @@ def q_lr_predict(spark, sf_dir):
     return X.predict(model, B.documents(spark, sf_dir))
 
 
+# --- set algebra and whole-row joins ---------------------------------------------
+SET_CONCEPTS = {"a": {0: "EUROPE"}, "b": {1: "Industrial"}, "c": {2: "Expedited"},
+                "d": {0: "AFRICA"}, "e": {0: "AMERICA"}, "f": {1: "Consumer"}}
+LIKE_PATTERN = "NATION_1%"
+
+
+def _rows(m: _Mining, name: str) -> DataFrame:
+    return R.rule_rows(m.facts, m.edges, m.spec, SET_CONCEPTS[name], m.ancestors)
+
+
+def _best_rule_rows(m: _Mining) -> DataFrame:
+    """Rows covered by the best rule (one rule row is brought to the driver)."""
+    best = R.select_rules(m.rules(), m.spec, 1).first()
+    terms = {k: best[c] for k, c in enumerate(m.spec.rule_columns()) if best[c] is not None}
+    return R.rule_rows(m.facts, m.edges, m.spec, terms, m.ancestors)
+
+
+def q_set_intersect(spark, sf_dir):
+    m = _Mining(spark, sf_dir, FIRST)
+    return S.intersect_all([_rows(m, "a"), _rows(m, "b"), _rows(m, "c")])
+
+
+def q_set_union(spark, sf_dir):
+    m = _Mining(spark, sf_dir, FIRST)
+    return S.union_distinct([_rows(m, "d"), _rows(m, "e"), _rows(m, "f")])
+
+
+def q_set_except(spark, sf_dir):
+    m = _Mining(spark, sf_dir, FIRST)
+    return S.except_distinct(_rows(m, "a"), _rows(m, "b"))
+
+
+def q_join_all_cols(spark, sf_dir):
+    """One decrement step: positives (counter 50) joined on all columns with the
+    positive rows of the best rule, counter lowered by one."""
+    m = _Mining(spark, sf_dir, FIRST)
+    pos = m.facts.filter(F.col("target"))
+    covered = _best_rule_rows(m).filter(F.col("target"))
+    joined = S.join_on_all_columns(pos.withColumn("counter", F.lit(50)), covered)
+    return joined.withColumn("counter", F.col("counter") - 1)
+
+
+def q_cover_missing(spark, sf_dir):
+    m = _Mining(spark, sf_dir, FIRST)
+    return S.uncovered(m.facts.filter(F.col("target")), _best_rule_rows(m), "id")
+
+
+def q_distinct_values(spark, sf_dir):
+    return S.distinct_values(B.facts(spark, sf_dir), FIRST.mapped_columns)
+
+
+def q_target_filter(spark, sf_dir):
+    f = B.facts(spark, sf_dir)
+    return f.filter(F.col("target") & F.col("nation").like(LIKE_PATTERN))
+
+
+def q_project(spark, sf_dir):
+    return B.facts(spark, sf_dir).select("id", "nation")
+
+
 QUERIES: dict[str, Query] = {
+    "set_intersect": q_set_intersect,
+    "set_union": q_set_union,
+    "set_except": q_set_except,
+    "join_all_cols": q_join_all_cols,
+    "cover_missing": q_cover_missing,
+    "distinct_values": q_distinct_values,
+    "target_filter": q_target_filter,
+    "project": q_project,
     "tokens_ws": q_tokens_ws,
     "tokens_regex": q_tokens_regex,
     "token_counts": q_token_counts,

@@ -181,6 +181,7 @@ def all_sql() -> dict[str, str]:
     out.update(taxonomy_sql())
     out.update(graph_sql())
     out.update(text_sql())
+    out.update(sets_sql())
     return out
 
 
@@ -318,3 +319,38 @@ SELECT doc_id, term, tf, df,
        round(tf * ln((n + 1.0) / (df::DOUBLE + 1.0)) * {_GRID}) / {_GRID} AS tfidf
 FROM tf JOIN df USING (term), n""",
     }
+
+
+# --- set algebra ----------------------------------------------------------------------
+def _concept_rows(k: int, concept: str) -> str:
+    return f"SELECT f.* FROM facts f WHERE f.id IN (SELECT id FROM item WHERE k = {k} AND concept = {_q(concept)})"
+
+
+def sets_sql() -> dict[str, str]:
+    base = f"WITH RECURSIVE {EDGES_CTE.strip()},\n{CLOSURE_CTE.strip()},\n{FACTS_CTE.strip()},\n{ANC_CTE.strip()},\n{_item_cte(True).strip()}"
+    rules = _rules_cte(**FIRST) + ",\n" + _topk(1) + """,
+best_ids AS (
+  SELECT DISTINCT c.id FROM cand c JOIN topk r
+    ON c.c0 IS NOT DISTINCT FROM r.c0 AND c.c1 IS NOT DISTINCT FROM r.c1 AND c.c2 IS NOT DISTINCT FROM r.c2
+)"""
+    return {
+        "set_intersect": base + "\n" + _concept_rows(0, "EUROPE") + "\nINTERSECT\n" + _concept_rows(1, "Industrial")
+        + "\nINTERSECT\n" + _concept_rows(2, "Expedited"),
+        "set_union": base + "\n" + _concept_rows(0, "AFRICA") + "\nUNION\n" + _concept_rows(0, "AMERICA")
+        + "\nUNION\n" + _concept_rows(1, "Consumer"),
+        "set_except": base + "\n" + _concept_rows(0, "EUROPE") + "\nEXCEPT\n" + _concept_rows(1, "Industrial"),
+        "join_all_cols": rules + """
+SELECT p.id, p.nation, p.segment, p.priority, p.price_band, p.target, 50 - 1 AS counter
+FROM facts p JOIN (SELECT f.* FROM facts f WHERE f.id IN (SELECT id FROM best_ids) AND f.target) w
+  ON p.id = w.id AND p.nation = w.nation AND p.segment = w.segment AND p.priority = w.priority
+ AND p.price_band = w.price_band AND p.target = w.target
+WHERE p.target""",
+        "cover_missing": rules + "\nSELECT f.* FROM facts f WHERE f.target AND f.id NOT IN (SELECT id FROM best_ids)",
+        "distinct_values": "WITH " + FACTS_CTE.strip() + """
+SELECT DISTINCT 'nation' AS "column", nation AS value FROM facts WHERE nation IS NOT NULL
+UNION SELECT 'segment', segment FROM facts WHERE segment IS NOT NULL
+UNION SELECT 'priority', priority FROM facts WHERE priority IS NOT NULL
+UNION SELECT 'price_band', price_band FROM facts WHERE price_band IS NOT NULL""",
+        "target_filter": "WITH " + FACTS_CTE.strip() + "\nSELECT * FROM facts WHERE target AND nation LIKE 'NATION_1%'",
+        "project": "WITH " + FACTS_CTE.strip() + "\nSELECT id, nation FROM facts",
+    }
