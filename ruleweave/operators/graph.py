@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.numeric import grid_round
-from ruleweave.operators.sizing import cut_lineage, is_small
+from ruleweave.operators.sizing import broadcast_counted, cut_lineage, is_small, materialize
 
 
 def dictionary_encode(terms: DataFrame, col: str = "label", num_partitions: int | None = None) -> DataFrame:
@@ -102,8 +102,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
             .select(F.greatest("la", "lb").alias("hi"), F.least("la", "lb").alias("lo"))
             .groupBy("hi").agg(F.min("lo").alias("lo"))
         )
-        prop = cut_lineage(prop)
-        if prop.isEmpty():
+        prop, n_prop = materialize(prop)
+        if n_prop == 0:
             break
         hooked = (
             labels.join(prop, labels.comp == prop.hi, "left")
@@ -114,13 +114,17 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
 
 
 def _shortcut(labels: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Pointer jumping: comp <- comp(comp) until no label changes."""
+    """Pointer jumping: comp <- comp(comp) until no label changes.
+
+    Each round is one checkpoint plus a short existence test for a label
+    that still moved.
+    """
     for _ in range(max_rounds):
         parent = labels.select(F.col("id").alias("comp"), F.col("comp").alias("_pc"))
-        nxt = cut_lineage(labels.join(parent, "comp").select("id", F.col("_pc").alias("comp"),
-                                                             (F.col("_pc") != F.col("comp")).alias("_moved")))
-        moved = not nxt.filter("_moved").isEmpty()
-        labels = nxt.drop("_moved")
+        jumped = labels.join(parent, "comp").select("id", F.col("_pc").alias("comp"), F.col("comp").alias("_old"))
+        labels, _ = materialize(jumped.select("id", "comp", "_old"))
+        moved = labels.filter(F.col("comp") != F.col("_old")).limit(1).count()
+        labels = labels.drop("_old")
         if not moved:
             break
     return labels
@@ -134,25 +138,28 @@ def _weighted_edges(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_iter: int = 20,
-             tol: float | None = None, normalize: bool = False) -> DataFrame:
+             tol: float | None = None, normalize: bool = False, checkpoint_every: int = 5) -> DataFrame:
     """``<id, rank>``: ``rank = reset + (1-reset) * Σ rank(src) * mult / outdeg(src)``, start 1.0.
 
     Fixed ``max_iter`` rounds, or until the largest change is below ``tol``.
     ``normalize`` rescales the ranks to sum to the vertex count (mass lost in
     sinks is restored).  Weighted edges are checkpointed once; each round is a
-    join on ``src`` plus a ``groupBy(dst)`` sum and is checkpointed.
+    join on ``src`` plus a ``groupBy(dst)`` sum.  With a tolerance every round
+    is checkpointed (the stop test reads old and new ranks); with a fixed
+    count every ``checkpoint_every`` rounds, so the lineage stays short.
     """
     w = cut_lineage(_weighted_edges(edges))
     ids = vertices.select("id")
     ranks = cut_lineage(ids.withColumn("rank", F.lit(1.0)))
-    for _ in range(max_iter):
+    for i in range(max_iter):
         contrib = (
             w.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
             .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("w")).alias("_s"))
         )
         new = ids.join(contrib, "id", "left").select(
             "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("_s"), F.lit(0.0))).alias("rank"))
-        new = cut_lineage(new)
+        if tol is not None or (i + 1) % checkpoint_every == 0 or i + 1 == max_iter:
+            new = cut_lineage(new)
         if tol is not None:
             delta = (new.join(ranks.withColumnRenamed("rank", "_old"), "id")
                      .agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0])

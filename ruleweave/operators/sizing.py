@@ -34,15 +34,29 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor loss).
+def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` to the shared folder and return it with its row count.
 
-    The frame is persisted first so the checkpoint write reads the cached
-    blocks instead of recomputing the plan; the cache is dropped afterwards.
+    The frame is persisted, marked for a (reliable) checkpoint and counted:
+    the count job fills the cache and the checkpoint write then reads the
+    cached blocks, so the plan runs once.  The cache is dropped afterwards;
+    the returned frame reads the checkpoint files (survives executor loss).
     """
     ensure_checkpoint_dir(df.sparkSession)
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return df.checkpoint(eager=True)
+        ck = df.checkpoint(eager=False)
+        n = ck.count()
     finally:
         df.unpersist()
+    return ck, n
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder (see :func:`materialize`)."""
+    return materialize(df)[0]
+
+
+def broadcast_counted(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a side whose row count is already known."""
+    return F.broadcast(df) if n_rows <= max_rows else df

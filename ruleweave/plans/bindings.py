@@ -97,13 +97,15 @@ def _edge_lines(spark: SparkSession, ns: str, edges: list[tuple[str, str]]) -> D
     return _class_lines(df, ns)
 
 
-def _class_lines(edges: DataFrame, ns: str) -> DataFrame:
-    """subClassOf lines for each edge plus an owl:Class type line per concept."""
-    sub = edges.select(_nt(_iri(F.concat(F.lit(ns), "child")), RDFS_SUBCLASS_OF,
-                           _iri(F.concat(F.lit(ns), "parent"))).alias("value"))
-    typ = (edges.select(F.explode(F.array("child", "parent")).alias("c")).distinct()
-           .select(_nt(_iri(F.concat(F.lit(ns), "c")), RDF_TYPE, F.lit(f"<{OWL_CLASS}>")).alias("value")))
-    return sub.unionByName(typ)
+def _class_lines(edges: DataFrame, ns: str, top: str = TOP) -> DataFrame:
+    """Per edge a subClassOf line and an owl:Class line for the child; one for the top."""
+    child = _iri(F.concat(F.lit(ns), "child"))
+    lines = edges.select(F.explode(F.array(
+        _nt(child, RDFS_SUBCLASS_OF, _iri(F.concat(F.lit(ns), "parent"))),
+        _nt(child, RDF_TYPE, F.lit(f"<{OWL_CLASS}>")),
+    )).alias("value"))
+    root = edges.sparkSession.range(1).select(_nt(F.lit(f"<{ns}{top}>"), RDF_TYPE, F.lit(f"<{OWL_CLASS}>")).alias("value"))
+    return lines.unionByName(root)
 
 
 def taxonomy_lines(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
