@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.numeric import grid_round
-from ruleweave.operators.sizing import broadcast_counted, cut_lineage, is_small, materialize
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_counted, cut_lineage, is_small, materialize
 
 
 def dictionary_encode(terms: DataFrame, col: str = "label", num_partitions: int | None = None) -> DataFrame:
@@ -85,49 +85,45 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     Hook-and-shortcut on labels: every round each edge whose endpoints carry
     different labels proposes the smaller label to the larger one
     (``groupBy(min)``, partial aggregation absorbs hubs); every vertex holding
-    a hooked label moves with it; pointer jumping then flattens the label
-    forest.  Rounds shrink with the number of distinct labels, not with the
-    diameter.  Edges are treated as undirected.
+    a hooked label moves with it; two pointer jumps then flatten the label
+    forest.  Labels only decrease and stay inside the component, so once no
+    edge joins two labels every vertex carries its component's smallest id
+    (flattening only speeds this up).  Vertices sharing a label stay together
+    for good, so edges inside one label are dropped and the edge set shrinks.  The label
+    table is broadcast when the vertex count is small, else joined by shuffle.
+    Edges are treated as undirected.
     """
-    e = cut_lineage(
+    e, n_e = materialize(
         edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
         .filter(F.col("a") != F.col("b")).distinct()
     )
-    labels = cut_lineage(vertices.select("id", F.col("id").alias("comp")))
+    labels, n_v = materialize(vertices.select("id", F.col("id").alias("comp")))
     for _ in range(max_rounds):
-        la = labels.select(F.col("id").alias("a"), F.col("comp").alias("la"))
-        lb = labels.select(F.col("id").alias("b"), F.col("comp").alias("lb"))
-        prop = (
-            e.join(la, "a").join(lb, "b").filter(F.col("la") != F.col("lb"))
-            .select(F.greatest("la", "lb").alias("hi"), F.least("la", "lb").alias("lo"))
+        if n_e == 0:
+            break
+        la = broadcast_counted(labels.select(F.col("id").alias("a"), F.col("comp").alias("la")), n_v)
+        lb = broadcast_counted(labels.select(F.col("id").alias("b"), F.col("comp").alias("lb")), n_v)
+        live, n_e = materialize(e.join(la, "a").join(lb, "b").filter(F.col("la") != F.col("lb")))
+        if n_e == 0:
+            break
+        prop, n_p = materialize(
+            live.select(F.greatest("la", "lb").alias("hi"), F.least("la", "lb").alias("lo"))
             .groupBy("hi").agg(F.min("lo").alias("lo"))
         )
-        prop, n_prop = materialize(prop)
-        if n_prop == 0:
-            break
+        prop = broadcast_counted(prop, n_p)
         hooked = (
             labels.join(prop, labels.comp == prop.hi, "left")
             .select("id", F.least(F.col("comp"), F.coalesce(F.col("lo"), F.col("comp"))).alias("comp"))
         )
-        labels = _shortcut(cut_lineage(hooked))
+        labels, _ = materialize(_jump(_jump(hooked, n_v), n_v))
+        e = live.select("a", "b")
     return labels.select("id", F.col("comp").alias("component"))
 
 
-def _shortcut(labels: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Pointer jumping: comp <- comp(comp) until no label changes.
-
-    Each round is one checkpoint plus a short existence test for a label
-    that still moved.
-    """
-    for _ in range(max_rounds):
-        parent = labels.select(F.col("id").alias("comp"), F.col("comp").alias("_pc"))
-        jumped = labels.join(parent, "comp").select("id", F.col("_pc").alias("comp"), F.col("comp").alias("_old"))
-        labels, _ = materialize(jumped.select("id", "comp", "_old"))
-        moved = labels.filter(F.col("comp") != F.col("_old")).limit(1).count()
-        labels = labels.drop("_old")
-        if not moved:
-            break
-    return labels
+def _jump(labels: DataFrame, n_v: int) -> DataFrame:
+    """One pointer jump: comp <- comp(comp)."""
+    parent = broadcast_counted(labels.select(F.col("id").alias("comp"), F.col("comp").alias("_pc")), n_v)
+    return labels.join(parent, "comp").select("id", F.col("_pc").alias("comp"))
 
 
 def _weighted_edges(edges: DataFrame) -> DataFrame:
@@ -143,21 +139,35 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
 
     Fixed ``max_iter`` rounds, or until the largest change is below ``tol``.
     ``normalize`` rescales the ranks to sum to the vertex count (mass lost in
-    sinks is restored).  Weighted edges are checkpointed once; each round is a
-    join on ``src`` plus a ``groupBy(dst)`` sum.  With a tolerance every round
-    is checkpointed (the stop test reads old and new ranks); with a fixed
-    count every ``checkpoint_every`` rounds, so the lineage stays short.
+    sinks is restored).
+
+    Parallel edges are merged into weights once and checkpointed hash
+    partitioned by ``src``.  Per round the rank table joins the edges on
+    ``src`` (broadcast when the vertex count is small; otherwise the ranks are
+    hash partitioned the same way, so only they move) and a ``groupBy(dst)``
+    sum with partial aggregation collects the contributions.  With a
+    tolerance every round is checkpointed (the stop test reads old and new
+    ranks); with a fixed count every ``checkpoint_every`` rounds.
     """
-    w = cut_lineage(_weighted_edges(edges))
-    ids = vertices.select("id")
-    ranks = cut_lineage(ids.withColumn("rank", F.lit(1.0)))
+    spark = vertices.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    w, _ = materialize(_weighted_edges(edges).repartition(parts, "src"))
+    ids, n_v = materialize(vertices.select("id"))
+    small = n_v <= DEFAULT_BROADCAST_ROWS
+
+    def placed(r: DataFrame) -> DataFrame:
+        return r if small else r.repartition(parts, "id")
+
+    ranks = cut_lineage(placed(ids.withColumn("rank", F.lit(1.0))))
     for i in range(max_iter):
-        contrib = (
-            w.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
-            .groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("w")).alias("_s"))
-        )
-        new = ids.join(contrib, "id", "left").select(
-            "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("_s"), F.lit(0.0))).alias("rank"))
+        side = ranks.select(F.col("id").alias("src"), "rank")
+        side = F.broadcast(side) if small else side
+        # every vertex contributes a zero so vertices without in-edges stay: one
+        # aggregation instead of a join with the vertex list
+        contrib = w.join(side, "src").select(F.col("dst").alias("id"), (F.col("rank") * F.col("w")).alias("_c"))
+        zeros = ids.select("id", F.lit(0.0).alias("_c"))
+        new = placed(contrib.unionByName(zeros).groupBy("id").agg(
+            (F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank")))
         if tol is not None or (i + 1) % checkpoint_every == 0 or i + 1 == max_iter:
             new = cut_lineage(new)
         if tol is not None:

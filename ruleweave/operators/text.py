@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.functions.numeric import grid_round
-from ruleweave.operators.sizing import cut_lineage, is_small
 
 
 def _drop_empty(c: str):
@@ -47,15 +46,17 @@ def term_tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """``<key, term, tf, df, idf, tfidf>`` with ``idf = ln((n_docs + 1) / (df + 1))``.
 
     ``tf`` = occurrences in the document, ``df`` = documents holding the term,
-    ``n_docs`` = all documents (a scalar subquery).  The document-frequency
-    table is materialised once and broadcast only when a count shows it small;
-    otherwise the join shuffles on ``term`` and AQE splits hot terms.
+    ``n_docs`` = all documents (a scalar subquery).  ``df`` derives from the
+    same ``tf`` aggregation (its exchange is reused, tokens are read once);
+    AQE turns the ``tf ⋈ df`` join into a broadcast only when the measured
+    vocabulary is small, otherwise it shuffles on ``term`` and splits hot terms.
     """
-    toks = tokenize_whitespace(docs.select(key, text), text, "_t")
-    tf = (toks.select(key, F.explode("_t").alias("term"))
+    # same tokens as tokenize_whitespace, as one native expression: explode_outer
+    # keeps Spark from re-evaluating the split in an inferred pre-filter
+    words = F.split(F.lower(F.col(text)), "\\s")
+    tf = (docs.select(key, F.explode_outer(words).alias("term")).filter(F.col("term") != "")
           .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
-    df = cut_lineage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    df = F.broadcast(df) if is_small(df) else df
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     idf = F.log((n_docs.cast("double") + F.lit(1.0)) / (F.col("df").cast("double") + F.lit(1.0)))
     return (
