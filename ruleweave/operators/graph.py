@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.numeric import grid_round
-from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_counted, cut_lineage, is_small, materialize
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, cut_lineage, is_small, materialize
+from ruleweave.operators.skew import DEFAULT_CHUNK_ROWS, lookup_join
 
 
 def dictionary_encode(terms: DataFrame, col: str = "label", num_partitions: int | None = None) -> DataFrame:
@@ -54,20 +55,17 @@ def edges_from_triples(triples: DataFrame, vertices: DataFrame, s: str = "s", p:
                        o: str = "o") -> DataFrame:
     """``<src, dst, attr>``: subject and object looked up in the vertex dictionary.
 
-    The dictionary is broadcast when a row count shows it small; otherwise two
-    shuffle joins (AQE splits a hot subject's partition).
+    Both lookups are skew-safe joins: broadcast when the dictionary is small,
+    otherwise hot terms (say a class IRI that every type triple points to)
+    are split over several partitions.
     """
     v = vertices.select(F.col("id"), F.col("label"))
     small = is_small(v)
     vs = v.select(F.col("label").alias("_sl"), F.col("id").alias("src"))
     vo = v.select(F.col("label").alias("_ol"), F.col("id").alias("dst"))
-    if small:
-        vs, vo = F.broadcast(vs), F.broadcast(vo)
     t = triples.select(F.col(s).alias("_s"), F.col(p).alias("attr"), F.col(o).alias("_o"))
-    return (
-        t.join(vs, t._s == vs._sl).join(vo, F.col("_o") == vo._ol)
-        .select("src", "dst", "attr")
-    )
+    with_src = lookup_join(t, vs, "_s", "_sl", lookup_small=small)
+    return lookup_join(with_src, vo, "_o", "_ol", lookup_small=small).select("src", "dst", "attr")
 
 
 def subgraph(edges: DataFrame, attr: str) -> DataFrame:
@@ -79,7 +77,9 @@ def out_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out_degree"))
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100,
+                         broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``<id, component>`` with component = smallest vertex id of the component.
 
     Hook-and-shortcut on labels: every round each edge whose endpoints carry
@@ -89,85 +89,107 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     forest.  Labels only decrease and stay inside the component, so once no
     edge joins two labels every vertex carries its component's smallest id
     (flattening only speeds this up).  Vertices sharing a label stay together
-    for good, so edges inside one label are dropped and the edge set shrinks.  The label
-    table is broadcast when the vertex count is small, else joined by shuffle.
-    Edges are treated as undirected.
+    for good, so edges inside one label are dropped and the edge set shrinks.
+    All lookups (edge endpoint -> label, label -> hook, label -> parent) are
+    skew-safe joins: broadcast when the vertex count is small, else hub
+    vertices and giant labels are split over several partitions.  Edges are
+    treated as undirected.
     """
     e, n_e = materialize(
         edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
         .filter(F.col("a") != F.col("b")).distinct()
     )
     labels, n_v = materialize(vertices.select("id", F.col("id").alias("comp")))
+    small = n_v <= broadcast_rows
+    kw = dict(lookup_small=small, chunk_rows=chunk_rows, broadcast_rows=broadcast_rows)
     for _ in range(max_rounds):
         if n_e == 0:
             break
-        la = broadcast_counted(labels.select(F.col("id").alias("a"), F.col("comp").alias("la")), n_v)
-        lb = broadcast_counted(labels.select(F.col("id").alias("b"), F.col("comp").alias("lb")), n_v)
-        live, n_e = materialize(e.join(la, "a").join(lb, "b").filter(F.col("la") != F.col("lb")))
+        la = labels.select(F.col("id").alias("_ia"), F.col("comp").alias("la"))
+        lb = labels.select(F.col("id").alias("_ib"), F.col("comp").alias("lb"))
+        both = lookup_join(lookup_join(e, la, "a", "_ia", **kw), lb, "b", "_ib", **kw)
+        live, n_e = materialize(both.filter(F.col("la") != F.col("lb")))
         if n_e == 0:
             break
         prop, n_p = materialize(
             live.select(F.greatest("la", "lb").alias("hi"), F.least("la", "lb").alias("lo"))
             .groupBy("hi").agg(F.min("lo").alias("lo"))
         )
-        prop = broadcast_counted(prop, n_p)
-        hooked = (
-            labels.join(prop, labels.comp == prop.hi, "left")
-            .select("id", F.least(F.col("comp"), F.coalesce(F.col("lo"), F.col("comp"))).alias("comp"))
-        )
-        labels, _ = materialize(_jump(_jump(hooked, n_v), n_v))
+        hooked = lookup_join(labels, prop, "comp", "hi", how="left", lookup_small=n_p <= broadcast_rows,
+                             chunk_rows=chunk_rows, broadcast_rows=broadcast_rows)
+        hooked = hooked.select("id", F.least(F.col("comp"), F.coalesce(F.col("lo"), F.col("comp"))).alias("comp"))
+        labels, _ = materialize(_jump(_jump(hooked, kw), kw))
         e = live.select("a", "b")
     return labels.select("id", F.col("comp").alias("component"))
 
 
-def _jump(labels: DataFrame, n_v: int) -> DataFrame:
+def _jump(labels: DataFrame, kw: dict) -> DataFrame:
     """One pointer jump: comp <- comp(comp)."""
-    parent = broadcast_counted(labels.select(F.col("id").alias("comp"), F.col("comp").alias("_pc")), n_v)
-    return labels.join(parent, "comp").select("id", F.col("_pc").alias("comp"))
+    parent = labels.select(F.col("id").alias("_pid"), F.col("comp").alias("_pc"))
+    return lookup_join(labels, parent, "comp", "_pid", **kw).select("id", F.col("_pc").alias("comp"))
 
 
 def _weighted_edges(edges: DataFrame) -> DataFrame:
-    """Parallel edges merged into ``weight = multiplicity / out_degree(src)``."""
+    """Parallel edges merged into ``weight = multiplicity / out_degree(src)``, with ``_d`` = out-degree."""
     mult = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m"))
     deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_d"))
-    return mult.join(deg, "src").select("src", "dst", (F.col("_m") / F.col("_d")).alias("w"))
+    return mult.join(deg, "src").select("src", "dst", (F.col("_m") / F.col("_d")).alias("w"), "_d")
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_iter: int = 20,
-             tol: float | None = None, normalize: bool = False, checkpoint_every: int = 5) -> DataFrame:
+             tol: float | None = None, normalize: bool = False, checkpoint_every: int = 5,
+             broadcast_rows: int = DEFAULT_BROADCAST_ROWS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``<id, rank>``: ``rank = reset + (1-reset) * Σ rank(src) * mult / outdeg(src)``, start 1.0.
 
     Fixed ``max_iter`` rounds, or until the largest change is below ``tol``.
     ``normalize`` rescales the ranks to sum to the vertex count (mass lost in
     sinks is restored).
 
-    Parallel edges are merged into weights once and checkpointed hash
-    partitioned by ``src``.  Per round the rank table joins the edges on
-    ``src`` (broadcast when the vertex count is small; otherwise the ranks are
-    hash partitioned the same way, so only they move) and a ``groupBy(dst)``
-    sum with partial aggregation collects the contributions.  With a
-    tolerance every round is checkpointed (the stop test reads old and new
-    ranks); with a fixed count every ``checkpoint_every`` rounds.
+    Parallel edges are merged into weights once and checkpointed.  Per round
+    the ranks meet the edges on ``src`` and one ``groupBy`` sum with partial
+    aggregation collects the contributions (plus a zero per vertex, so
+    vertices without in-edges keep ``reset``).  When the vertex count is
+    small the ranks are broadcast.  Otherwise the edges are stored hash
+    partitioned by ``(src, salt)`` where a source with more than
+    ``chunk_rows`` out-edges gets several salts; each round the rank of such a
+    source is replicated per salt and partitioned the same way, so only the
+    ranks move and no partition holds more than about ``chunk_rows`` edges of
+    one source.  With a tolerance every round is checkpointed (the stop test
+    reads old and new ranks); with a fixed count every ``checkpoint_every``.
     """
     spark = vertices.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    w, _ = materialize(_weighted_edges(edges).repartition(parts, "src"))
     ids, n_v = materialize(vertices.select("id"))
-    small = n_v <= DEFAULT_BROADCAST_ROWS
-
-    def placed(r: DataFrame) -> DataFrame:
-        return r if small else r.repartition(parts, "id")
-
-    ranks = cut_lineage(placed(ids.withColumn("rank", F.lit(1.0))))
+    small = n_v <= broadcast_rows
+    wd = _weighted_edges(edges)
+    if small:
+        w, _ = materialize(wd.drop("_d"))
+        hot = None
+    else:
+        hot, n_hot = materialize(
+            wd.select("src", "_d").distinct().filter(F.col("_d") > chunk_rows)
+            .select(F.col("src").alias("_hk"), F.ceil(F.col("_d") / F.lit(chunk_rows)).cast("int").alias("_ns")))
+        hot = F.broadcast(hot) if n_hot <= broadcast_rows else hot
+        salted = wd.join(hot, wd.src == hot._hk, "left").select(
+            "src", "dst", "w", F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_ns"), F.lit(1))).alias("_salt"))
+        w, _ = materialize(salted.repartition(parts, "src", "_salt"))
+
+    def rank_side(r: DataFrame) -> DataFrame:
+        side = r.select(F.col("id").alias("src"), "rank")
+        if small:
+            return F.broadcast(side)
+        rep = side.join(hot, side.src == hot._hk, "left").select(
+            "src", "rank", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)).alias("_salt"))
+        return rep.repartition(parts, "src", "_salt")
+
+    keys = ["src"] if small else ["src", "_salt"]
+    ranks = cut_lineage(ids.withColumn("rank", F.lit(1.0)))
     for i in range(max_iter):
-        side = ranks.select(F.col("id").alias("src"), "rank")
-        side = F.broadcast(side) if small else side
-        # every vertex contributes a zero so vertices without in-edges stay: one
-        # aggregation instead of a join with the vertex list
-        contrib = w.join(side, "src").select(F.col("dst").alias("id"), (F.col("rank") * F.col("w")).alias("_c"))
+        contrib = w.join(rank_side(ranks), keys).select(F.col("dst").alias("id"),
+                                                        (F.col("rank") * F.col("w")).alias("_c"))
         zeros = ids.select("id", F.lit(0.0).alias("_c"))
-        new = placed(contrib.unionByName(zeros).groupBy("id").agg(
-            (F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank")))
+        new = contrib.unionByName(zeros).groupBy("id").agg(
+            (F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank"))
         if tol is not None or (i + 1) % checkpoint_every == 0 or i + 1 == max_iter:
             new = cut_lineage(new)
         if tol is not None:

@@ -32,7 +32,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.operators.hierarchy import ancestor_sets
-from ruleweave.operators.sizing import broadcast_if_small, cut_lineage, is_small
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, cut_lineage, is_small, materialize
+from ruleweave.operators.skew import lookup_join, lookup_join_many
 
 RULE_PREFIX = "c"
 
@@ -102,8 +103,7 @@ def with_ancestor_arrays(df: DataFrame, ancestors: DataFrame, spec: MiningSpec)
         for col in spec.mapping[k]:
             alias = f"_anc_{k}_{col}"
             look = side.select(F.col("value").alias(f"_v_{alias}"), F.col("ancs").alias(alias))
-            look = F.broadcast(look) if small else look
-            out = out.join(look, out[col] == look[f"_v_{alias}"], "left").drop(f"_v_{alias}")
+            out = lookup_join(out, look, col, f"_v_{alias}", how="left", lookup_small=small)
             parts.setdefault(k, []).append(F.coalesce(F.col(alias), F.array().cast("array<string>")))
     drops = []
     for k, cols in parts.items():
@@ -269,7 +269,8 @@ def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selecte
 
     Coverage is decided once per distinct value combination: the combinations
     are exploded into their prefix rules and equi-joined (null-safe) with the
-    selected rules, counted, and joined back to the facts.  ``selected`` is
+    selected rules, counted, and joined back to the facts with a skew-safe
+    lookup join (a value combination may hold a third of all rows).  ``selected`` is
     broadcast when the caller proves its size (``selected_bounded``, e.g. a
     top-k) or a row count shows it small.
     """
@@ -288,15 +289,12 @@ def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selecte
         cand.join(sel, cond, "inner")
         .groupBy(*spec.mapped_columns).agg(F.count(F.lit(1)).alias("_hits"))
     )
-    # materialised once in the shared checkpoint folder, then size-checked
-    hits = broadcast_if_small(cut_lineage(hits))
-    jcond = None
-    for c in spec.mapped_columns:
-        e = rows[c].eqNullSafe(hits[c])
-        jcond = e if jcond is None else jcond & e
-    joined = rows.join(hits, jcond, "left")
+    # materialised once in the shared checkpoint folder; its count decides the join
+    hits, n_hits = materialize(hits)
+    joined = lookup_join_many(rows.select(spec.key, *spec.mapped_columns), hits, spec.mapped_columns, how="left",
+                              lookup_small=n_hits <= DEFAULT_BROADCAST_ROWS)
     counter = (F.lit(start) - F.coalesce(F.col("_hits"), F.lit(0))).cast("int")
     return (
-        joined.select(rows[spec.key], *[rows[c] for c in spec.mapped_columns], counter.alias("counter"))
+        joined.select(spec.key, *spec.mapped_columns, counter.alias("counter"))
         .filter(F.col("counter") >= floor)
     )
