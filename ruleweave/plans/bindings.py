@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleweave.functions.iri import RDF_TYPE, RDFS_SUBCLASS_OF, XSD
-from ruleweave.operators.skew import lookup_join
 
 # ---------------------------------------------------------------------------
 # Fixed values of the bindings (shared with the oracle SQL).
@@ -71,10 +70,11 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # skew-safe lookups: one customer may place a large share of all orders
-    oc = lookup_join(o, c, "o_custkey", "c_custkey")
+    # dimension joins: broadcast by the planner while the dimension is small; at
+    # scale both sides shuffle and AQE splits a hot customer's partition
     return (
-        lookup_join(oc, n, "c_nationkey", "n_nationkey")
+        o.join(c, o.o_custkey == c.c_custkey)
+        .join(n, F.col("c_nationkey") == n.n_nationkey)
         .select(
             F.col("o_orderkey").alias("id"),
             F.col("n_name").alias("nation"),

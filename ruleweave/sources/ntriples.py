@@ -1,8 +1,8 @@
 """N-Triples: raw line scan, comment filter and a column-wise line parser.
 
-The parser follows the W3C N-Triples line grammar with one regular expression
-evaluated by ``regexp_extract`` (JVM, whole-stage codegen); no Python touches a
-row.  Output schema::
+The parser follows the W3C N-Triples line grammar with one regular expression,
+evaluated once per line on the JVM (``regexp_replace`` + ``split``); no Python
+touches a row.  Output schema::
 
     s, p, o, s_kind, o_kind, o_lang, o_datatype : string
 
@@ -76,16 +76,35 @@ def classify_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
+_MARK, _SEP = "\u0002", "\u0001"
+# The literal body (group 6) is the only group that may hold arbitrary
+# characters, so it goes last: a split with limit 8 keeps it whole.
+_PACKED_ORDER = [1, 2, 3, 4, 5, 7, 8, 6]
+_PACKED = _MARK + _SEP.join(f"${i}" for i in _PACKED_ORDER)
+
+
+def _groups(v: Column) -> tuple[list[Column], Column]:
+    """The 8 capture groups of :data:`LINE_PATTERN` and a match flag.
+
+    One ``regexp_replace`` rewrites a matching line into its groups joined by
+    a control character (a non-matching line comes back unchanged) and
+    ``split`` cuts them apart.  All uses of the rewritten line are
+    unconditional, so whole-stage codegen evaluates the regex once per line.
+    A line that never matches cannot start with the marker, so the flag is exact.
+    """
+    packed = F.regexp_replace(v, LINE_PATTERN, _PACKED)
+    parts = F.split(F.substring(packed, 2, 1 << 30), _SEP, len(_PACKED_ORDER))
+    ok = packed.startswith(_MARK) & ~v.startswith(_MARK)
+    at = {g: i for i, g in enumerate(_PACKED_ORDER)}
+    return [F.get(parts, at[g]) for g in range(1, 9)], ok
+
+
 def parse_ntriples(lines: DataFrame, col: str = "value") -> DataFrame:
     """Parse N-Triples lines into the triple schema; non-triple lines are dropped."""
-    v = F.col(col)
-    pred = _group(v, 3)
+    g, ok = _groups(F.col(col))
     parsed = lines.select(
-        _group(v, 1).alias("_s_iri"), _group(v, 2).alias("_s_bn"), pred.alias("p"),
-        _group(v, 4).alias("_o_iri"), _group(v, 5).alias("_o_bn"),
-        F.regexp_extract(v, LINE_PATTERN, 6).alias("_lit"),
-        _group(v, 7).alias("_lang"), _group(v, 8).alias("_dt"),
-        v.rlike(LINE_PATTERN).alias("_ok"),
+        g[0].alias("_s_iri"), g[1].alias("_s_bn"), g[2].alias("p"), g[3].alias("_o_iri"), g[4].alias("_o_bn"),
+        g[5].alias("_lit"), g[6].alias("_lang"), g[7].alias("_dt"), ok.alias("_ok"),
     ).filter(F.col("_ok"))
     s_is_iri = F.col("_s_bn") == ""
     o_kind = (F.when(F.col("_o_iri") != "", "iri")
