@@ -25,10 +25,10 @@ def dictionary_encode(terms: DataFrame, col: str = "label", num_partitions: int
     from per-partition counts (one row per partition, broadcast).  No global
     single-partition window.
     """
-    spark = terms.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     labels = terms.select(F.col(col).alias("label")).filter(F.col("label").isNotNull()).distinct()
-    ranged = cut_lineage(labels.repartitionByRange(n, "label").sortWithinPartitions("label"))
+    # without a fixed count AQE sizes the range partitions from the data
+    ranged = labels.repartitionByRange(num_partitions, "label") if num_partitions else labels.repartitionByRange("label")
+    ranged = cut_lineage(ranged.sortWithinPartitions("label"))
     pos = ranged.select(
         "label",
         F.spark_partition_id().alias("_pid"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ruleweave.functions.iri import RDFS_SUBCLASS_OF, local_name
 from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, materialize
+from ruleweave.operators.skew import lookup_join_many
 
 
 def subclass_edges(triples: DataFrame, predicate_contains: str | None = None) -> DataFrame:
@@ -38,8 +39,15 @@ def concepts(edges: DataFrame) -> DataFrame:
 
 
 def children(edges: DataFrame) -> DataFrame:
-    """Direct children per concept, as a sorted array."""
-    return edges.groupBy("k", "parent").agg(F.sort_array(F.collect_set("child")).alias("children"))
+    """Direct children per concept in long form ``<k, parent, child, n_children>``.
+
+    One row per (parent, child): a parent with millions of children is never
+    gathered into one row; ``n_children`` comes from a partial aggregation and
+    a skew-safe lookup join back to the edges.
+    """
+    e = edges.select("k", "parent", "child").distinct()
+    counts = e.groupBy("k", "parent").agg(F.count(F.lit(1)).alias("n_children"))
+    return lookup_join_many(e, counts, ["k", "parent"])
 
 
 def children_of(edges: DataFrame, k: int, concept: str) -> DataFrame:
@@ -92,6 +100,9 @@ def descendants_of(closure_df: DataFrame, k: int, concept: str) -> DataFrame:
 def ancestor_sets(edges: DataFrame, top: str = "Thing", closure_df: DataFrame | None = None) -> DataFrame:
     """``<k, value, ancs array<string>>``: ancestors-or-self of every concept under ``top``.
 
+    Each array holds the ancestors of one concept, so its size is bounded by the
+    taxonomy's depth (by the ancestor count in a DAG), not by the data.
+
     Only concepts reachable from ``top`` take part (a concept outside the tree
     of ``top`` is never reached by a general-to-specific search).  The table is
     small (concepts x depth) and is materialised once in the checkpoint folder.

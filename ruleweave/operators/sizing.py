@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ruleweave.session import ensure_checkpoint_dir
 
 # Rows a dimension-like side may hold and still be broadcast.  Ancestor tables,
-# vocabularies and rule sets are a few dozen bytes per row, so this stays well
-# inside the default executor broadcast budget.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# vertex dictionaries, vocabularies and rule sets take roughly 20-100 bytes per
+# row, so a broadcast stays below about 50 MB.
+DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:

@@ -123,6 +123,11 @@ def q_taxo_closure(spark, sf_dir):
     return H.closure(taxonomy_edges(spark, sf_dir))
 
 
+def q_taxo_descendants(spark, sf_dir):
+    """All strict descendants of one concept (the descendant lookup)."""
+    return H.descendants_of(H.closure(taxonomy_edges(spark, sf_dir)), CONCEPT_K, CONCEPT)
+
+
 def q_uri_dictionary(spark, sf_dir):
     return H.uri_dictionary(taxonomy_triples(spark, sf_dir))
 
@@ -344,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "taxo_concepts": q_taxo_concepts,
     "taxo_children": q_taxo_children,
     "taxo_closure": q_taxo_closure,
+    "taxo_descendants": q_taxo_descendants,
     "uri_dictionary": q_uri_dictionary,
     "nt_parse": q_nt_parse,
     "nt_preview": q_nt_preview,

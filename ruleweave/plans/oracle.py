@@ -231,8 +231,11 @@ def taxonomy_sql() -> dict[str, str]:
     return {
         "taxo_edges": w + "SELECT DISTINCT k, child, parent FROM edges",
         "taxo_concepts": w + "SELECT k, child AS concept FROM edges UNION SELECT k, parent FROM edges",
-        "taxo_children": w + "SELECT k, parent, list(DISTINCT child ORDER BY child) AS children FROM edges GROUP BY k, parent",
+        "taxo_children": w + """, e AS (SELECT DISTINCT k, parent, child FROM edges)
+SELECT e.k, e.parent, e.child, c.n AS n_children FROM e JOIN (SELECT k, parent, count(*) AS n FROM e GROUP BY k, parent) c
+  ON c.k = e.k AND c.parent = e.parent""",
         "taxo_closure": w + "SELECT k, anc, leaf, depth FROM clo_min",
+        "taxo_descendants": w + "SELECT leaf FROM clo_min WHERE k = 0 AND anc = 'EUROPE' AND depth > 0",
         "uri_dictionary": w + f""", terms AS (SELECT k, child AS c FROM edges UNION SELECT k, parent FROM edges)
 SELECT CASE k WHEN 0 THEN '{ns[0]}' WHEN 1 THEN '{ns[1]}' ELSE '{ns[2]}' END || c AS uri, c AS local_name FROM terms
 UNION SELECT '{B.OWL_CLASS}', 'Class'""",

@@ -21,7 +21,7 @@ def test_entry_smoke(spark):
 def test_registry_consistent():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 45
+    assert len(q) >= 48
     missing = set(q) - set(o)
     assert missing == {"graph_pagerank_tol", "tfidf_hashed", "lr_predict"}
 

@@ -138,3 +138,21 @@ def test_duplicate_fact_rows_counted_per_row(spark):
                                   FACT_DDL)
     r = R.mine_rules(facts, edges, spec).filter(F.col("c0") == "Clerk").filter(F.col("c1").isNull()).first()
     assert (r["cov"], r["pos"]) == (2, 2)
+
+
+def test_permuting_rows_and_partitions_changes_nothing(spark, data):
+    rows, facts, edges, anc = data
+    spec = R.MiningSpec(mapping=MAPPING, top=TOP, min_pos=2, expand_last=True)
+    base = _as_dict(R.mine_rules(facts, edges, spec, anc), spec)
+    shuffled = spark.createDataFrame(list(reversed(rows)), FACT_DDL).repartition(7, "city")
+    assert _as_dict(R.mine_rules(shuffled, edges.repartition(3), spec), spec) == base
+
+
+def test_concepts_match_by_equality_not_substring(spark):
+    edges = spark.createDataFrame([(0, "Car", TOP), (0, "Career", TOP), (1, "Any", TOP)],
+                                  "k int, child string, parent string")
+    facts = spark.createDataFrame([(1, "Career", "Any", True), (2, "Career", "Any", True), (3, "Car", "Any", False)],
+                                  "id long, job string, city string, target boolean")
+    spec = R.MiningSpec(mapping={0: ["job"], 1: ["city"]}, top=TOP, min_pos=0)
+    got = {r["c0"]: (r["cov"], r["pos"]) for r in R.mine_rules(facts, edges, spec).filter("c1 is null").collect()}
+    assert got == {TOP: (3, 2), "Career": (2, 2)}
