@@ -60,3 +60,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def broadcast_counted(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a side whose row count is already known."""
     return F.broadcast(df) if n_rows <= max_rows else df
+
+
+def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a raw scan that has fewer partitions than cores.
+
+    A file with a single row group is read by one task, so row-heavy work
+    right after the scan (tokenising, exploding, parsing) would run on one
+    core; one cheap shuffle of the raw rows spreads it.  Inputs with enough
+    partitions (many files or row groups, as at scale) are returned as is.
+    Apply it to scans only: reading the partition count plans but runs no job.
+    """
+    sc = scan.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    return scan.repartition(target) if scan.rdd.getNumPartitions() < target else scan

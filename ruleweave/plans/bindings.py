@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleweave.functions.iri import RDF_TYPE, RDFS_SUBCLASS_OF, XSD
+from ruleweave.operators.sizing import spread
 
 # ---------------------------------------------------------------------------
 # Fixed values of the bindings (shared with the oracle SQL).
@@ -52,6 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scan(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Column-pruned scan of a large table, spread over the cores if it has too few partitions."""
+    return spread(table(spark, sf_dir, name).select(*cols))
+
+
 def price_band(c: Column) -> Column:
     expr = None
     for bound, label in PRICE_BANDS:
@@ -66,8 +72,8 @@ def price_band(c: Column) -> Column:
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``<id, nation, segment, priority, price_band, target>`` = orders ⋈ customer ⋈ nation."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                              "o_orderpriority")
+    o = scan(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+             "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # dimension joins: broadcast by the planner while the dimension is small; at
@@ -137,7 +143,7 @@ def triple_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     angle brackets inside literals, blank nodes, comment, blank and malformed
     lines, so the parser sees every line shape.
     """
-    cust = table(spark, sf_dir, "customer")
+    cust = scan(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
     nat = table(spark, sf_dir, "nation")
     reg = table(spark, sf_dir, "region")
     c_iri = _iri(F.concat(F.lit(BASE + "customer/"), F.col("c_custkey").cast("string")))
@@ -180,7 +186,7 @@ def triple_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``<s, o, p>`` term pairs supplier -> part from lineitem (one per line item)."""
-    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    li = scan(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey")
     return li.select(
         F.concat(F.lit("supplier/"), F.col("l_suppkey").cast("string")).alias("s"),
         F.lit("supplies").alias("p"),
@@ -189,10 +195,10 @@ def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan(spark, sf_dir, "documents", "doc_id", "text")
 
 
 def labeled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = scan(spark, sf_dir, "documents", "doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return d.join(lab, "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("label"))
