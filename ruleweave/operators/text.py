@@ -47,7 +47,8 @@ def term_tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     ``tf`` = occurrences in the document, ``df`` = documents holding the term,
     ``n_docs`` = all documents (a scalar subquery).  ``df`` derives from the
-    same ``tf`` aggregation (its exchange is reused, tokens are read once);
+    same ``tf`` aggregation (its shuffle stage is reused: each document is
+    tokenised once);
     AQE turns the ``tf ⋈ df`` join into a broadcast only when the measured
     vocabulary is small, otherwise it shuffles on ``term`` and splits hot terms.
     """
@@ -56,7 +57,9 @@ def term_tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     words = F.split(F.lower(F.col(text)), "\\s")
     tf = (docs.select(key, F.explode_outer(words).alias("term")).filter(F.col("term") != "")
           .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # documents where the term occurs (tf > 0); reading tf keeps this branch's
+    # input identical to the left side, so the tf shuffle stage is reused
+    df = tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     idf = F.log((n_docs.cast("double") + F.lit(1.0)) / (F.col("df").cast("double") + F.lit(1.0)))
     return (
