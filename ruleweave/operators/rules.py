@@ -157,13 +157,22 @@ def score_rules(rules: DataFrame, n_total: Column, n_target: Column) -> DataFram
     )
 
 
+def profile_of(facts: DataFrame, spec: MiningSpec) -> DataFrame:
+    """The value profile materialised in the checkpoint folder (one pass over the facts)."""
+    return cut_lineage(value_profile(facts, spec))
+
+
 def mine_rules(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
-               ancestors: DataFrame | None = None) -> DataFrame:
+               ancestors: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
     """All rules with ``pos > min_pos``:
-    ``<c0.., cov, pos, n_total, n_target, score, wracc, cov_ratio, sup>``."""
+    ``<c0.., cov, pos, n_total, n_target, score, wracc, cov_ratio, sup>``.
+
+    ``profile`` (from :func:`profile_of`) may be passed to share the single
+    pass over the facts with :func:`cover_counters`.
+    """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
     # the only pass over the facts; its (small) result feeds the rules and N, C
-    profile = cut_lineage(value_profile(facts, spec))
+    profile = profile if profile is not None else profile_of(facts, spec)
     cand = explode_rules(with_ancestor_arrays(profile, anc, spec), spec)
     rcols = spec.rule_columns()
     rules = (
@@ -263,7 +272,8 @@ def top_concepts(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
 
 def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selected: DataFrame, *,
                    population: str = "positives", start: int = 50, floor: int = 1,
-                   selected_bounded: bool = False, ancestors: DataFrame | None = None) -> DataFrame:
+                   selected_bounded: bool = False, ancestors: DataFrame | None = None,
+                   profile: DataFrame | None = None) -> DataFrame:
     """Counter per fact row: ``start`` minus the number of selected rules covering it,
     rows below ``floor`` removed.  ``<key, mapped columns, counter>``.
 
@@ -272,14 +282,20 @@ def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selecte
     selected rules, counted, and joined back to the facts with a skew-safe
     lookup join (a value combination may hold a third of all rows).  ``selected`` is
     broadcast when the caller proves its size (``selected_bounded``, e.g. a
-    top-k) or a row count shows it small.
+    top-k) or a row count shows it small.  With the mining ``profile`` the
+    combinations come from it instead of another pass over the facts.
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
     rcols = spec.rule_columns()
     sel = selected.select(*[F.col(c).alias(f"_r_{c}") for c in rcols])
     sel = F.broadcast(sel) if selected_bounded else broadcast_if_small(sel)
     rows = facts.filter(_target_flag(spec)) if population == "positives" else facts
-    combos = rows.select(*spec.mapped_columns).distinct()
+    if profile is not None:
+        # the mining profile already lists every value combination (n_pos > 0: has positives)
+        combos = profile.filter(F.col("n_pos") > 0) if population == "positives" else profile
+        combos = combos.select(*spec.mapped_columns)
+    else:
+        combos = rows.select(*spec.mapped_columns).distinct()
     cand = explode_rules(with_ancestor_arrays(combos, anc, spec), spec, expand_last=True)
     cond = None
     for c in rcols:

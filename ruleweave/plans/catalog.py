@@ -52,9 +52,16 @@ class _Mining:
         self.facts = B.facts(spark, sf_dir)
         self.edges = taxonomy_edges(spark, sf_dir)
         self.ancestors = H.ancestor_sets(self.edges, spec.top)
+        self._profile = None
+
+    @property
+    def profile(self) -> DataFrame:
+        if self._profile is None:
+            self._profile = R.profile_of(self.facts, self.spec)
+        return self._profile
 
     def rules(self) -> DataFrame:
-        return R.mine_rules(self.facts, self.edges, self.spec, self.ancestors)
+        return R.mine_rules(self.facts, self.edges, self.spec, self.ancestors, self.profile)
 
 
 def q_rules_mine(spark, sf_dir):
@@ -81,13 +88,13 @@ def q_rules_cover_pos(spark, sf_dir):
     m = _Mining(spark, sf_dir, FIRST)
     top = R.select_rules(m.rules(), FIRST, TOP_K)
     return R.cover_counters(m.facts, m.edges, FIRST, top, population="positives", start=50, floor=1,
-                            selected_bounded=True, ancestors=m.ancestors)
+                            selected_bounded=True, ancestors=m.ancestors, profile=m.profile)
 
 
 def q_rules_cover_all(spark, sf_dir):
     m = _Mining(spark, sf_dir, SECOND)
     return R.cover_counters(m.facts, m.edges, SECOND, m.rules(), population="all", start=5, floor=4,
-                            ancestors=m.ancestors)
+                            ancestors=m.ancestors, profile=m.profile)
 
 
 def q_concept_rows(spark, sf_dir):

@@ -89,6 +89,10 @@ def test_topk_and_cover_counters_match_sequential_loop(spark, data):
     got = R.cover_counters(facts, edges, spec, top, population="positives", start=50, floor=1,
                            selected_bounded=True, ancestors=anc)
     assert {r["id"]: r["counter"] for r in got.collect()} == want
+    prof = R.profile_of(facts, spec)
+    got = R.cover_counters(facts, edges, spec, top, population="positives", start=50, floor=1,
+                           selected_bounded=True, ancestors=anc, profile=prof)
+    assert {r["id"]: r["counter"] for r in got.collect()} == want
 
 
 def test_cover_counters_all_rows_second_variant(spark, data):
@@ -100,6 +104,9 @@ def test_cover_counters_all_rows_second_variant(spark, data):
     want = simulate_counters(rule_rows, sel, all_ids, 5, 4)
     got = R.cover_counters(facts, edges, spec, top, population="all", start=5, floor=4, ancestors=anc)
     assert {r["id"]: r["counter"] for r in got.collect()} == want
+    got = R.cover_counters(facts, edges, spec, top, population="all", start=5, floor=4, ancestors=anc,
+                           profile=R.profile_of(facts, spec))
+    assert {r["id"]: r["counter"] for r in got.collect()} == want
     assert 0 < len(want) < len(all_ids)
 
 
