@@ -102,15 +102,19 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     labels, n_v = materialize(vertices.select("id", F.col("id").alias("comp")))
     small = n_v <= broadcast_rows
     kw = dict(lookup_small=small, chunk_rows=chunk_rows, broadcast_rows=broadcast_rows)
-    for _ in range(max_rounds):
-        if n_e == 0:
-            break
-        la = labels.select(F.col("id").alias("_ia"), F.col("comp").alias("la"))
-        lb = labels.select(F.col("id").alias("_ib"), F.col("comp").alias("lb"))
-        both = lookup_join(lookup_join(e, la, "a", "_ia", **kw), lb, "b", "_ib", **kw)
-        live, n_e = materialize(both.filter(F.col("la") != F.col("lb")))
+    for rnd in range(max_rounds):
         if n_e == 0:
             break
+        if rnd == 0:
+            # every vertex still carries its own id: the edges are the live pairs
+            live = e.select("a", "b", F.col("a").alias("la"), F.col("b").alias("lb"))
+        else:
+            la = labels.select(F.col("id").alias("_ia"), F.col("comp").alias("la"))
+            lb = labels.select(F.col("id").alias("_ib"), F.col("comp").alias("lb"))
+            both = lookup_join(lookup_join(e, la, "a", "_ia", **kw), lb, "b", "_ib", **kw)
+            live, n_e = materialize(both.filter(F.col("la") != F.col("lb")))
+            if n_e == 0:
+                break
         prop, n_p = materialize(
             live.select(F.greatest("la", "lb").alias("hi"), F.least("la", "lb").alias("lo"))
             .groupBy("hi").agg(F.min("lo").alias("lo"))
