@@ -22,8 +22,10 @@ TOP = "Thing"
 TAXO_NS = ["http://example.org/taxonomy/geo#", "http://example.org/taxonomy/segment#",
            "http://example.org/taxonomy/order#"]
 OWL_CLASS = "http://www.w3.org/2002/07/owl#Class"
-# taxonomy 0: NATION_i -> region name -> World -> Thing (from nation/region)
+# taxonomy 0: customer_<c_custkey> -> NATION_i -> region name -> World -> Thing
+# (from customer / nation / region, so it grows with the data)
 GEO_ROOT = "World"
+CUSTOMER_PREFIX = "customer_"
 # taxonomy 1: market segments (child, parent)
 SEGMENT_EDGES = [
     ("AUTOMOBILE", "Industrial"), ("BUILDING", "Industrial"), ("MACHINERY", "Industrial"),
@@ -41,7 +43,7 @@ ORDER_EDGES = [
 # price bands of o_totalprice: (upper bound exclusive, label); the last is open
 PRICE_BANDS = [(100000.0, "under_100k"), (200000.0, "100k_200k"), (300000.0, "200k_300k"),
                (400000.0, "300k_400k"), (None, "over_400k")]
-FACT_MAPPING = {0: ["nation"], 1: ["segment"], 2: ["priority", "price_band"]}
+FACT_MAPPING = {0: ["customer"], 1: ["segment"], 2: ["priority", "price_band"]}
 TARGET_STATUS = "F"
 
 # triple graph vocabulary
@@ -71,7 +73,7 @@ def price_band(c: Column) -> Column:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``<id, nation, segment, priority, price_band, target>`` = orders ⋈ customer ⋈ nation."""
+    """``<id, customer, nation, segment, priority, price_band, target>`` = orders ⋈ customer ⋈ nation."""
     o = scan(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
              "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -83,6 +85,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(n, F.col("c_nationkey") == n.n_nationkey)
         .select(
             F.col("o_orderkey").alias("id"),
+            F.concat(F.lit(CUSTOMER_PREFIX), F.col("c_custkey").cast("string")).alias("customer"),
             F.col("n_name").alias("nation"),
             F.col("c_mktsegment").alias("segment"),
             F.col("o_orderpriority").alias("priority"),
@@ -120,8 +123,13 @@ def taxonomy_lines(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """One DataFrame of N-Triples lines (``value``) per ontology, index = ontology id."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
+    c = scan(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     geo_edges = (
-        n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_name").alias("child"), F.col("r_name").alias("parent"))
+        c.join(n, c.c_nationkey == n.n_nationkey).select(
+            F.concat(F.lit(CUSTOMER_PREFIX), F.col("c_custkey").cast("string")).alias("child"),
+            F.col("n_name").alias("parent"))
+        .unionByName(n.join(r, n.n_regionkey == r.r_regionkey)
+                     .select(F.col("n_name").alias("child"), F.col("r_name").alias("parent")))
         .unionByName(r.select(F.col("r_name").alias("child"), F.lit(GEO_ROOT).alias("parent")))
         .unionByName(spark.createDataFrame([(GEO_ROOT, TOP)], "child string, parent string"))
     )

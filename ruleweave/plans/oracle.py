@@ -34,7 +34,8 @@ def _price_band_case(col: str) -> str:
 
 EDGES_CTE = f"""
 edges(k, child, parent) AS (
-  SELECT 0, n_name, replace(r_name, ' ', '_') FROM nation JOIN region ON n_regionkey = r_regionkey
+  SELECT 0, '{B.CUSTOMER_PREFIX}' || c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT 0, n_name, replace(r_name, ' ', '_') FROM nation JOIN region ON n_regionkey = r_regionkey
   UNION ALL SELECT 0, replace(r_name, ' ', '_'), {_q(B.GEO_ROOT)} FROM region
   UNION ALL SELECT 0, {_q(B.GEO_ROOT)}, {_q(TOP)}
   UNION ALL SELECT * FROM (VALUES {_values_edges()}) v(k, child, parent)
@@ -49,7 +50,8 @@ clo_min AS (SELECT k, anc, leaf, min(depth) AS depth FROM clo GROUP BY k, anc, l
 
 FACTS_CTE = f"""
 facts AS (
-  SELECT o_orderkey AS id, n_name AS nation, c_mktsegment AS segment, o_orderpriority AS priority,
+  SELECT o_orderkey AS id, '{B.CUSTOMER_PREFIX}' || c_custkey AS customer, n_name AS nation,
+         c_mktsegment AS segment, o_orderpriority AS priority,
          {_price_band_case('o_totalprice')} AS price_band,
          o_orderstatus = {_q(B.TARGET_STATUS)} AS target
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -66,7 +68,7 @@ anc_self AS (
   JOIN under_top l ON l.k = s.k AND l.concept = s.leaf
 ),
 m(k, id, val) AS (
-  SELECT 0, id, nation FROM facts UNION ALL SELECT 1, id, segment FROM facts
+  SELECT 0, id, customer FROM facts UNION ALL SELECT 1, id, segment FROM facts
   UNION ALL SELECT 2, id, priority FROM facts UNION ALL SELECT 2, id, price_band FROM facts
 )"""
 
@@ -136,7 +138,7 @@ def _cover(selected: str, population: str, start: int, floor: int) -> str:
   GROUP BY c.id
 )
 SELECT * FROM (
-  SELECT f.id, f.nation, f.segment, f.priority, f.price_band, ({start} - coalesce(h.h, 0))::INTEGER AS counter
+  SELECT f.id, f.customer, f.segment, f.priority, f.price_band, ({start} - coalesce(h.h, 0))::INTEGER AS counter
   FROM facts f LEFT JOIN hits h ON h.id = f.id {pop}
 ) WHERE counter >= {floor}"""
 
@@ -343,14 +345,14 @@ best_ids AS (
         + "\nUNION\n" + _concept_rows(1, "Consumer"),
         "set_except": base + "\n" + _concept_rows(0, "EUROPE") + "\nEXCEPT\n" + _concept_rows(1, "Industrial"),
         "join_all_cols": rules + """
-SELECT p.id, p.nation, p.segment, p.priority, p.price_band, p.target, 50 - 1 AS counter
+SELECT p.id, p.customer, p.nation, p.segment, p.priority, p.price_band, p.target, 50 - 1 AS counter
 FROM facts p JOIN (SELECT f.* FROM facts f WHERE f.id IN (SELECT id FROM best_ids) AND f.target) w
-  ON p.id = w.id AND p.nation = w.nation AND p.segment = w.segment AND p.priority = w.priority
+  ON p.id = w.id AND p.customer = w.customer AND p.nation = w.nation AND p.segment = w.segment AND p.priority = w.priority
  AND p.price_band = w.price_band AND p.target = w.target
 WHERE p.target""",
         "cover_missing": rules + "\nSELECT f.* FROM facts f WHERE f.target AND f.id NOT IN (SELECT id FROM best_ids)",
         "distinct_values": "WITH " + FACTS_CTE.strip() + """
-SELECT DISTINCT 'nation' AS "column", nation AS value FROM facts WHERE nation IS NOT NULL
+SELECT DISTINCT 'customer' AS "column", customer AS value FROM facts WHERE customer IS NOT NULL
 UNION SELECT 'segment', segment FROM facts WHERE segment IS NOT NULL
 UNION SELECT 'priority', priority FROM facts WHERE priority IS NOT NULL
 UNION SELECT 'price_band', price_band FROM facts WHERE price_band IS NOT NULL""",
