@@ -162,18 +162,62 @@ def profile_of(facts: DataFrame, spec: MiningSpec) -> DataFrame:
     return cut_lineage(value_profile(facts, spec))
 
 
+def restrict_ancestors(ancestors: DataFrame, keep: DataFrame) -> DataFrame:
+    """Ancestor table with every array cut down to the concepts in ``keep<k, concept>``.
+
+    Arrays hold the ancestors of one concept (bounded by the taxonomy depth),
+    so regrouping them per value is a bounded ``collect_list``.
+    """
+    ex = ancestors.select("k", "value", F.explode("ancs").alias("concept"))
+    kept = ex.join(broadcast_if_small(keep.select("k", "concept").distinct()), ["k", "concept"], "left_semi")
+    return materialize(
+        kept.groupBy("k", "value").agg(F.array_sort(F.collect_list("concept")).alias("ancs"))
+    )[0]
+
+
+def frequent_concepts(arrays: DataFrame, spec: MiningSpec) -> DataFrame:
+    """``<k, concept>`` whose single-term positive support exceeds ``min_pos``.
+
+    Support is anti-monotone, so no kept rule holds any other concept.
+    """
+    def tagged(k: int):
+        # one-argument lambda: a second parameter would receive the array index
+        return F.transform(F.col(_array_col(k)), lambda x: F.struct(F.lit(k).alias("k"), x.alias("concept")))
+
+    items = F.flatten(F.array(*[tagged(k) for k in sorted(spec.mapping)]))
+    singles = (
+        arrays.select("n_pos", F.explode(items).alias("_it"))
+        .groupBy(F.col("_it.k").alias("k"), F.col("_it.concept").alias("concept"))
+        .agg(F.sum("n_pos").alias("_pos"))
+    )
+    return materialize(singles.filter(F.col("_pos") > spec.min_pos).select("k", "concept"))[0]
+
+
 def mine_rules(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
-               ancestors: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
+               ancestors: DataFrame | None = None, profile: DataFrame | None = None,
+               prune: bool = True) -> DataFrame:
     """All rules with ``pos > min_pos``:
     ``<c0.., cov, pos, n_total, n_target, score, wracc, cov_ratio, sup>``.
 
     ``profile`` (from :func:`profile_of`) may be passed to share the single
-    pass over the facts with :func:`cover_counters`.
+    pass over the facts with :func:`cover_counters`.  With ``prune`` (level-wise
+    step) the single concepts are counted first, the ancestor table is cut to
+    the frequent ones and profile rows with identical concept arrays are
+    merged before the explode, so the fan-out runs on far fewer rows when the
+    taxonomy has many rare leaves.
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
     # the only pass over the facts; its (small) result feeds the rules and N, C
     profile = profile if profile is not None else profile_of(facts, spec)
-    cand = explode_rules(with_ancestor_arrays(profile, anc, spec), spec)
+    arrays = with_ancestor_arrays(profile, anc, spec)
+    if prune:
+        anc_f = restrict_ancestors(anc, frequent_concepts(arrays, spec))
+        arr_cols = [_array_col(k) for k in sorted(spec.mapping)]
+        arrays = (
+            with_ancestor_arrays(profile, anc_f, spec)
+            .groupBy(*arr_cols).agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos"))
+        )
+    cand = explode_rules(arrays, spec)
     rcols = spec.rule_columns()
     rules = (
         cand.groupBy(*rcols)
@@ -283,12 +327,21 @@ def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selecte
     lookup join (a value combination may hold a third of all rows).  ``selected`` is
     broadcast when the caller proves its size (``selected_bounded``, e.g. a
     top-k) or a row count shows it small.  With the mining ``profile`` the
-    combinations come from it instead of another pass over the facts.
+    combinations come from it instead of another pass over the facts.  The
+    ancestor table is first cut to the concepts the selected rules name, so
+    each combination explodes only into candidates that can match.
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
     rcols = spec.rule_columns()
     sel = selected.select(*[F.col(c).alias(f"_r_{c}") for c in rcols])
     sel = F.broadcast(sel) if selected_bounded else broadcast_if_small(sel)
+    # only concepts named by a selected rule can decide coverage
+    ks = sorted(spec.mapping)
+    used = None
+    for j, c in enumerate(rcols):
+        part = sel.select(F.lit(ks[j]).alias("k"), F.col(f"_r_{c}").alias("concept")).filter(F.col("concept").isNotNull())
+        used = part if used is None else used.unionByName(part)
+    anc = restrict_ancestors(anc, used)
     rows = facts.filter(_target_flag(spec)) if population == "positives" else facts
     if profile is not None:
         # the mining profile already lists every value combination (n_pos > 0: has positives)
