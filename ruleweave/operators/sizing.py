@@ -34,19 +34,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+# Rows per partition when a materialised intermediate is written: small
+# results are not spread over hundreds of tiny checkpoint files.
+ROWS_PER_PARTITION = 50_000
+
+
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """Checkpoint ``df`` to the shared folder and return it with its row count.
 
-    The frame is persisted, marked for a (reliable) checkpoint and counted:
-    the count job fills the cache and the checkpoint write then reads the
-    cached blocks, so the plan runs once.  The cache is dropped afterwards;
-    the returned frame reads the checkpoint files (survives executor loss).
+    The frame is persisted and counted (one job); the count sizes the
+    checkpoint: a result with few rows is coalesced (narrow, no shuffle) to
+    about one partition per ``ROWS_PER_PARTITION`` rows, never more than it
+    has.  The checkpoint write then reads the cached blocks, so the plan runs
+    once.  The cache is dropped afterwards; the returned frame reads the
+    checkpoint files (survives executor loss).
     """
     ensure_checkpoint_dir(df.sparkSession)
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ck = df.checkpoint(eager=False)
-        n = ck.count()
+        n = df.count()
+        parts = df.rdd.getNumPartitions()
+        target = max(1, min(parts, -(-n // ROWS_PER_PARTITION)))
+        ck = (df.coalesce(target) if target < parts else df).checkpoint(eager=True)
     finally:
         df.unpersist()
     return ck, n
