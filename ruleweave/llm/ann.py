@@ -21,11 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TREES = 12
+TREES = 16
 BITS = 32
-#: Candidates of a query in a block: this share of its rows, and this many at least.
-SHARE = 0.35
-LEAST = 200
+#: Entries that a query wants under its shared prefixes, all trees together: this many per row of the block, and
+#: this many at least.  (An entry of several trees counts in each; it is one candidate.)
+SHARE = 1.25
+LEAST = 400
 BLOCK_ROWS = 32_768
 QUERY_SLICE = 64
 

@@ -32,29 +32,44 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
 
 
-def repeated_words(w: Column) -> Column:
-    """Words inside windows of ``WINDOW`` words that the text holds twice or more.
-
-    Windows are compared by 64-bit hash.  Texts whose windows all differ stop
-    there; else windows are sorted by hash, those equal to a neighbour are the
-    repeated ones, and the stretches they cover are summed.
+def hashed_words(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with ``_w`` (words), ``_h1`` (their hashes) and ``_h2`` (hashes of neighbouring pairs), each evaluated once."""
+    return (docs.withColumn("_w", F.explode(F.array(words(text))))
+            .withColumn("_h1", F.transform("_w", lambda x: F.xxhash64(x)))
+            .withColumn("_h1", F.explode(F.array("_h1")))
+            .withColumn("_h2", F.transform(F.slice("_h1", 1, F.greatest(F.size("_h1") - 1, F.lit(0))),
+                                           lambda h, i: F.xxhash64(h, F.get("_h1", i + 1))))
+            .withColumn("_h2", F.explode(F.array("_h2"))))
+
+
+def repeated_words(h2: Column) -> Column:
+    """Words inside windows of ``WINDOW`` words that the text holds twice or more, from its pair hashes.
+
+    Windows are compared by 64-bit hashes, doubled from pairs to four and eight words.  Texts whose
+    runs of four words all differ stop there, then those whose windows all differ; else windows are
+    sorted by hash, those equal to a neighbour are the repeated ones, and the stretches they
+    cover are summed.
     """
-    n = F.size(w)
-    at = F.when(n >= WINDOW, F.sequence(F.lit(1), n - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(at, lambda i: F.xxhash64(F.slice(w, i, WINDOW)))
-    pairs = F.sort_array(F.arrays_zip(hashes.alias("h"), at.alias("i")))
+    def doubled(h: Column, step: int) -> Column:
+        return F.transform(F.slice(h, 1, F.greatest(F.size(h) - step, F.lit(0))),
+                           lambda x, i: F.xxhash64(x, F.get(h, i + step)))
+
+    differ = lambda h: F.size(F.array_distinct(h)) == F.size(h)
+
+    def covered(h8: Column) -> Column:
+        pairs = F.sort_array(F.transform(h8, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return _bind(pairs, lambda p: _bind(F.sort_array(repeated(p)), lambda at: F.aggregate(
+            # stretch of a window: up to the next repeated window's start, WINDOW words at most
+            F.transform(at, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(at, k + 1) - x, F.lit(WINDOW)))),
+            F.lit(0), lambda a, x: a + x)))
 
-    def covered(p: Column) -> Column:
+    def repeated(p: Column) -> Column:
         near = lambda i: F.get(p, i)["h"]
-        hit = F.filter(F.transform(p, lambda x, i: F.when((x["h"] == near(i - 1)) | (x["h"] == near(i + 1)), x["i"])),
-                       lambda i: i.isNotNull())
-        # stretch of a window: up to the next repeated window's start, WINDOW words at most
-        return _bind(F.sort_array(hit), lambda s: F.aggregate(
-            F.transform(s, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(s, k + 1) - x, F.lit(WINDOW)))),
-            F.lit(0), lambda a, x: a + x))
+        hit = F.transform(p, lambda x, i: F.when((x["h"] == near(i - 1)) | (x["h"] == near(i + 1)), x["i"]))
+        return F.filter(hit, lambda i: i.isNotNull())
 
-    return F.when(n < WINDOW, F.lit(0)).otherwise(_bind(pairs, lambda p: F.when(
-        F.size(F.array_distinct(F.transform(p, lambda x: x["h"]))) == F.size(p), F.lit(0)).otherwise(covered(p)))).cast("long")
+    return _bind(doubled(h2, 2), lambda h4: F.when(differ(h4), F.lit(0)).otherwise(
+        _bind(doubled(h4, 4), lambda h8: F.when(differ(h8), F.lit(0)).otherwise(covered(h8))))).cast("long")
 
 
 def _bind(value: Column, use) -> Column:
@@ -62,30 +77,27 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
 
 
-def cells(w: Column, buckets: int = BUCKETS) -> Column:
-    """Cell of every unigram and bigram."""
-    cell = lambda h: F.pmod(h, F.lit(buckets)).cast("int")
+def cell(buckets: int = BUCKETS) -> Column:
+    """Cell of the n-gram hash ``_h``."""
+    return F.pmod(F.col("_h"), F.lit(buckets)).cast("int")
 
-    def both(hashes: Column) -> Column:
-        pairs = F.transform(hashes, lambda h, i: cell(F.xxhash64(h, F.get(hashes, i + 1))))
-        return F.concat(F.transform(hashes, cell), F.slice(pairs, 1, F.greatest(F.size(hashes) - 1, F.lit(0))))
 
-    return _bind(F.transform(w, lambda x: F.xxhash64(x)), both)
+def grams() -> Column:
+    """Hashes of all unigrams and bigrams."""
+    return F.concat("_h1", "_h2")
 
 
 def base_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the base columns, ``base_failed`` and ``_cells``."""
+    """``docs`` with hashed words, the base columns and ``base_failed``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    # one projection after the other, so that the words are split once
-    with_words = docs.withColumn("_w", F.explode(F.array(words(text)))).withColumn(
-        "_lines", F.explode(F.array(lines)))
-    return (with_words
+    return (hashed_words(docs, text)
+            .withColumn("_lines", F.explode(F.array(lines)))
             .withColumn("n_words", F.size("_w").cast("long"))
-            .withColumn("word_chars", F.length(F.regexp_replace(text, f"[{SPACE}]+", "")).cast("long"))
+            .withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
             .withColumn("n_symbols", F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long"))
             .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-            .withColumn("n_repeat_words", F.explode(F.array(repeated_words(F.col("_w")))))
+            .withColumn("n_repeat_words", F.explode(F.array(repeated_words(F.col("_h2")))))
             .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))))
 
 
@@ -117,20 +129,19 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     marks = (trusted.select(F.col(id_col).alias("_mark"), "quality").filter(F.col("quality").isin(0, 1))
              .groupBy("_mark").agg(F.min("quality").alias("_quality")))
     rows = base_rules(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text")
-    rows = rows.select("_id", text_hash(F.col("_text")).alias("text_hash"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "_w")
+    rows = rows.select("_id", text_hash(F.col("_text")).alias("text_hash"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "_h1", "_h2")
 
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     tagged = slim.join(marks, F.col("_id") == F.col("_mark"), "left").withColumn(
         "_target", F.coalesce((F.col("_quality") == 1) & counted(text_hash(F.col("_text"))), F.lit(False)))
-    grams = tagged.select("_target", F.explode(F.array(words(F.coalesce("_text", F.lit(""))))).alias("_w")).select(
-        "_target", F.explode(cells(F.col("_w"), buckets)).alias("cell"))
-    counts = grams.groupBy("cell").agg(F.count(F.lit(1)).alias("raw"),
+    every = hashed_words(tagged, F.coalesce("_text", F.lit(""))).select("_target", F.explode(grams()).alias("_h"))
+    counts = every.select("_target", cell(buckets).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("raw"),
                                        F.sum(F.col("_target").cast("long")).alias("target"))
     model = weights(written(counts, "cells"))
 
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())
     keys = ["_row", "_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    scored = (numbered.select(*keys, F.explode_outer(cells(F.col("_w"), buckets)).alias("cell"))
+    scored = (numbered.select(*keys, F.explode_outer(grams()).alias("_h")).select(*keys, cell(buckets).alias("cell"))
               .join(F.broadcast(model), "cell", "left")
               .groupBy(*keys).agg(F.sum("w").alias("_sum"), F.count("cell").alias("_n")))
     scored = written(scored.withColumn("llr", F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n") / GRID).otherwise(0.0)),
