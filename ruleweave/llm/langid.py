@@ -16,8 +16,10 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from ruleweave.llm.common import SLICE_ROWS, map_slices
 
@@ -306,9 +308,6 @@ def judge(m: Model, texts: list) -> tuple[list[str], list[float], list[int]]:
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has one language with at least the share ``least`` of its word labels."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf("boolean")

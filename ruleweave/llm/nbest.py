@@ -18,8 +18,10 @@ import heapq
 import zlib
 from array import array
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from ruleweave.llm.common import map_slices
 from ruleweave.llm.token_counts import MARK, Proof, _library, normal_pieces, prove
@@ -203,10 +205,8 @@ def encode_nbest(docs: DataFrame, model_path: str, n: int = 3, id_col: str = "do
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Adds the text that the ids stand for (null ids: null)."""
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf("string")
-    def text_of(ids):
+    def text_of(ids: pd.Series) -> pd.Series:
         if model_path not in _DECODERS:
             _DECODERS[model_path] = Decoder(model_path)
         return ids.map(lambda x: None if x is None else _DECODERS[model_path].decode(x))

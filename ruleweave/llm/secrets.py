@@ -21,8 +21,10 @@ import hashlib
 import re
 import zlib
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from ruleweave.llm.common import map_slices
 
@@ -169,10 +171,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mask``; a text without secrets stays as it is (null too)."""
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf("string")
-    def clean(texts):
+    def clean(texts: pd.Series) -> pd.Series:
         scan = _scanner().scan
         return texts.map(lambda t: t if not t or not (s := scan(t)) else redact(t, s, mask))
 

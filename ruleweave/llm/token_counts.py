@@ -56,10 +56,11 @@ def region_counts(sp, regions: list[str], lead: str) -> list[int]:
 
     A region that begins with a space stands after the library's own word mark;
     any other is encoded behind a lone character, whose two tokens (word mark,
-    byte) are taken off.
+    byte) are taken off.  A single space is encoded that way too, as the library drops empty texts.
     """
-    out = sp.encode([r[1:] if r[0] == " " else lead + r for r in regions], num_threads=1)
-    return [len(ids) if r[0] == " " else len(ids) - 2 for r, ids in zip(regions, out)]
+    plain = [r[0] == " " and r != " " for r in regions]
+    out = sp.encode([r[1:] if p else lead + r for r, p in zip(regions, plain)], num_threads=1)
+    return [len(ids) if p else len(ids) - 2 for p, ids in zip(plain, out)]
 
 
 def prove(path: str) -> Proof:

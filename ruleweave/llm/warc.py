@@ -105,7 +105,7 @@ class Archive:
         self.uri = f"{folder}/{uuid.uuid4().hex}.warc.gz"
         files, path = _files(folder)
         files.create_dir(path, recursive=True)
-        self.out, self.at, self.run = files.open_output_stream(f"{path}/{self.uri.rpartition('/')[2]}"), 0, []
+        self.out, self.at, self.run = files.open_output_stream(f"{path}/{self.uri.rpartition('/')[2]}", compression=None), 0, []
 
     def add(self, raw: bytes, entry: tuple) -> None:
         member = gzip.compress(raw, 6, mtime=0)
@@ -287,7 +287,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
             for uri in batch["archive"].to_pylist():
                 files, path = _files(uri)
                 rows = []
-                with files.open_input_stream(path) as stream:
+                with files.open_input_stream(path, compression=None) as stream:
                     for at, content in members(stream):
                         for headers, block in read_records(io.BytesIO(content)):
                             rows.append((uri, at, *capture(headers, block)))
