@@ -37,45 +37,82 @@ BLOCK = 64
 CACHE_WORDS = 400_000
 
 
-def features(word: str, lexicon: dict[str, list[int]]) -> list[str]:
-    w = word.lower()
-    out = [f"^{w[:k]}" for k in (1, 2, 3) if len(w) >= k] + [f"{w[-k:]}$" for k in (1, 2, 3) if len(w) >= k]
-    out += [w[i:i + k] for k in (2, 3) for i in range(len(w) - k + 1)]
-    out += [f"lexicon {k}" for k in lexicon.get(w, ())]
-    out.append("any")
-    return out
+#: Cells that features are hashed into, as a power of two.
+HASH_BITS = 18
+#: Words up to these lengths are hashed together; longer ones alone.
+WIDTHS = (8, 16, 32)
+
+
+def _cells(kind: int, *codes: np.ndarray) -> np.ndarray:
+    """Cells of features given by a kind and letters (multiply, shift, keep the top bits)."""
+    h = np.full(codes[0].shape, kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1, np.uint64)
+    for c in codes:
+        h = (h ^ c) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    return (h * np.uint64(0x94D049BB133111EB) >> np.uint64(64 - HASH_BITS)).astype(np.int32)
+
+
+def feature_cells(words: list[str], width: int) -> np.ndarray:
+    """Cells of the features of lower-case words of at most ``width`` letters, a row each, padded with ``1 << HASH_BITS``.
+
+    A word's features are its first and last one, two and three letters and its inner pairs and triples.
+    """
+    codes = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width).astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    row, none = np.arange(len(words)), 1 << HASH_BITS
+    first = [codes[:, i] if i < width else np.zeros(len(words), np.uint64) for i in range(3)]
+    last = [np.where(size > i, codes[row, np.maximum(size - 1 - i, 0)], 0).astype(np.uint64) for i in range(3)]
+    out = [np.stack([_cells(kind, *part[:k]) for kind, part in ((1, first), (2, last)) for k in (1, 2, 3)], axis=1)]
+    for k in (2, 3):
+        if width >= k:
+            cells = _cells(2 + k, *[codes[:, i:width - k + 1 + i] for i in range(k)])
+            cells[np.arange(width - k + 1)[None, :] > (size - k)[:, None]] = none
+            out.append(cells)
+    return np.hstack(out)
 
 
 @dataclass
 class Model:
     langs: list[str]
-    index: dict[str, int]
-    lexicon: dict[str, list[int]]
-    weights: np.ndarray  # [features, langs]
+    lexicon: dict[str, int]  # lower-case word -> the set of languages whose lexicon holds it
+    sets: np.ndarray  # weights of each such set, [sets, langs]; set 0 is empty
+    weights: np.ndarray  # [cells + 1, langs], the last row 0
     transitions: np.ndarray  # [langs, langs], logs
     start: np.ndarray
     cache: dict[str, int] = field(default_factory=dict)
-    table: list[np.ndarray] = field(default_factory=list)
+    table: np.ndarray | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}, "table": []}
-
-    def emission(self, word: str) -> np.ndarray:
-        at = [self.index[f] for f in features(word, self.lexicon) if f in self.index]
-        return self.weights[at].sum(0)
+        return self.__dict__ | {"cache": {}, "table": None}
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Emission scores of distinct words."""
+        low = [w.lower() for w in words]
+        out = self.sets[np.fromiter((self.lexicon.get(w, 0) for w in low), np.int64, len(low))].astype(np.float32)
+        size = np.fromiter(map(len, low), np.int64, len(low))
+        floor = 0
+        for width in WIDTHS:
+            at = np.flatnonzero((size > floor) & (size <= width))
+            for lo in range(0, len(at), 8192):
+                part = at[lo:lo + 8192]
+                out[part] += self.weights[feature_cells([low[i] for i in part], width)].sum(1)
+            floor = width
+        for i in np.flatnonzero(size > floor):
+            out[i] += self.weights[feature_cells([low[i]], int(size[i]))].sum((0, 1))
+        return out
 
     def emissions(self, texts: list[list[str]]) -> np.ndarray:
         """Emission scores of all words, text after text."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache, self.table = {}, []
+        k = len(self.langs)
+        if self.table is None or len(self.cache) > CACHE_WORDS:
+            self.cache, self.table = {}, np.zeros((0, k), np.float32)
         cache = self.cache
-        for ws in texts:
-            for w in set(ws):
-                if w not in cache:
-                    cache[w] = len(self.table)
-                    self.table.append(self.emission(w).astype(np.float32))
-        at = np.fromiter((cache[w] for ws in texts for w in ws), dtype=np.int64, count=sum(map(len, texts)))
-        return np.asarray(self.table, dtype=np.float32)[at] if len(at) else np.zeros((0, len(self.langs)), np.float32)
+        new = [w for w in set().union(*texts) if w not in cache]
+        if new:
+            cache.update(zip(new, range(len(cache), len(cache) + len(new))))
+            self.table = np.vstack([self.table, self.scores(new)])
+        at = [i for ws in texts for i in map(cache.__getitem__, ws)]
+        return self.table[np.array(at, dtype=np.int64)] if at else np.zeros((0, k), np.float32)
 
     def posteriors(self, texts: list[list[str]]) -> np.ndarray:
         """Label probabilities of every word, text after text."""
@@ -175,30 +212,26 @@ def train(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> M
     for ws, y in split:
         for w in {w.lower() for w in ws}:
             seen.setdefault(w, Counter())[y] += 1
-    lexicon = {w: sorted(c) for w, c in seen.items() if max(c.values()) >= 2}
-    counts: Counter = Counter()
-    vocabulary = {w for ws, _ in split for w in ws}
-    by_word = {w: features(w, lexicon) for w in vocabulary}
-    for fs in by_word.values():
-        counts.update(set(fs))
-    index = {f: i for i, f in enumerate(sorted(f for f, n in counts.items() if n >= 2))}
-    index.setdefault("any", len(index))
+    known = {w: tuple(sorted(c)) for w, c in seen.items() if max(c.values()) >= 2}
+    combos = [(), *sorted(set(known.values()))]
+    lexicon = {w: combos.index(c) for w, c in known.items()}
+    cells = 1 << HASH_BITS
     trans, start = np.zeros((k, k)), np.zeros(k)
-    weights = np.zeros((len(index), k))
-    model = Model(langs, index, lexicon, weights, trans, start)
+    model = Model(langs, lexicon, np.zeros((len(combos), k)), np.zeros((cells + 1, k), np.float32), trans, start)
     if k < 2:
         return model
-    # words as rows of a padded feature table; the last row of the weights stays 0
-    vocab = {w: i for i, w in enumerate(sorted(vocabulary))}
-    at = [[index[f] for f in by_word[w] if f in index] for w in vocab]
-    wide = max(map(len, at), default=1)
-    table = np.full((len(vocab), wide), len(index), dtype=np.int32)
-    for i, fs in enumerate(at):
-        table[i, :len(fs)] = fs
-    weights = np.zeros((len(index) + 1, k))
+    split = [([w.lower() for w in ws if len(w.lower()) <= WIDTHS[-1]], y) for ws, y in split]
+    vocab = {w: i for i, w in enumerate(sorted({w for ws, _ in split for w in ws}))}
+    table = feature_cells(list(vocab), WIDTHS[-1])
+    used, table = np.unique(table, return_inverse=True)  # train on the cells that occur
+    table = table.reshape(len(vocab), -1)
+    wide = table.shape[1]
+    sets = np.fromiter((lexicon.get(w, 0) for w in vocab), np.int64, len(vocab))
+    weights, lex = np.zeros((len(used), k)), np.zeros((len(combos), k))
+    pad = used == cells
     rng = np.random.default_rng(seed)
     sequences = code_switched(split, rng)
-    g2, t2 = np.full_like(weights, 1e-2), np.full_like(trans, 1.0)
+    g2, l2, t2 = np.full_like(weights, 1e-2), np.full_like(lex, 1e-2), np.full_like(trans, 1.0)
     for _ in range(epochs):
         order = rng.permutation(len(sequences))
         for b in range(0, len(order), BATCH):
@@ -207,7 +240,7 @@ def train(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> M
             gold = np.array([y for _, ys in part for y in ys])
             first = np.zeros(len(ids), bool)
             first[np.cumsum([0] + [len(ws) for ws, _ in part])[:-1]] = True
-            emit = weights[table[ids]].sum(1)
+            emit = weights[table[ids]].sum(1) + lex[sets[ids]]
             post = forward_backward(emit, first, trans, start)
             d = -post
             d[np.arange(len(ids)), gold] += 1
@@ -217,9 +250,14 @@ def train(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> M
             grad = np.zeros_like(weights)
             np.add.at(grad, table[words].ravel(), np.repeat(by, wide, axis=0))
             grad = grad / len(part) - 1e-4 * weights
-            grad[-1] = 0
+            grad[pad] = 0
             g2 += grad ** 2
             weights += 0.3 * grad / np.sqrt(g2)
+            grad = np.zeros_like(lex)
+            np.add.at(grad, sets[words], by)
+            grad = grad / len(part) * (np.arange(len(combos)) > 0)[:, None] - 1e-4 * lex
+            l2 += grad ** 2
+            lex += 0.3 * grad / np.sqrt(l2)
             # transitions: observed less expected neighbours
             inner = np.flatnonzero(~first)
             seen2 = np.zeros((k, k))
@@ -228,7 +266,7 @@ def train(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> M
             gt = (seen2 - expect) / len(part) - 1e-4 * trans
             t2 += gt ** 2
             trans += 0.3 * gt / np.sqrt(t2)
-    model.weights, model.transitions = weights[:-1].astype(np.float32), trans
+    model.weights[used], model.sets, model.transitions = weights, lex, trans
     return model
 
 
