@@ -57,7 +57,7 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, captures = warc.archive_pages(read_table(spark, sf_dir, "pages"))
-    at = index.select("archive", "at", "position")
+    at = index.select("archive", "at", "position").hint("merge")
     return captures.join(at, ["archive", "at"]).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "position")
 

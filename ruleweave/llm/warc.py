@@ -31,6 +31,8 @@ from ruleweave.llm.common import scratch_path, slices, written
 
 LEAST_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
+#: Tasks that read archives back, at most; a task streams its archives one after the other.
+READERS = 20_000
 EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
@@ -321,5 +323,6 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         F.coalesce(F.pmod(full.id, F.lit(31_536_000)), F.lit(0)).cast("long").alias("ts"), "payload", full.digest, "refers_to")
     runs = write_archives(tagged, folder or scratch_path(spark, "warc"), archive_bytes)
     index = merged_index(runs)
-    archives = runs.select("archive").distinct().repartition("archive")
-    return index, read_archives(archives)
+    archives = runs.select("archive").distinct()
+    # a number keeps small rows that stand for large files from being coalesced into one task
+    return index, read_archives(archives.repartition(max(1, min(archives.count(), READERS))))
