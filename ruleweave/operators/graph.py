@@ -8,6 +8,9 @@ lineage never grows and a lost executor recomputes at most one round.
 
 from __future__ import annotations
 
+import itertools
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,22 +22,21 @@ from ruleweave.operators.skew import DEFAULT_CHUNK_ROWS, lookup_join
 def dictionary_encode(terms: DataFrame, col: str = "label", num_partitions: int | None = None) -> DataFrame:
     """Dense ids ``0..n-1`` in label order: ``<id bigint, label string>``.
 
-    Range-partition the distinct labels, sort inside each partition and
-    checkpoint (so both passes below see the same partitions).  Each row's id is
-    its partition's offset plus its position in the partition; offsets come
-    from per-partition counts (one row per partition, broadcast).  No global
-    single-partition window.
+    Range-partition the distinct labels and sort inside each range; the range's
+    number and the position inside it become columns before anything is written,
+    so ids do not depend on how files are read back.  An id is the range's
+    offset plus the position; offsets come from per-range counts (one row per
+    range, broadcast).  No global single-partition window over the labels.
     """
     labels = terms.select(F.col(col).alias("label")).filter(F.col("label").isNotNull()).distinct()
-    # without a fixed count AQE sizes the range partitions from the data
+    # without a fixed count AQE sizes the ranges from the data
     ranged = labels.repartitionByRange(num_partitions, "label") if num_partitions else labels.repartitionByRange("label")
-    ranged = cut_lineage(ranged.sortWithinPartitions("label"))
-    pos = ranged.select(
+    pos = cut_lineage(ranged.sortWithinPartitions("label").select(
         "label",
         F.spark_partition_id().alias("_pid"),
         # monotonically_increasing_id = (partition << 33) + row position
         (F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("_pos"),
-    )
+    ))
     counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
@@ -77,7 +79,7 @@ def out_degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out_degree"))
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100,
+def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None,
                          broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                          chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``<id, component>`` with component = smallest vertex id of the component.
@@ -93,7 +95,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     All lookups (edge endpoint -> label, label -> hook, label -> parent) are
     skew-safe joins: broadcast when the vertex count is small, else hub
     vertices and giant labels are split over several partitions.  Edges are
-    treated as undirected.
+    treated as undirected.  Runs until no edge joins two labels; a given
+    ``max_rounds`` that is not enough raises.
     """
     e, n_e = materialize(
         edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
@@ -102,9 +105,11 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     labels, n_v = materialize(vertices.select("id", F.col("id").alias("comp")))
     small = n_v <= broadcast_rows
     kw = dict(lookup_small=small, chunk_rows=chunk_rows, broadcast_rows=broadcast_rows)
-    for rnd in range(max_rounds):
+    for rnd in itertools.count():
         if n_e == 0:
             break
+        if max_rounds is not None and rnd > max_rounds:
+            raise RuntimeError(f"components are not done after {max_rounds} rounds")
         if rnd == 0:
             # every vertex still carries its own id: the edges are the live pairs
             live = e.select("a", "b", F.col("a").alias("la"), F.col("b").alias("lb"))
@@ -133,11 +138,11 @@ def _jump(labels: DataFrame, kw: dict) -> DataFrame:
     return lookup_join(labels, parent, "comp", "_pid", **kw).select("id", F.col("_pc").alias("comp"))
 
 
-def _weighted_edges(edges: DataFrame) -> DataFrame:
+def _weighted_edges(edges: DataFrame, **kw) -> DataFrame:
     """Parallel edges merged into ``weight = multiplicity / out_degree(src)``, with ``_d`` = out-degree."""
     mult = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m"))
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_d"))
-    return mult.join(deg, "src").select("src", "dst", (F.col("_m") / F.col("_d")).alias("w"), "_d")
+    deg = mult.groupBy(F.col("src").alias("_ds")).agg(F.sum("_m").alias("_d"))
+    return lookup_join(mult, deg, "src", "_ds", **kw).select("src", "dst", (F.col("_m") / F.col("_d")).alias("w"), "_d")
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_iter: int = 20,
@@ -153,7 +158,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
     the ranks meet the edges on ``src`` and one ``groupBy`` sum with partial
     aggregation collects the contributions (plus a zero per vertex, so
     vertices without in-edges keep ``reset``).  When the vertex count is
-    small the ranks are broadcast.  Otherwise the edges are stored hash
+    small the ranks are broadcast.  Otherwise the edges are persisted hash
     partitioned by ``(src, salt)`` where a source with more than
     ``chunk_rows`` out-edges gets several salts; each round the rank of such a
     source is replicated per salt and partitioned the same way, so only the
@@ -165,18 +170,20 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids, n_v = materialize(vertices.select("id"))
     small = n_v <= broadcast_rows
-    wd = _weighted_edges(edges)
+    kw = dict(broadcast_rows=broadcast_rows, chunk_rows=chunk_rows)
+    wd, _ = materialize(_weighted_edges(edges, lookup_small=small, **kw))
+    w = hot = None
     if small:
-        w, _ = materialize(wd.drop("_d"))
-        hot = None
+        w = wd.drop("_d")
     else:
         hot, n_hot = materialize(
             wd.select("src", "_d").distinct().filter(F.col("_d") > chunk_rows)
             .select(F.col("src").alias("_hk"), F.ceil(F.col("_d") / F.lit(chunk_rows)).cast("int").alias("_ns")))
-        hot = F.broadcast(hot) if n_hot <= broadcast_rows else hot
+        hot = F.broadcast(hot) if n_hot <= broadcast_rows or not broadcast_rows else hot
         salted = wd.join(hot, wd.src == hot._hk, "left").select(
-            "src", "dst", "w", F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_ns"), F.lit(1))).alias("_salt"))
-        w, _ = materialize(salted.repartition(parts, "src", "_salt"))
+            "src", "dst", "w", F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_ns"), F.lit(1))).cast("int").alias("_salt"))
+        # kept in memory or on disk with its partitioning; a lost block is made again from the written table
+        w = salted.repartition(parts, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
 
     def rank_side(r: DataFrame) -> DataFrame:
         side = r.select(F.col("id").alias("src"), "rank")
@@ -202,8 +209,12 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
             ranks = new
             if delta is None or delta < tol:
                 break
+            if i + 1 == max_iter:
+                raise RuntimeError(f"ranks still change by {delta} after {max_iter} rounds")
         else:
             ranks = new
+    if not small:
+        w.unpersist()
     if normalize:
         n = ranks.select(F.count(F.lit(1)).cast("double")).scalar()
         total = ranks.select(F.sum("rank")).scalar()

@@ -6,6 +6,8 @@ A taxonomy set is one long table ``edges<k int, child string, parent string>``
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +57,7 @@ def children_of(edges: DataFrame, k: int, concept: str) -> DataFrame:
     return edges.filter((F.col("k") == k) & (F.col("parent") == concept)).select("child")
 
 
-def closure(edges: DataFrame, include_self: bool = False, max_rounds: int = 64) -> DataFrame:
+def closure(edges: DataFrame, include_self: bool = False, max_rounds: int | None = None) -> DataFrame:
     """Transitive closure ``<k, anc, leaf, depth>`` (``depth`` = shortest path length).
 
     Path doubling: each round joins the pairs found so far with themselves
@@ -63,14 +65,16 @@ def closure(edges: DataFrame, include_self: bool = False, max_rounds: int = 64)
     pairs (``left_anti``), so paths up to twice as long are covered per round:
     about log2(depth) rounds, and it terminates on cycles and DAGs.  Each
     round is checkpointed to the shared folder; its row count doubles as the
-    stop test.
+    stop test.  A given ``max_rounds`` that is not enough raises.
     """
     # the edges are read once (their source may be an expensive parse)
     edges, n = materialize(edges.select("k", "child", "parent").distinct())
     pairs = edges.select("k", F.col("parent").alias("anc"), F.col("child").alias("leaf"), F.lit(1).alias("depth"))
-    for _ in range(max_rounds):
+    for rnd in itertools.count():
         if n == 0:
             break
+        if max_rounds is not None and rnd > max_rounds:
+            raise RuntimeError(f"the closure is not done after {max_rounds} rounds")
         left = pairs.select("k", "anc", F.col("leaf").alias("_mid"), F.col("depth").alias("_d1"))
         right = pairs.select("k", F.col("anc").alias("_mid"), "leaf", F.col("depth").alias("_d2"))
         if n <= DEFAULT_BROADCAST_ROWS:

@@ -25,7 +25,7 @@ ever used with its top concept unless ``expand_last=True``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -93,13 +93,18 @@ def _array_col(k: int) -> str:
     return f"_a{k}"
 
 
-def with_ancestor_arrays(df: DataFrame, ancestors: DataFrame, spec: MiningSpec) -> DataFrame:
-    """Add ``_a{k}`` = concepts of ontology k matched by the row (sorted arrays)."""
-    small = is_small(ancestors)
+def with_ancestor_arrays(df: DataFrame, ancestors: DataFrame, spec: MiningSpec,
+                         only: Collection[int] | None = None) -> DataFrame:
+    """Add ``_a{k}`` = concepts of ontology k matched by the row (sorted arrays).
+
+    ``only`` names the ontologies wanted (default all); each ontology's table is
+    broadcast or split by its own size.
+    """
     out = df
     parts: dict[int, list[Column]] = {}
-    for k in sorted(spec.mapping):
+    for k in sorted(spec.mapping if only is None else set(only)):
         side = ancestors.filter(F.col("k") == k)
+        small = is_small(side)
         for col in spec.mapping[k]:
             alias = f"_anc_{k}_{col}"
             look = side.select(F.col("value").alias(f"_v_{alias}"), F.col("ancs").alias(alias))
@@ -283,7 +288,7 @@ def rule_rows(facts: DataFrame, edges: DataFrame, spec: MiningSpec, terms: Mappi
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
     cols = facts.columns
-    return with_ancestor_arrays(facts, anc, spec).filter(matches(terms, spec)).select(*cols)
+    return with_ancestor_arrays(facts, anc, spec, terms).filter(matches(terms, spec)).select(*cols)
 
 
 def top_concepts(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
@@ -294,13 +299,11 @@ def top_concepts(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
     values per ontology, joined to the ancestor table, counted per ancestor.
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
-    profile = value_profile(facts, spec)
-    vals = None
-    for k in sorted(spec.mapping):
-        for col in spec.mapping[k]:
-            part = profile.select(F.lit(k).alias("k"), F.col(col).alias("value")).filter(F.col("value").isNotNull())
-            vals = part if vals is None else vals.unionByName(part)
-    vals = vals.distinct()
+    held = F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("string").alias("value"))
+                     for k in sorted(spec.mapping) for c in spec.mapping[k]])
+    # one pass over the facts; the distinct values are written once and read for both counts
+    vals = cut_lineage(facts.select(F.explode(held).alias("_it")).select("_it.k", "_it.value")
+                       .filter(F.col("value").isNotNull()).distinct())
     n_vals = vals.groupBy("k").agg(F.count(F.lit(1)).alias("n_values"))
     # a value outside the taxonomy has no ancestors: then no concept but top qualifies
     covered = (
@@ -333,7 +336,8 @@ def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selecte
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
     rcols = spec.rule_columns()
-    sel = selected.select(*[F.col(c).alias(f"_r_{c}") for c in rcols])
+    # written once: the selection is read several times below and may be a whole mining run
+    sel = cut_lineage(selected.select(*[F.col(c).alias(f"_r_{c}") for c in rcols]))
     sel = F.broadcast(sel) if selected_bounded else broadcast_if_small(sel)
     # only concepts named by a selected rule can decide coverage
     ks = sorted(spec.mapping)

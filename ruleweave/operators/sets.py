@@ -45,5 +45,6 @@ def is_subset(a: DataFrame, b: DataFrame, key: str) -> bool:
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``<column, value>``: distinct non-null values of each listed column."""
-    parts = [df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    return union_all(parts).filter(F.col("value").isNotNull()).distinct()
+    items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    # one pass: every row gives one pair per column, combined before the shuffle
+    return df.select(F.explode(items).alias("_it")).select("_it.column", "_it.value").filter(F.col("value").isNotNull()).distinct()

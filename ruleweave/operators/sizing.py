@@ -8,21 +8,40 @@ skew splitting).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ruleweave.session import ensure_checkpoint_dir
 
-# Rows a dimension-like side may hold and still be broadcast.  Ancestor tables,
-# vertex dictionaries, vocabularies and rule sets take roughly 20-100 bytes per
-# row, so a broadcast stays below about 50 MB.
+# Rows and bytes a dimension-like side may hold and still be broadcast
+# (ancestor tables, vertex dictionaries, vocabularies, rule sets).
 DEFAULT_BROADCAST_ROWS = 500_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
+
 
+def _width(column: str, kind: T.DataType) -> Column:
+    """Bytes of a value: text and binary by length, arrays of text by their joined length, others 8."""
+    c = F.col(f"`{column}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        text = isinstance(kind.elementType, T.StringType)
+        return F.coalesce(F.octet_length(F.array_join(c, "")) if text else F.size(c) * 8, F.lit(0)) + F.size(c) * 16 + 16
+    if isinstance(kind, T.StructType):
+        return F.lit(64)
+    return F.lit(8)
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows (counts at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows and about ``max_bytes`` bytes (one aggregation, partial sums only)."""
+    if max_rows <= 0:
+        return False
+    width = sum((_width(f.name, f.dataType) for f in df.schema), F.lit(0))
+    n, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return n <= max_rows and (size or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -34,31 +53,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-# Rows per partition when a materialised intermediate is written: small
-# results are not spread over hundreds of tiny checkpoint files.
-ROWS_PER_PARTITION = 50_000
-
-
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` to the shared folder and return it with its row count.
-
-    The frame is persisted and counted (one job); the count sizes the
-    checkpoint: a result with few rows is coalesced (narrow, no shuffle) to
-    about one partition per ``ROWS_PER_PARTITION`` rows, never more than it
-    has.  The checkpoint write then reads the cached blocks, so the plan runs
-    once.  The cache is dropped afterwards; the returned frame reads the
-    checkpoint files (survives executor loss).
+    """Write ``df`` once as Parquet into the shared checkpoint folder and return it read back, with its row count.
+
+    The count comes from the written files' footers.  Readers never recompute
+    ``df`` and survive lost executors.  Partitions and their order are not kept:
+    what depends on them must be a column.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = df.count()
-        parts = df.rdd.getNumPartitions()
-        target = max(1, min(parts, -(-n // ROWS_PER_PARTITION)))
-        ck = (df.coalesce(target) if target < parts else df).checkpoint(eager=True)
-    finally:
-        df.unpersist()
-    return ck, n
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    return back, back.count()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -66,11 +72,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return materialize(df)[0]
 
 
-def broadcast_counted(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose row count is already known."""
-    return F.broadcast(df) if n_rows <= max_rows else df
-
-
 def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin repartition a raw scan that has fewer partitions than cores.
 

@@ -9,8 +9,9 @@ land in one shuffle partition, so hot keys are split:
 2. keys above ``chunk_rows`` get ``ceil(count / chunk_rows)`` salts; this
    hot-key table has at most ``probe_rows / chunk_rows`` rows, a bound fixed
    by construction, and is broadcast;
-3. probe rows of a hot key spread over its salts by a content hash; the
-   lookup row of a hot key is replicated once per salt;
+3. probe rows of a hot key spread over its salts by a running number; the
+   lookup row of a hot key is replicated once per salt; rows with a null key
+   match nothing and spread over ``NULL_SALTS``;
 4. equi-join on ``(key, salt)``: every partition holds at most about
    ``chunk_rows`` probe rows per key.
 
@@ -24,9 +25,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, is_small
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, is_small, materialize
 
 DEFAULT_CHUNK_ROWS = 1_000_000
+NULL_SALTS = 4096
 
 
 def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key: str, how: str = "inner",
@@ -49,17 +51,17 @@ def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key:
         out = probe.join(side, F.col(probe_key) == F.col("_lk"), how)
         return out.select(*probe.columns, *extra)
 
-    hot = (
-        probe.groupBy(F.col(probe_key).alias("_hk")).agg(F.count(F.lit(1)).alias("_n"))
+    hot, n_hot = materialize(
+        probe.filter(F.col(probe_key).isNotNull())
+        .groupBy(F.col(probe_key).alias("_hk")).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > chunk_rows)
         .select("_hk", F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int").alias("_ns"))
     )
-    hot = F.broadcast(hot) if is_small(hot, broadcast_rows) else hot
+    hot = F.broadcast(hot) if n_hot <= broadcast_rows or not broadcast_rows else hot
     p = probe.join(hot, F.col(probe_key) == F.col("_hk"), "left")
-    p = p.select(
-        *probe.columns,
-        F.pmod(F.xxhash64(*[F.col(c) for c in probe.columns]), F.coalesce(F.col("_ns"), F.lit(1))).alias("_salt"),
-    )
+    # a running number spreads equal rows too; null keys match nothing and are spread over many salts
+    salts = F.when(F.col(probe_key).isNull(), F.lit(NULL_SALTS)).otherwise(F.coalesce(F.col("_ns"), F.lit(1)))
+    p = p.select(*probe.columns, F.pmod(F.monotonically_increasing_id(), salts.cast("long")).cast("int").alias("_salt"))
     lk = lookup.join(hot, F.col(lookup_key) == F.col("_hk"), "left")
     lk = lk.select(
         F.col(lookup_key).alias("_lk"), *extra,

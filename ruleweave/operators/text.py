@@ -90,6 +90,9 @@ def fit_text_classifier(train: DataFrame, text: str = "text", label: str = "labe
     return pipe.fit(train)
 
 
-def predict(model: PipelineModel, docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``<key, probability array<double>, prediction>`` for every document."""
-    return model.transform(docs).select(key, vector_to_array("probability").alias("probability"), "prediction")
+def predict(model: PipelineModel, docs: DataFrame, key: str = "doc_id", label: str = "label") -> DataFrame:
+    """``<key, label, features array<double>, probability array<double>, prediction>`` for every document (label only if ``docs`` has it)."""
+    out = model.transform(docs)
+    kept = [label] if label in docs.columns else []
+    return out.select(key, *kept, vector_to_array("features").alias("features"),
+                      vector_to_array("probability").alias("probability"), "prediction")

@@ -184,10 +184,17 @@ def triple_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("# region "), F.col("r_name")),
         F.lit(""),
         _nt(r_iri, RDF_TYPE, F.lit(f"<{SCHEMA}Region>")),
+        _nt(r_iri, RDF_TYPE, F.lit(f"<{SCHEMA}Place>")),
         _nt(r_iri, SCHEMA + "name", lit(F.col("r_name"))),
         _nt(F.concat(F.lit("_:geo"), F.col("r_regionkey").cast("string")), SCHEMA + "covers", r_iri),
         _nt(r_iri, SCHEMA + "hasArea", F.concat(F.lit("_:area"), F.col("r_regionkey").cast("string"))),
         F.concat(r_iri, F.lit(" <" + SCHEMA + "broken")),
+        # escapes in an IRI, an eight-digit escape, a label beyond ASCII, tabs before a comment, an invalid escape
+        _nt(_iri(F.concat(F.lit(BASE + "caf\\u00e9/"), F.col("r_regionkey").cast("string"))), SCHEMA + "sign", F.lit('"x\\U0001F600y"')),
+        _nt(F.concat(F.lit("_:é:"), F.col("r_regionkey").cast("string")), SCHEMA + "covers", r_iri),
+        F.concat(F.lit("\t # note "), F.col("r_name")),
+        F.lit("\t"),
+        _nt(r_iri, SCHEMA + "sign", F.lit('"bad \\x escape"')),
     )).alias("value"))
     return reduce(DataFrame.unionByName, [customer_lines, nation_lines, region_lines])
 
@@ -202,6 +209,13 @@ def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_line_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``<label>``: terms of orders and their lines from lineitem."""
+    li = scan(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    order = F.concat(F.lit("order/"), F.col("l_orderkey").cast("string"))
+    return li.select(F.explode(F.array(order, F.concat(order, F.lit("/line/"), F.col("l_linenumber").cast("string")))).alias("label"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, sf_dir, "documents", "doc_id", "text")
 

@@ -92,9 +92,11 @@ def q_rules_cover_pos(spark, sf_dir):
 
 
 def q_rules_cover_all(spark, sf_dir):
+    """All rows, counters 5 with floor 4, over the ten best rules: rows that two or more of them cover leave."""
     m = _Mining(spark, sf_dir, SECOND)
-    return R.cover_counters(m.facts, m.edges, SECOND, m.rules(), population="all", start=5, floor=4,
-                            ancestors=m.ancestors, profile=m.profile)
+    top = R.select_rules(m.rules(), SECOND, TOP_K)
+    return R.cover_counters(m.facts, m.edges, SECOND, top, population="all", start=5, floor=4,
+                            selected_bounded=True, ancestors=m.ancestors, profile=m.profile)
 
 
 def q_concept_rows(spark, sf_dir):
@@ -199,6 +201,11 @@ def q_graph_edges(spark, sf_dir):
     return _triple_graph(spark, sf_dir)[1]
 
 
+def q_order_line_vertices(spark, sf_dir):
+    """Dense ids over the order and line terms, one per order and line item."""
+    return G.dictionary_encode(B.order_line_terms(spark, sf_dir))
+
+
 def q_graph_subgraph(spark, sf_dir):
     return G.subgraph(_triple_graph(spark, sf_dir)[1], SUBGRAPH_ATTR)
 
@@ -263,8 +270,8 @@ def q_tfidf_hashed(spark, sf_dir):
 
 
 def q_lr_predict(spark, sf_dir):
-    model = X.fit_text_classifier(B.labeled_documents(spark, sf_dir))
-    return X.predict(model, B.documents(spark, sf_dir))
+    docs = B.labeled_documents(spark, sf_dir)
+    return X.predict(X.fit_text_classifier(docs), docs)
 
 
 # --- set algebra and whole-row joins ---------------------------------------------
@@ -344,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "lr_predict": q_lr_predict,
     "graph_vertices": q_graph_vertices,
     "graph_edges": q_graph_edges,
+    "graph_order_line_vertices": q_order_line_vertices,
     "graph_subgraph": q_graph_subgraph,
     "graph_degree": q_graph_degree,
     "graph_components": q_graph_components,

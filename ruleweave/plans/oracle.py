@@ -156,7 +156,7 @@ SELECT count(*) AS n_rules, sum(cov)::BIGINT AS sum_cov, sum(pos)::BIGINT AS sum
        sum(score)::DOUBLE / (max(n_total)::DOUBLE * max(n_total)::DOUBLE * count(*)::DOUBLE) AS avg_wracc
 FROM rules""",
         "rules_cover_pos": _rules_cte(**FIRST) + ",\n" + _topk(10) + ",\n" + _cover("topk", "positives", 50, 1),
-        "rules_cover_all": _rules_cte(**SECOND) + ",\n" + _cover("rules", "all", 5, 4),
+        "rules_cover_all": _rules_cte(**SECOND) + ",\n" + _topk(10) + ",\n" + _cover("topk", "all", 5, 4),
     }
     base = f"WITH RECURSIVE {EDGES_CTE.strip()},\n{CLOSURE_CTE.strip()},\n{FACTS_CTE.strip()},\n{ANC_CTE.strip()},\n{_item_cte(True).strip()}"
     out["concept_rows"] = base + """
@@ -208,6 +208,9 @@ triples(s, p, o, s_kind, o_kind, o_lang, o_datatype) AS (
   UNION ALL SELECT '{_BASE}region/' || r_regionkey, '{_S}name', r_name, 'iri', 'literal', NULL, NULL FROM region
   UNION ALL SELECT '_:geo' || r_regionkey, '{_S}covers', '{_BASE}region/' || r_regionkey, 'bnode', 'iri', NULL, NULL FROM region
   UNION ALL SELECT '{_BASE}region/' || r_regionkey, '{_S}hasArea', '_:area' || r_regionkey, 'iri', 'bnode', NULL, NULL FROM region
+  UNION ALL SELECT '{_BASE}region/' || r_regionkey, '{_RDF_TYPE}', '{_S}Place', 'iri', 'iri', NULL, NULL FROM region
+  UNION ALL SELECT '{_BASE}café/' || r_regionkey, '{_S}sign', 'x😀y', 'iri', 'literal', NULL, NULL FROM region
+  UNION ALL SELECT '_:é:' || r_regionkey, '{_S}covers', '{_BASE}region/' || r_regionkey, 'bnode', 'iri', NULL, NULL FROM region
 )"""
 
 
@@ -218,8 +221,8 @@ def triples_sql() -> dict[str, str]:
         "nt_parse": w + "SELECT * FROM triples",
         "nt_preview": w + "SELECT * FROM triples ORDER BY s, p, o, o_lang, o_datatype LIMIT 5",
         "nt_by_predicate": w + "SELECT * FROM triples WHERE contains(p, '#type') AND starts_with(o, 'http')",
-        "nt_count": f"""SELECT 5 * {n_cust} + 4 * {n_nat} + 7 * {n_reg} AS n_lines, {n_reg} AS n_comment,
-  {n_reg} AS n_blank, 5 * {n_cust} + 4 * {n_nat} + 4 * {n_reg} AS n_triples, {n_reg} AS n_malformed""",
+        "nt_count": f"""SELECT 5 * {n_cust} + 4 * {n_nat} + 13 * {n_reg} AS n_lines, 2 * {n_reg} AS n_comment,
+  2 * {n_reg} AS n_blank, 5 * {n_cust} + 4 * {n_nat} + 7 * {n_reg} AS n_triples, 2 * {n_reg} AS n_malformed""",
         "subject_counts": w + "SELECT s, count(*) AS n FROM triples GROUP BY s",
         "class_counts": w + f"SELECT o AS class, count(*) AS n FROM triples WHERE p = '{_RDF_TYPE}' AND o_kind = 'iri' AND starts_with(o, 'http') GROUP BY o",
         "top_subjects": w + "SELECT s, count(*) AS n FROM triples GROUP BY s ORDER BY n DESC, s LIMIT 5",
@@ -288,6 +291,10 @@ def graph_sql() -> dict[str, str]:
     pr = g + ",\n" + _pagerank_ctes(it)
     out = {
         "graph_vertices": g + "\nSELECT * FROM v",
+        "graph_order_line_vertices": """WITH t AS (
+  SELECT 'order/' || l_orderkey AS label FROM lineitem
+  UNION SELECT 'order/' || l_orderkey || '/line/' || l_linenumber FROM lineitem)
+SELECT row_number() OVER (ORDER BY label) - 1 AS id, label FROM t""",
         "graph_edges": g + "\nSELECT * FROM e",
         "graph_subgraph": g + f"\nSELECT * FROM e WHERE attr = '{B.SCHEMA}inNation'",
         "graph_degree": g + "\nSELECT src AS id, count(*) AS out_degree FROM e GROUP BY src",

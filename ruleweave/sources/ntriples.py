@@ -19,10 +19,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Term patterns of the N-Triples grammar.
-_IRI = r'<([^\x00-\x20<>"{}|^`\\]*)>'
-_BNODE = r"(_:[A-Za-z0-9_](?:[A-Za-z0-9_.\-]*[A-Za-z0-9_\-])?)"
-_LITERAL = r'"((?:[^"\\\n\r]|\\.)*)"(?:@([A-Za-z]+(?:-[A-Za-z0-9]+)*)|\^\^<([^\x00-\x20<>"{}|^`\\]*)>)?'
+# Term patterns of the N-Triples grammar.  Plain characters are taken in possessive
+# runs, so long terms neither recurse nor backtrack.
+_UCHAR = r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}"
+_IRI_CHARS = r'[^\x00-\x20<>"{}|^`\\]*+'
+_IRI_BODY = rf"{_IRI_CHARS}(?:(?:{_UCHAR}){_IRI_CHARS})*+"
+_IRI = rf"<({_IRI_BODY})>"
+_LABEL = r"\p{L}\p{N}_:"
+_BNODE = rf"(_:[{_LABEL}](?:[{_LABEL}\-\u00b7\p{{M}}]|\.+(?=[{_LABEL}\-\u00b7\p{{M}}]))*+)"
+_TEXT_CHARS = r'[^"\\\n\r]*+'
+_LITERAL = (rf'"({_TEXT_CHARS}(?:(?:\\[tbnrf"\'\\]|{_UCHAR}){_TEXT_CHARS})*+)"'
+            rf"(?:@([A-Za-z]+(?:-[A-Za-z0-9]+)*+)|\^\^<({_IRI_BODY})>)?")
 
 # Groups: 1 subject IRI, 2 subject bnode, 3 predicate IRI, 4 object IRI,
 # 5 object bnode, 6 literal body, 7 language tag, 8 datatype IRI.
@@ -41,22 +48,29 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
 
 def without_comments(lines: DataFrame, col: str = "value") -> DataFrame:
     """Drop comment lines (``#`` first non-blank) and blank lines."""
-    t = F.trim(F.col(col))
+    t = F.btrim(F.col(col), F.lit(" \t"))
     return lines.filter(~t.startswith("#") & (t != ""))
 
 
-def _group(line: Column, idx: int) -> Column:
-    return F.regexp_extract(line, LINE_PATTERN, idx)
-
-
 def _unescape(body: Column) -> Column:
-    """Decode N-Triples string escapes (``\\" \\\\ \\n \\t \\uXXXX`` ...).
+    """Decode string and IRI escapes (the grammar admits only valid ones).
 
-    The escape set is JSON's, so rows holding a backslash are decoded by the
-    JVM JSON reader; all other rows pass unchanged.
+    All but ``\\UXXXXXXXX`` and ``\\'`` are JSON's, so rows holding a backslash are decoded
+    by the JVM JSON reader; the eight-digit form is first rewritten to four-digit
+    ones (a surrogate pair beyond the basic plane).  Other rows pass unchanged.
     """
+    def wide(unit: Column) -> Column:
+        code = F.conv(F.substr(unit, F.lit(3)), 16, 10).cast("long")
+        short = F.concat(F.lit("\\u"), F.substr(unit, F.lit(7)))
+        pair = F.concat(F.lit("\\u"), F.hex(F.lit(0xD800) + F.shiftright(code - 0x10000, 10)),
+                        F.lit("\\u"), F.hex(F.lit(0xDC00) + (code - 0x10000).bitwiseAND(0x3FF)))
+        return F.when(code < 0x10000, short).otherwise(pair)
+
+    units = F.regexp_extract_all(body, F.lit(r"(\\U[0-9A-Fa-f]{8}|\\.|[^\\]+)"), F.lit(1))
+    narrow = F.array_join(F.transform(units, lambda u: F.when(u.startswith("\\U"), wide(u)).otherwise(u)), "")
+    json = F.when(body.contains("\\U"), narrow).otherwise(body)
     decoded = F.from_json(
-        F.concat(F.lit('["'), body, F.lit('"]')),
+        F.concat(F.lit('["'), json, F.lit('"]')),
         "array<string>",
         {"allowBackslashEscapingAnyCharacter": "true", "allowUnquotedControlChars": "true"},
     )[0]
@@ -66,7 +80,7 @@ def _unescape(body: Column) -> Column:
 def classify_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Add ``line_kind``: ``comment``, ``blank``, ``triple`` or ``malformed``."""
     v = F.col(col)
-    t = F.trim(v)
+    t = F.btrim(v, F.lit(" \t"))
     return lines.withColumn(
         "line_kind",
         F.when(t == "", "blank")
@@ -83,29 +97,30 @@ _PACKED_ORDER = [1, 2, 3, 4, 5, 7, 8, 6]
 _PACKED = _MARK + _SEP.join(f"${i}" for i in _PACKED_ORDER)
 
 
-def _groups(v: Column) -> tuple[list[Column], Column]:
-    """The 8 capture groups of :data:`LINE_PATTERN` and a match flag.
-
-    One ``regexp_replace`` rewrites a matching line into its groups joined by
-    a control character (a non-matching line comes back unchanged) and
-    ``split`` cuts them apart.  All uses of the rewritten line are
-    unconditional, so whole-stage codegen evaluates the regex once per line.
-    A line that never matches cannot start with the marker, so the flag is exact.
-    """
-    packed = F.regexp_replace(v, LINE_PATTERN, _PACKED)
-    parts = F.split(F.substring(packed, 2, 1 << 30), _SEP, len(_PACKED_ORDER))
-    ok = packed.startswith(_MARK) & ~v.startswith(_MARK)
+def _groups(packed: Column) -> list[Column]:
+    """The 8 capture groups of :data:`LINE_PATTERN` from a rewritten line."""
+    parts = F.split(F.substr(packed, F.lit(2)), _SEP, len(_PACKED_ORDER))
     at = {g: i for i, g in enumerate(_PACKED_ORDER)}
-    return [F.get(parts, at[g]) for g in range(1, 9)], ok
+    return [F.get(parts, at[g]) for g in range(1, 9)]
 
 
 def parse_ntriples(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Parse N-Triples lines into the triple schema; non-triple lines are dropped."""
-    g, ok = _groups(F.col(col))
-    parsed = lines.select(
-        g[0].alias("_s_iri"), g[1].alias("_s_bn"), g[2].alias("p"), g[3].alias("_o_iri"), g[4].alias("_o_bn"),
-        g[5].alias("_lit"), g[6].alias("_lang"), g[7].alias("_dt"), ok.alias("_ok"),
-    ).filter(F.col("_ok"))
+    """Parse N-Triples lines into the triple schema; non-triple lines are dropped.
+
+    One ``regexp_replace`` rewrites a matching line into its groups joined by
+    a control character (a non-matching line comes back unchanged) and
+    ``split`` cuts them apart.  The rewritten line comes out of a generator, so the
+    filter on it cannot be pushed below and the regex runs once per line.
+    A line that never matches cannot start with the marker, so the test is exact.
+    """
+    v = F.col(col)
+    packed = F.when(~v.startswith(_MARK), F.regexp_replace(v, LINE_PATTERN, _PACKED))
+    g = _groups(F.col("_packed"))
+    parsed = (
+        lines.select(F.explode_outer(F.array(packed)).alias("_packed")).filter(F.col("_packed").startswith(_MARK))
+        .select(_unescape(g[0]).alias("_s_iri"), g[1].alias("_s_bn"), _unescape(g[2]).alias("p"), _unescape(g[3]).alias("_o_iri"),
+                g[4].alias("_o_bn"), g[5].alias("_lit"), g[6].alias("_lang"), _unescape(g[7]).alias("_dt"))
+    )
     s_is_iri = F.col("_s_bn") == ""
     o_kind = (F.when(F.col("_o_iri") != "", "iri")
               .when(F.col("_o_bn") != "", "bnode").otherwise("literal"))

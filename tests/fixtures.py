@@ -3,6 +3,7 @@ model of the general-to-specific rule search used as the test oracle."""
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections import defaultdict
 
@@ -36,59 +37,50 @@ FACT_DDL = "id long, job string, city string, p1 string, p2 string, target boole
 
 
 def brute_force_rules(facts, edges, mapping, *, min_pos, top_matches_all=True, expand_last=False, max_terms=3):
-    """Recursive search exactly as specified: extend with the next ontology's top
-    concept, specialise the current term to its children, keep rules with
-    more than ``min_pos`` positives.  Returns {(c0, c1, c2): (cov, pos)}."""
-    children = defaultdict(list)
-    for k, c, p in edges:
-        children[(k, p)].append(c)
-
-    def desc(k, c):
-        out = set()
-        for ch in children[(k, c)]:
-            out.add(ch)
-            out |= desc(k, ch)
-        return out
+    """Every prefix of one concept per ontology, counted by sets of record ids.
 
+    Returns ``{(c0, c1, c2): (cov, pos)}`` of the rules with more than ``min_pos``
+    positives, a function from a rule to its records, the positives and all ids.
+    """
     cols = ["id", "job", "city", "p1", "p2", "target"]
-    recs = [dict(zip(cols, r)) for r in facts]
-    all_ids = {r["id"] for r in recs}
-    pos_ids = {r["id"] for r in recs if r["target"]}
+    records = [dict(zip(cols, r)) for r in facts]
+    every = {r["id"] for r in records}
+    positive = {r["id"] for r in records if r["target"]}
+    up = defaultdict(set)
+    for k, child, parent in edges:
+        up[k, child].add(parent)
+
+    def lineage(k, value):
+        seen, todo = set(), [value]
+        while todo:
+            c = todo.pop()
+            if c not in seen:
+                seen.add(c)
+                todo += up[k, c]
+        return seen if TOP in seen else set()
+
+    covers = {k: defaultdict(set) for k in mapping}
+    for r in records:
+        for k, columns in mapping.items():
+            for column in columns:
+                for concept in lineage(k, r[column]):
+                    covers[k][concept].add(r["id"])
+    if top_matches_all:
+        for k in mapping:
+            covers[k][TOP] = set(every)
 
-    def rows_of(k, c):
-        if top_matches_all and c == TOP:
-            return set(all_ids)
-        s = {c} | desc(k, c)
-        return {r["id"] for r in recs if any(r[col] in s for col in mapping[k])}
+    def rows_rule(rule):
+        return set.intersection(every, *(covers[k][c] for k, c in rule.items()))
 
-    m = len(mapping)
+    last = len(mapping) - 1
+    choices = {k: [TOP] if k == last and not expand_last else sorted(covers[k]) for k in mapping}
     found = {}
-
-    def rows_rule(rule):
-        out = set(all_ids)
-        for k, c in rule.items():
-            out &= rows_of(k, c)
-        return out
-
-    def construct(rule, concept, k):
-        rows = rows_rule(rule) & rows_of(k, concept)
-        pos = len(rows & pos_ids)
-        if pos <= min_pos:
-            return
-        new = dict(rule)
-        new[k] = concept
-        if len(new) <= max_terms:
-            key = tuple(new.get(j) for j in range(min(max_terms, m)))
-            found[key] = (len(rows), pos)
-        if len(new) < max(max_terms + 1, m) and k < m - 1:
-            construct(new, TOP, k + 1)
-        if (k < m - 1 or expand_last) and len(new) < max(max_terms + 1, m):
-            for ch in children[(k, concept)]:
-                if len(rows_of(k, ch)) > min_pos:
-                    construct(rule, ch, k)
-
-    construct({}, TOP, 0)
-    return found, rows_rule, pos_ids, all_ids
+    for size in range(1, min(max_terms, len(mapping)) + 1):
+        for terms in itertools.product(*(choices[k] for k in range(size))):
+            rows = rows_rule(dict(enumerate(terms)))
+            if len(rows & positive) > min_pos:
+                found[terms + (None,) * (min(max_terms, len(mapping)) - size)] = (len(rows), len(rows & positive))
+    return found, rows_rule, positive, every
 
 
 def simulate_counters(rule_rows, selected, population_ids, start, floor):
