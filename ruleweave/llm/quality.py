@@ -101,13 +101,18 @@ def base_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))))
 
 
+def cell_counts(docs: DataFrame, buckets: int, name: str) -> DataFrame:
+    """``<cell, name>``: n-grams of all texts by cell."""
+    every = hashed_words(docs, F.col("_text")).select(F.explode(grams()).alias("_h"))
+    return every.select(cell(buckets).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias(name))
+
+
 def weights(counts: DataFrame) -> DataFrame:
     """``<cell, w>`` from ``<cell, raw, target>``: log ratio of the smoothed multinomials, in steps of the grid."""
-    totals = counts.agg(F.sum("raw").alias("_r"), F.sum("target").alias("_t"), F.count(F.lit(1)).alias("_k"))
-    both = counts.withColumn("_one", F.lit(1)).join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one")
-    ratio = (F.log((F.col("target") + 1) / (F.col("_t") + F.col("_k")))
-             - F.log((F.col("raw") + 1) / (F.col("_r") + F.col("_k"))))
-    return both.select("cell", F.round(ratio * GRID).cast("long").alias("w"))
+    n_raw, n_target, k = (counts.select(x).scalar() for x in (F.sum("raw"), F.sum("target"), F.count(F.lit(1))))
+    ratio = (F.log((F.col("target") + 1) / (n_target + k))
+             - F.log((F.col("raw") + 1) / (n_raw + k)))
+    return counts.select("cell", F.round(ratio * GRID).cast("long").alias("w"))
 
 
 def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -131,13 +136,13 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     rows = base_rules(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text")
     rows = rows.select("_id", text_hash(F.col("_text")).alias("text_hash"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "_h1", "_h2")
 
-    slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    tagged = slim.join(marks, F.col("_id") == F.col("_mark"), "left").withColumn(
-        "_target", F.coalesce((F.col("_quality") == 1) & counted(text_hash(F.col("_text"))), F.lit(False)))
-    every = hashed_words(tagged, F.coalesce("_text", F.lit(""))).select("_target", F.explode(grams()).alias("_h"))
-    counts = every.select("_target", cell(buckets).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("raw"),
-                                       F.sum(F.col("_target").cast("long")).alias("target"))
-    model = weights(written(counts, "cells"))
+    slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    # the corpus is counted where it lies; only texts that may be in the target meet the marks
+    raw = cell_counts(slim, buckets, "raw")
+    good = marks.filter("_quality = 1").select("_mark")
+    target = cell_counts(slim.filter(counted(text_hash(F.col("_text")))).join(
+        good.hint("merge"), F.col("_id") == F.col("_mark"), "left_semi"), buckets, "target")
+    model = weights(written(raw.join(target, "cell", "left").na.fill(0, ["target"]), "cells"))
 
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())
     keys = ["_row", "_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -147,10 +152,10 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     scored = written(scored.withColumn("llr", F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n") / GRID).otherwise(0.0)),
                      "scores")
     if threshold is None:
-        cut = fitted_threshold(scored, marks)
+        cut = fitted_threshold(scored, marks).scalar()
     else:
-        cut = scored.sparkSession.range(1).select(F.lit(float(threshold)).alias("threshold"))
-    out = scored.withColumn("_one", F.lit(1)).join(F.broadcast(cut.withColumn("_one", F.lit(1))), "_one")
+        cut = F.lit(float(threshold))
+    out = scored.withColumn("threshold", cut)
     return out.select(F.col("_id").alias(id_col), *keys[3:], (~F.col("base_failed") & (F.col("llr") >= F.col("threshold"))).alias("kept"),
                       "llr", "threshold", "text_hash")
 
