@@ -15,7 +15,7 @@ from ruleweave.llm.queries import BYTE_BPE
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, or without a language that holds half of their words, go."""
+    """Texts without a letter, or in which no language holds a third of the words, go."""
     return langid.keep_identified(docs, langid.fit(docs))
 
 

@@ -344,7 +344,7 @@ def judge(m: Model, texts: list) -> tuple[list[str], list[float], list[int]]:
             [float(s) if n else 0.0 for s, n in zip(score, sizes)], sizes)
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, least: float = 1 / 3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has one language with at least the share ``least`` of its word labels."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
