@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -14,6 +15,8 @@ from ruleweave.session import ensure_checkpoint_dir
 
 #: Rows and characters handed to a Python function at once.
 SLICE_ROWS = 256
+#: Slices between two collections of cyclic garbage.
+COLLECT_EVERY = 64
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,9 +55,16 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[..., list]], schema: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for part in slices(batches, rows):
-            out = fn(*[c.to_pylist() for c in part.columns])
-            if out and len(out[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, arrow)], schema=arrow)
+        # the functions make many short-lived containers and no cycles; collections would only walk their caches
+        gc.disable()
+        try:
+            for i, part in enumerate(slices(batches, rows)):
+                out = fn(*[c.to_pylist() for c in part.columns])
+                if out and len(out[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, arrow)], schema=arrow)
+                if i % COLLECT_EVERY == COLLECT_EVERY - 1:
+                    gc.collect()
+        finally:
+            gc.enable()
 
     return df.mapInArrow(run, schema)

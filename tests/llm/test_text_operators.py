@@ -203,6 +203,19 @@ def test_digest_is_of_the_ids(spark):
         assert r.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in mine))
 
 
+def test_lockstep_equals_one_by_one(proof):
+    import random
+    from array import array
+
+    rng, lattice = random.Random(3), nbest.Lattice(proof)
+    words = ["▁" * rng.randint(0, 3) + "".join(rng.choice("theinrs.$é漢A1") for _ in range(rng.randint(1, 20))) for _ in range(2000)]
+    for w, *got in zip(words, *lattice.first_many(words)):
+        score, loss, pieces = lattice.first(w)
+        assert got == [score, loss, array("I", lattice.to_ids(pieces)).tobytes()]
+        two = lattice.nbest(w, 2)
+        assert two[0] == (score, tuple(pieces)) and (two[0][0] - two[1][0] if len(two) > 1 else float("inf")) == loss
+
+
 def test_long_text_without_spaces(spark):
     frame = spark.createDataFrame([(1, "ab" * 3000)], "doc_id long, text string")
     assert nbest.nbest_digest(frame, PIECES).filter("decodes").count() == 3
