@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ruleweave.llm.common import share_code
+
 TREES = 16
 BITS = 32
 #: Entries that a query wants under its shared prefixes, all trees together: this many per row of the block, and
@@ -100,6 +102,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     rows, and an empty table gives none.  Other columns are not read.  A task holds one
     block (``block_rows`` on average) and a slice of the queries.
     """
+    share_code(rows.sparkSession)
     take = lambda df: df.filter(usable(vector_col) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     base = take(rows)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +15,24 @@ from pyspark.sql.types import StructType
 
 from ruleweave.session import ensure_checkpoint_dir
 
+#: Folder that holds the package.
+ROOT = str(Path(__file__).resolve().parents[2])
 #: Rows and characters handed to a Python function at once.
 SLICE_ROWS = 256
 #: Slices between two collections of cyclic garbage.
 COLLECT_EVERY = 64
 
 
+def share_code(spark: SparkSession) -> None:
+    """Lets Python workers import this package from the folder the driver has it in, wherever they start."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -51,6 +64,7 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[..., list]], schema: s
     ``make()`` runs once per task and returns a function from the slice's
     columns (Python lists) to the output columns (lists of equal length).
     """
+    share_code(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ruleweave.llm.common import SLICE_ROWS, map_slices
+from ruleweave.llm.common import SLICE_ROWS, map_slices, share_code
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -346,6 +346,7 @@ def judge(m: Model, texts: list) -> tuple[list[str], list[float], list[int]]:
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 1 / 3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has one language with at least the share ``least`` of its word labels."""
+    share_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf("boolean")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ruleweave.llm.common import map_slices
+from ruleweave.llm.common import map_slices, share_code
 from ruleweave.llm.token_counts import MARK, Proof, _library, normal_pieces, prove
 
 UNKNOWN_PENALTY = 10.0
@@ -372,6 +372,8 @@ def encode_nbest(docs: DataFrame, model_path: str, n: int = 3, id_col: str = "do
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Adds the text that the ids stand for (null ids: null)."""
+    share_code(encoded.sparkSession)
+
     @pandas_udf("string")
     def text_of(ids: pd.Series) -> pd.Series:
         if model_path not in _DECODERS:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ruleweave.llm.common import map_slices
+from ruleweave.llm.common import map_slices, share_code
 
 KINDS = ("assign", "access", "hex", "github", "npm", "xprv")
 BASE = KINDS[:3]
@@ -171,6 +171,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mask``; a text without secrets stays as it is (null too)."""
+    share_code(docs.sparkSession)
+
     @pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
         scan = _scanner().scan

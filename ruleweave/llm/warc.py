@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ruleweave.llm.common import scratch_path, slices, written
+from ruleweave.llm.common import scratch_path, share_code, slices, written
 
 LEAST_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
@@ -313,6 +313,7 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     gives an empty index and no archive.
     """
     spark = pages.sparkSession
+    share_code(spark)
     base = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"))
     again = revisits(base, least_bytes)
