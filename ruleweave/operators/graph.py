@@ -84,55 +84,58 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
                          chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``<id, component>`` with component = smallest vertex id of the component.
 
-    Hook-and-shortcut on labels: every round each edge whose endpoints carry
-    different labels proposes the smaller label to the larger one
-    (``groupBy(min)``, partial aggregation absorbs hubs); every vertex holding
-    a hooked label moves with it; two pointer jumps then flatten the label
-    forest.  Labels only decrease and stay inside the component, so once no
-    edge joins two labels every vertex carries its component's smallest id
-    (flattening only speeds this up).  Vertices sharing a label stay together
-    for good, so edges inside one label are dropped and the edge set shrinks.
-    All lookups (edge endpoint -> label, label -> hook, label -> parent) are
-    skew-safe joins: broadcast when the vertex count is small, else hub
-    vertices and giant labels are split over several partitions.  Edges are
-    treated as undirected.  Runs until no edge joins two labels; a given
-    ``max_rounds`` that is not enough raises.
+    Hook and contract: every round each vertex that still has edges hooks to
+    its smallest neighbour if that is smaller (one ``groupBy(min)``, partial
+    aggregation absorbs hubs), two pointer jumps shorten the chains, and the
+    edges are contracted to the distinct pairs of new labels.  So a round reads
+    only vertices and edges of the contracted graph, which shrinks.  A component's
+    smallest vertex never hooks, so it names the component once no edge is left.
+    The rounds' label maps are then composed from the last one back, and every
+    vertex is looked up once.  All lookups are skew-safe joins: broadcast when the
+    label count is small, else hub vertices and giant labels are split over
+    several partitions.  Edges are undirected and their ends must be in
+    ``vertices``.  A given ``max_rounds`` that is not enough raises.
     """
-    e, n_e = materialize(
-        edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-        .filter(F.col("a") != F.col("b")).distinct()
-    )
-    labels, n_v = materialize(vertices.select("id", F.col("id").alias("comp")))
-    small = n_v <= broadcast_rows
-    kw = dict(lookup_small=small, chunk_rows=chunk_rows, broadcast_rows=broadcast_rows)
-    for rnd in itertools.count():
-        if n_e == 0:
-            break
-        if max_rounds is not None and rnd > max_rounds:
+    kw = dict(chunk_rows=chunk_rows, broadcast_rows=broadcast_rows)
+    e, n_e = materialize(_contracted(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))))
+    maps: list[tuple[DataFrame, bool]] = []
+    while n_e:
+        if max_rounds is not None and len(maps) > max_rounds:
             raise RuntimeError(f"components are not done after {max_rounds} rounds")
-        if rnd == 0:
-            # every vertex still carries its own id: the edges are the live pairs
-            live = e.select("a", "b", F.col("a").alias("la"), F.col("b").alias("lb"))
-        else:
-            la = labels.select(F.col("id").alias("_ia"), F.col("comp").alias("la"))
-            lb = labels.select(F.col("id").alias("_ib"), F.col("comp").alias("lb"))
-            both = lookup_join(lookup_join(e, la, "a", "_ia", **kw), lb, "b", "_ib", **kw)
-            live, n_e = materialize(both.filter(F.col("la") != F.col("lb")))
-            if n_e == 0:
-                break
-        prop, n_p = materialize(
-            live.select(F.greatest("la", "lb").alias("hi"), F.least("la", "lb").alias("lo"))
-            .groupBy("hi").agg(F.min("lo").alias("lo"))
-        )
-        hooked = lookup_join(labels, prop, "comp", "hi", how="left", lookup_small=n_p <= broadcast_rows,
-                             chunk_rows=chunk_rows, broadcast_rows=broadcast_rows)
-        hooked = hooked.select("id", F.least(F.col("comp"), F.coalesce(F.col("lo"), F.col("comp"))).alias("comp"))
-        labels, _ = materialize(_jump(_jump(hooked, kw), kw))
-        e = live.select("a", "b")
-    return labels.select("id", F.col("comp").alias("component"))
-
-
-def _jump(labels: DataFrame, kw: dict) -> DataFrame:
+        # a < b: both ends propose a
+        ends = F.array(F.struct(F.col("a").alias("id"), F.col("a").alias("comp")),
+                       F.struct(F.col("b").alias("id"), F.col("a").alias("comp")))
+        hook, n_ids = materialize(e.select(F.inline(ends)).groupBy("id").agg(F.min("comp").alias("comp")))
+        small = n_ids <= broadcast_rows
+        label, _ = materialize(_jump(_jump(hook, lookup_small=small, **kw), lookup_small=small, **kw))
+        maps.append((label, small))
+        for end in ("a", "b"):
+            side = label.select(F.col("id").alias("_i"), F.col("comp").alias(f"_{end}"))
+            e = lookup_join(e, side, end, "_i", lookup_small=small, **kw)
+        e, n_e = materialize(_contracted(e.select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
+    last = None
+    for label, small in reversed(maps):
+        # a label without edges in the later rounds is final
+        last = ((label if last is None else materialize(_relabel(label, *last, **kw))[0]), small)
+    ids = vertices.select("id", F.col("id").alias("comp"))
+    out = ids if last is None else _relabel(ids, *last, **kw)
+    return out.select("id", F.col("comp").alias("component"))
+
+
+def _contracted(pairs: DataFrame) -> DataFrame:
+    """Distinct undirected pairs ``a < b``."""
+    return (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .filter(F.col("a") != F.col("b")).distinct())
+
+
+def _relabel(labels: DataFrame, later: DataFrame, small: bool, **kw) -> DataFrame:
+    """comp <- later(comp) where ``later`` lists it."""
+    side = later.select(F.col("id").alias("_pid"), F.col("comp").alias("_pc"))
+    out = lookup_join(labels, side, "comp", "_pid", how="left", lookup_small=small, **kw)
+    return out.select("id", F.coalesce("_pc", "comp").alias("comp"))
+
+
+def _jump(labels: DataFrame, **kw) -> DataFrame:
     """One pointer jump: comp <- comp(comp)."""
     parent = labels.select(F.col("id").alias("_pid"), F.col("comp").alias("_pc"))
     return lookup_join(labels, parent, "comp", "_pid", **kw).select("id", F.col("_pc").alias("comp"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.functions.iri import RDFS_SUBCLASS_OF, local_name
-from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, materialize
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, is_small, materialize
 from ruleweave.operators.skew import lookup_join_many
 
 
@@ -60,24 +60,31 @@ def children_of(edges: DataFrame, k: int, concept: str) -> DataFrame:
 def closure(edges: DataFrame, include_self: bool = False, max_rounds: int | None = None) -> DataFrame:
     """Transitive closure ``<k, anc, leaf, depth>`` (``depth`` = shortest path length).
 
-    Path doubling: each round joins the pairs found so far with themselves
-    (``leaf = anc``), keeps the shortest depth per new pair and removes known
-    pairs (``left_anti``), so paths up to twice as long are covered per round:
-    about log2(depth) rounds, and it terminates on cycles and DAGs.  Each
-    round is checkpointed to the shared folder; its row count doubles as the
-    stop test.  A given ``max_rounds`` that is not enough raises.
+    Leaves (concepts without children, usually nearly all) can only end a path,
+    so the fixpoint runs over the inner edges alone: path doubling, where each
+    round appends all known pairs to the pairs the last round found, keeps the
+    shortest depth per pair and drops known pairs (``left_anti``); about
+    log2(depth) rounds, and it terminates on cycles and DAGs.  Each round is
+    written to the shared folder; its row count doubles as the stop test.
+    The leaves then take their parents' ancestors by one skew-safe lookup (a
+    parent may hold a third of all leaves).  A given ``max_rounds`` that is not
+    enough raises.
     """
     # the edges are read once (their source may be an expensive parse)
-    edges, n = materialize(edges.select("k", "child", "parent").distinct())
-    pairs = edges.select("k", F.col("parent").alias("anc"), F.col("child").alias("leaf"), F.lit(1).alias("depth"))
+    edges, _ = materialize(edges.select("k", "child", "parent").distinct())
+    parents, n_parents = materialize(edges.select("k", F.col("parent").alias("child")).distinct())
+    parents = F.broadcast(parents) if n_parents <= DEFAULT_BROADCAST_ROWS and is_small(parents) else parents
+    as_pair = ["k", F.col("parent").alias("anc"), F.col("child").alias("leaf"), F.lit(1).alias("depth")]
+    pairs, n = materialize(edges.join(parents, ["k", "child"], "left_semi").select(*as_pair))
+    fresh, n_new = pairs, n
     for rnd in itertools.count():
-        if n == 0:
+        if n_new == 0:
             break
         if max_rounds is not None and rnd > max_rounds:
             raise RuntimeError(f"the closure is not done after {max_rounds} rounds")
-        left = pairs.select("k", "anc", F.col("leaf").alias("_mid"), F.col("depth").alias("_d1"))
+        left = fresh.select("k", "anc", F.col("leaf").alias("_mid"), F.col("depth").alias("_d1"))
         right = pairs.select("k", F.col("anc").alias("_mid"), "leaf", F.col("depth").alias("_d2"))
-        if n <= DEFAULT_BROADCAST_ROWS:
+        if n <= DEFAULT_BROADCAST_ROWS and is_small(right):
             right = F.broadcast(right)
         longer = (
             left.join(right, ["k", "_mid"])
@@ -85,10 +92,17 @@ def closure(edges: DataFrame, include_self: bool = False, max_rounds: int | None
             .join(pairs.select("k", "anc", "leaf"), ["k", "anc", "leaf"], "left_anti")
         )
         fresh, n_new = materialize(longer)
-        if n_new == 0:
-            break
-        # a union of checkpointed pieces: lineage stays shallow without a rewrite
+        # a union of written pieces: lineage stays shallow without a rewrite
         pairs, n = pairs.unionByName(fresh), n + n_new
+    leaves = edges.join(parents, ["k", "child"], "left_anti")
+    above = pairs.groupBy("k", F.col("leaf").alias("parent")).agg(F.collect_list(F.struct("anc", "depth")).alias("_up"))
+    one = F.array(F.struct(F.col("parent").alias("anc"), F.lit(0).alias("depth")))
+    led = (
+        lookup_join_many(leaves, above, ["k", "parent"], how="left")
+        .select("k", F.col("child").alias("leaf"), F.explode(F.concat(one, F.coalesce("_up", F.slice(one, 1, 0)))).alias("_u"))
+        .groupBy("k", F.col("_u.anc").alias("anc"), "leaf").agg((F.min("_u.depth") + 1).alias("depth"))
+    )
+    pairs = pairs.unionByName(led)
     if include_self:
         selfs = concepts(edges).select("k", F.col("concept").alias("anc"), F.col("concept").alias("leaf"),
                                        F.lit(0).alias("depth"))

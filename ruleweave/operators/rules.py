@@ -8,11 +8,15 @@ matches concept ``c`` of ontology ``k`` when any column mapped to ``k`` holds
 
 Physical plan (one scan of the facts, no per-rule job):
 
-1. ``value_profile``: group the facts by the mapped columns with map-side
-   partial aggregation -> ``<mapped values, n, n_pos>``.  A hot value
-   combination holding a third of all rows costs one row per map task.
-2. ``with_ancestor_arrays``: per mapped column a join to the ancestor table
-   (broadcast behind a row-count check) and ``array_union`` per ontology.
+1. ``frequent_concepts`` (level one): one pass counts the positives of every
+   value per ontology with map-side partial aggregation; concepts that cannot be
+   in a kept rule are cut from the ancestor table.
+2. ``concept_profile``: a second pass looks the remaining concepts up per mapped
+   column (broadcast behind a size check, else salted) and groups the facts by
+   their concept arrays -> ``<arrays, n, n_pos>``.  Values without a frequent
+   concept of their own merge here, and an ontology used with its top concept
+   only is not read at all, so the profile holds what rules can tell apart.
+   A combination holding a third of all rows costs one row per map task.
 3. ``explode_rules``: nested ``explode`` with a null suffix enumerates every
    prefix rule a combination matches (fan-out bounded by depth x columns).
 4. ``groupBy(c0..)`` + ``sum`` + ``filter(pos > min_pos)``; ``N`` and ``C``
@@ -32,8 +36,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.operators.hierarchy import ancestor_sets
-from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, cut_lineage, is_small, materialize
-from ruleweave.operators.skew import lookup_join, lookup_join_many
+from ruleweave.operators.sizing import broadcast_if_small, cut_lineage, materialize, small_parts
+from ruleweave.operators.skew import hot_keys, lookup_join, lookup_join_many
 
 RULE_PREFIX = "c"
 
@@ -68,6 +72,11 @@ class MiningSpec:
     def n_terms(self) -> int:
         return min(self.max_terms, self.n_ontologies)
 
+    @property
+    def used(self) -> list[int]:
+        """Ontologies that rules name, in order."""
+        return sorted(self.mapping)[: self.n_terms]
+
     def rule_columns(self) -> list[str]:
         return [f"{RULE_PREFIX}{j}" for j in range(self.n_terms)]
 
@@ -93,32 +102,47 @@ def _array_col(k: int) -> str:
     return f"_a{k}"
 
 
+def _no_concepts() -> Column:
+    return F.array().cast("array<string>")
+
+
+def distinct_rows(facts: DataFrame, spec: MiningSpec) -> DataFrame:
+    """Facts with equal rows (key, mapped columns and target) counted once: covers of distinct rows."""
+    return facts.select(spec.key, *spec.mapped_columns, spec.target).distinct()
+
+
 def with_ancestor_arrays(df: DataFrame, ancestors: DataFrame, spec: MiningSpec,
                          only: Collection[int] | None = None) -> DataFrame:
     """Add ``_a{k}`` = concepts of ontology k matched by the row (sorted arrays).
 
     ``only`` names the ontologies wanted (default all); each ontology's table is
-    broadcast or split by its own size.
+    broadcast or split by its own size, one without rows is not joined.
     """
+    ks = sorted(spec.mapping if only is None else set(only))
+    small = small_parts(ancestors, "k")
+    split = [c for k in ks if not small.get(k, True) for c in spec.mapping[k]]
+    hot = hot_keys(df, list(dict.fromkeys(split))) if split else None
     out = df
-    parts: dict[int, list[Column]] = {}
-    for k in sorted(spec.mapping if only is None else set(only)):
+    parts: dict[int, list[Column]] = {k: [] for k in ks}
+    for k in ks:
+        if k not in small:
+            continue
         side = ancestors.filter(F.col("k") == k)
-        small = is_small(side)
         for col in spec.mapping[k]:
             alias = f"_anc_{k}_{col}"
             look = side.select(F.col("value").alias(f"_v_{alias}"), F.col("ancs").alias(alias))
-            out = lookup_join(out, look, col, f"_v_{alias}", how="left", lookup_small=small)
-            parts.setdefault(k, []).append(F.coalesce(F.col(alias), F.array().cast("array<string>")))
+            mine = None if small[k] else hot.filter(F.col("column") == col).drop("column")
+            out = lookup_join(out, look, col, f"_v_{alias}", how="left", lookup_small=small[k], hot=mine)
+            parts[k].append(F.coalesce(F.col(alias), _no_concepts()))
     drops = []
     for k, cols in parts.items():
-        arr = cols[0]
+        arr = cols[0] if cols else _no_concepts()
         for c in cols[1:]:
             arr = F.array_union(arr, c)
         if spec.top_matches_all:
             arr = F.array_union(arr, F.array(F.lit(spec.top)))
         out = out.withColumn(_array_col(k), F.array_sort(F.array_distinct(arr)))
-        drops += [f"_anc_{k}_{c}" for c in spec.mapping[k]]
+        drops += [f"_anc_{k}_{c}" for c in spec.mapping[k] if cols]
     return out.drop(*drops)
 
 
@@ -180,22 +204,58 @@ def restrict_ancestors(ancestors: DataFrame, keep: DataFrame) -> DataFrame:
     )[0]
 
 
-def frequent_concepts(arrays: DataFrame, spec: MiningSpec) -> DataFrame:
-    """``<k, concept>`` whose single-term positive support exceeds ``min_pos``.
+def _counted(facts: DataFrame, spec: MiningSpec) -> DataFrame:
+    """Mapped columns with ``n`` = 1 and ``n_pos`` per fact row."""
+    return facts.select(*spec.mapped_columns, F.lit(1).cast("long").alias("n"), _target_flag(spec).cast("long").alias("n_pos"))
+
+
+def _top_only(spec: MiningSpec) -> int | None:
+    """The ontology that rules use with its top concept only, if any."""
+    last = sorted(spec.mapping)[-1]
+    return last if last in spec.used and not spec.expand_last else None
+
 
-    Support is anti-monotone, so no kept rule holds any other concept.
+def frequent_concepts(counted: DataFrame, ancestors: DataFrame, spec: MiningSpec) -> DataFrame:
+    """``<k, concept>`` that kept rules may hold, of the ontologies rules use.
+
+    Support is anti-monotone: a rule with more than ``min_pos`` positives holds
+    only concepts with more than ``min_pos``.  ``counted`` has the mapped columns and
+    ``n_pos``.  The values a row has in one ontology are counted as a set, so a concept
+    above several of them counts once.  The last ontology gives only its top
+    unless it is expanded; a top that matches every row is not listed.
     """
-    def tagged(k: int):
-        # one-argument lambda: a second parameter would receive the array index
-        return F.transform(F.col(_array_col(k)), lambda x: F.struct(F.lit(k).alias("k"), x.alias("concept")))
-
-    items = F.flatten(F.array(*[tagged(k) for k in sorted(spec.mapping)]))
-    singles = (
-        arrays.select("n_pos", F.explode(items).alias("_it"))
-        .groupBy(F.col("_it.k").alias("k"), F.col("_it.concept").alias("concept"))
-        .agg(F.sum("n_pos").alias("_pos"))
-    )
-    return materialize(singles.filter(F.col("_pos") > spec.min_pos).select("k", "concept"))[0]
+    ks = [k for k in spec.used if k != _top_only(spec)]
+    keep = None
+    if ks:
+        held = F.array(*[F.struct(F.lit(k).alias("k"), F.array_sort(F.array_distinct(F.array_compact(
+            F.array(*[F.col(c).cast("string") for c in spec.mapping[k]])))).alias("vals")) for k in ks])
+        sets = (
+            counted.filter(F.col("n_pos") > 0).select("n_pos", F.explode(held).alias("_it"))
+            .groupBy(F.col("_it.k").alias("k"), F.col("_it.vals").alias("vals")).agg(F.sum("n_pos").alias("n_pos"))
+        )
+        above = (
+            sets.select("*", F.explode("vals").alias("value")).join(ancestors, ["k", "value"])
+            .select("k", "vals", "n_pos", F.explode("ancs").alias("concept"))
+        )
+        if any(len(spec.mapping[k]) > 1 for k in ks):
+            above = above.distinct()
+        if spec.top_matches_all:
+            above = above.filter(F.col("concept") != spec.top)
+        keep = (above.groupBy("k", "concept").agg(F.sum("n_pos").alias("_pos"))
+                .filter(F.col("_pos") > spec.min_pos).select("k", "concept"))
+    if _top_only(spec) is not None and not spec.top_matches_all:
+        top = ancestors.sparkSession.range(1).select(F.lit(_top_only(spec)).alias("k"), F.lit(spec.top).alias("concept"))
+        keep = top if keep is None else keep.unionByName(top)
+    if keep is None:
+        keep = ancestors.select("k", F.col("value").alias("concept")).limit(0)
+    return cut_lineage(keep)
+
+
+def concept_profile(counted: DataFrame, ancestors: DataFrame, spec: MiningSpec) -> DataFrame:
+    """``<_a{k}.., n, n_pos>``: rows that match the same concepts of ``ancestors`` merged, written once."""
+    arrays = with_ancestor_arrays(counted, ancestors, spec, spec.used)
+    return cut_lineage(arrays.groupBy(*[_array_col(k) for k in spec.used])
+                       .agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos")))
 
 
 def mine_rules(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
@@ -204,32 +264,23 @@ def mine_rules(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
     """All rules with ``pos > min_pos``:
     ``<c0.., cov, pos, n_total, n_target, score, wracc, cov_ratio, sup>``.
 
-    ``profile`` (from :func:`profile_of`) may be passed to share the single
-    pass over the facts with :func:`cover_counters`.  With ``prune`` (level-wise
-    step) the single concepts are counted first, the ancestor table is cut to
-    the frequent ones and profile rows with identical concept arrays are
-    merged before the explode, so the fan-out runs on far fewer rows when the
-    taxonomy has many rare leaves.
+    ``profile`` (from :func:`profile_of`) may be given instead of reading the facts.
+    With ``prune`` (level-wise step) the single concepts are counted first and the
+    ancestor table is cut to the frequent ones, so rare leaves merge in the
+    concept profile and the explode runs on what rules can tell apart.
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
-    # the only pass over the facts; its (small) result feeds the rules and N, C
-    profile = profile if profile is not None else profile_of(facts, spec)
-    arrays = with_ancestor_arrays(profile, anc, spec)
+    counted = profile if profile is not None else _counted(facts, spec)
     if prune:
-        anc_f = restrict_ancestors(anc, frequent_concepts(arrays, spec))
-        arr_cols = [_array_col(k) for k in sorted(spec.mapping)]
-        arrays = (
-            with_ancestor_arrays(profile, anc_f, spec)
-            .groupBy(*arr_cols).agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos"))
-        )
-    cand = explode_rules(arrays, spec)
+        anc = restrict_ancestors(anc, frequent_concepts(counted, anc, spec))
+    combos = concept_profile(counted, anc, spec)
     rcols = spec.rule_columns()
     rules = (
-        cand.groupBy(*rcols)
+        explode_rules(combos, spec).groupBy(*rcols)
         .agg(F.sum("n").cast("long").alias("cov"), F.sum("n_pos").cast("long").alias("pos"))
         .filter(F.col("pos") > spec.min_pos)
     )
-    n_total, n_target = _totals(profile)
+    n_total, n_target = _totals(combos)
     return score_rules(rules, n_total, n_target)
 
 
@@ -324,15 +375,15 @@ def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selecte
     """Counter per fact row: ``start`` minus the number of selected rules covering it,
     rows below ``floor`` removed.  ``<key, mapped columns, counter>``.
 
-    Coverage is decided once per distinct value combination: the combinations
-    are exploded into their prefix rules and equi-joined (null-safe) with the
-    selected rules, counted, and joined back to the facts with a skew-safe
-    lookup join (a value combination may hold a third of all rows).  ``selected`` is
-    broadcast when the caller proves its size (``selected_bounded``, e.g. a
-    top-k) or a row count shows it small.  With the mining ``profile`` the
-    combinations come from it instead of another pass over the facts.  The
-    ancestor table is first cut to the concepts the selected rules name, so
-    each combination explodes only into candidates that can match.
+    The ancestor table is first cut to the concepts the selected rules name, so
+    rows that no selected rule tells apart share their concept arrays.  Coverage
+    is decided once per distinct combination of arrays: it is exploded into its
+    prefix rules, equi-joined (null-safe) with the selected rules and counted;
+    the counts go back to the facts by a skew-safe lookup (a combination
+    may hold a third of all rows).  ``selected`` is broadcast when the caller
+    proves its size (``selected_bounded``, e.g. a top-k) or a count shows
+    it small.  With a value ``profile`` the combinations come from it instead of
+    another pass over the facts.
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
     rcols = spec.rule_columns()
@@ -347,25 +398,25 @@ def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selecte
         used = part if used is None else used.unionByName(part)
     anc = restrict_ancestors(anc, used)
     rows = facts.filter(_target_flag(spec)) if population == "positives" else facts
+    arrays = [_array_col(k) for k in ks]
+    rows = with_ancestor_arrays(rows.select(spec.key, *spec.mapped_columns), anc, spec)
     if profile is not None:
-        # the mining profile already lists every value combination (n_pos > 0: has positives)
+        # the profile already lists every value combination (n_pos > 0: has positives)
         combos = profile.filter(F.col("n_pos") > 0) if population == "positives" else profile
-        combos = combos.select(*spec.mapped_columns)
+        combos = with_ancestor_arrays(combos.select(*spec.mapped_columns), anc, spec)
     else:
-        combos = rows.select(*spec.mapped_columns).distinct()
-    cand = explode_rules(with_ancestor_arrays(combos, anc, spec), spec, expand_last=True)
+        combos = rows
+    cand = explode_rules(combos.select(*arrays).distinct(), spec, expand_last=True)
     cond = None
     for c in rcols:
         e = cand[c].eqNullSafe(sel[f"_r_{c}"])
         cond = e if cond is None else cond & e
     hits = (
         cand.join(sel, cond, "inner")
-        .groupBy(*spec.mapped_columns).agg(F.count(F.lit(1)).alias("_hits"))
+        .groupBy(*arrays).agg(F.count(F.lit(1)).alias("_hits"))
     )
-    # materialised once in the shared checkpoint folder; its count decides the join
-    hits, n_hits = materialize(hits)
-    joined = lookup_join_many(rows.select(spec.key, *spec.mapped_columns), hits, spec.mapped_columns, how="left",
-                              lookup_small=n_hits <= DEFAULT_BROADCAST_ROWS)
+    # written once to the shared folder; its size decides the join
+    joined = lookup_join_many(rows, cut_lineage(hits), arrays, how="left")
     counter = (F.lit(start) - F.coalesce(F.col("_hits"), F.lit(0))).cast("int")
     return (
         joined.select(spec.key, *spec.mapped_columns, counter.alias("counter"))

@@ -39,11 +39,21 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: i
     """True when ``df`` holds at most ``max_rows`` rows and about ``max_bytes`` bytes (one aggregation, partial sums only)."""
     if max_rows <= 0:
         return False
-    width = sum((_width(f.name, f.dataType) for f in df.schema), F.lit(0))
-    n, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    n, size = df.agg(F.count(F.lit(1)), F.sum(_row_width(df))).first()
     return n <= max_rows and (size or 0) <= max_bytes
 
 
+def small_parts(df: DataFrame, by: str, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> dict:
+    """``{value: is it small}`` of the few values of ``by`` that ``df`` holds, all sized by one aggregation."""
+    sizes = df.groupBy(by).agg(F.count(F.lit(1)), F.sum(_row_width(df))).collect()
+    return {value: n <= max_rows and size <= max_bytes for value, n, size in sizes}
+
+
+def _row_width(df: DataFrame) -> Column:
+    return sum((_width(f.name, f.dataType) for f in df.schema), F.lit(0))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the side holds at most ``max_rows`` rows.
 

@@ -31,13 +31,30 @@ DEFAULT_CHUNK_ROWS = 1_000_000
 NULL_SALTS = 4096
 
 
+def hot_keys(probe: DataFrame, columns: Sequence[str], chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """``<column, _hk, _ns>``: keys of text columns with more than ``chunk_rows`` rows and their salts.
+
+    One pass over ``probe`` counts all columns; the result has at most
+    ``rows x columns / chunk_rows`` rows and is written to the shared folder.
+    """
+    items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_hk")) for c in columns])
+    return materialize(
+        probe.select(F.inline(items)).filter(F.col("_hk").isNotNull())
+        .groupBy("column", "_hk").agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > chunk_rows)
+        .select("column", "_hk", F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int").alias("_ns"))
+    )[0]
+
+
 def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key: str, how: str = "inner",
                 chunk_rows: int = DEFAULT_CHUNK_ROWS, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                lookup_small: bool | None = None) -> DataFrame:
+                lookup_small: bool | None = None, hot: DataFrame | None = None) -> DataFrame:
     """``probe ⋈ lookup`` on ``probe[probe_key] = lookup[lookup_key]`` (``inner`` or ``left``).
 
     ``lookup`` must hold at most one row per key.  Output columns: all probe
-    columns, then the lookup columns except ``lookup_key``.
+    columns, then the lookup columns except ``lookup_key``.  ``hot`` may give the hot
+    keys ``<_hk, _ns>`` of this column (from :func:`hot_keys`); then the probe is read
+    by the join alone.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -51,7 +68,7 @@ def lookup_join(probe: DataFrame, lookup: DataFrame, probe_key: str, lookup_key:
         out = probe.join(side, F.col(probe_key) == F.col("_lk"), how)
         return out.select(*probe.columns, *extra)
 
-    hot, n_hot = materialize(
+    hot, n_hot = (hot, hot.count()) if hot is not None else materialize(
         probe.filter(F.col(probe_key).isNotNull())
         .groupBy(F.col(probe_key).alias("_hk")).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > chunk_rows)

@@ -19,6 +19,7 @@ from ruleweave.operators import sets as S
 from ruleweave.operators import text as X
 from ruleweave.operators import triples as T
 from ruleweave.plans import bindings as B
+from ruleweave.plans.mining import Mining
 from ruleweave.sources.ntriples import parse_ntriples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,73 +45,53 @@ def taxonomy_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.subclass_edges(taxonomy_triples(spark, sf_dir))
 
 
-class _Mining:
-    """Facts, edges and ancestor table of one run (closure computed once)."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, spec: R.MiningSpec):
-        self.spec = spec
-        self.facts = B.facts(spark, sf_dir)
-        self.edges = taxonomy_edges(spark, sf_dir)
-        self.ancestors = H.ancestor_sets(self.edges, spec.top)
-        self._profile = None
-
-    @property
-    def profile(self) -> DataFrame:
-        if self._profile is None:
-            self._profile = R.profile_of(self.facts, self.spec)
-        return self._profile
-
-    def rules(self) -> DataFrame:
-        return R.mine_rules(self.facts, self.edges, self.spec, self.ancestors, self.profile)
+def _mining(spark: SparkSession, sf_dir: str, spec: R.MiningSpec) -> Mining:
+    return Mining(B.facts(spark, sf_dir), taxonomy_edges(spark, sf_dir), spec)
 
 
 def q_rules_mine(spark, sf_dir):
-    return _Mining(spark, sf_dir, FIRST).rules()
+    return _mining(spark, sf_dir, FIRST).rules
 
 
 def q_rules_mine_full(spark, sf_dir):
-    return _Mining(spark, sf_dir, FIRST_FULL).rules()
+    return _mining(spark, sf_dir, FIRST_FULL).rules
 
 
 def q_rules_mine_mapped_top(spark, sf_dir):
-    return _Mining(spark, sf_dir, SECOND).rules()
+    return _mining(spark, sf_dir, SECOND).rules
 
 
 def q_rules_topk(spark, sf_dir):
-    return R.select_rules(_Mining(spark, sf_dir, FIRST).rules(), FIRST, TOP_K)
+    return R.select_rules(_mining(spark, sf_dir, FIRST).rules, FIRST, TOP_K)
 
 
 def q_rules_summary(spark, sf_dir):
-    return R.rule_summary(_Mining(spark, sf_dir, FIRST).rules())
+    return R.rule_summary(_mining(spark, sf_dir, FIRST).rules)
 
 
 def q_rules_cover_pos(spark, sf_dir):
-    m = _Mining(spark, sf_dir, FIRST)
-    top = R.select_rules(m.rules(), FIRST, TOP_K)
-    return R.cover_counters(m.facts, m.edges, FIRST, top, population="positives", start=50, floor=1,
-                            selected_bounded=True, ancestors=m.ancestors, profile=m.profile)
+    m = _mining(spark, sf_dir, FIRST)
+    return m.counters(m.selected(TOP_K), population="positives", start=50, floor=1)
 
 
 def q_rules_cover_all(spark, sf_dir):
     """All rows, counters 5 with floor 4, over the ten best rules: rows that two or more of them cover leave."""
-    m = _Mining(spark, sf_dir, SECOND)
-    top = R.select_rules(m.rules(), SECOND, TOP_K)
-    return R.cover_counters(m.facts, m.edges, SECOND, top, population="all", start=5, floor=4,
-                            selected_bounded=True, ancestors=m.ancestors, profile=m.profile)
+    m = _mining(spark, sf_dir, SECOND)
+    return m.counters(m.selected(TOP_K), population="all", start=5, floor=4)
 
 
 def q_concept_rows(spark, sf_dir):
-    m = _Mining(spark, sf_dir, FIRST)
+    m = _mining(spark, sf_dir, FIRST)
     return R.rule_rows(m.facts, m.edges, FIRST, {CONCEPT_K: CONCEPT}, m.ancestors)
 
 
 def q_rule_rows(spark, sf_dir):
-    m = _Mining(spark, sf_dir, FIRST)
+    m = _mining(spark, sf_dir, FIRST)
     return R.rule_rows(m.facts, m.edges, FIRST, RULE_TERMS, m.ancestors)
 
 
 def q_top_concepts(spark, sf_dir):
-    m = _Mining(spark, sf_dir, FIRST)
+    m = _mining(spark, sf_dir, FIRST)
     return R.top_concepts(m.facts, m.edges, FIRST, m.ancestors)
 
 
@@ -280,36 +261,36 @@ SET_CONCEPTS = {"a": {0: "EUROPE"}, "b": {1: "Industrial"}, "c": {2: "Expedited"
 LIKE_PATTERN = "NATION_1%"
 
 
-def _rows(m: _Mining, name: str) -> DataFrame:
+def _rows(m: Mining, name: str) -> DataFrame:
     return R.rule_rows(m.facts, m.edges, m.spec, SET_CONCEPTS[name], m.ancestors)
 
 
-def _best_rule_rows(m: _Mining) -> DataFrame:
+def _best_rule_rows(m: Mining) -> DataFrame:
     """Rows covered by the best rule (one rule row is brought to the driver)."""
-    best = R.select_rules(m.rules(), m.spec, 1).first()
+    best = R.select_rules(m.rules, m.spec, 1).first()
     terms = {k: best[c] for k, c in enumerate(m.spec.rule_columns()) if best[c] is not None}
     return R.rule_rows(m.facts, m.edges, m.spec, terms, m.ancestors)
 
 
 def q_set_intersect(spark, sf_dir):
-    m = _Mining(spark, sf_dir, FIRST)
+    m = _mining(spark, sf_dir, FIRST)
     return S.intersect_all([_rows(m, "a"), _rows(m, "b"), _rows(m, "c")])
 
 
 def q_set_union(spark, sf_dir):
-    m = _Mining(spark, sf_dir, FIRST)
+    m = _mining(spark, sf_dir, FIRST)
     return S.union_distinct([_rows(m, "d"), _rows(m, "e"), _rows(m, "f")])
 
 
 def q_set_except(spark, sf_dir):
-    m = _Mining(spark, sf_dir, FIRST)
+    m = _mining(spark, sf_dir, FIRST)
     return S.except_distinct(_rows(m, "a"), _rows(m, "b"))
 
 
 def q_join_all_cols(spark, sf_dir):
     """One decrement step: positives (counter 50) joined on all columns with the
     positive rows of the best rule, counter lowered by one."""
-    m = _Mining(spark, sf_dir, FIRST)
+    m = _mining(spark, sf_dir, FIRST)
     pos = m.facts.filter(F.col("target"))
     covered = _best_rule_rows(m).filter(F.col("target"))
     joined = S.join_on_all_columns(pos.withColumn("counter", F.lit(50)), covered)
@@ -317,7 +298,7 @@ def q_join_all_cols(spark, sf_dir):
 
 
 def q_cover_missing(spark, sf_dir):
-    m = _Mining(spark, sf_dir, FIRST)
+    m = _mining(spark, sf_dir, FIRST)
     return S.uncovered(m.facts.filter(F.col("target")), _best_rule_rows(m), "id")
 
 
