@@ -214,7 +214,7 @@ def q_graph_pagerank_top(spark, sf_dir):
 def q_graph_pagerank_tol(spark, sf_dir):
     v, e = _triple_graph(spark, sf_dir)
     ranks = G.pagerank(v, e, max_iter=1000, tol=PAGERANK_TOL, normalize=True)
-    return ranks.join(v, "id").select("id", "label", "rank")
+    return ranks.join(v, "id").select("id", "label", grid_round("rank").alias("rank"))
 
 
 def q_graph_supply_components(spark, sf_dir):
@@ -230,6 +230,9 @@ def q_graph_supply_pagerank(spark, sf_dir):
 
 # --- text ---------------------------------------------------------------------
 
+HASH_BUCKETS = 20
+
+
 def q_tokens_ws(spark, sf_dir):
     return X.tokenize_whitespace(B.documents(spark, sf_dir)).select("doc_id", "tokens")
 
@@ -247,7 +250,8 @@ def q_tfidf_terms(spark, sf_dir):
 
 
 def q_tfidf_hashed(spark, sf_dir):
-    return X.hashed_tfidf(B.documents(spark, sf_dir), num_features=20)
+    found = X.hashed_tfidf(B.documents(spark, sf_dir), num_features=HASH_BUCKETS)
+    return found.select("doc_id", F.transform("features", lambda x: grid_round(x)).alias("features"))
 
 
 def q_lr_predict(spark, sf_dir):

@@ -304,6 +304,10 @@ SELECT row_number() OVER (ORDER BY label) - 1 AS id, label FROM t""",
 SELECT r.id, v.label, round(r.rank * 1048576.0) / 1048576.0 AS rank FROM r{it} r JOIN v USING (id)
 ORDER BY round(r.rank * 1048576.0) / 1048576.0 DESC, v.label LIMIT 5""",
     }
+    # the triple graph has no cycles, so the ranks are exact after as many rounds as its longest path
+    out["graph_pagerank_tol"] = pr + f"""
+SELECT r.id, v.label, round(r.rank * (SELECT count(*) / sum(rank) FROM r{it}) * 1048576.0) / 1048576.0 AS rank
+FROM r{it} r JOIN v USING (id)"""
     sg = _graph_ctes(SUPPLY_CTE)
     out["graph_supply_components"] = sg + ",\n" + _components("e")
     out["graph_supply_pagerank"] = sg + ",\n" + _pagerank_ctes(it) + f"""
@@ -317,10 +321,46 @@ _RX = r"list_filter(string_split_regex(lower(text), '\W'), lambda x: x <> '')"
 _GRID = 1048576.0
 
 
+_JAVA_WS = r"[ \t\n\x0B\f\r]"
+_WORD = 4294967296  # arithmetic modulo 2**32
+
+
+def _rotl(x: str, bits: int) -> str:
+    return f"((({x}) << {bits}) | (({x}) >> {32 - bits})) % {_WORD}"
+
+
+def _hashed_tfidf_sql(buckets: int) -> str:
+    """Bucketed TF-IDF: MurmurHash3 (32 bit, seed 42) of a term's UTF-8 bytes, non-negative remainder."""
+    mixed = "list_transform(list_transform(list_transform({0}, lambda x: x * 3432918353 % {1}), lambda x: {2}), lambda x: x * 461845907 % {1})"
+    mix = lambda blocks: mixed.format(blocks, _WORD, _rotl("x", 15))
+    byte = lambda at: f"substr(h, {at}, 2)"
+    block = "('0x' || " + " || ".join(byte(f"8 * i + {at}") for at in (7, 5, 3, 1)) + ")::UBIGINT"
+    tail = "('0x0' || " + " || ".join(byte(f"8 * (n // 4) + {at}") for at in (5, 3, 1)) + ")::UBIGINT"
+    return f"""WITH toks AS (
+  SELECT doc_id, unnest(CASE WHEN text <> '' AND bare = '' THEN [] ELSE string_split_regex(bare, '{_JAVA_WS}') END) AS term
+  FROM (SELECT doc_id, text, regexp_replace(lower(text), '{_JAVA_WS}+$', '') AS bare FROM documents)),
+hx AS (SELECT term, hex(encode(term)) AS h, octet_length(encode(term)) AS n FROM (SELECT DISTINCT term FROM toks)),
+ks AS (SELECT term, n, {mix(f"list_transform(range(0, n // 4), lambda i: {block})")} AS body, {mix(f"[{tail}]")}[1] AS rest FROM hx),
+h1 AS (SELECT term, xor(xor(list_reduce(list_prepend(42::UBIGINT, body),
+         lambda a, k: (({_rotl("xor(a, k)", 13)}) * 5 + 3864292196) % {_WORD}), rest), n::UBIGINT) AS a FROM ks),
+h2 AS (SELECT term, xor(a, a >> 16) * 2246822507 % {_WORD} AS a FROM h1),
+h3 AS (SELECT term, xor(a, a >> 13) * 3266489909 % {_WORD} AS a FROM h2),
+h4 AS (SELECT term, xor(a, a >> 16)::BIGINT AS a FROM h3),
+b AS (SELECT term, ((CASE WHEN a >= 2147483648 THEN a - {_WORD} ELSE a END) % {buckets} + {buckets}) % {buckets} AS b FROM h4),
+tf AS (SELECT doc_id, b, count(*) AS tf FROM toks JOIN b USING (term) GROUP BY doc_id, b),
+df AS (SELECT b, count(*) AS df FROM tf GROUP BY b),
+n AS (SELECT count(*)::DOUBLE AS n FROM documents),
+v AS (SELECT doc_id, b, round(tf * ln((n + 1.0) / (df::DOUBLE + 1.0)) * {_GRID}) / {_GRID} AS v FROM tf JOIN df USING (b), n)
+SELECT d.doc_id, list(coalesce(v.v, 0.0::DOUBLE) ORDER BY g.b) AS features
+FROM documents d CROSS JOIN (SELECT unnest(range({buckets})) AS b) g LEFT JOIN v ON v.doc_id = d.doc_id AND v.b = g.b
+GROUP BY d.doc_id"""
+
+
 def text_sql() -> dict[str, str]:
     return {
         "tokens_ws": f"SELECT doc_id, {_WS} AS tokens FROM documents",
         "tokens_regex": f"SELECT doc_id, {_RX} AS tokens FROM documents",
+        "tfidf_hashed": _hashed_tfidf_sql(20),
         "token_counts": f"SELECT doc_id, len({_WS})::INTEGER AS n_ws, len({_RX})::INTEGER AS n_regex FROM documents",
         "tfidf_terms": f"""WITH toks AS (SELECT doc_id, unnest({_WS}) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),

@@ -45,7 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative operators need a shared checkpoint folder on a cluster")
     path = tempfile.mkdtemp(prefix="ruleweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

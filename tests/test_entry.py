@@ -29,12 +29,13 @@ def test_registry_consistent():
     assert set(o) <= set(q)
     assert len(q) >= 48
     missing = {k for k in set(q) - set(o) if k in catalog_queries()}
-    assert missing == {"graph_pagerank_tol", "tfidf_hashed", "lr_predict"}
+    assert missing == {"lr_predict"}
 
 
 @pytest.mark.parametrize("name", ["rules_topk", "rules_cover_pos", "top_concepts", "taxo_closure", "nt_parse",
                                   "graph_components", "graph_pagerank", "tfidf_terms", "set_except", "nt_count",
-                                  "rules_cover_all", "graph_order_line_vertices", "distinct_values", "top_typed_subjects"])
+                                  "rules_cover_all", "graph_order_line_vertices", "distinct_values", "top_typed_subjects",
+                                  "graph_pagerank_tol", "tfidf_hashed", "rules_mine_full", "rules_mine_mapped_top"])
 def test_oracle_small(spark, name):
     con = duck(SF_SMALL)
     df = entry_mod.queries()[name](spark, SF_SMALL)
