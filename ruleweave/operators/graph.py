@@ -107,7 +107,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
                        F.struct(F.col("b").alias("id"), F.col("a").alias("comp")))
         hook, n_ids = materialize(e.select(F.inline(ends)).groupBy("id").agg(F.min("comp").alias("comp")))
         small = n_ids <= broadcast_rows
-        label, _ = materialize(_jump(_jump(hook, lookup_small=small, **kw), lookup_small=small, **kw))
+        label = cut_lineage(_jump(_jump(hook, lookup_small=small, **kw), lookup_small=small, **kw))
         maps.append((label, small))
         for end in ("a", "b"):
             side = label.select(F.col("id").alias("_i"), F.col("comp").alias(f"_{end}"))
@@ -116,7 +116,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     last = None
     for label, small in reversed(maps):
         # a label without edges in the later rounds is final
-        last = ((label if last is None else materialize(_relabel(label, *last, **kw))[0]), small)
+        last = ((label if last is None else cut_lineage(_relabel(label, *last, **kw))), small)
     ids = vertices.select("id", F.col("id").alias("comp"))
     out = ids if last is None else _relabel(ids, *last, **kw)
     return out.select("id", F.col("comp").alias("component"))
@@ -174,7 +174,7 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
     ids, n_v = materialize(vertices.select("id"))
     small = n_v <= broadcast_rows
     kw = dict(broadcast_rows=broadcast_rows, chunk_rows=chunk_rows)
-    wd, _ = materialize(_weighted_edges(edges, lookup_small=small, **kw))
+    wd = cut_lineage(_weighted_edges(edges, lookup_small=small, **kw))
     w = hot = None
     if small:
         w = wd.drop("_d")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.functions.iri import RDFS_SUBCLASS_OF, local_name
-from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, is_small, materialize
+from ruleweave.operators.sizing import cut_lineage, materialize
 from ruleweave.operators.skew import lookup_join_many
 
 
@@ -71,12 +71,11 @@ def closure(edges: DataFrame, include_self: bool = False, max_rounds: int | None
     enough raises.
     """
     # the edges are read once (their source may be an expensive parse)
-    edges, _ = materialize(edges.select("k", "child", "parent").distinct())
-    parents, n_parents = materialize(edges.select("k", F.col("parent").alias("child")).distinct())
-    parents = F.broadcast(parents) if n_parents <= DEFAULT_BROADCAST_ROWS and is_small(parents) else parents
+    edges = cut_lineage(edges.select("k", "child", "parent").distinct())
+    parents = edges.select("k", F.col("parent").alias("child")).distinct()
     as_pair = ["k", F.col("parent").alias("anc"), F.col("child").alias("leaf"), F.lit(1).alias("depth")]
-    pairs, n = materialize(edges.join(parents, ["k", "child"], "left_semi").select(*as_pair))
-    fresh, n_new = pairs, n
+    pairs, n_new = materialize(edges.join(parents, ["k", "child"], "left_semi").select(*as_pair))
+    fresh = pairs
     for rnd in itertools.count():
         if n_new == 0:
             break
@@ -84,16 +83,14 @@ def closure(edges: DataFrame, include_self: bool = False, max_rounds: int | None
             raise RuntimeError(f"the closure is not done after {max_rounds} rounds")
         left = fresh.select("k", "anc", F.col("leaf").alias("_mid"), F.col("depth").alias("_d1"))
         right = pairs.select("k", F.col("anc").alias("_mid"), "leaf", F.col("depth").alias("_d2"))
-        if n <= DEFAULT_BROADCAST_ROWS and is_small(right):
-            right = F.broadcast(right)
         longer = (
             left.join(right, ["k", "_mid"])
             .groupBy("k", "anc", "leaf").agg(F.min(F.col("_d1") + F.col("_d2")).alias("depth"))
             .join(pairs.select("k", "anc", "leaf"), ["k", "anc", "leaf"], "left_anti")
         )
         fresh, n_new = materialize(longer)
-        # a union of written pieces: lineage stays shallow without a rewrite
-        pairs, n = pairs.unionByName(fresh), n + n_new
+        # a union of written pieces: lineage stays shallow without a rewrite, and file sizes tell the planner what to broadcast
+        pairs = pairs.unionByName(fresh)
     leaves = edges.join(parents, ["k", "child"], "left_anti")
     above = pairs.groupBy("k", F.col("leaf").alias("parent")).agg(F.collect_list(F.struct("anc", "depth")).alias("_up"))
     one = F.array(F.struct(F.col("parent").alias("anc"), F.lit(0).alias("depth")))
@@ -130,11 +127,11 @@ def ancestor_sets(edges: DataFrame, top: str = "Thing", closure_df: DataFrame |
         clo.filter(F.col("anc") == top).select("k", F.col("leaf").alias("value"))
     )
     pairs = clo.join(under_top.withColumnRenamed("value", "anc"), ["k", "anc"], "left_semi")
-    return materialize(
+    return cut_lineage(
         pairs.join(under_top.withColumnRenamed("value", "leaf"), ["k", "leaf"], "left_semi")
         .groupBy("k", F.col("leaf").alias("value"))
         .agg(F.sort_array(F.collect_set("anc")).alias("ancs"))
-    )[0]
+    )
 
 
 def uri_dictionary(triples: DataFrame) -> DataFrame:

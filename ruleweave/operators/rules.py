@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.operators.hierarchy import ancestor_sets
-from ruleweave.operators.sizing import broadcast_if_small, cut_lineage, materialize, small_parts
+from ruleweave.operators.sizing import broadcast_if_small, cut_lineage, small_parts
 from ruleweave.operators.skew import hot_keys, lookup_join, lookup_join_many
 
 RULE_PREFIX = "c"
@@ -199,9 +199,7 @@ def restrict_ancestors(ancestors: DataFrame, keep: DataFrame) -> DataFrame:
     """
     ex = ancestors.select("k", "value", F.explode("ancs").alias("concept"))
     kept = ex.join(broadcast_if_small(keep.select("k", "concept").distinct()), ["k", "concept"], "left_semi")
-    return materialize(
-        kept.groupBy("k", "value").agg(F.array_sort(F.collect_list("concept")).alias("ancs"))
-    )[0]
+    return cut_lineage(kept.groupBy("k", "value").agg(F.array_sort(F.collect_list("concept")).alias("ancs")))
 
 
 def _counted(facts: DataFrame, spec: MiningSpec) -> DataFrame:

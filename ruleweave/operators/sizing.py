@@ -63,23 +63,23 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """Write ``df`` once as Parquet into the shared checkpoint folder and return it read back, with its row count.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet into the shared checkpoint folder and return it read back.
 
-    The count comes from the written files' footers.  Readers never recompute
-    ``df`` and survive lost executors.  Partitions and their order are not kept:
-    what depends on them must be a column.
+    Readers never recompute ``df`` and survive lost executors, and the planner
+    knows the size of the files.  Partitions and their order are not kept: what
+    depends on them must be a column.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    return back, back.count()
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (see :func:`materialize`)."""
-    return materialize(df)[0]
+def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """:func:`cut_lineage` with the row count, from the written files' footers."""
+    back = cut_lineage(df)
+    return back, back.count()
 
 
 def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
