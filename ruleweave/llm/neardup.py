@@ -5,9 +5,12 @@ Sketch: k-mers are runs of five words, labelled with their occurrence number in
 they stand in the text, so equal sketches need common k-mers *in common order*; this follows edit
 similarity.  Texts that share a sketch and a length class are a bucket.
 
-Search: in every bucket all members are compared with its leader (the smallest node), so a bucket costs as
-many comparisons as it has members.  Members in the leader's class then leave, the others choose a new leader,
-and so on; the search ends when a whole round over all buckets joins no classes any more.
+Search: first rounds that join large groups cheaply: in every bucket all members are compared with its leader
+(the smallest node), members in the leader's class then leave, the others choose a new leader, and so on until a
+round finds no link.  Then every pair that has a bucket in common, is in two classes and was not compared yet
+is compared, however large the bucket (:func:`remaining_pairs`), unless a bound proves it too far: large buckets
+are subdivided by the words that near texts must have in common (:func:`subdivided`), and bags of words are
+compared before texts (:func:`plausible`).  So the classes do not depend on where the rounds end.
 
 Verification: edit similarity of the word sequences, ``1 - distance / longer length``, at least ``similarity``; the
 distance comes from a bit-parallel alignment inside the band that this threshold allows.  Classes are the
@@ -21,7 +24,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.llm.common import map_slices, written
@@ -31,6 +34,12 @@ K = 5
 SIMILARITY = 0.8
 SKETCHES = 24
 PICKS = 2
+#: Cells of a text's bag of hashed words, and classes of a bucket that are paired in one group.
+BAG = 256
+BLOCK = 256
+#: Buckets of more classes are subdivided by rare words, whose frequency is counted in so many cells.
+CROWD = 32
+CELLS = 1 << 18
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MASK = (1 << 64) - 1
 
@@ -113,23 +122,30 @@ def sketch(grams: np.ndarray, seed: np.ndarray, picks: int = PICKS) -> np.ndarra
     return out
 
 
+def bag(hashes: np.ndarray) -> bytes:
+    """Counts of hashed words in ``BAG`` cells, 255 at most."""
+    return np.minimum(np.bincount((hashes % np.uint64(BAG)).astype(np.int64), minlength=BAG), 255).astype(np.uint8).tobytes()
+
+
 def sketched(docs: DataFrame, sketches: int = SKETCHES, picks: int = PICKS, k: int = K) -> DataFrame:
-    """``<node, n_words, sketch>`` per distinct text; texts never shuffle, and sketches of copies combine before they do."""
+    """``<node, n_words, sketch, bag>`` per distinct text; texts never shuffle, and sketches of copies combine before they do."""
     def make():
         hasher, seed = Hasher(), seeds(sketches)
 
         def fn(nodes, texts):
-            n, out = [], []
+            n, out, bags = [], [], []
             for t in texts:
                 ws = words_of(t)
+                hashes = hasher(ws)
                 n.append(len(ws))
-                out.append(sketch(kmers(hasher(ws), k), seed, picks).view(np.int64).tolist() if ws else [])
-            return [nodes, n, out]
+                out.append(sketch(kmers(hashes, k), seed, picks).view(np.int64).tolist() if ws else [])
+                bags.append(bag(hashes))
+            return [nodes, n, out, bags]
 
         return fn
 
-    each = map_slices(docs.select("node", "text"), make, "node bigint, n_words int, sketch array<bigint>")
-    return each.groupBy("node").agg(F.first("n_words").alias("n_words"), F.first("sketch").alias("sketch"))
+    each = map_slices(docs.select("node", "text"), make, "node bigint, n_words int, sketch array<bigint>, bag binary")
+    return each.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n_words", "sketch", "bag")])
 
 
 def buckets(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -209,6 +225,31 @@ def edit_similarity(a: list, b: list, least: float = SIMILARITY) -> float | None
     return None if d > limit else 1 - d / n
 
 
+def plausible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose bags of hashed words do not rule the similarity out.
+
+    One edit takes away or adds one word at most on each side, so the words that one bag has more than the other, cell
+    by cell, bound the distance from below; cells that are full only lower the bound.
+    """
+    left = nodes.select(F.col("node").alias("a"), F.col("n_words").alias("na"), F.col("bag").alias("ba"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n_words").alias("nb"), F.col("bag").alias("bb"))
+
+    def make():
+        def fn(a, b, na, nb, ba, bb):
+            more = np.frombuffer(b"".join(ba), np.uint8).reshape(-1, BAG).astype(np.int64)
+            more = more - np.frombuffer(b"".join(bb), np.uint8).reshape(-1, BAG)
+            only_a = np.maximum(more, 0).sum(1)
+            least = np.maximum(only_a, only_a - more.sum(1))
+            limit = ((1 - similarity) * np.maximum(na, nb) + 1e-9).astype(np.int64)
+            keep = np.flatnonzero(least <= limit).tolist()
+            return [[a[i] for i in keep], [b[i] for i in keep]]
+
+        return fn
+
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ba", "bb")
+    return map_slices(both, make, "a bigint, b bigint")
+
+
 def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs ``<a, b>`` of nodes whose texts are similar enough, with ``similarity``."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
@@ -242,6 +283,84 @@ def candidates(rest: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame
     return led, pairs
 
 
+def subdivided(members: DataFrame, texts: DataFrame, similarity: float, crowd: int = CROWD) -> DataFrame:
+    """``members`` with buckets of more than ``crowd`` classes cut into smaller ones that keep every pair similar enough together.
+
+    Edits change at most ``d = (1 - similarity) * n`` of the ``n`` words of the longer text, so of two such texts'
+    words, with occurrence numbers and in one common order, the first ``d + 1`` of each have one in common.  The order
+    is by frequency, the rarest first: each of these words is a bucket within the bucket.
+    """
+    crowded = members.groupBy("bucket", "cls").agg(F.min("node").alias("_lead")).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_lead").alias("_lead")).filter("_n > 1").select(
+        "bucket", F.when(F.col("_n") > crowd, F.col("_lead")).alias("_lead"))
+    members = written(members.join(crowded, "bucket"), "members")
+    # the large buckets of one smallest node overlap: their members are cut as one
+    large = members.filter("_lead is not null").select(F.col("_lead").alias("bucket"), "node", "n_words", "cls").distinct()
+    used = texts.join(large.select("node").distinct(), "node", "left_semi")
+
+    def make_counts():
+        hasher = Hasher()
+
+        def fn(nodes, of):
+            cells, n = np.unique(np.concatenate([kmers(hasher(words_of(t)), 1) for t in of]) % np.uint64(CELLS), return_counts=True)
+            return [cells.astype(np.int64).tolist(), n.tolist()]
+
+        return fn
+
+    count = map_slices(used.select("node", "text"), make_counts, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    frequency = np.zeros(CELLS, np.int64)
+    for r in count.collect():
+        frequency[r.cell] = r.n
+    shared = texts.sparkSession.sparkContext.broadcast(frequency)
+
+    def make_rare():
+        hasher = Hasher()
+
+        def rare(text):
+            tokens = kmers(hasher(words_of(text)), 1)
+            order = np.lexsort((tokens, shared.value[tokens % np.uint64(CELLS)]))
+            return tokens[order[:int((1 - similarity) * len(tokens) + 1e-9) + 1]].view(np.int64).tolist()
+
+        return lambda nodes, of: [nodes, [rare(t) for t in of]]
+
+    rare = map_slices(used.select("node", "text"), make_rare, "node bigint, rare array<bigint>")
+    cut = large.join(rare, "node").select("bucket", "node", "n_words", "cls", F.explode("rare").alias("_w")).select(
+        F.xxhash64("bucket", "_w").alias("bucket"), "node", "n_words", "cls")
+    own = Window.partitionBy("bucket")
+    cut = cut.withColumn("_mixed", F.min("cls").over(own) < F.max("cls").over(own)).filter("_mixed").drop("_mixed")
+    return members.filter("_lead is null").select("bucket", "node", "n_words", "cls").unionByName(written(cut, "members"))
+
+
+def remaining_pairs(members: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """Pairs ``<a, b>``, a < b, of ``members`` ``<bucket, node, n_words, cls>`` that share a bucket, are of two classes and have lengths that the threshold allows.
+
+    The classes of a bucket are paired, then the members of two classes, so a large class costs as many rows as it
+    has members.  A bucket of more than ``block`` classes is dealt into blocks, every two of which meet as a group of their own.
+    """
+    far = lambda n, m: n < similarity * m
+    groups = members.groupBy("bucket", "cls").agg(F.min("n_words").alias("least"), F.max("n_words").alias("most"))
+    mixed = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(
+        "bucket", F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
+    groups = groups.join(mixed, "bucket").withColumn("_x", F.pmod(F.xxhash64("cls", F.lit(2)), F.col("_blocks")).cast("int"))
+    one = groups.select("bucket", F.col("_x").alias("lo"), F.explode(F.sequence("_x", F.col("_blocks") - 1)).alias("hi"),
+                        F.col("cls").alias("c1"), F.col("least").alias("l1"), F.col("most").alias("m1"))
+    two = groups.select("bucket", F.explode(F.sequence(F.lit(0), "_x")).alias("lo"), F.col("_x").alias("hi"),
+                        F.col("cls").alias("c2"), F.col("least").alias("l2"), F.col("most").alias("m2"))
+    classes = one.join(two, ["bucket", "lo", "hi"]).filter(
+        ((F.col("lo") < F.col("hi")) | (F.col("c1") < F.col("c2")))
+        & ~far(F.col("m1"), F.col("l2")) & ~far(F.col("m2"), F.col("l1"))).select("bucket", "c1", "c2")
+    first = members.select("bucket", F.col("cls").alias("c1"), F.col("node").alias("x"), F.col("n_words").alias("nx"))
+    second = members.select("bucket", F.col("cls").alias("c2"), F.col("node").alias("y"), F.col("n_words").alias("ny"))
+    pairs = classes.join(first, ["bucket", "c1"]).join(second, ["bucket", "c2"]).filter(
+        ~far(F.col("nx"), F.col("ny")) & ~far(F.col("ny"), F.col("nx")))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def linked_classes(links: DataFrame) -> DataFrame:
+    ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return written(connected_components(ends, links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "classes")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
                     sketches: int = SKETCHES, picks: int = PICKS) -> DataFrame:
     """``<id, class_id, n_links, node>``, one row per input row.
@@ -256,8 +375,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = written(sketched(base, sketches, picks), "sketches")
     rest = buckets(nodes, similarity)
     shared = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
-    rest = written(rest.join(shared, "bucket").withColumn("cls", F.col("node")), "buckets")
-    texts = written(base.join(rest.select("node").distinct().hint("shuffle_hash"), "node", "left_semi")
+    members = written(rest.join(shared, "bucket"), "buckets")
+    rest = members.withColumn("cls", F.col("node"))
+    texts = written(base.join(members.select("node").distinct().hint("shuffle_hash"), "node", "left_semi")
                     .groupBy("node").agg(F.first("text").alias("text")), "texts")
     links = tested = classes = None
     while True:
@@ -270,8 +390,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
-        ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        classes = written(connected_components(ends, links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "classes")
+        classes = linked_classes(links)
         # leaders and members of their classes leave
         now = led.select("bucket", "node", "n_words", "lead").join(
             classes.select(F.col("id").alias("node"), "component"), "node", "left").join(
@@ -279,6 +398,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rest = written(now.withColumn("cls", F.coalesce("component", "node"))
                        .filter(F.col("cls") != F.coalesce("_lc", F.col("lead.node")))
                        .select("bucket", "node", "n_words", "cls"), "buckets")
+    # pairs that no leader stood between
+    known = (members.withColumn("cls", F.col("node")) if classes is None else
+             members.join(classes.select(F.col("id").alias("node"), "component"), "node", "left")
+             .select("bucket", "node", "n_words", F.coalesce("component", "node").alias("cls")))
+    pairs = remaining_pairs(subdivided(known, texts, similarity), similarity).join(tested, ["a", "b"], "left_anti")
+    found = written(verify(plausible(pairs, nodes, similarity), texts, similarity), "links")
+    if not found.isEmpty():
+        links = found if links is None else links.unionByName(found)
+        classes = linked_classes(links)
     rows = base.select("id", "node")
     if links is None:
         label = rows.withColumn("cls", F.col("node")).withColumn("n_links", F.lit(0).cast("long"))

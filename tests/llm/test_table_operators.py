@@ -348,6 +348,81 @@ def test_near_duplicate_query(spark):
     assert {i: root(i) for i in words} == got
 
 
+def template_family(rng):
+    """Texts on one template, under 0.8 to each other, and planted pairs of them at about 0.87."""
+    vocabulary = [f"t{i}" for i in range(6000)]
+    template = [rng.choice(vocabulary) for _ in range(210)]
+    texts, planted = [], []
+    for i in range(60):
+        own = [rng.choice(vocabulary) for _ in range(90)]
+        texts.append(template[:105] + own + template[105:])
+        if i % 3 == 0:
+            copy = list(texts[-1])
+            for at in range(105, 195, 2):
+                copy[at] = rng.choice(vocabulary)
+            planted.append((len(texts) - 1, len(texts)))
+            texts.append(copy)
+    return texts, planted
+
+
+def test_pairs_under_a_template_are_found(spark, monkeypatch):
+    """Every pair that shares a sketch is compared, also where all leaders are too far from both."""
+    texts, planted = template_family(random.Random(8))
+    hasher, seed = neardup.Hasher(), neardup.seeds(neardup.SKETCHES)
+    sketches = [set(enumerate(neardup.sketch(neardup.kmers(hasher(ws)), seed).tolist())) for ws in texts]
+    linked = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2)
+              if sketches[a] & sketches[b] and neardup.edit_similarity(texts[a], texts[b]) is not None}
+    assert linked == set(planted)
+    docs = documents(spark, [(i, " ".join(ws), "en") for i, ws in enumerate(texts)])
+    want = list(range(len(texts)))
+    for a, b in planted:
+        want[b] = a
+    for block, crowd in ((neardup.BLOCK, neardup.CROWD), (7, 1000)):  # subdivided buckets, and whole ones in several blocks
+        monkeypatch.setattr(neardup.remaining_pairs, "__defaults__", (block,))
+        monkeypatch.setattr(neardup.subdivided, "__defaults__", (crowd,))
+        got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
+def test_rare_words_keep_links_together(spark):
+    """Without sketches: in one bucket of all texts every pair similar enough shares a smaller bucket."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+    rows = []
+    for i in range(60):
+        a = [rng.choice("abcdefghijklmnopqrst") * rng.randint(1, 3) for _ in range(rng.randint(1, 80))]
+        b = [w if rng.random() > 0.17 else "new" for w in a]
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    words = {i: neardup.words_of(t) for i, t in rows}
+    texts = spark.createDataFrame(rows, "node long, text string")
+    members = spark.createDataFrame([(1, i, len(ws), i) for i, ws in words.items()], "bucket long, node long, n_words int, cls long")
+    near = {p for p in itertools.combinations(sorted(words), 2) if neardup.edit_similarity(words[p[0]], words[p[1]]) is not None}
+    assert len(near) >= 20
+    cut = neardup.subdivided(members, texts, 0.8)
+    got = {(r.a, r.b) for r in neardup.remaining_pairs(cut, 0.8).collect()}
+    assert near <= got
+    # a class is not paired with itself, and large classes lose no pair with others
+    joined = cut.withColumn("cls", F.col("node") % 3)
+    got = {(r.a, r.b) for r in neardup.remaining_pairs(joined, 0.8).collect()}
+    assert {p for p in near if p[0] % 3 != p[1] % 3} <= got and all(a % 3 != b % 3 for a, b in got)
+
+
+def test_bags_rule_out_no_link(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(200):
+        a = [rng.choice("abcdefghij") * rng.randint(1, 40) for _ in range(rng.randint(1, 600))]
+        b = [w for w in a if rng.random() > 0.1] or a
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b[:-1] + ["z"]))]
+    nodes = neardup.sketched(spark.createDataFrame(rows, "node long, text string"))
+    pairs = spark.createDataFrame([(2 * i, j) for i in range(200) for j in (2 * i + 1, (2 * i + 3) % 400)], "a long, b long")
+    words = {i: neardup.words_of(t) for i, t in rows}
+    kept = {(r.a, r.b) for r in neardup.plausible(pairs, nodes, 0.8).collect()}
+    every = {(r.a, r.b) for r in pairs.collect()}
+    assert {p for p in every if neardup.edit_similarity(words[p[0]], words[p[1]]) is not None} <= kept < every
+
+
 def test_near_duplicate_edges(spark):
     docs = documents(spark, EDGE)
     rows = neardup.near_duplicates(docs).collect()
