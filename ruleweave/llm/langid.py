@@ -291,12 +291,15 @@ def pair_expectation(emit: np.ndarray, post: np.ndarray, first: np.ndarray, tran
 
 
 def sample_rows(docs: DataFrame, rows_per_lang: int, max_chars: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, str]]:
-    """At most ``rows_per_lang`` labelled rows of each language, of at most ``max_chars`` characters, by a hash of the text."""
+    """At most ``rows_per_lang`` different labelled texts of each language, of at most ``max_chars`` characters, by a hash of the text."""
     fit = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= max_chars))
     fit = fit.select(F.col(text_col).alias("t"), F.col(lang_col).alias("y")).withColumn("h", F.xxhash64("t"))
-    first = Window.partitionBy("y").orderBy("h", "t")
-    picked = fit.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= rows_per_lang)
-    return sorted((r.t, r.y) for r in picked.select("t", "y").collect())
+    # copies are one row before the rank; the texts of the picked hashes are read again, so only hashes are dealt
+    each = fit.select("y", "h").distinct()
+    first = Window.partitionBy("y").orderBy("h")
+    picked = each.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= rows_per_lang).select("y", "h")
+    found = fit.join(F.broadcast(picked), ["y", "h"]).groupBy("y", "h").agg(F.min("t").alias("t"))
+    return sorted((r.t, r.y) for r in found.select("t", "y").collect())
 
 
 def held_out(id_col: str = "doc_id") -> "F.Column":

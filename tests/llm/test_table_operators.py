@@ -171,6 +171,21 @@ def test_prediction_ignores_other_columns(spark):
     assert {(r.doc_id % 2, r.lang_pred) for r in a} == {(1, "en"), (0, "de")}
 
 
+def test_copies_do_not_fill_the_sample(spark):
+    """A text of many copies, first by hash in its language, takes one place of the sample."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice("the cat dog of and house sees runs small green".split()) for _ in range(12)), "en") for i in range(60)]
+    rows += [(100 + i, " ".join(rng.choice("der hund katze das und haus sieht klein mit".split()) for _ in range(12)), "de") for i in range(60)]
+    docs = documents(spark, rows)
+    front = docs.filter("lang = 'en'").orderBy(F.xxhash64("text")).first().text
+    copied = docs.unionByName(documents(spark, [(1000 + i, front, "en") for i in range(50)]))
+    pick = lambda d: langid.sample_rows(d, 20, 6_000, "doc_id", "text", "lang")
+    assert pick(copied) == pick(docs)
+    assert len(set(pick(copied))) == len(pick(copied)) == 40
+
+
 def test_language_edges(spark):
     docs = documents(spark, EDGE)
     rows = langid.predict(docs, langid.fit(docs)).collect()
