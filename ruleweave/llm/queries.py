@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import ann, html_text, langid, nbest, neardup, packing, quality, secrets, token_counts, warc
+from ruleweave.llm import (ann, html_text, langid, nbest, neardup, packing, prefix_trie, quality, secrets, token_counts,
+                           warc)
 from ruleweave.llm.common import read_table
 
 BYTE_BPE = {"json_path": public_tokenizers.path("byte_bpe_50k.json"),
@@ -62,9 +63,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "position")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_packing, op3_secret_scan, op4_language_id, op5_html_text, op6_nbest_segmentation,
-    op7_token_counts, op8_quality_rules, op9_nearest_neighbours, op10_warc)}
+    op7_token_counts, op8_quality_rules, op9_nearest_neighbours, op10_warc, op11_prefix_trie)}
 
 ORACLE = {
     "op10_warc": r"""
@@ -86,5 +91,44 @@ SELECT page_id, payload_bytes, payload_digest,
        row_number() OVER (ORDER BY array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || rest,
                           coalesce(page_id % 31536000, 0), page_id NULLS FIRST) - 1 AS position
 FROM h LEFT JOIN f ON payload_digest = d AND payload_bytes >= 100
+""",
+    # crc32 is the driver's own choice of h; its 256 entries are made by rule
+    "op11_prefix_trie": r"""
+WITH RECURSIVE poly(i, step, v) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, step + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM poly WHERE step < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM poly WHERE step = 8),
+t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, length(coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc(conv_id, z, v) AS (
+  SELECT DISTINCT conv_id, 0, 4294967295::BIGINT FROM t
+  UNION ALL
+  SELECT conv_id, z + 1, xor(crc_table.t[(xor(v, ascii(substr(conv_id::VARCHAR, z + 1, 1))) & 255) + 1], v >> 8)
+  FROM crc, crc_table WHERE z < length(conv_id::VARCHAR)),
+h AS (SELECT conv_id, xor(v, 4294967295) % 6 AS h FROM crc WHERE z = length(conv_id::VARCHAR)),
+turns AS (
+  SELECT h.conv_id, t.pos, k, n FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 100 WHERE t.pos <= h
+  UNION ALL SELECT conv_id, t.pos, k, n FROM h JOIN t USING (conv_id) WHERE t.pos > h),
+placed AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS d, k, n FROM turns),
+path AS (
+  SELECT a.conv_id, a.d, a.n, string_agg(b.k, '' ORDER BY b.d) AS p
+  FROM placed a JOIN placed b ON a.conv_id = b.conv_id AND b.d <= a.d GROUP BY a.conv_id, a.d, a.n
+  UNION ALL SELECT conv_id, 0, 0, '' FROM h),
+node AS (SELECT p, d, max(n) AS n, min(conv_id) AS conv_id, count(*) AS n_convs FROM path GROUP BY p, d),
+kids AS (SELECT left(p, 32 * (d - 1)::INT) AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+sub AS (
+  SELECT u.p, sum((x.n_convs - 1) * x.n) AS saved, count(*) FILTER (WHERE k.p IS NULL) AS n_leaves
+  FROM node x LEFT JOIN kids k ON k.p = x.p JOIN path u ON u.conv_id = x.conv_id AND u.d <= x.d GROUP BY u.p),
+ended AS (
+  SELECT p, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(p, d) AS p FROM path GROUP BY conv_id) GROUP BY p)
+SELECT x.conv_id, x.d AS depth, CASE WHEN x.d > 0 THEN up.conv_id END AS parent_conv_id, x.n_convs,
+       coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM node x JOIN sub s ON s.p = x.p LEFT JOIN kids k ON k.p = x.p LEFT JOIN ended e ON e.p = x.p
+LEFT JOIN node up ON x.d > 0 AND up.p = left(x.p, 32 * (x.d - 1)::INT)
 """,
 }
