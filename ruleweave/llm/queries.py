@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import (ann, html_text, langid, nbest, neardup, packing, prefix_trie, quality, secrets, token_counts,
-                           warc)
+from ruleweave.llm import (ann, fingerprints, html_text, langid, nbest, neardup, packing, prefix_trie, quality, secrets,
+                           token_counts, warc)
 from ruleweave.llm.common import read_table
 
 BYTE_BPE = {"json_path": public_tokenizers.path("byte_bpe_50k.json"),
@@ -67,9 +67,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_packing, op3_secret_scan, op4_language_id, op5_html_text, op6_nbest_segmentation,
-    op7_token_counts, op8_quality_rules, op9_nearest_neighbours, op10_warc, op11_prefix_trie)}
+    op7_token_counts, op8_quality_rules, op9_nearest_neighbours, op10_warc, op11_prefix_trie,
+    op12_fingerprints)}
 
 ORACLE = {
     "op10_warc": r"""
