@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleweave.llm import (ann, fingerprints, html_text, langid, nbest, neardup, packing, prefix_trie, quality, secrets,
-                           token_counts, warc)
+from ruleweave.llm import (ann, fingerprints, html_text, langid, lexical, nbest, neardup, packing, prefix_trie, quality,
+                           secrets, token_counts, warc)
 from ruleweave.llm.common import read_table
 
 BYTE_BPE = {"json_path": public_tokenizers.path("byte_bpe_50k.json"),
@@ -71,10 +71,14 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "benchmark"), read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_packing, op3_secret_scan, op4_language_id, op5_html_text, op6_nbest_segmentation,
     op7_token_counts, op8_quality_rules, op9_nearest_neighbours, op10_warc, op11_prefix_trie,
-    op12_fingerprints)}
+    op12_fingerprints, op13_lexical_search)}
 
 ORACLE = {
     "op10_warc": r"""
@@ -135,5 +139,30 @@ SELECT x.conv_id, x.d AS depth, CASE WHEN x.d > 0 THEN up.conv_id END AS parent_
        sha256(coalesce(e.ids, '')) AS ends_sha256
 FROM node x JOIN sub s ON s.p = x.p LEFT JOIN kids k ON k.p = x.p LEFT JOIN ended e ON e.p = x.p
 LEFT JOIN node up ON x.d > 0 AND up.p = left(x.p, 32 * (x.d - 1)::INT)
+""",
+    "op13_lexical_search": r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(terms) AS term FROM item) GROUP BY 1, 2),
+total AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM doc WHERE len(terms) > 0),
+posting AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM doc)
+  WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2, 3),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM posting, total GROUP BY term),
+score AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weight USING (term) JOIN posting USING (term), total GROUP BY 1, 2),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM score WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """,
 }
