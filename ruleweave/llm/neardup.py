@@ -1,16 +1,16 @@
 """Near-duplicate classes by Order MinHash and banded alignment.
 
-Sketch: k-mers are runs of five words, labelled with their occurrence number in the text.  Each of
-``sketches`` hash functions picks the ``picks`` smallest labelled k-mers and keeps them in the order in which
-they stand in the text, so equal sketches need common k-mers *in common order*; this follows edit
-similarity.  Texts that share a sketch and a length class are a bucket.
-
-Search: first rounds that join large groups cheaply: in every bucket all members are compared with its leader
-(the smallest node), members in the leader's class then leave, the others choose a new leader, and so on until a
-round finds no link.  Then every pair that has a bucket in common, is in two classes and was not compared yet
-is compared, however large the bucket (:func:`remaining_pairs`), unless a bound proves it too far: large buckets
-are subdivided by the words that near texts must have in common (:func:`subdivided`), and bags of words are
-compared before texts (:func:`plausible`).  So the classes do not depend on where the rounds end.
+Sketch: k-mers are runs of words, labelled with their occurrence number in the text; five words, fewer in texts of less than 128
+words, where an edit would touch most runs of five (:func:`scheme`).  Each of the sketch's hash functions picks the ``PICKS``
+smallest labelled k-mers and keeps them in the order in which they stand in the text, so equal sketches need common
+k-mers *in common order*; this follows edit similarity.  Texts that share a sketch and a length class are a bucket.
+
+Search: first rounds that join large groups cheaply: in every bucket all members are compared with one leader, and linked
+classes merge; this goes on while a fair share of the pairs are links.  Then every bucket that still holds several classes is
+compared in groups of bounded size (:func:`grouped`): a task holds a group's members, rules pairs out by length and by bags of
+words, and aligns the rest unless they are already in one class.  Only members that may have a partner bring their
+texts, and only links leave the task: no pairs are written.  Members of a bucket's largest class meet the bucket's other
+members only, and a pair with several common buckets is compared in one of them.  So the classes do not depend on where the rounds end.
 
 Verification: edit similarity of the word sequences, ``1 - distance / longer length``, at least ``similarity``; the
 distance comes from a bit-parallel alignment inside the band that this threshold allows.  Classes are the
@@ -22,24 +22,32 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ruleweave.llm.common import map_slices, written
+from ruleweave.llm.common import map_slices, share_code, written
 from ruleweave.operators.graph import connected_components
+from ruleweave.operators.skew import lookup_join
 
 K = 5
 SIMILARITY = 0.8
-SKETCHES = 24
+SKETCHES = 64
 PICKS = 2
-#: Cells of a text's bag of hashed words, and classes of a bucket that are paired in one group.
+#: Cells of a text's bag of hashed words: at least, and at most for long texts.
 BAG = 256
-BLOCK = 256
-#: Buckets of more classes are subdivided by rare words, whose frequency is counted in so many cells.
-CROWD = 32
-CELLS = 1 << 18
+BAG_MOST = 4096
+#: Members and words of a group that is compared in one task, about, and members compared with a leader in one go.
+GROUP = 1024
+GROUP_WORDS = 1 << 20
+LED = 256
+#: Rounds with leaders go on while this share of the compared pairs are links.
+YIELD = 0.2
+#: Members of a bucket from which it counts as hot.
+HOT = 100_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MASK = (1 << 64) - 1
 
@@ -109,58 +117,87 @@ def sketch(grams: np.ndarray, seed: np.ndarray, picks: int = PICKS) -> np.ndarra
     """One 64-bit value per hash function: its ``picks`` smallest k-mers, in text order."""
     picks = min(picks, len(grams))
     out = np.empty(len(seed), np.uint64)
-    for lo in range(0, len(seed), 8):  # a few functions at a time bound the memory of long texts
-        s = seed[lo:lo + 8]
+    step = max(1, 1 << 16 >> len(grams).bit_length())
+    for lo in range(0, len(seed), step):  # a few functions at a time bound the memory of long texts
+        s = seed[lo:lo + step]
         h = (grams[None, :] ^ (s[:, None] << np.uint64(1))) * s[:, None]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0x9E3779B97F4A7C15)
-        at = np.sort(np.argpartition(h, picks - 1, axis=1)[:, :picks], axis=1)
+        at, rows = np.empty((len(s), picks), np.int64), np.arange(len(s))
+        for c in range(picks):
+            at[:, c] = least = h.argmin(1)
+            h[rows, least] = np.uint64(MASK)
+        at.sort(1)
         v = s.copy()
         for c in range(picks):
             v = _mix(v + grams[at[:, c]])
-        out[lo:lo + 8] = v
+        out[lo:lo + step] = v
     return out
 
 
+def scheme(length_class: int, sketches: int = SKETCHES, k: int = K) -> tuple[int, int]:
+    """Words of a k-mer and sketches for texts of ``2^length_class`` words and more.
+
+    With a fifth of the words replaced at random a run of five survives with probability 0.33; in short texts few or none do, so
+    they take runs of two (under 32 words) or three (under 128), of which half as many sketches find as much.
+    """
+    if length_class >= 7:
+        return k, sketches
+    return min(k, 3 if length_class >= 5 else 2), sketches // 2
+
+
 def bag(hashes: np.ndarray) -> bytes:
-    """Counts of hashed words in ``BAG`` cells, 255 at most."""
-    return np.minimum(np.bincount((hashes % np.uint64(BAG)).astype(np.int64), minlength=BAG), 255).astype(np.uint8).tobytes()
+    """Counts of hashed words, 255 at most, in a number of cells that follows the length."""
+    cells = BAG
+    while cells < min(len(hashes) // 2, BAG_MOST):
+        cells *= 4
+    return np.minimum(np.bincount((hashes % np.uint64(cells)).astype(np.int64), minlength=cells), 255).astype(np.uint8).tobytes()
+
+
+def length_classes(n: int, similarity: float) -> list[int]:
+    """A class spans a doubling of the length; a text so short within its class that it may match one of the class below is in both."""
+    c = n.bit_length() - 1
+    return [c, c - 1] if c and n * similarity < 1 << c else [c]
 
 
-def sketched(docs: DataFrame, sketches: int = SKETCHES, picks: int = PICKS, k: int = K) -> DataFrame:
-    """``<node, n_words, sketch, bag>`` per distinct text; texts never shuffle, and sketches of copies combine before they do."""
+def text_buckets(hashes: np.ndarray, seed: np.ndarray, similarity: float = SIMILARITY, picks: int = PICKS, k: int = K) -> np.ndarray:
+    """The buckets of a text from the hashes of its words: one per sketch and length class."""
+    found = []
+    for c in length_classes(len(hashes), similarity):
+        width, many = scheme(c, len(seed), k)
+        found.append(_mix(sketch(kmers(hashes, width), seed[:many], picks) + np.uint64(c)))
+    return np.concatenate(found)
+
+
+def buckets(texts: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, picks: int = PICKS, k: int = K) -> DataFrame:
+    """``<bucket, node, n_words>``: one row per sketch and length class of every text with words."""
     def make():
         hasher, seed = Hasher(), seeds(sketches)
 
-        def fn(nodes, texts):
-            n, out, bags = [], [], []
-            for t in texts:
+        def fn(nodes, of):
+            out = [[], [], []]
+            for node, t in zip(nodes, of):
                 ws = words_of(t)
-                hashes = hasher(ws)
-                n.append(len(ws))
-                out.append(sketch(kmers(hashes, k), seed, picks).view(np.int64).tolist() if ws else [])
-                bags.append(bag(hashes))
-            return [nodes, n, out, bags]
+                if not ws:
+                    continue
+                out[0].append(node)
+                out[1].append(len(ws))
+                out[2].append(text_buckets(hasher(ws), seed, similarity, picks, k).view(np.int64))
+            return out
 
         return fn
 
-    each = map_slices(docs.select("node", "text"), make, "node bigint, n_words int, sketch array<bigint>, bag binary")
-    return each.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n_words", "sketch", "bag")])
+    each = map_slices(texts.select("node", "text"), make, "node bigint, n_words int, sketch array<bigint>")
+    return each.select(F.explode("sketch").alias("bucket"), "node", "n_words")
 
 
-def buckets(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``<bucket, node, n_words>``: one row per sketch and length class.
+def bags(texts: DataFrame) -> DataFrame:
+    """``<node, bag>``."""
+    def make():
+        hasher = Hasher()
+        return lambda nodes, of: [nodes, [bag(hasher(words_of(t))) for t in of]]
 
-    A class spans a doubling of the length; a text so short within its class that it may match one
-    of the class below is in both, so no pair that the threshold allows is separated.
-    """
-    n = F.col("n_words").cast("double")
-    cls = F.floor(F.log2(n))
-    classes = F.when(n * similarity < F.pow(F.lit(2.0), cls), F.array(cls, cls - 1)).otherwise(F.array(cls))
-    return (nodes.filter("n_words > 0")
-            .select("node", "n_words", F.posexplode("sketch").alias("i", "s"), classes.alias("_c"))
-            .select("node", "n_words", "i", "s", F.explode("_c").alias("c"))
-            .select(F.xxhash64("i", "s", "c").alias("bucket"), "node", "n_words"))
+    return map_slices(texts.select("node", "text"), make, "node bigint, bag binary")
 
 
 # ---- alignment -------------------------------------------------------------------------------------------------
@@ -225,207 +262,318 @@ def edit_similarity(a: list, b: list, least: float = SIMILARITY) -> float | None
     return None if d > limit else 1 - d / n
 
 
-def plausible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose bags of hashed words do not rule the similarity out.
+def unfolded(raw: list[bytes]) -> np.ndarray:
+    """Bags as rows of one matrix; cells of larger bags are added up to the smallest one's number."""
+    cells = min(map(len, raw))
+    return np.stack([np.frombuffer(r, np.uint8).reshape(-1, cells).sum(0, dtype=np.int32) for r in raw])
+
+
+def near_bags(one: np.ndarray, n_one: int, others: np.ndarray, n_others: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of ``others`` lengths and bags of hashed words do not rule out.
 
     One edit takes away or adds one word at most on each side, so the words that one bag has more than the other, cell
     by cell, bound the distance from below; cells that are full only lower the bound.
     """
-    left = nodes.select(F.col("node").alias("a"), F.col("n_words").alias("na"), F.col("bag").alias("ba"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n_words").alias("nb"), F.col("bag").alias("bb"))
-
-    def make():
-        def fn(a, b, na, nb, ba, bb):
-            more = np.frombuffer(b"".join(ba), np.uint8).reshape(-1, BAG).astype(np.int64)
-            more = more - np.frombuffer(b"".join(bb), np.uint8).reshape(-1, BAG)
-            only_a = np.maximum(more, 0).sum(1)
-            least = np.maximum(only_a, only_a - more.sum(1))
-            limit = ((1 - similarity) * np.maximum(na, nb) + 1e-9).astype(np.int64)
-            keep = np.flatnonzero(least <= limit).tolist()
-            return [[a[i] for i in keep], [b[i] for i in keep]]
-
-        return fn
-
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ba", "bb")
-    return map_slices(both, make, "a bigint, b bigint")
-
-
-def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``<a, b>`` of nodes whose texts are similar enough, with ``similarity``."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    limit = ((1 - similarity) * np.maximum(n_one, n_others) + 1e-9).astype(np.int64)
+    fit = np.abs(n_others - n_one) <= limit
+    at = np.flatnonzero(fit)
+    if len(at):
+        more = others[at] - one
+        fit[at] = np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1)) <= limit[at]
+    return fit
+
+
+# ---- comparison in groups --------------------------------------------------------------------------------------
+
+def _by_group(rows: DataFrame, keys: list[str], order: list[str], compare: Callable[[tuple, list[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """Hands the rows of a group, in order, to ``compare``; groups are bounded by how they are made."""
+    share_code(rows.sparkSession)
+    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = [pa.float64() if f.split()[1] == "double" else pa.int64() for f in schema.split(", ")]
+    n = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, out = None, [], []
+
+        def flushed():
+            rows_ = list(zip(*out))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows_, kinds)], names=names)
+
+        for part in batches:
+            for row in zip(*(c.to_pylist() for c in part.columns)):
+                if row[:n] != at:
+                    if held:
+                        out += compare(at, held)
+                    at, held = row[:n], []
+                held.append(row[n:])
+                if len(out) >= 10_000:
+                    yield flushed()
+        if held:
+            out += compare(at, held)
+        if out:
+            yield flushed()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def led(pairs: DataFrame, values: DataFrame, value: str, near: Callable, schema: str) -> DataFrame:
+    """``near(leader's row, members' rows)`` over pairs ``<a, na, b, nb>`` of a leader and a member, whose ``value`` comes from ``values`` ``<node, value>``.
+
+    A leader's members are dealt into groups of about ``LED``; the leader's value goes once to each.
+    """
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / LED).cast("int").alias("_deals")).select(F.col("a").alias("_a"), "_deals")
+    dealt = pairs.join(many.hint("merge"), F.col("a") == F.col("_a")).select(
+        "a", F.pmod(F.xxhash64("b", F.lit(3)), F.col("_deals")).cast("int").alias("deal"), "na", "b", "nb")
+    keyed = values.select(F.col("node").alias("_v"), value)
+    members = dealt.join(keyed.hint("merge"), F.col("b") == F.col("_v")).select("a", "deal", F.lit(1).alias("side"), "b", "nb", value)
+    leaders = dealt.select("a", "deal", "na").distinct().join(keyed.hint("merge"), F.col("a") == F.col("_v")).select(
+        "a", "deal", F.lit(0).alias("side"), F.col("a").alias("b"), F.col("na").alias("nb"), value)
 
-    def make():
-        def fn(a, b, ta, tb):
-            rows = [(x, y, s) for x, y, p, q in zip(a, b, ta, tb)
-                    if (s := edit_similarity(words_of(p), words_of(q), similarity)) is not None]
-            return [list(c) for c in zip(*rows)] if rows else [[], [], []]
+    def compare(key, rows):
+        (_, a, na, x), others = rows[0], rows[1:]
+        return near(a, na, x, [r[1] for r in others], np.array([r[2] for r in others], np.int64), [r[3] for r in others])
 
-        return fn
+    return _by_group(members.unionByName(leaders), ["a", "deal"], ["side"], compare, schema)
 
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
-    return map_slices(both, make, "a bigint, b bigint, similarity double")
 
+def plausible(pairs: DataFrame, bag_of: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``<a, na, b, nb>`` whose bags do not rule the similarity out."""
+    def near(a, na, x, nodes, lengths, raw):
+        every = unfolded([x, *raw])
+        for i in np.flatnonzero(near_bags(every[0], na, every[1:], lengths, similarity)).tolist():
+            yield a, na, nodes[i], int(lengths[i])
 
-# ---- search ----------------------------------------------------------------------------------------------------
+    return led(pairs, bag_of, "bag", near, "a bigint, na bigint, b bigint, nb bigint")
 
-def text_node(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(1))
 
+def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links ``<a, b, similarity>``: the pairs ``<a, na, b, nb>`` whose texts are similar enough."""
+    def near(a, na, x, nodes, lengths, of):
+        mine = words_of(x)
+        for b, t in zip(nodes, of):
+            s = edit_similarity(mine, words_of(t), similarity)
+            if s is not None:
+                yield a, b, s
 
-def candidates(rest: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Members with their bucket's leader, and the pairs to verify: another class than the leader's, lengths that the threshold allows."""
-    lead = rest.groupBy("bucket").agg(
-        F.min(F.struct("node", "n_words", "cls")).alias("lead"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    led = rest.join(lead, "bucket").filter(F.col("cls") != F.col("lead.cls"))
-    fit = F.least("n_words", F.col("lead.n_words")) >= similarity * F.greatest("n_words", F.col("lead.n_words"))
-    pairs = led.filter(fit).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-    return led, pairs
+    return led(pairs, texts, "text", near, "a bigint, b bigint, similarity double")
 
 
-def subdivided(members: DataFrame, texts: DataFrame, similarity: float, crowd: int = CROWD) -> DataFrame:
-    """``members`` with buckets of more than ``crowd`` classes cut into smaller ones that keep every pair similar enough together.
+def grouped(members: DataFrame, most: int = GROUP, words: int = GROUP_WORDS) -> DataFrame:
+    """``<gid, side, bucket, node, n_words, cls>``: the buckets of several classes in groups of bounded size.
 
-    Edits change at most ``d = (1 - similarity) * n`` of the ``n`` words of the longer text, so of two such texts'
-    words, with occurrence numbers and in one common order, the first ``d + 1`` of each have one in common.  The order
-    is by frequency, the rarest first: each of these words is a bucket within the bucket.
+    A bucket of at most ``most`` members (fewer of long texts) is one group, compared within (side 2).  A larger one is dealt into
+    blocks, those of its largest class apart from the rest; every block of the rest meets itself, every other one of the
+    rest and every one of the largest class (sides 0 and 1).
     """
-    crowded = members.groupBy("bucket", "cls").agg(F.min("node").alias("_lead")).groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_lead").alias("_lead")).filter("_n > 1").select(
-        "bucket", F.when(F.col("_n") > crowd, F.col("_lead")).alias("_lead"))
-    members = written(members.join(crowded, "bucket"), "members")
-    # the large buckets of one smallest node overlap: their members are cut as one
-    large = members.filter("_lead is not null").select(F.col("_lead").alias("bucket"), "node", "n_words", "cls").distinct()
-    used = texts.join(large.select("node").distinct(), "node", "left_semi")
-
-    def make_counts():
-        hasher = Hasher()
-
-        def fn(nodes, of):
-            cells, n = np.unique(np.concatenate([kmers(hasher(words_of(t)), 1) for t in of]) % np.uint64(CELLS), return_counts=True)
-            return [cells.astype(np.int64).tolist(), n.tolist()]
-
-        return fn
-
-    count = map_slices(used.select("node", "text"), make_counts, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    frequency = np.zeros(CELLS, np.int64)
-    for r in count.collect():
-        frequency[r.cell] = r.n
-    shared = texts.sparkSession.sparkContext.broadcast(frequency)
-
-    def make_rare():
-        hasher = Hasher()
+    per = members.groupBy("bucket", "cls").agg(F.count(F.lit(1)).alias("n"), F.max("n_words").alias("longest"))
+    info = per.groupBy("bucket").agg(F.max_by("cls", F.struct("n", "cls")).alias("_big"), F.max("n").alias("_nb"), F.sum("n").alias("_m"),
+                                     F.count(F.lit(1)).alias("_classes"), F.max("longest").alias("_long")).filter("_classes > 1")
+    size = F.least(F.lit(most), F.greatest(F.lit(16), F.floor(words / F.col("_long"))))
+    info = info.select(F.col("bucket").alias("_b"), "_big", "_m", (F.col("_m") <= size).alias("_whole"),
+                       F.ceil(F.col("_nb") / size).cast("int").alias("_bigs"), F.ceil((F.col("_m") - F.col("_nb")) / size).cast("int").alias("_rest"))
+    info = written(info, "buckets")
+    hot = info.filter(F.col("_m") > HOT).select(F.col("_b").alias("_hk"), F.ceil(F.col("_m") / HOT).cast("int").alias("_ns"))
+    rows = lookup_join(members, info, "bucket", "_b", lookup_small=False, hot=hot)
+    in_big = F.col("cls") == F.col("_big")
+    x = F.pmod(F.xxhash64("node", F.lit(5)), F.when(in_big, F.col("_bigs")).otherwise(F.col("_rest"))).cast("int").alias("x")
+    rows = rows.withColumn("_x", x)
+    place = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
+    within, left, right, zero = F.lit(2), F.lit(0), F.lit(1), F.lit(0)
+    meets_rest = F.transform(F.sequence(zero, F.col("_rest") - 1), lambda z: place("b", F.col("_x"), z, left))
+    meets_big = F.transform(F.sequence(zero, F.col("_bigs") - 1), lambda z: place("b", z, F.col("_x"), right))
+    meets = F.transform(F.sequence(zero, F.col("_rest") - 1), lambda z: place(
+        "r", F.least(z, F.col("_x")), F.greatest(z, F.col("_x")), F.when(z == F.col("_x"), within).when(F.col("_x") < z, left).otherwise(right)))
+    groups = F.when(F.col("_whole"), F.array(place("w", zero, zero, within))).when(in_big, meets_rest).otherwise(F.concat(meets, meets_big))
+    return rows.select("bucket", "node", "n_words", "cls", F.explode(groups).alias("_g")).select(
+        F.xxhash64("bucket", "_g.kind", "_g.i", "_g.j").alias("gid"), F.col("_g.side").alias("side"), "bucket", "node", "n_words", "cls")
+
+
+class _Joined:
+    """Union-find over class numbers."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        up = self.up
+        while (p := up.get(x, x)) != x:
+            up[x] = x = up.get(p, p)
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.up[self.find(x)] = self.find(y)
+
+
+def _candidates(rows: list[tuple], similarity: float) -> Iterator[tuple[int, int]]:
+    """Pairs of rows ``(side, bucket, node, n_words, cls, shared, bag, ...)`` of one group that are to be aligned.
+
+    A pair in several common buckets belongs to the smallest one.
+    """
+    every = unfolded([r[6] for r in rows])
+    side, lengths, cls = (np.array([r[i] for r in rows], np.int64) for i in (0, 3, 4))
+    shared = [None] * len(rows)
+    bucket = rows[0][1]
+
+    def of(i: int) -> set:
+        if shared[i] is None:
+            shared[i] = set(rows[i][5])
+        return shared[i]
+
+    for i in range(len(rows)):
+        # within a group each pair once, else left ones with right ones (rows come by side)
+        at = np.arange(i + 1, len(rows)) if side[i] == 2 else np.flatnonzero(side == 1) if side[i] == 0 else np.arange(0)
+        at = at[cls[at] != cls[i]]
+        if len(at):
+            for j in at[near_bags(every[i], int(lengths[i]), every[at], lengths[at], similarity)].tolist():
+                if min(of(i) & of(j)) == bucket:
+                    yield i, j
+
+
+def remaining_links(members: DataFrame, texts: DataFrame, bag_of: DataFrame, similarity: float, most: int = GROUP) -> DataFrame:
+    """Links ``<a, b, similarity>`` between members ``<bucket, node, n_words, cls>`` of different classes, enough to join all classes that have one."""
+    mixed = members.groupBy("bucket").agg(F.min("cls").alias("_lo"), F.max("cls").alias("_hi")).filter("_lo < _hi").select("bucket")
+    members = written(members.join(mixed.hint("merge"), "bucket"), "mixed")
+    # a node's buckets: two per sketch at most
+    shared = members.groupBy("node").agg(F.collect_set("bucket").alias("shared"))
+    light = bag_of.join(shared.hint("merge"), "node").select(F.col("node").alias("_n"), "shared", "bag")
+    rows = written(grouped(members, most).join(light.hint("merge"), F.col("node") == F.col("_n")).select(
+        "gid", "side", "bucket", "node", "n_words", "cls", "shared", "bag"), "groups")
+
+    def wanted(key, held):
+        need = set()
+        for i, j in _candidates(held, similarity):
+            need |= {i, j}
+        for i in need:
+            yield key[0], held[i][2]
+
+    order = ["side", "node"]
+    need = written(_by_group(rows, ["gid"], order, wanted, "_gid bigint, _node bigint"), "wanted")
+    with_text = rows.join(need.hint("merge"), (F.col("gid") == F.col("_gid")) & (F.col("node") == F.col("_node"))).drop("_gid", "_node").join(
+        texts.select(F.col("node").alias("_n"), "text").hint("merge"), F.col("node") == F.col("_n")).drop("_n")
+
+    def linked(key, held):
+        joined, words = _Joined(), [None] * len(held)
+
+        def of(i: int) -> list:
+            if words[i] is None:
+                words[i] = words_of(held[i][7])
+            return words[i]
+
+        for i, j in _candidates(held, similarity):
+            x, y = held[i][4], held[j][4]
+            if joined.find(x) != joined.find(y):
+                s = edit_similarity(of(i), of(j), similarity)
+                if s is not None:
+                    joined.join(x, y)
+                    yield held[i][2], held[j][2], s
+
+    return _by_group(with_text, ["gid"], order, linked, "a bigint, b bigint, similarity double")
 
-        def rare(text):
-            tokens = kmers(hasher(words_of(text)), 1)
-            order = np.lexsort((tokens, shared.value[tokens % np.uint64(CELLS)]))
-            return tokens[order[:int((1 - similarity) * len(tokens) + 1e-9) + 1]].view(np.int64).tolist()
 
-        return lambda nodes, of: [nodes, [rare(t) for t in of]]
+# ---- search ----------------------------------------------------------------------------------------------------
 
-    rare = map_slices(used.select("node", "text"), make_rare, "node bigint, rare array<bigint>")
-    cut = large.join(rare, "node").select("bucket", "node", "n_words", "cls", F.explode("rare").alias("_w")).select(
-        F.xxhash64("bucket", "_w").alias("bucket"), "node", "n_words", "cls")
-    own = Window.partitionBy("bucket")
-    cut = cut.withColumn("_mixed", F.min("cls").over(own) < F.max("cls").over(own)).filter("_mixed").drop("_mixed")
-    return members.filter("_lead is null").select("bucket", "node", "n_words", "cls").unionByName(written(cut, "members"))
+def text_node(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(1))
 
 
-def remaining_pairs(members: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
-    """Pairs ``<a, b>``, a < b, of ``members`` ``<bucket, node, n_words, cls>`` that share a bucket, are of two classes and have lengths that the threshold allows.
+def led_pairs(rest: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """``<a, na, b, nb>``: a leader of every bucket and the members of other classes whose lengths the threshold allows.
 
-    The classes of a bucket are paired, then the members of two classes, so a large class costs as many rows as it
-    has members.  A bucket of more than ``block`` classes is dealt into blocks, every two of which meet as a group of their own.
+    The leader is the first by a hash that changes with the round, so buckets that overlap tend to share it.
     """
-    far = lambda n, m: n < similarity * m
-    groups = members.groupBy("bucket", "cls").agg(F.min("n_words").alias("least"), F.max("n_words").alias("most"))
-    mixed = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(
-        "bucket", F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
-    groups = groups.join(mixed, "bucket").withColumn("_x", F.pmod(F.xxhash64("cls", F.lit(2)), F.col("_blocks")).cast("int"))
-    one = groups.select("bucket", F.col("_x").alias("lo"), F.explode(F.sequence("_x", F.col("_blocks") - 1)).alias("hi"),
-                        F.col("cls").alias("c1"), F.col("least").alias("l1"), F.col("most").alias("m1"))
-    two = groups.select("bucket", F.explode(F.sequence(F.lit(0), "_x")).alias("lo"), F.col("_x").alias("hi"),
-                        F.col("cls").alias("c2"), F.col("least").alias("l2"), F.col("most").alias("m2"))
-    classes = one.join(two, ["bucket", "lo", "hi"]).filter(
-        ((F.col("lo") < F.col("hi")) | (F.col("c1") < F.col("c2")))
-        & ~far(F.col("m1"), F.col("l2")) & ~far(F.col("m2"), F.col("l1"))).select("bucket", "c1", "c2")
-    first = members.select("bucket", F.col("cls").alias("c1"), F.col("node").alias("x"), F.col("n_words").alias("nx"))
-    second = members.select("bucket", F.col("cls").alias("c2"), F.col("node").alias("y"), F.col("n_words").alias("ny"))
-    pairs = classes.join(first, ["bucket", "c1"]).join(second, ["bucket", "c2"]).filter(
-        ~far(F.col("nx"), F.col("ny")) & ~far(F.col("ny"), F.col("nx")))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    first = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("a"), F.col("n_words").alias("na"), F.col("cls").alias("ca"))
+    lead = written(rest.groupBy("bucket").agg(F.min(first).alias("lead"), F.count(F.lit(1)).alias("_m"))
+                   .select(F.col("bucket").alias("_b"), "lead.a", "lead.na", "lead.ca", "_m"), "leaders")
+    hot = lead.filter(F.col("_m") > HOT).select(F.col("_b").alias("_hk"), F.ceil(F.col("_m") / HOT).cast("int").alias("_ns"))
+    met = lookup_join(rest, lead, "bucket", "_b", lookup_small=False, hot=hot).filter(F.col("cls") != F.col("ca"))
+    fit = F.least("n_words", "na") >= similarity * F.greatest("n_words", "na")
+    return met.filter(fit).select("a", F.col("na").cast("long").alias("na"), F.col("node").alias("b"), F.col("n_words").cast("long").alias("nb")).distinct()
 
 
 def linked_classes(links: DataFrame) -> DataFrame:
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return written(connected_components(ends, links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "classes")
+    found = connected_components(ends, links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    return written(found.select(F.col("id").alias("_id"), "component"), "classes")
+
+
+def classed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``members`` with the class of their node: the component it is linked into, else the node."""
+    return members.select("bucket", "node", "n_words").join(classes.hint("merge"), F.col("node") == F.col("_id"), "left").select(
+        "bucket", "node", "n_words", F.coalesce("component", "node").alias("cls"))
+
+
+def linked_nodes(texts: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, picks: int = PICKS, most: int = GROUP) -> DataFrame | None:
+    """``<_id, component>`` of the nodes of ``texts`` ``<node, text>`` that are linked to others, None if there are none."""
+    # a bucket's rows are looked at one after the other; those without a neighbour leave
+    order = Window.partitionBy("bucket").orderBy("node")
+    every = buckets(texts, similarity, sketches, picks)
+    near = every.select("*", F.lag("node").over(order).alias("_p"), F.lead("node").over(order).alias("_q"))
+    members = written(near.filter("_p is not null or _q is not null").select("bucket", "node", "n_words"), "buckets")
+    used = texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi")
+    bag_of = written(bags(used), "bags")
+    known = members.withColumn("cls", F.col("node"))
+    links = classes = None
+    turn = 0
+    while True:
+        pairs = written(led_pairs(known, similarity, turn), "pairs")
+        found = written(verify(plausible(pairs, bag_of, similarity), texts, similarity), "links")
+        n_pairs, n_found, turn = pairs.count(), found.count(), turn + 1
+        if n_found:
+            links = found if links is None else links.unionByName(found)
+            classes = linked_classes(links)
+            known = classed(members, classes)
+        if n_found < YIELD * n_pairs or not n_found:
+            break
+    found = written(remaining_links(known, texts, bag_of, similarity, most), "links")
+    if not found.isEmpty():
+        classes = linked_classes(found if links is None else links.unionByName(found))
+    return classes
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
                     sketches: int = SKETCHES, picks: int = PICKS) -> DataFrame:
-    """``<id, class_id, n_links, node>``, one row per input row.
+    """``<id, class_id, node>``, one row per input row.
 
-    ``class_id`` is the smallest id of the class, ``n_links`` the number of verified links to other texts,
-    ``node`` a 64-bit hash of the text.  Equal texts are one node; null counts as the empty text, and texts without
-    words are near duplicates of equal texts only.  Rows with null ids belong to classes but name them only
-    if no other row does (class_id null).  Other columns are not read; repeated rows stay.  An empty table gives no rows.
+    ``class_id`` is the smallest id of the class, ``node`` a 64-bit hash of the text.  Equal texts are one node; null counts
+    as the empty text, and texts without words are near duplicates of equal texts only.  Rows with null ids belong to
+    classes but name them only if no other row does (class_id null).  Other columns are not read; repeated rows
+    stay.  An empty table gives no rows.
     """
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
         "node", text_node(F.col("text")))
-    nodes = written(sketched(base, sketches, picks), "sketches")
-    rest = buckets(nodes, similarity)
-    shared = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("bucket")
-    members = written(rest.join(shared, "bucket"), "buckets")
-    rest = members.withColumn("cls", F.col("node"))
-    texts = written(base.join(members.select("node").distinct().hint("shuffle_hash"), "node", "left_semi")
-                    .groupBy("node").agg(F.first("text").alias("text")), "texts")
-    links = tested = classes = None
-    while True:
-        led, pairs = candidates(rest, similarity)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(verify(pairs, texts, similarity), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        classes = linked_classes(links)
-        # leaders and members of their classes leave
-        now = led.select("bucket", "node", "n_words", "lead").join(
-            classes.select(F.col("id").alias("node"), "component"), "node", "left").join(
-            classes.select(F.col("id").alias("_lead"), F.col("component").alias("_lc")), F.col("lead.node") == F.col("_lead"), "left")
-        rest = written(now.withColumn("cls", F.coalesce("component", "node"))
-                       .filter(F.col("cls") != F.coalesce("_lc", F.col("lead.node")))
-                       .select("bucket", "node", "n_words", "cls"), "buckets")
-    # pairs that no leader stood between
-    known = (members.withColumn("cls", F.col("node")) if classes is None else
-             members.join(classes.select(F.col("id").alias("node"), "component"), "node", "left")
-             .select("bucket", "node", "n_words", F.coalesce("component", "node").alias("cls")))
-    pairs = remaining_pairs(subdivided(known, texts, similarity), similarity).join(tested, ["a", "b"], "left_anti")
-    found = written(verify(plausible(pairs, nodes, similarity), texts, similarity), "links")
-    if not found.isEmpty():
-        links = found if links is None else links.unionByName(found)
-        classes = linked_classes(links)
-    rows = base.select("id", "node")
-    if links is None:
-        label = rows.withColumn("cls", F.col("node")).withColumn("n_links", F.lit(0).cast("long"))
+    # copies combine before they move
+    texts = written(base.groupBy("node").agg(F.first("text").alias("text"), F.min("id").alias("id")), "texts")
+    classes = linked_nodes(texts.select("node", "text"), similarity, sketches, picks)
+    nodes = texts.select("node", "id")
+    if classes is None:
+        named = nodes.select(F.col("node").alias("_n"), F.col("id").alias("class_id"))
     else:
-        degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
-                  .agg(F.count(F.lit(1)).alias("n_links")))
-        known = degree.join(classes.select(F.col("id").alias("node"), "component"), "node")
-        label = rows.join(known, "node", "left").select(
-            "id", "node", F.coalesce("component", "node").alias("cls"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    name = label.groupBy("cls").agg(F.min("id").alias("class_id"))
-    return label.join(name, "cls").select(F.col("id").alias(id_col), "class_id", "n_links", "node")
+        inside = written(nodes.join(classes.hint("merge"), F.col("node") == F.col("_id")).select("node", "id", "component"), "linked")
+        name = inside.groupBy("component").agg(F.min("id").alias("class_id")).select(F.col("component").alias("_c"), "class_id")
+        inside = lookup_join(inside, name, "component", "_c").select(F.col("node").alias("_n"), "class_id")
+        alone = nodes.join(classes.hint("merge"), F.col("node") == F.col("_id"), "left_anti").select(F.col("node").alias("_n"), F.col("id").alias("class_id"))
+        named = inside.unionByName(alone)
+    found = lookup_join(base.select("id", "node"), written(named, "named"), "node", "_n")
+    return found.select(F.col("id").alias(id_col), "class_id", "node")
+
+
+def text_node(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(1))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each class: the one of smallest id (nulls last), then smallest text hash; of repeated rows one."""
+    """``docs`` with one row of each class: the one of smallest id (nulls last), then smallest text hash; of repeated rows one.
+
+    All columns stay, whatever their names.  Null text counts as empty; an empty table gives no rows.
+    """
     found = near_duplicates(docs, id_col, text_col, **options)
     rank = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "node")
     first = found.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("node")).alias("_own")).agg(F.min(rank).alias("first"))
     kept = first.select(F.col("first.id").alias("_id"), F.col("first.node").alias("_node")).distinct()
-    tagged = docs.withColumn("_n", text_node(F.col(text_col)))
-    out = tagged.join(kept, tagged["_n"].eqNullSafe(kept["_node"]) & tagged[id_col].eqNullSafe(kept["_id"]), "left_semi")
-    return out.dropDuplicates([id_col, "_n"]).drop("_n")
+    mark = "_n"
+    while mark in docs.columns:
+        mark += "_"
+    tagged = docs.withColumn(mark, text_node(F.col(text_col)))
+    out = tagged.join(kept, tagged[mark].eqNullSafe(kept["_node"]) & tagged[id_col].eqNullSafe(kept["_id"]), "left_semi")
+    return out.dropDuplicates([id_col, mark]).drop(mark)

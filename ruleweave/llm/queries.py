@@ -16,7 +16,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -384,7 +384,7 @@ def test_pairs_under_a_template_are_found(spark, monkeypatch):
     """Every pair that shares a sketch is compared, also where all leaders are too far from both."""
     texts, planted = template_family(random.Random(8))
     hasher, seed = neardup.Hasher(), neardup.seeds(neardup.SKETCHES)
-    sketches = [set(enumerate(neardup.sketch(neardup.kmers(hasher(ws)), seed).tolist())) for ws in texts]
+    sketches = [set(neardup.text_buckets(hasher(ws), seed).tolist()) for ws in texts]
     linked = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2)
               if sketches[a] & sketches[b] and neardup.edit_similarity(texts[a], texts[b]) is not None}
     assert linked == set(planted)
@@ -392,17 +392,33 @@ def test_pairs_under_a_template_are_found(spark, monkeypatch):
     want = list(range(len(texts)))
     for a, b in planted:
         want[b] = a
-    for block, crowd in ((neardup.BLOCK, neardup.CROWD), (7, 1000)):  # subdivided buckets, and whole ones in several blocks
-        monkeypatch.setattr(neardup.remaining_pairs, "__defaults__", (block,))
-        monkeypatch.setattr(neardup.subdivided, "__defaults__", (crowd,))
+    for most in (neardup.GROUP, 7):  # whole buckets, and buckets in several blocks
+        monkeypatch.setattr(neardup.linked_nodes, "__defaults__", (*neardup.linked_nodes.__defaults__[:-1], most))
         got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
         assert [got[i] for i in range(len(texts))] == want
 
 
-def test_rare_words_keep_links_together(spark):
-    """Without sketches: in one bucket of all texts every pair similar enough shares a smaller bucket."""
-    from pyspark.sql import functions as F
-
+@pytest.mark.parametrize("n", [6, 10, 20, 40, 127, 130, 300])
+def test_recall_of_sketches(n):
+    """Random texts with scattered replaced words, similarity 0.8 (the least that counts): at least nine in ten pairs share a bucket."""
+    rng = random.Random(n)
+    hasher, seed = neardup.Hasher(), neardup.seeds(neardup.SKETCHES)
+    of = lambda ws: set(neardup.text_buckets(hasher(ws), seed).tolist())
+    found = 0
+    for _ in range(400):
+        a = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        b = list(a)
+        for at in rng.sample(range(n), n // 5):
+            b[at] = f"v{rng.randrange(5000)}"
+        assert neardup.edit_similarity(a, b) is not None
+        found += bool(of(a) & of(b))
+    print(n, found / 400)
+    assert found >= 360
+
+
+@pytest.mark.parametrize("most", [1024, 16, 5])
+def test_groups_lose_no_link(spark, most):
+    """Without sketches: texts in buckets of every size, some in one class already; links join what brute force joins."""
     rng = random.Random(11)
     rows = []
     for i in range(60):
@@ -411,16 +427,28 @@ def test_rare_words_keep_links_together(spark):
         rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
     words = {i: neardup.words_of(t) for i, t in rows}
     texts = spark.createDataFrame(rows, "node long, text string")
-    members = spark.createDataFrame([(1, i, len(ws), i) for i, ws in words.items()], "bucket long, node long, n_words int, cls long")
-    near = {p for p in itertools.combinations(sorted(words), 2) if neardup.edit_similarity(words[p[0]], words[p[1]]) is not None}
-    assert len(near) >= 20
-    cut = neardup.subdivided(members, texts, 0.8)
-    got = {(r.a, r.b) for r in neardup.remaining_pairs(cut, 0.8).collect()}
-    assert near <= got
-    # a class is not paired with itself, and large classes lose no pair with others
-    joined = cut.withColumn("cls", F.col("node") % 3)
-    got = {(r.a, r.b) for r in neardup.remaining_pairs(joined, 0.8).collect()}
-    assert {p for p in near if p[0] % 3 != p[1] % 3} <= got and all(a % 3 != b % 3 for a, b in got)
+    cls = {i: i if i % 5 else 0 for i in words}  # a fifth is one class
+    held = [(b, i) for i in words for b in ({1} | {100 + i // 40} | ({7} if i % 3 else set()))]
+    members = spark.createDataFrame([(b, i, len(words[i]), cls[i]) for b, i in held], "bucket long, node long, n_words int, cls long")
+    links = [(r.a, r.b) for r in neardup.remaining_links(members, texts, neardup.bags(texts), 0.8, most).collect()]
+    near = [p for p in itertools.combinations(sorted(words), 2) if neardup.edit_similarity(words[p[0]], words[p[1]]) is not None]
+    assert len(near) >= 20 and {tuple(sorted(p)) for p in links} <= set(near)
+
+    def joined(pairs):
+        up = dict(cls)
+
+        def root(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+
+        for a, b in pairs:
+            up[max(root(cls[a]), root(cls[b]))] = min(root(cls[a]), root(cls[b]))
+        return {i: root(cls[i]) for i in words}
+
+    assert joined(links) == joined(near)
+    # what is in one class already is not compared
+    assert all(cls[a] != cls[b] for a, b in links)
 
 
 def test_bags_rule_out_no_link(spark):
@@ -430,12 +458,14 @@ def test_bags_rule_out_no_link(spark):
         a = [rng.choice("abcdefghij") * rng.randint(1, 40) for _ in range(rng.randint(1, 600))]
         b = [w for w in a if rng.random() > 0.1] or a
         rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b[:-1] + ["z"]))]
-    nodes = neardup.sketched(spark.createDataFrame(rows, "node long, text string"))
-    pairs = spark.createDataFrame([(2 * i, j) for i in range(200) for j in (2 * i + 1, (2 * i + 3) % 400)], "a long, b long")
+    texts = spark.createDataFrame(rows, "node long, text string")
     words = {i: neardup.words_of(t) for i, t in rows}
-    kept = {(r.a, r.b) for r in neardup.plausible(pairs, nodes, 0.8).collect()}
-    every = {(r.a, r.b) for r in pairs.collect()}
-    assert {p for p in every if neardup.edit_similarity(words[p[0]], words[p[1]]) is not None} <= kept < every
+    every = {(2 * i, j) for i in range(200) for j in (2 * i + 1, (2 * i + 3) % 400)}
+    pairs = spark.createDataFrame([(a, len(words[a]), b, len(words[b])) for a, b in every], "a long, na long, b long, nb long")
+    kept = {(r.a, r.b) for r in neardup.plausible(pairs, neardup.bags(texts), 0.8).collect()}
+    near = {p for p in every if neardup.edit_similarity(words[p[0]], words[p[1]]) is not None}
+    assert near <= kept < every
+    assert {(r.a, r.b) for r in neardup.verify(pairs, texts, 0.8).collect()} == near
 
 
 def test_near_duplicate_edges(spark):
@@ -448,6 +478,8 @@ def test_near_duplicate_edges(spark):
     assert by[1] == by[2] == {1} and by[4] == {4} and by[None] == {None}
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns
+    clash = docs.withColumn("_n", docs.doc_id).withColumn("class_id", docs.text)
+    assert neardup.keep_one(clash).columns == clash.columns and neardup.keep_one(clash).count() == kept.count()
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 3), (False, 4), (False, 5), (True, 0)]
     assert neardup.near_duplicates(docs.limit(0)).count() == 0 and neardup.keep_one(docs.limit(0)).count() == 0
 
