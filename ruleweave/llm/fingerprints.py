@@ -183,13 +183,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     total = ordered.count()
     quarter = F.floor(F.col("n") / 4).cast("int")
     # what each document's predecessor asks of it
-    asks = ordered.select(F.pmod(F.col("r") + 1, F.lit(max(total, 1))).alias("r"), quarter.alias("q"), F.col("k").alias("asker"))
-    asks = written(ordered.select("r", "k").join(asks.hint("merge"), "r").select(F.col("k").alias("_k"), "q", "asker"), "asks")
+    asks = ordered.select(F.pmod(F.col("r") + 1, F.lit(max(total, 1))).alias("r"), quarter.alias("q"), F.col("k").alias("asker"), "copies")
+    asks = written(ordered.select("r", "k").join(asks.hint("merge"), "r").select(F.col("k").alias("_k"), "q", "asker", "copies"), "asks")
 
-    # equal rows combine before they move; both joins read one exchange of the texts
-    texts = keyed.groupBy("k").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    # equal rows combine before they move; both joins read the same columns, so one exchange of the texts
+    texts = keyed.groupBy("k").agg(F.first("text").alias("text"))
     heads = texts.join(asks.hint("merge"), F.col("k") == F.col("_k")).select(
-        F.col("asker").alias("_a"), F.substring("text", F.lit(1), F.col("q")).alias("head"))
+        F.col("asker").alias("_a"), F.substring("text", F.lit(1), F.col("q")).alias("head"), "copies")
     both = texts.join(heads.hint("merge"), F.col("k") == F.col("_a"))
     n = F.length("text")
     cut = (n - F.floor(n / 4)).cast("int")
