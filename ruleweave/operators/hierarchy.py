@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.functions.iri import RDFS_SUBCLASS_OF, local_name
-from ruleweave.operators.sizing import cut_lineage, materialize
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, cut_lineage, fits, materialize, materialize_sized
 from ruleweave.operators.skew import lookup_join_many
 
 
@@ -47,9 +47,10 @@ def children(edges: DataFrame) -> DataFrame:
     gathered into one row; ``n_children`` comes from a partial aggregation and
     a skew-safe lookup join back to the edges.
     """
-    e = edges.select("k", "parent", "child").distinct()
-    counts = e.groupBy("k", "parent").agg(F.count(F.lit(1)).alias("n_children"))
-    return lookup_join_many(e, counts, ["k", "parent"])
+    e = cut_lineage(edges.select("k", "parent", "child").distinct())
+    # written once: its size decides the join
+    counts, n, size = materialize_sized(e.groupBy("k", "parent").agg(F.count(F.lit(1)).alias("n_children")))
+    return lookup_join_many(e, counts, ["k", "parent"], lookup_small=fits(n, size))
 
 
 def children_of(edges: DataFrame, k: int, concept: str) -> DataFrame:
@@ -57,24 +58,23 @@ def children_of(edges: DataFrame, k: int, concept: str) -> DataFrame:
     return edges.filter((F.col("k") == k) & (F.col("parent") == concept)).select("child")
 
 
-def closure(edges: DataFrame, include_self: bool = False, max_rounds: int | None = None) -> DataFrame:
-    """Transitive closure ``<k, anc, leaf, depth>`` (``depth`` = shortest path length).
+def inner_closure(edges: DataFrame, max_rounds: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edges and inner concepts ``<k, child>``, both written, and the closure of the edges between inner concepts.
 
     Leaves (concepts without children, usually nearly all) can only end a path,
     so the fixpoint runs over the inner edges alone: path doubling, where each
     round appends all known pairs to the pairs the last round found, keeps the
     shortest depth per pair and drops known pairs (``left_anti``); about
     log2(depth) rounds, and it terminates on cycles and DAGs.  Each round is
-    written to the shared folder; its row count doubles as the stop test.
-    The leaves then take their parents' ancestors by one skew-safe lookup (a
-    parent may hold a third of all leaves).  A given ``max_rounds`` that is not
-    enough raises.
+    written to the shared folder; the write observes its row count, the stop test.
+    A given ``max_rounds`` that is not enough raises.
     """
     # the edges are read once (their source may be an expensive parse)
     edges = cut_lineage(edges.select("k", "child", "parent").distinct())
-    parents = edges.select("k", F.col("parent").alias("child")).distinct()
+    parents, n_parents = materialize(edges.select("k", F.col("parent").alias("child")).distinct())
     as_pair = ["k", F.col("parent").alias("anc"), F.col("child").alias("leaf"), F.lit(1).alias("depth")]
-    pairs, n_new = materialize(edges.join(parents, ["k", "child"], "left_semi").select(*as_pair))
+    side = F.broadcast(parents) if n_parents <= DEFAULT_BROADCAST_ROWS else parents
+    pairs, n_new = materialize(edges.join(side, ["k", "child"], "left_semi").select(*as_pair))
     fresh = pairs
     for rnd in itertools.count():
         if n_new == 0:
@@ -91,15 +91,31 @@ def closure(edges: DataFrame, include_self: bool = False, max_rounds: int | None
         fresh, n_new = materialize(longer)
         # a union of written pieces: lineage stays shallow without a rewrite, and file sizes tell the planner what to broadcast
         pairs = pairs.unionByName(fresh)
-    leaves = edges.join(parents, ["k", "child"], "left_anti")
-    above = pairs.groupBy("k", F.col("leaf").alias("parent")).agg(F.collect_list(F.struct("anc", "depth")).alias("_up"))
+    return edges, side, pairs
+
+
+def closure(edges: DataFrame, include_self: bool = False, max_rounds: int | None = None) -> DataFrame:
+    """Transitive closure ``<k, anc, leaf, depth>`` (``depth`` = shortest path length).
+
+    The fixpoint runs over inner concepts (:func:`inner_closure`); leaves then take their
+    parents' ancestors by one skew-safe lookup (a parent may hold a third of all leaves).
+    """
+    edges, parents, pairs = inner_closure(edges, max_rounds)
+    # a leaf of several parents takes the shortest path of each ancestor; one of a single parent has no second path
+    n_parents = edges.groupBy("k", "child").agg(F.count(F.lit(1)).alias("_np"), F.min("parent").alias("parent"))
+    leaves = n_parents.join(parents, ["k", "child"], "left_anti")
+    above, n, size = materialize_sized(
+        pairs.groupBy("k", F.col("leaf").alias("parent")).agg(F.collect_list(F.struct("anc", "depth")).alias("_up")))
     one = F.array(F.struct(F.col("parent").alias("anc"), F.lit(0).alias("depth")))
-    led = (
-        lookup_join_many(leaves, above, ["k", "parent"], how="left")
-        .select("k", F.col("child").alias("leaf"), F.explode(F.concat(one, F.coalesce("_up", F.slice(one, 1, 0)))).alias("_u"))
-        .groupBy("k", F.col("_u.anc").alias("anc"), "leaf").agg((F.min("_u.depth") + 1).alias("depth"))
-    )
-    pairs = pairs.unionByName(led)
+
+    def up(rows: DataFrame) -> DataFrame:
+        return lookup_join_many(rows, above, ["k", "parent"], how="left", lookup_small=fits(n, size)).select(
+            "k", F.col("child").alias("leaf"), F.explode(F.concat(one, F.coalesce("_up", F.slice(one, 1, 0)))).alias("_u"))
+
+    single = up(leaves.filter("_np = 1").select("k", "child", "parent")).select("k", "_u.anc", "leaf", (F.col("_u.depth") + 1).alias("depth"))
+    several = edges.join(leaves.filter("_np > 1").select("k", "child"), ["k", "child"], "left_semi")
+    several = up(several).groupBy("k", F.col("_u.anc").alias("anc"), "leaf").agg((F.min("_u.depth") + 1).alias("depth"))
+    pairs = pairs.unionByName(single).unionByName(several)
     if include_self:
         selfs = concepts(edges).select("k", F.col("concept").alias("anc"), F.col("concept").alias("leaf"),
                                        F.lit(0).alias("depth"))
@@ -122,16 +138,32 @@ def ancestor_sets(edges: DataFrame, top: str = "Thing", closure_df: DataFrame |
     of ``top`` is never reached by a general-to-specific search).  The table is
     small (concepts x depth) and is materialised once in the checkpoint folder.
     """
-    clo = closure_df if closure_df is not None else closure(edges, include_self=True)
-    under_top = (
-        clo.filter(F.col("anc") == top).select("k", F.col("leaf").alias("value"))
-    )
-    pairs = clo.join(under_top.withColumnRenamed("value", "anc"), ["k", "anc"], "left_semi")
-    return cut_lineage(
-        pairs.join(under_top.withColumnRenamed("value", "leaf"), ["k", "leaf"], "left_semi")
-        .groupBy("k", F.col("leaf").alias("value"))
-        .agg(F.sort_array(F.collect_set("anc")).alias("ancs"))
-    )
+    if closure_df is not None:
+        under_top = closure_df.filter(F.col("anc") == top).select("k", F.col("leaf").alias("value"))
+        pairs = closure_df.join(under_top.withColumnRenamed("value", "anc"), ["k", "anc"], "left_semi")
+        return cut_lineage(
+            pairs.join(under_top.withColumnRenamed("value", "leaf"), ["k", "leaf"], "left_semi")
+            .groupBy("k", F.col("leaf").alias("value"))
+            .agg(F.sort_array(F.collect_set("anc")).alias("ancs"))
+        )
+    edges, parents, pairs = inner_closure(edges)
+    selfs = parents.select("k", F.col("child").alias("anc"), F.col("child").alias("leaf"))
+    inner = (pairs.select("k", "anc", "leaf").unionByName(selfs).groupBy("k", F.col("leaf").alias("parent"))
+             .agg(F.collect_set("anc").alias("_all")).filter(F.array_contains("_all", top)))
+    # of an inner concept's ancestors those under the top, which are the ones that have a row here
+    ups = inner.select("k", F.col("parent").alias("_p"), F.explode("_all").alias("parent"))
+    inner, n, size = materialize_sized(
+        ups.join(inner.select("k", "parent"), ["k", "parent"], "left_semi").groupBy("k", F.col("_p").alias("parent"))
+        .agg(F.sort_array(F.collect_set("parent")).alias("ancs")))
+    leaves = edges.join(parents, ["k", "child"], "left_anti")
+    led = lookup_join_many(leaves, inner, ["k", "parent"], lookup_small=fits(n, size))
+    # a leaf of several parents has the ancestors of each
+    led = led.groupBy("k", F.col("child").alias("value")).agg(F.array_distinct(F.flatten(F.collect_list("ancs"))).alias("ancs"))
+    own = F.array_append("ancs", F.col("value"))
+    top_leaf = edges.filter(F.col("child") == top).join(parents, ["k", "child"], "left_anti").select("k", F.col("child").alias("value")).distinct()
+    led = led.select("k", "value", F.sort_array(own).alias("ancs")).filter(F.col("value") != top).unionByName(
+        top_leaf.select("k", "value", F.array("value").alias("ancs")))
+    return cut_lineage(inner.select("k", F.col("parent").alias("value"), "ancs").unionByName(led))
 
 
 def uri_dictionary(triples: DataFrame) -> DataFrame:

@@ -35,9 +35,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ruleweave.operators.graph import dictionary_encode
 from ruleweave.operators.hierarchy import ancestor_sets
-from ruleweave.operators.sizing import broadcast_if_small, cut_lineage, small_parts
-from ruleweave.operators.skew import hot_keys, lookup_join, lookup_join_many
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, cut_lineage, fits, materialize, materialize_sized, small_parts
+from ruleweave.operators.skew import hot_keys, lookup_join
 
 RULE_PREFIX = "c"
 
@@ -191,14 +192,16 @@ def profile_of(facts: DataFrame, spec: MiningSpec) -> DataFrame:
     return cut_lineage(value_profile(facts, spec))
 
 
-def restrict_ancestors(ancestors: DataFrame, keep: DataFrame) -> DataFrame:
+def restrict_ancestors(ancestors: DataFrame, keep: DataFrame, small: bool | None = None) -> DataFrame:
     """Ancestor table with every array cut down to the concepts in ``keep<k, concept>``.
 
     Arrays hold the ancestors of one concept (bounded by the taxonomy depth),
     so regrouping them per value is a bounded ``collect_list``.
     """
     ex = ancestors.select("k", "value", F.explode("ancs").alias("concept"))
-    kept = ex.join(broadcast_if_small(keep.select("k", "concept").distinct()), ["k", "concept"], "left_semi")
+    keep = keep.select("k", "concept").distinct()
+    keep = broadcast_if_small(keep) if small is None else F.broadcast(keep) if small else keep
+    kept = ex.join(keep, ["k", "concept"], "left_semi")
     return cut_lineage(kept.groupBy("k", "value").agg(F.array_sort(F.collect_list("concept")).alias("ancs")))
 
 
@@ -282,6 +285,84 @@ def mine_rules(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
     return score_rules(rules, n_total, n_target)
 
 
+def value_sets(counted: DataFrame, spec: MiningSpec, ks: Sequence[int]) -> DataFrame:
+    """``<k, vals, n, n_pos>``: rows by the set of values they hold in ontology k, one pass with partial aggregation."""
+    held = F.array(*[F.struct(F.lit(k).alias("k"), F.array_sort(F.array_distinct(F.array_compact(
+        F.array(*[F.col(c).cast("string") for c in spec.mapping[k]])))).alias("vals")) for k in ks])
+    return (counted.select("n", "n_pos", F.explode(held).alias("_it"))
+            .groupBy(F.col("_it.k").alias("k"), F.col("_it.vals").alias("vals"))
+            .agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos")))
+
+
+def mine_top_rules(facts: DataFrame, edges: DataFrame, spec: MiningSpec, k: int = 10, ancestors: DataFrame | None = None,
+                   trace: list[int] | None = None) -> DataFrame:
+    """The ``k`` best rules, as :func:`select_rules` over :func:`mine_rules` gives them, by branch and bound.
+
+    A rule's score is ``N*pos - cov*C``.  Whatever is added to a rule, its positives can only shrink and its cover holds
+    them, so no extension scores more than ``pos*(N - C)``.  Level by level the rules of one more term are counted; the k-th best
+    score so far then cuts every rule whose bound is below it, and only survivors are extended.  The first level counts
+    single concepts; concepts below the bound leave the ancestor table before the facts are profiled, so rare
+    leaves merge.  Rules of equal score stay, so ties are ranked as in the full search.  ``trace`` takes the number of candidates of each level.
+    """
+    anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
+    counted = _counted(facts, spec)
+    ks, top_only = spec.used, _top_only(spec)
+    rcols = spec.rule_columns()
+    sets = cut_lineage(value_sets(counted, spec, [x for x in ks if x != top_only] or ks[:1]))
+    n_total, n_target = sets.filter(F.col("k") == ks[0]).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_pos"), F.lit(0))).first()
+    above = (sets.select("k", "vals", "n", "n_pos", F.explode("vals").alias("value")).join(anc, ["k", "value"])
+             .select("k", "vals", "n", "n_pos", F.explode("ancs").alias("concept")).distinct())
+    singles = above.groupBy("k", "concept").agg(F.sum("n").alias("cov"), F.sum("n_pos").alias("pos"))
+    if spec.top_matches_all:
+        whole = facts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x) for x in ks])).alias("k"), F.lit(spec.top).alias("concept"),
+                                                   F.lit(n_total).alias("cov"), F.lit(n_target).alias("pos"))
+        singles = singles.filter(F.col("concept") != spec.top).unionByName(whole)
+    singles, n_singles = materialize(singles.filter(F.col("pos") > spec.min_pos))
+    bound = F.col("pos") * F.lit(n_total - n_target)
+    score = F.lit(n_total) * F.col("pos") - F.col("cov") * F.lit(n_target)
+    null = F.lit(None).cast("string")
+
+    spark = facts.sparkSession
+
+    def best_of(found: DataFrame) -> tuple[DataFrame, int | None]:
+        """The k best rules so far (k rows, through the driver) and the k-th best score."""
+        rows = found.withColumn("score", score).orderBy(*rule_order(spec)).limit(k).collect()
+        low = min((r["score"] for r in rows), default=None)
+        return spark.createDataFrame([tuple(r)[:-1] for r in rows], found.schema), low if len(rows) == k else None
+
+    first = singles.filter(F.col("k") == ks[0])
+    if ks[0] == top_only:
+        first = first.filter(F.col("concept") == spec.top)
+    rules = first.select(F.col("concept").alias(rcols[0]), *[null.alias(c) for c in rcols[1:]], "cov", "pos")
+    best, least = best_of(rules)
+    if trace is not None:
+        trace.append(n_singles)
+    alive = lambda df: df if least is None else df.filter(bound >= F.lit(least))
+    keep = alive(singles).filter(F.col("k") != -1 if top_only is None else F.col("k") != top_only).select("k", "concept")
+    if top_only is not None and not spec.top_matches_all:
+        keep = keep.unionByName(facts.sparkSession.range(1).select(F.lit(top_only).alias("k"), F.lit(spec.top).alias("concept")))
+    combos = concept_profile(counted, restrict_ancestors(anc, keep, n_singles <= DEFAULT_BROADCAST_ROWS), spec) if spec.n_terms > 1 else None
+    prefixes, n_level = rules, n_singles
+    for j in range(1, spec.n_terms):
+        prefixes = alive(prefixes).select(*rcols[:j])
+        out = combos
+        for x, c in zip(ks[:j + 1], rcols):
+            arr = F.col(_array_col(x))
+            out = out.withColumn(c, F.explode(F.filter(arr, lambda v: v == F.lit(spec.top)) if x == top_only else arr))
+            if c == rcols[j - 1]:
+                out = out.join(F.broadcast(prefixes) if n_level <= DEFAULT_BROADCAST_ROWS else prefixes, rcols[:j], "left_semi")
+        level, n_level = materialize(
+            out.groupBy(*rcols[:j + 1]).agg(F.sum("n").cast("long").alias("cov"), F.sum("n_pos").cast("long").alias("pos"))
+            .filter(F.col("pos") > spec.min_pos).select(*rcols[:j + 1], *[null.alias(c) for c in rcols[j + 1:]], "cov", "pos"))
+        if trace is not None:
+            trace.append(n_level)
+        best, least = best_of(best.unionByName(level))
+        prefixes = level
+    scored = score_rules(best.select(*rcols, F.col("cov").cast("long").alias("cov"), F.col("pos").cast("long").alias("pos")),
+                         F.lit(n_total).cast("long"), F.lit(n_target).cast("long"))
+    return select_rules(scored, spec, k)
+
+
 def rule_order(spec: MiningSpec) -> list[Column]:
     """Total order for ranking: exact score, then positives, then the terms."""
     order = [F.col("score").desc(), F.col("pos").desc()]
@@ -366,57 +447,79 @@ def top_concepts(facts: DataFrame, edges: DataFrame, spec: MiningSpec,
     return tops.unionByName(always).distinct()
 
 
+WORD = 64
+
+
+def rule_masks(anc: DataFrame, terms: DataFrame, n_words: int) -> DataFrame:
+    """``<k, value, mask array<long>>``: of every value the rules whose term of ontology k it satisfies, one bit per rule.
+
+    ``terms`` is ``<i, k, concept>`` (rule number, non-null terms); values that satisfy no term are not listed.
+    """
+    held = anc.select("k", "value", F.explode("ancs").alias("concept")).join(terms, ["k", "concept"])
+    bit = F.expr(f"shiftleft(1L, cast(i % {WORD} as int))")
+    word = lambda w: F.bit_or(F.when(F.floor(F.col("i") / WORD) == w, bit).otherwise(F.lit(0).cast("long")))
+    return held.groupBy("k", "value").agg(F.array(*[word(w) for w in range(n_words)]).alias("mask"))
+
+
+def _numbered(sel: DataFrame, rcols: list[str], bounded: bool) -> DataFrame:
+    """``sel`` with a number ``i`` from 0 per rule."""
+    if bounded:
+        return sel.withColumn("i", F.row_number().over(Window.orderBy(*rcols)) - 1)
+    ids = dictionary_encode(sel.select(F.struct(*rcols).alias("label")))
+    return ids.select(F.col("id").alias("i"), "label.*")
+
+
 def cover_counters(facts: DataFrame, edges: DataFrame, spec: MiningSpec, selected: DataFrame, *,
                    population: str = "positives", start: int = 50, floor: int = 1,
-                   selected_bounded: bool = False, ancestors: DataFrame | None = None,
-                   profile: DataFrame | None = None) -> DataFrame:
+                   selected_bounded: bool = False, ancestors: DataFrame | None = None) -> DataFrame:
     """Counter per fact row: ``start`` minus the number of selected rules covering it,
     rows below ``floor`` removed.  ``<key, mapped columns, counter>``.
 
-    The ancestor table is first cut to the concepts the selected rules name, so
-    rows that no selected rule tells apart share their concept arrays.  Coverage
-    is decided once per distinct combination of arrays: it is exploded into its
-    prefix rules, equi-joined (null-safe) with the selected rules and counted;
-    the counts go back to the facts by a skew-safe lookup (a combination
-    may hold a third of all rows).  ``selected`` is broadcast when the caller
-    proves its size (``selected_bounded``, e.g. a top-k) or a count shows
-    it small.  With a value ``profile`` the combinations come from it instead of
-    another pass over the facts.
+    Rule bitmaps: every rule is one bit.  A value's mask holds the rules whose term of its ontology it satisfies; a row
+    ORs the masks of an ontology's columns with the rules that ask nothing there, ANDs over the ontologies, and counts the
+    bits.  Masks are arrays of 64-bit words, as many as the rules need.  So the facts are read once and nothing is joined back;
+    they are not shuffled while the masks are small enough to broadcast, else hot values are split
+    (:func:`~ruleweave.operators.skew.lookup_join`).  ``selected_bounded`` says that the caller proves the selection small
+    (say a top-k); otherwise rules are numbered and sized on Spark.
     """
     anc = ancestors if ancestors is not None else ancestor_sets(edges, spec.top)
     rcols = spec.rule_columns()
-    # written once: the selection is read several times below and may be a whole mining run
-    sel = cut_lineage(selected.select(*[F.col(c).alias(f"_r_{c}") for c in rcols]))
-    sel = F.broadcast(sel) if selected_bounded else broadcast_if_small(sel)
-    # only concepts named by a selected rule can decide coverage
-    ks = sorted(spec.mapping)
-    used = None
-    for j, c in enumerate(rcols):
-        part = sel.select(F.lit(ks[j]).alias("k"), F.col(f"_r_{c}").alias("concept")).filter(F.col("concept").isNotNull())
-        used = part if used is None else used.unionByName(part)
-    anc = restrict_ancestors(anc, used)
+    sel, n_rules = materialize(selected.select(*rcols).distinct())
+    n_words = max(1, -(-n_rules // WORD))
+    sel = cut_lineage(_numbered(sel, rcols, selected_bounded))
+    free = lambda c: F.col(c).isNull() | (F.col(c) == spec.top) if spec.top_matches_all else F.col(c).isNull()
+    ks = spec.used
+    # the rules that ask nothing of an ontology: one row of n_rules / 64 words each
+    word = lambda c, w: F.coalesce(F.bit_or(F.when(free(c) & (F.floor(F.col("i") / WORD) == w), F.expr(
+        f"shiftleft(1L, cast(i % {WORD} as int))"))), F.lit(0).cast("long"))
+    open_bits = sel.agg(*[F.array(*[word(c, w) for w in range(n_words)]).alias(c) for c in rcols]).first()
+    terms = sel.select("i", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.when(~free(c), F.col(c)).alias("concept"))
+                                              for k, c in zip(ks, rcols)]))).filter(F.col("concept").isNotNull())
+    masks, n, size = materialize_sized(rule_masks(anc, F.broadcast(terms) if selected_bounded else broadcast_if_small(terms), n_words))
+    small = {k: True for k in ks} if fits(n, size) else small_parts(masks, "k")
     rows = facts.filter(_target_flag(spec)) if population == "positives" else facts
-    arrays = [_array_col(k) for k in ks]
-    rows = with_ancestor_arrays(rows.select(spec.key, *spec.mapped_columns), anc, spec)
-    if profile is not None:
-        # the profile already lists every value combination (n_pos > 0: has positives)
-        combos = profile.filter(F.col("n_pos") > 0) if population == "positives" else profile
-        combos = with_ancestor_arrays(combos.select(*spec.mapped_columns), anc, spec)
-    else:
-        combos = rows
-    cand = explode_rules(combos.select(*arrays).distinct(), spec, expand_last=True)
-    cond = None
-    for c in rcols:
-        e = cand[c].eqNullSafe(sel[f"_r_{c}"])
-        cond = e if cond is None else cond & e
-    hits = (
-        cand.join(sel, cond, "inner")
-        .groupBy(*arrays).agg(F.count(F.lit(1)).alias("_hits"))
-    )
-    # written once to the shared folder; its size decides the join
-    joined = lookup_join_many(rows, cut_lineage(hits), arrays, how="left")
-    counter = (F.lit(start) - F.coalesce(F.col("_hits"), F.lit(0))).cast("int")
-    return (
-        joined.select(spec.key, *spec.mapped_columns, counter.alias("counter"))
-        .filter(F.col("counter") >= floor)
-    )
+    rows = rows.select(spec.key, *spec.mapped_columns)
+    split = [c for k in ks if not small.get(k, True) for c in spec.mapping[k]]
+    hot = hot_keys(rows, list(dict.fromkeys(split))) if split else None
+    met = []
+    for k, c in zip(ks, rcols):
+        names = []
+        for col in spec.mapping[k]:
+            name = f"_m{k}_{col}"
+            side = masks.filter(F.col("k") == k).select(F.col("value").alias("_v"), F.col("mask").alias(name))
+            is_small_k = small.get(k, True)
+            rows = lookup_join(rows, side, col, "_v", how="left", lookup_small=is_small_k,
+                               hot=None if is_small_k else hot.filter(F.col("column") == col).drop("column"))
+            names.append(name)
+        met.append((open_bits[c], names))
+    hits = F.lit(0)
+    for w in range(n_words):
+        every = None
+        for bits, names in met:
+            one = F.lit(bits[w]).cast("long")
+            for name in names:
+                one = one.bitwiseOR(F.coalesce(F.get(F.col(name), w), F.lit(0).cast("long")))
+            every = one if every is None else every.bitwiseAND(one)
+        hits = hits + F.bit_count(every)
+    counter = (F.lit(start) - hits).cast("int")
+    return rows.select(spec.key, *spec.mapped_columns, counter.alias("counter")).filter(F.col("counter") >= floor)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,9 +77,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """:func:`cut_lineage` with the row count, from the written files' footers."""
-    back = cut_lineage(df)
-    return back, back.count()
+    """:func:`cut_lineage` with the row count, which the write itself observes (no second job)."""
+    back, n, _ = materialize_sized(df)
+    return back, n
+
+
+def materialize_sized(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """:func:`cut_lineage` with rows and bytes (as :func:`is_small` counts them), observed by the write."""
+    seen = Observation()
+    back = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(_row_width(df)).alias("size")))
+    found = seen.get
+    if "n" not in found:  # a plan known to be empty may drop the observation
+        return back, back.count(), 0
+    return back, found["n"], found["size"] or 0
+
+
+def fits(rows: int, size: int, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether a table of that size may be broadcast."""
+    return rows <= max_rows and size <= max_bytes
 
 
 def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -62,7 +62,7 @@ def q_rules_mine_mapped_top(spark, sf_dir):
 
 
 def q_rules_topk(spark, sf_dir):
-    return R.select_rules(_mining(spark, sf_dir, FIRST).rules, FIRST, TOP_K)
+    return _mining(spark, sf_dir, FIRST).selected(TOP_K)
 
 
 def q_rules_summary(spark, sf_dir):
@@ -71,13 +71,13 @@ def q_rules_summary(spark, sf_dir):
 
 def q_rules_cover_pos(spark, sf_dir):
     m = _mining(spark, sf_dir, FIRST)
-    return m.counters(m.selected(TOP_K), population="positives", start=50, floor=1)
+    return m.counters(m.selected(TOP_K), population="positives", start=50, floor=1, bounded=True)
 
 
 def q_rules_cover_all(spark, sf_dir):
     """All rows, counters 5 with floor 4, over the ten best rules: rows that two or more of them cover leave."""
     m = _mining(spark, sf_dir, SECOND)
-    return m.counters(m.selected(TOP_K), population="all", start=5, floor=4)
+    return m.counters(m.selected(TOP_K), population="all", start=5, floor=4, bounded=True)
 
 
 def q_concept_rows(spark, sf_dir):
@@ -271,7 +271,7 @@ def _rows(m: Mining, name: str) -> DataFrame:
 
 def _best_rule_rows(m: Mining) -> DataFrame:
     """Rows covered by the best rule (one rule row is brought to the driver)."""
-    best = R.select_rules(m.rules, m.spec, 1).first()
+    best = m.selected(1).first()
     terms = {k: best[c] for k, c in enumerate(m.spec.rule_columns()) if best[c] is not None}
     return R.rule_rows(m.facts, m.edges, m.spec, terms, m.ancestors)
 

@@ -31,15 +31,19 @@ class Mining:
         return cut_lineage(R.mine_rules(self.facts, self.edges, self.spec, self.ancestors))
 
     def selected(self, k: int | None = 10) -> DataFrame:
-        return R.select_rules(self.rules, self.spec, k)
+        """The ``k`` best rules (all of them, sorted, if None): from the mined rules if they are there, else by bounded search."""
+        if k is None or "rules" in self.__dict__:
+            return R.select_rules(self.rules, self.spec, k)
+        return R.mine_top_rules(self.facts, self.edges, self.spec, k, self.ancestors)
 
     def summary(self) -> DataFrame:
         return R.rule_summary(self.rules)
 
-    def counters(self, selected: DataFrame, population: str = "positives", start: int = 50, floor: int = 1) -> DataFrame:
+    def counters(self, selected: DataFrame, population: str = "positives", start: int = 50, floor: int = 1,
+                 bounded: bool = False) -> DataFrame:
         """Cover counters of the selected rules (see :func:`ruleweave.operators.rules.cover_counters`)."""
         return R.cover_counters(self.facts, self.edges, self.spec, selected, population=population, start=start,
-                                floor=floor, ancestors=self.ancestors)
+                                floor=floor, selected_bounded=bounded, ancestors=self.ancestors)
 
 
 def run_mining(spark: SparkSession, facts_path: str, taxonomy_paths: Sequence[str], spec: R.MiningSpec,

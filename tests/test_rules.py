@@ -89,10 +89,11 @@ def test_topk_and_cover_counters_match_sequential_loop(spark, data):
     got = R.cover_counters(facts, edges, spec, top, population="positives", start=50, floor=1,
                            selected_bounded=True, ancestors=anc)
     assert {r["id"]: r["counter"] for r in got.collect()} == want
-    prof = R.profile_of(facts, spec)
-    got = R.cover_counters(facts, edges, spec, top, population="positives", start=50, floor=1,
-                           selected_bounded=True, ancestors=anc, profile=prof)
+    # the same without a proof of the selection's size, and the facts are read once and not shuffled
+    got = R.cover_counters(facts, edges, spec, top, population="positives", start=50, floor=1, ancestors=anc)
     assert {r["id"]: r["counter"] for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
 
 def test_cover_counters_all_rows_second_variant(spark, data):
@@ -104,9 +105,6 @@ def test_cover_counters_all_rows_second_variant(spark, data):
     want = simulate_counters(rule_rows, sel, all_ids, 5, 4)
     got = R.cover_counters(facts, edges, spec, top, population="all", start=5, floor=4, ancestors=anc)
     assert {r["id"]: r["counter"] for r in got.collect()} == want
-    got = R.cover_counters(facts, edges, spec, top, population="all", start=5, floor=4, ancestors=anc,
-                           profile=R.profile_of(facts, spec))
-    assert {r["id"]: r["counter"] for r in got.collect()} == want
     assert 0 < len(want) < len(all_ids)
 
 
@@ -163,3 +161,33 @@ def test_concepts_match_by_equality_not_substring(spark):
     spec = R.MiningSpec(mapping={0: ["job"], 1: ["city"]}, top=TOP, min_pos=0)
     got = {r["c0"]: (r["cov"], r["pos"]) for r in R.mine_rules(facts, edges, spec).filter("c1 is null").collect()}
     assert got == {TOP: (3, 2), "Career": (2, 2)}
+
+
+def test_cover_counters_of_more_rules_than_a_word_has_bits(spark, data):
+    rows, facts, edges, anc = data
+    spec = R.MiningSpec(mapping=MAPPING, top=TOP, min_pos=0, expand_last=True)
+    rules = R.mine_rules(facts, edges, spec, anc)
+    chosen = rules.collect()
+    assert len(chosen) > 128
+    _, rule_rows, pos_ids, _ = brute_force_rules(rows, EDGES, MAPPING, min_pos=0)
+    selected = [{k: r[f"c{k}"] for k in range(3) if r[f"c{k}"] is not None} for r in chosen]
+    want = simulate_counters(rule_rows, selected, pos_ids, 1000, 1)
+    got = R.cover_counters(facts, edges, spec, rules, population="positives", start=1000, floor=1, ancestors=anc)
+    assert {r["id"]: r["counter"] for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("k", [1, 40])
+@pytest.mark.parametrize("options", [dict(min_pos=2), dict(min_pos=4, top_matches_all=False), dict(min_pos=1, expand_last=True),
+                                     dict(min_pos=0, max_terms=1), dict(min_pos=3, max_terms=2)])
+def test_bounded_search_equals_full_search(spark, data, k, options):
+    _, facts, edges, anc = data
+    spec = R.MiningSpec(mapping=MAPPING, top=TOP, **options)
+    full = R.mine_rules(facts, edges, spec, anc)
+    want = [tuple(r) for r in R.select_rules(full, spec, k).orderBy("rank").collect()]
+    trace = []
+    got = R.mine_top_rules(facts, edges, spec, k, anc, trace)
+    assert got.columns == R.select_rules(full, spec, k).columns
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == want
+    if k == 1 and spec.n_terms == 3:
+        # candidates of the deeper levels against all rules of that many terms
+        assert sum(trace[1:]) < full.filter("c1 is not null").count()
