@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleweave.functions.iri import RDFS_SUBCLASS_OF, local_name
+from ruleweave.operators.intervals import descendants_in, interval_labels
 from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, cut_lineage, fits, materialize, materialize_sized
 from ruleweave.operators.skew import lookup_join_many
 
@@ -128,6 +129,26 @@ def descendants_of(closure_df: DataFrame, k: int, concept: str) -> DataFrame:
     return closure_df.filter((F.col("k") == k) & (F.col("anc") == concept) & (F.col("depth") > 0)).select("leaf")
 
 
+def descendants(edges: DataFrame, k: int, concept: str) -> DataFrame:
+    """``<leaf>``: all strict descendants of one concept.
+
+    In a forest they are the concept's interval (:func:`~ruleweave.operators.intervals.interval_labels`), without a closure.  If
+    the forest leaves edges out (several parents, cycles), the concepts below are found round by round from the
+    concept itself, so only its own part of the taxonomy is read again.
+    """
+    mine = cut_lineage(edges.filter(F.col("k") == k).select("k", "child", "parent").distinct())
+    labels, left_out = interval_labels(mine)
+    if not left_out:
+        return descendants_in(labels, k, concept)
+    fresh = found = cut_lineage(mine.filter(F.col("parent") == concept).select("child").distinct())
+    while True:
+        below = mine.join(fresh.withColumnRenamed("child", "parent"), "parent").select("child").distinct()
+        fresh, n = materialize(below.join(found, "child", "left_anti"))
+        if not n:
+            return found.select(F.col("child").alias("leaf"))
+        found = found.unionByName(fresh)
+
+
 def ancestor_sets(edges: DataFrame, top: str = "Thing", closure_df: DataFrame | None = None) -> DataFrame:
     """``<k, value, ancs array<string>>``: ancestors-or-self of every concept under ``top``.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ruleweave.functions.numeric import grid_round
 from ruleweave.operators import graph as G
 from ruleweave.operators import hierarchy as H
+from ruleweave.operators import intervals as I
 from ruleweave.operators import rules as R
 from ruleweave.operators import sets as S
 from ruleweave.operators import text as X
@@ -115,7 +116,12 @@ def q_taxo_closure(spark, sf_dir):
 
 def q_taxo_descendants(spark, sf_dir):
     """All strict descendants of one concept (the descendant lookup)."""
-    return H.descendants_of(H.closure(taxonomy_edges(spark, sf_dir)), CONCEPT_K, CONCEPT)
+    return H.descendants(taxonomy_edges(spark, sf_dir), CONCEPT_K, CONCEPT)
+
+
+def q_taxo_intervals(spark, sf_dir):
+    """Interval labels of all concepts; the taxonomies are trees, so no edge is left out."""
+    return I.interval_labels(taxonomy_edges(spark, sf_dir))[0]
 
 
 def q_uri_dictionary(spark, sf_dir):
@@ -350,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "taxo_children": q_taxo_children,
     "taxo_closure": q_taxo_closure,
     "taxo_descendants": q_taxo_descendants,
+    "taxo_intervals": q_taxo_intervals,
     "uri_dictionary": q_uri_dictionary,
     "nt_parse": q_nt_parse,
     "nt_preview": q_nt_preview,

@@ -241,6 +241,16 @@ SELECT e.k, e.parent, e.child, c.n AS n_children FROM e JOIN (SELECT k, parent,
   ON c.k = e.k AND c.parent = e.parent""",
         "taxo_closure": w + "SELECT k, anc, leaf, depth FROM clo_min",
         "taxo_descendants": w + "SELECT leaf FROM clo_min WHERE k = 0 AND anc = 'EUROPE' AND depth > 0",
+        "taxo_intervals": w + """, inner_ AS (SELECT DISTINCT k, parent AS concept FROM edges),
+walk(k, concept, path, depth) AS (
+  SELECT k, concept, k::VARCHAR || concept || chr(1), 0 FROM inner_ i
+  WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.k = i.k AND e.child = i.concept)
+  UNION ALL
+  SELECT e.k, e.child, w.path || CASE WHEN i.concept IS NULL THEN '0' ELSE '1' END || e.child || chr(1), w.depth + 1
+  FROM walk w JOIN edges e ON e.k = w.k AND e.parent = w.concept LEFT JOIN inner_ i ON i.k = e.k AND i.concept = e.child),
+below AS (SELECT k, anc, count(*) AS n FROM clo_min GROUP BY k, anc),
+placed AS (SELECT k, concept, depth, row_number() OVER (ORDER BY path) - 1 AS lo FROM walk)
+SELECT p.k, concept, lo, lo + 1 + coalesce(n, 0) AS hi, depth FROM placed p LEFT JOIN below b ON b.k = p.k AND b.anc = concept""",
         "uri_dictionary": w + f""", terms AS (SELECT k, child AS c FROM edges UNION SELECT k, parent FROM edges)
 SELECT CASE k WHEN 0 THEN '{ns[0]}' WHEN 1 THEN '{ns[1]}' ELSE '{ns[2]}' END || c AS uri, c AS local_name FROM terms
 UNION SELECT '{B.OWL_CLASS}', 'Class'""",
