@@ -9,9 +9,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Frames whose tags fit a 64-bit mask.
+TAGS = 62
+
+
+def tagged(frames: Sequence[DataFrame]) -> DataFrame:
+    """Distinct rows of all frames (columns by position) with ``_mask``, one bit per frame that holds the row.
+
+    One union and one aggregation over all columns: equal rows of a frame combine before the only shuffle, and
+    nulls are equal, as in SQL's set operators.
+    """
+    if len(frames) > TAGS:
+        raise ValueError(f"at most {TAGS} frames have a bit")
+    columns = frames[0].columns
+    marked = [f.toDF(*columns).withColumn("_mask", F.lit(1 << i).cast("long")) for i, f in enumerate(frames)]
+    return reduce(DataFrame.union, marked).groupBy(*columns).agg(F.bit_or("_mask").alias("_mask"))
+
+
 def intersect_all(frames: Sequence[DataFrame]) -> DataFrame:
-    """INTERSECT (distinct) of n frames with the same columns."""
-    return reduce(DataFrame.intersect, frames)
+    """INTERSECT (distinct) of n frames with the same columns, in one shuffle."""
+    frames = list(frames)
+    while len(frames) > TAGS:
+        frames = [intersect_all(frames[:TAGS]), *frames[TAGS:]]
+    return tagged(frames).filter(F.col("_mask") == (1 << len(frames)) - 1).drop("_mask")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -24,8 +44,8 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """EXCEPT DISTINCT."""
-    return a.subtract(b)
+    """EXCEPT DISTINCT, in one shuffle."""
+    return tagged([a, b]).filter(F.col("_mask") == 1).drop("_mask")
 
 
 def join_on_all_columns(left: DataFrame, right: DataFrame) -> DataFrame:

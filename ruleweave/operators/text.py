@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.numeric import grid_round
@@ -79,6 +79,26 @@ def hashed_tfidf(docs: DataFrame, num_features: int = 20, key: str = "doc_id", t
     return model.transform(raw).select(key, vector_to_array("_features").alias("features"))
 
 
+def count_vectors(docs: DataFrame, vocab_size: int = 1000, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``<key, indices array<int>, counts array<long>>``: sparse term counts over a bounded vocabulary.
+
+    The vocabulary holds the ``vocab_size`` terms of largest document frequency, ties by term; a term's index is its place in
+    that order.  Only those (a bound given by the caller) are broadcast, so terms meet the vocabulary without a shuffle.
+    A document without a vocabulary term has empty arrays.  ``key`` must be unique.
+    """
+    words = F.split(F.lower(F.col(text)), "\\s")
+    tf = (docs.select(key, F.explode_outer(words).alias("term")).filter(F.col("term") != "")
+          .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
+    order = [F.col("df").desc(), F.col("term")]
+    top = tf.groupBy("term").agg(F.count("n").alias("df")).orderBy(*order).limit(vocab_size)
+    vocabulary = top.select("term", (F.row_number().over(Window.orderBy(*order)) - 1).alias("i"))
+    held = (tf.join(F.broadcast(vocabulary), "term").groupBy(key)
+            .agg(F.sort_array(F.collect_list(F.struct("i", "n"))).alias("_v")).withColumnRenamed(key, "_key"))
+    none = F.array().cast("array<struct<i:int,n:bigint>>")
+    out = docs.select(key).join(held, F.col(key) == F.col("_key"), "left").withColumn("_v", F.coalesce("_v", none))
+    return out.select(key, F.col("_v.i").alias("indices"), F.col("_v.n").alias("counts"))
+
+
 def fit_text_classifier(train: DataFrame, text: str = "text", label: str = "label", num_features: int = 1000,
                         max_iter: int = 10, reg_param: float = 0.001) -> PipelineModel:
     """``Pipeline(Tokenizer, HashingTF, LogisticRegression)`` fitted on ``<text, label>``."""

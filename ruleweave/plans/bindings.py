@@ -7,6 +7,7 @@ text work happens in the operator modules.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ruleweave.functions.iri import RDF_TYPE, RDFS_SUBCLASS_OF, XSD
 from ruleweave.operators.sizing import spread
+from ruleweave.session import ensure_checkpoint_dir
+from ruleweave.sources.tables import inline
 
 # ---------------------------------------------------------------------------
 # Fixed values of the bindings (shared with the oracle SQL).
@@ -104,8 +107,7 @@ def _nt(s: Column, p: str, o: Column) -> Column:
 
 
 def _edge_lines(spark: SparkSession, ns: str, edges: list[tuple[str, str]]) -> DataFrame:
-    df = spark.createDataFrame(edges, "child string, parent string")
-    return _class_lines(df, ns)
+    return _class_lines(inline(spark, edges, "child string, parent string"), ns)
 
 
 def _class_lines(edges: DataFrame, ns: str, top: str = TOP) -> DataFrame:
@@ -131,7 +133,7 @@ def taxonomy_lines(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         .unionByName(n.join(r, n.n_regionkey == r.r_regionkey)
                      .select(F.col("n_name").alias("child"), F.col("r_name").alias("parent")))
         .unionByName(r.select(F.col("r_name").alias("child"), F.lit(GEO_ROOT).alias("parent")))
-        .unionByName(spark.createDataFrame([(GEO_ROOT, TOP)], "child string, parent string"))
+        .unionByName(inline(spark, [(GEO_ROOT, TOP)], "child string, parent string"))
     )
     # IRIs may not hold spaces: region names such as 'MIDDLE EAST' use '_' in the IRI
     geo_edges = geo_edges.select(F.regexp_replace("child", " ", "_").alias("child"),
@@ -216,6 +218,27 @@ def order_line_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.explode(F.array(order, F.concat(order, F.lit("/line/"), F.col("l_linenumber").cast("string")))).alias("label"))
 
 
+def as_text_files(lines: DataFrame) -> str:
+    """Writes ``<value>`` as text files into a new folder beside the checkpoints; its path."""
+    path = f"{ensure_checkpoint_dir(lines.sparkSession)}/text-{uuid.uuid4().hex}"
+    lines.select("value").write.text(path)
+    return path
+
+
+TSV_COLUMNS = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
+SHORT_EVERY, LONG_EVERY = 50, 70
+
+
+def customer_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as tab-separated lines (``value``); some keys have a second line that lacks fields or has one too many."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    good = F.concat_ws("\t", key, "c_name", "c_mktsegment", F.col("c_acctbal").cast("decimal(15,2)").cast("string"))
+    short = F.when(F.col("c_custkey") % SHORT_EVERY == 7, F.concat_ws("\t", F.lit("short"), key))
+    long = F.when(F.col("c_custkey") % LONG_EVERY == 3, F.concat_ws("\t", F.lit("long"), key, *[F.lit("x")] * (len(TSV_COLUMNS) - 1)))
+    return c.select(F.explode(F.array_compact(F.array(good, short, long))).alias("value"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, sf_dir, "documents", "doc_id", "text")
 

@@ -21,7 +21,8 @@ from ruleweave.operators import text as X
 from ruleweave.operators import triples as T
 from ruleweave.plans import bindings as B
 from ruleweave.plans.mining import Mining
-from ruleweave.sources.ntriples import parse_ntriples
+from ruleweave.sources.ntriples import parse_ntriples, read_lines, read_taxonomy_files
+from ruleweave.sources.tables import read_with_rejects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +103,23 @@ def q_taxo_edges(spark, sf_dir):
     return taxonomy_edges(spark, sf_dir)
 
 
+def q_taxo_edges_files(spark, sf_dir):
+    """The taxonomies written as text, one folder per ontology, and read back in one scan."""
+    paths = [B.as_text_files(lines) for lines in B.taxonomy_lines(spark, sf_dir)]
+    return H.subclass_edges(read_taxonomy_files(spark, paths))
+
+
+def q_nt_count_files(spark, sf_dir):
+    """Line kinds of the triples written as text and scanned as raw lines."""
+    return T.line_counts(read_lines(spark, B.as_text_files(B.triple_lines(spark, sf_dir))))
+
+
+def q_tsv_rows(spark, sf_dir):
+    """Customers written as tab-separated text and read back: accepted rows, and rejected lines in ``line``."""
+    rows, rejects = read_with_rejects(spark, B.as_text_files(B.customer_tsv(spark, sf_dir)), B.TSV_COLUMNS, header=False)
+    return rows.withColumn("line", F.lit(None).cast("string")).unionByName(rejects, allowMissingColumns=True)
+
+
 def q_taxo_concepts(spark, sf_dir):
     return H.concepts(taxonomy_edges(spark, sf_dir))
 
@@ -260,6 +278,13 @@ def q_tfidf_hashed(spark, sf_dir):
     return found.select("doc_id", F.transform("features", lambda x: grid_round(x)).alias("features"))
 
 
+VOCABULARY = 500
+
+
+def q_count_vectors(spark, sf_dir):
+    return X.count_vectors(B.documents(spark, sf_dir), VOCABULARY)
+
+
 def q_lr_predict(spark, sf_dir):
     docs = B.labeled_documents(spark, sf_dir)
     return X.predict(X.fit_text_classifier(docs), docs)
@@ -339,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "token_counts": q_token_counts,
     "tfidf_terms": q_tfidf_terms,
     "tfidf_hashed": q_tfidf_hashed,
+    "count_vectors": q_count_vectors,
     "lr_predict": q_lr_predict,
     "graph_vertices": q_graph_vertices,
     "graph_edges": q_graph_edges,
@@ -352,6 +378,9 @@ QUERIES: dict[str, Query] = {
     "graph_supply_components": q_graph_supply_components,
     "graph_supply_pagerank": q_graph_supply_pagerank,
     "taxo_edges": q_taxo_edges,
+    "taxo_edges_files": q_taxo_edges_files,
+    "nt_count_files": q_nt_count_files,
+    "tsv_rows": q_tsv_rows,
     "taxo_concepts": q_taxo_concepts,
     "taxo_children": q_taxo_children,
     "taxo_closure": q_taxo_closure,

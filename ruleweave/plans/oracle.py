@@ -222,6 +222,8 @@ def triples_sql() -> dict[str, str]:
         "nt_preview": w + "SELECT * FROM triples ORDER BY s, p, o, o_lang, o_datatype LIMIT 5",
         "nt_by_predicate": w + "SELECT * FROM triples WHERE contains(p, '#type') AND starts_with(o, 'http')",
         "nt_count": f"""SELECT 5 * {n_cust} + 4 * {n_nat} + 13 * {n_reg} AS n_lines, 2 * {n_reg} AS n_comment,
+  2 * {n_reg} AS n_blank, 5 * {n_cust} + 4 * {n_nat} + 7 * {n_reg} AS n_triples, 2 * {n_reg} AS n_malformed""",
+        "nt_count_files": f"""SELECT 5 * {n_cust} + 4 * {n_nat} + 13 * {n_reg} AS n_lines, 2 * {n_reg} AS n_comment,
   2 * {n_reg} AS n_blank, 5 * {n_cust} + 4 * {n_nat} + 7 * {n_reg} AS n_triples, 2 * {n_reg} AS n_malformed""",
         "subject_counts": w + "SELECT s, count(*) AS n FROM triples GROUP BY s",
         "class_counts": w + f"SELECT o AS class, count(*) AS n FROM triples WHERE p = '{_RDF_TYPE}' AND o_kind = 'iri' AND starts_with(o, 'http') GROUP BY o",
@@ -235,6 +237,12 @@ def taxonomy_sql() -> dict[str, str]:
     ns = B.TAXO_NS
     return {
         "taxo_edges": w + "SELECT DISTINCT k, child, parent FROM edges",
+        "taxo_edges_files": w + "SELECT DISTINCT k, child, parent FROM edges",
+        "tsv_rows": f"""SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_mktsegment, c_acctbal::DECIMAL(15,2)::VARCHAR AS c_acctbal,
+  NULL::VARCHAR AS line FROM customer
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'short' || chr(9) || c_custkey FROM customer WHERE c_custkey % {B.SHORT_EVERY} = 7
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'long' || chr(9) || c_custkey || repeat(chr(9) || 'x', {len(B.TSV_COLUMNS) - 1})
+  FROM customer WHERE c_custkey % {B.LONG_EVERY} = 3""",
         "taxo_concepts": w + "SELECT k, child AS concept FROM edges UNION SELECT k, parent FROM edges",
         "taxo_children": w + """, e AS (SELECT DISTINCT k, parent, child FROM edges)
 SELECT e.k, e.parent, e.child, c.n AS n_children FROM e JOIN (SELECT k, parent, count(*) AS n FROM e GROUP BY k, parent) c
@@ -372,6 +380,12 @@ def text_sql() -> dict[str, str]:
         "tokens_regex": f"SELECT doc_id, {_RX} AS tokens FROM documents",
         "tfidf_hashed": _hashed_tfidf_sql(20),
         "token_counts": f"SELECT doc_id, len({_WS})::INTEGER AS n_ws, len({_RX})::INTEGER AS n_regex FROM documents",
+        "count_vectors": f"""WITH toks AS (SELECT doc_id, unnest({_WS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS n FROM toks GROUP BY doc_id, term),
+vocabulary AS (SELECT term, (row_number() OVER (ORDER BY count(*) DESC, term) - 1)::INTEGER AS i FROM tf GROUP BY term
+  QUALIFY i < 500),
+held AS (SELECT doc_id, list(i ORDER BY i) AS indices, list(n ORDER BY i) AS counts FROM tf JOIN vocabulary USING (term) GROUP BY doc_id)
+SELECT doc_id, coalesce(indices, []) AS indices, coalesce(counts, []) AS counts FROM documents LEFT JOIN held USING (doc_id)""",
         "tfidf_terms": f"""WITH toks AS (SELECT doc_id, unnest({_WS}) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),

@@ -14,7 +14,7 @@ dropped by :func:`parse_ntriples`.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,8 +104,8 @@ def _groups(packed: Column) -> list[Column]:
     return [F.get(parts, at[g]) for g in range(1, 9)]
 
 
-def parse_ntriples(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Parse N-Triples lines into the triple schema; non-triple lines are dropped.
+def parse_ntriples(lines: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Parse N-Triples lines into the triple schema, then the columns ``keep`` of ``lines``; non-triple lines are dropped.
 
     One ``regexp_replace`` rewrites a matching line into its groups joined by
     a control character (a non-matching line comes back unchanged) and
@@ -117,8 +117,8 @@ def parse_ntriples(lines: DataFrame, col: str = "value") -> DataFrame:
     packed = F.when(~v.startswith(_MARK), F.regexp_replace(v, LINE_PATTERN, _PACKED))
     g = _groups(F.col("_packed"))
     parsed = (
-        lines.select(F.explode_outer(F.array(packed)).alias("_packed")).filter(F.col("_packed").startswith(_MARK))
-        .select(_unescape(g[0]).alias("_s_iri"), g[1].alias("_s_bn"), _unescape(g[2]).alias("p"), _unescape(g[3]).alias("_o_iri"),
+        lines.select(*keep, F.explode_outer(F.array(packed)).alias("_packed")).filter(F.col("_packed").startswith(_MARK))
+        .select(*keep, _unescape(g[0]).alias("_s_iri"), g[1].alias("_s_bn"), _unescape(g[2]).alias("p"), _unescape(g[3]).alias("_o_iri"),
                 g[4].alias("_o_bn"), g[5].alias("_lit"), g[6].alias("_lang"), _unescape(g[7]).alias("_dt"))
     )
     s_is_iri = F.col("_s_bn") == ""
@@ -134,6 +134,7 @@ def parse_ntriples(lines: DataFrame, col: str = "value") -> DataFrame:
         o_kind.alias("o_kind"),
         F.nullif(F.col("_lang"), F.lit("")).alias("o_lang"),
         F.nullif(F.col("_dt"), F.lit("")).alias("o_datatype"),
+        *keep,
     )
 
 
@@ -141,7 +142,24 @@ def read_ntriples(spark: SparkSession, *paths: str) -> DataFrame:
     return parse_ntriples(read_lines(spark, *paths))
 
 
+def _place(path: Column) -> Column:
+    """A file's address with one slash after the scheme, however many it is written with."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
 def read_taxonomy_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Multi-source load: one N-Triples file per ontology, ``k`` = position."""
-    parts = [read_ntriples(spark, p).withColumn("k", F.lit(i)) for i, p in enumerate(paths)]
-    return reduce(DataFrame.unionByName, parts)
+    """Multi-source load: one N-Triples file, or folder of files, per ontology; ``k`` = position.
+
+    All files are one scan; a line's ontology follows from the file it was read from (``_metadata.file_path``) by a map of the
+    given paths.  A path given twice counts for its first position.
+    """
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    places: dict[str, tuple[int, str]] = {}
+    for i, p in enumerate(paths):
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        places.setdefault(path.getFileSystem(conf).makeQualified(path).toUri().toString().rstrip("/"), (i, p))
+    known = F.create_map(*[x for place, (i, _) in places.items() for x in (_place(F.lit(place)), F.lit(i))])
+    file = _place(F.col("_metadata.file_path"))
+    k = F.coalesce(F.try_element_at(known, file), F.try_element_at(known, F.regexp_replace(file, "/[^/]*$", "")))
+    lines = read_lines(spark, *[p for _, p in places.values()]).select("value", k.alias("k"))
+    return parse_ntriples(lines, keep=["k"])
