@@ -37,11 +37,12 @@ class Forest:
     """Sorted hash strings of one block."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, trees: int = TREES, seed: int = 11):
-        order = np.lexsort((*vectors.T[::-1], ids))  # repeated rows of an id: the smallest vector counts
+        order = np.lexsort((*vectors.T[::-1], ids))  # equal rows count once
         ids, vectors = ids[order], vectors[order]
         keep = np.ones(len(ids), bool)
-        keep[1:] = ids[1:] != ids[:-1]
+        keep[1:] = (ids[1:] != ids[:-1]) | (vectors[1:] != vectors[:-1]).any(1)
         self.ids, self.vectors, self.trees = ids[keep], vectors[keep], trees
+        self.repeats = bool((self.ids[1:] == self.ids[:-1]).any())
         rng = np.random.default_rng(seed)
         self.planes = rng.standard_normal((vectors.shape[1], trees * BITS))
         self.centre = self.vectors.mean(0)
@@ -79,6 +80,12 @@ class Forest:
             at = np.flatnonzero(mark)
             gap = self.vectors[at] - queries[q]
             far = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+            if self.repeats:  # the nearest vector of each id
+                order = np.lexsort((far, self.ids[at]))
+                at, far = at[order], far[order]
+                first = np.ones(len(at), bool)
+                first[1:] = self.ids[at[1:]] != self.ids[at[:-1]]
+                at, far = at[first], far[first]
             if len(at) > k:  # all within the k-th distance, so that ties go by id
                 at, far = at[near := far <= np.partition(far, k - 1)[k - 1]], far[near]
             best = np.lexsort((self.ids[at], far))[:k]
@@ -97,8 +104,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     """``<query_id, rank, vec_id, score>``: the ``k`` nearest rows found for each query, own id left out.
 
     Only vectors of the query's length compare.  Rows with a null id and unusable
-    vectors take no part; of rows or queries with the same id the one with the smallest
-    vector counts.  Ties go to the smaller id; a query with fewer candidates has fewer
+    vectors take no part; every vector of a repeated id is a candidate and the nearest counts; of queries with
+    the same id the one with the smallest vector does.  Ties go to the smaller id; a query with fewer candidates has fewer
     rows, and an empty table gives none.  Other columns are not read.  A task holds one
     block (``block_rows`` on average) and a slice of the queries.
     """
@@ -108,11 +115,11 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     base = take(rows)
     blocks = max(1, -(-base.count() // block_rows))
     asked = take(queries).groupBy("id").agg(F.min("v").alias("v"))
-    side = base.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.size("v").alias("dim"),
+    side = base.select(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"), F.size("v").alias("dim"),
                        F.lit(0).alias("kind"), "id", "v")
     into = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.size("v").alias("dim"),
                         F.lit(1).alias("kind"), "id", "v")
-    dealt = (side.unionByName(into).repartition(blocks, "block")
+    dealt = (side.unionByName(into).repartitionById(blocks, F.col("block"))
              .sortWithinPartitions("block", "dim", "kind"))
     schema = "query_id bigint, vec_id bigint, score double"
     arrow = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -147,7 +154,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
                         pa.array(np.concatenate([d for _, _, d in found]))], schema=arrow)
                 begin = end
 
-    found = dealt.mapInArrow(run, schema)
+    # vectors of an id may lie in several blocks
+    found = dealt.mapInArrow(run, schema).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     first = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

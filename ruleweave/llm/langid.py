@@ -12,6 +12,7 @@ matrices are chained exactly.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -23,7 +24,15 @@ from pyspark.sql.functions import pandas_udf
 
 from ruleweave.llm.common import SLICE_ROWS, map_slices, share_code
 
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _letters() -> re.Pattern:
+    """Runs of letters: word characters but for ``_`` and all that is numeric (digits, fractions, Roman numerals)."""
+    other = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha()]
+    return re.compile("[^\\W_" + "".join(map(re.escape, other)) + "]+")
+
+
+WORD = _letters()
 UNKNOWN = "und"
 #: Bounds of the training sample: rows per language and characters of a row.
 SAMPLE_ROWS = 300

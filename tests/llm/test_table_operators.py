@@ -532,6 +532,28 @@ def test_neighbour_edges(spark):
     assert sorted(r.vec_id for r in got) == list(range(10)) and {r.score for r in got} == {0.0}
 
 
+def test_every_vector_of_a_repeated_id_is_a_candidate(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(x) for x in rng.normal(size=4)]) for i in rng.integers(0, 40, 400)] + [(100, [0.1, 0.2, 0.3, 0.4])]
+    frame = spark.createDataFrame(rows + rows[:50], "vec_id long, embedding array<float>")
+    nearest = {}
+    ask = np.float32([0.1, 0.2, 0.3, 0.4]).astype(np.float64)
+    for i, v in rows:
+        if i != 100:
+            d = float(np.sqrt(((np.float32(v).astype(np.float64) - ask) ** 2).sum()))
+            nearest[i] = min(d, nearest.get(i, d))
+    want = sorted((d, i) for i, d in nearest.items())[:10]
+    for size in (50, 100_000):
+        got = ann.search(frame, frame.filter("vec_id = 100"), block_rows=size, least=100_000).orderBy("rank").collect()
+        assert [r.vec_id for r in got] == [i for _, i in want]
+        assert [r.score for r in got] == pytest.approx([d for d, _ in want])
+
+
+def test_numerals_are_no_letters(spark):
+    assert langid.WORD.findall("½ ² Ⅻ 12 a_b m² ß 你好 é") == ["a", "b", "m", "ß", "你好", "é"]
+
+
+
 # ---- WARC ----
 
 def test_loser_tree_merges():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -254,6 +255,82 @@ def test_broken_pages(page):
     assert isinstance(html_text.main_text(page), str)
 
 
+SAY = "The words of this text are many and it is for the reader to see that it is the article in all but name."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<html><head><title>T</title><meta x><p>{SAY}</p><p>More.</p>", [SAY, "More."]),  # no </head>, no <body>
+    (f"<body><p>{SAY}</p><svg><path><p>{SAY}</p>", [SAY, SAY]),  # an unclosed silent tag has no content
+    (f'<article><p>It is <span class="alert">never</span> lost. {SAY}</p></article>', [f"It is never lost. {SAY}"]),
+    (f"<article><p>{SAY} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>", [f"{SAY} x=2"]),
+    (f'<article><div class="share-price">It fell to 5.</div><p>{SAY}</p><div class="share-bar">Tell your friends</div></article>', ["It fell to 5.", SAY]),
+    (f'<article><p>{SAY}</p><p><a href="x">{SAY}</a></p></article>', [SAY, SAY]),  # an article's paragraph may be one link
+    (f'<article><h3>Teaser</h3><p>One of the others.</p></article><div><p>{SAY}</p><p>{SAY}</p></div>', None),
+    ("<body><div>首页</div><p>" + "这是一个没有空格的句子它讲述了很多事情而且足够长" * 3 + "</p></body>", None),
+    (f'<article><p>Seen <span style="display:none">not seen</span> here. {SAY}</p></article>', [f"Seen here. {SAY}"]),
+    (f'<body><div class="siteFooter">{SAY}</div><div id="cookie_banner">{SAY}</div><p>{SAY}</p></body>', [SAY]),
+])
+def test_article_text_is_kept(page, want):
+    got = html_text.main_text(page).split("\n")
+    if want is None:
+        assert any(len(x) > 60 for x in got)
+    else:
+        assert got == want
+
+
+def test_time_follows_the_size():
+    import time
+
+    for page in ("<div>x " * 150_000, "<svg>" * 200_000, "<p>a</b></i> " * 80_000, "<div><span hidden>" * 60_000):
+        begin = time.perf_counter()
+        html_text.main_text(page)
+        assert time.perf_counter() - begin < 10  # quadratic time would take minutes
+
+
+def test_both_passes_against_their_definition():
+    rng = random.Random(5)
+    G, N, O = html_text.GOOD, html_text.BAD, html_text.OPEN
+    for _ in range(400):
+        found = []
+        for _ in range(rng.randint(0, 12)):
+            room = rng.choice([0, 0, 1, 2])
+            text = rng.choice([SAY, "Short.", "the of and to", "没有空格的文字没有空格的文字没有空格的文字", "Word " * 30])
+            found.append(html_text.Block(text, rng.choice([0, 0, len(text)]), rng.random() < .2, room, room > 0))
+        stops = html_text.STOP_WORDS
+
+        def alone(b, by_stops):
+            ws = re.findall(r"[^\W\d_]+", b.text.lower())
+            if b.outer or (b.links * 2 > len(b.text) and not b.inside):
+                return N
+            if b.links * 2 > len(b.text) or not ws:
+                return O
+            if by_stops:
+                return G if len(b.text) >= 60 and sum(w in stops for w in ws) / len(ws) >= .08 else O
+            return G if len(b.text) >= (20 if len(b.text) / len(ws) > 12 else 60) else O
+
+        first = [alone(b, True) for b in found]
+        if G not in first:
+            first = [alone(b, False) for b in found]
+        inside = sum(len(b.text) for b, x in zip(found, first) if x == G and b.inside)
+        around = sum(len(b.text) for b, x in zip(found, first) if x == G and not b.inside)
+        articles = any(b.inside and not b.outer for b in found)
+        rooms = [b.room if articles and inside >= around else 0 if articles else b.room for b in found]
+        if articles and inside >= around:
+            first = [x if b.inside else N for b, x in zip(found, first)]
+        want = []
+        for i, b in enumerate(found):
+            mates = [j for j, c in enumerate(found) if not c.outer and rooms[j] == rooms[i]]
+            if first[i] or b.outer:
+                want.append(first[i])
+                continue
+            place = mates.index(i)
+            sides = [[j for j in mates[:place][::-1] if first[j]][:1], [j for j in mates[place + 1:] if first[j]][:1]]
+            near = [(abs(mates.index(j) - place), first[j]) for s in sides for j in s]
+            least = min((d for d, _ in near), default=0)
+            want.append(min(x for d, x in near if d == least) if near else G if rooms[i] else N)
+        assert html_text.labelled(found) == want
+
+
 def test_open_blocks_follow_neighbours():
     B = html_text.Block
     found = [B("x", 0, False, 0, False) for _ in range(5)]
