@@ -11,7 +11,7 @@ per map task; the weights (exactly ``buckets`` rows at most) are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ruleweave.llm.common import written
@@ -107,12 +107,26 @@ def cell_counts(docs: DataFrame, buckets: int, name: str) -> DataFrame:
     return every.select(cell(buckets).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias(name))
 
 
+def fold_counts(docs: DataFrame, buckets: int) -> DataFrame:
+    """``<cell, t0, t1>``: n-grams of the texts of both folds by cell."""
+    every = hashed_words(docs.withColumn("_fold", fold(text_hash(F.col("_text")))), F.col("_text"))
+    return every.select("_fold", F.explode(grams()).alias("_h")).select("_fold", cell(buckets).alias("cell")).groupBy("cell").agg(
+        F.count_if(F.col("_fold") == 0).alias("t0"), F.count_if(F.col("_fold") == 1).alias("t1"))
+
+
 def weights(counts: DataFrame) -> DataFrame:
-    """``<cell, w>`` from ``<cell, raw, target>``: log ratio of the smoothed multinomials, in steps of the grid."""
-    n_raw, n_target, k = (counts.select(x).scalar() for x in (F.sum("raw"), F.sum("target"), F.count(F.lit(1))))
-    ratio = (F.log((F.col("target") + 1) / (n_target + k))
-             - F.log((F.col("raw") + 1) / (n_raw + k)))
-    return counts.select("cell", F.round(ratio * GRID).cast("long").alias("w"))
+    """``<cell, w, w0, w1>`` from ``<cell, raw, t0, t1>``: log ratios of the smoothed multinomials, in steps of the grid.
+
+    ``w`` counts the target on both folds; ``w0`` and ``w1``, for texts of that fold, on the other one.
+    """
+    n_raw, n0, n1, k = (counts.select(x).scalar() for x in (F.sum("raw"), F.sum("t0"), F.sum("t1"), F.count(F.lit(1))))
+
+    def ratio(target: Column, n_target: Column) -> Column:
+        r = F.log((target + 1) / (n_target + k)) - F.log((F.col("raw") + 1) / (n_raw + k))
+        return F.round(r * GRID).cast("long")
+
+    return counts.select("cell", ratio(F.col("t0") + F.col("t1"), n0 + n1).alias("w"), ratio(F.col("t1"), n1).alias("w0"),
+                         ratio(F.col("t0"), n0).alias("w1"))
 
 
 def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -121,9 +135,9 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
 
     ``trusted`` is ``<id, quality>`` (1 trusted, 0 rejected, others unused); its
     ids mark rows of ``docs``.  An id marked both ways counts as rejected.  The target is
-    counted on the marked texts of even hash.  With no threshold given it is fitted on the marked texts
-    of odd hash that pass the base rules, whose own n-grams are not in the target, just
-    like an unmarked row's: the step of the score at which the shares of trusted rows
+    counted on all trusted texts.  With no threshold given it is fitted on the marked texts that pass the
+    base rules, in two folds by text hash: each is scored with the target counted on the other fold, so its own
+    n-grams are not in the target, just like an unmarked row's: the step of the score at which the shares of trusted rows
     kept and rejected rows dropped have the largest sum, the lowest of equals; without
     rows of both kinds nothing is dropped by score.
 
@@ -140,17 +154,17 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     # the corpus is counted where it lies; only texts that may be in the target meet the marks
     raw = cell_counts(slim, buckets, "raw")
     good = marks.filter("_quality = 1").select("_mark")
-    target = cell_counts(slim.filter(counted(text_hash(F.col("_text")))).join(
-        good.hint("merge"), F.col("_id") == F.col("_mark"), "left_semi"), buckets, "target")
-    model = weights(written(raw.join(target, "cell", "left").na.fill(0, ["target"]), "cells"))
+    target = fold_counts(slim.join(good.hint("merge"), F.col("_id") == F.col("_mark"), "left_semi"), buckets)
+    model = weights(written(raw.join(target, "cell", "left").na.fill(0, ["t0", "t1"]), "cells"))
 
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())
     keys = ["_row", "_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     scored = (numbered.select(*keys, F.explode_outer(grams()).alias("_h")).select(*keys, cell(buckets).alias("cell"))
               .join(F.broadcast(model), "cell", "left")
-              .groupBy(*keys).agg(F.sum("w").alias("_sum"), F.count("cell").alias("_n")))
-    scored = written(scored.withColumn("llr", F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n") / GRID).otherwise(0.0)),
-                     "scores")
+              .groupBy(*keys).agg(F.sum("w").alias("_sum"), F.count("cell").alias("_n"),
+                                  F.sum(F.when(fold(F.col("text_hash")) == 0, F.col("w0")).otherwise(F.col("w1"))).alias("_other")))
+    mean = lambda c: F.when(F.col("_n") > 0, F.col(c) / F.col("_n") / GRID).otherwise(0.0)
+    scored = written(scored.withColumn("llr", mean("_sum")).withColumn("llr_other", mean("_other")), "scores")
     if threshold is None:
         cut = fitted_threshold(scored, marks).scalar()
     else:
@@ -160,9 +174,9 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
                       "llr", "threshold", "text_hash")
 
 
-def counted(hash_: Column) -> Column:
-    """Marked texts that the target is counted on; the others fit the threshold."""
-    return F.pmod(hash_, F.lit(2)) == 0
+def fold(hash_: Column) -> Column:
+    """Fold 0 or 1 of a text."""
+    return F.pmod(hash_, F.lit(2))
 
 
 def text_hash(text: Column) -> Column:
@@ -177,13 +191,11 @@ def keep_good(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_
 
 
 def fitted_threshold(scored: DataFrame, marks: DataFrame) -> DataFrame:
-    """One row ``<threshold>``: the best step over the marked rows that the target doesn't count (a histogram of the score, its size fixed by the range of log ratios)."""
-    marked = scored.filter(~F.col("base_failed") & ~counted(F.col("text_hash"))).join(marks, F.col("_id") == F.col("_mark"))
-    steps = marked.groupBy(F.floor(F.col("llr") / STEP).alias("step")).agg(
+    """One row ``<threshold>``: the best step over the marked rows, each scored by the other fold (a histogram of the score, its size fixed by the range of log ratios)."""
+    marked = scored.filter(~F.col("base_failed")).join(marks, F.col("_id") == F.col("_mark"))
+    steps = marked.groupBy(F.floor(F.col("llr_other") / STEP).alias("step")).agg(
         F.sum(F.col("_quality")).alias("good"), F.sum(1 - F.col("_quality")).alias("bad"))
     below = steps.select("step", "good", "bad").alias("s")
-    from pyspark.sql import Window
-
     order = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy(F.lit(1))
     gain = below.select(

@@ -235,20 +235,36 @@ def test_scores_equal_a_plain_model(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     grams = quality.hashed_words(docs, F.col("text")).select("doc_id", quality.grams().alias("g"),
-                                                             quality.counted(quality.text_hash(F.col("text"))).alias("c")).collect()
+                                                             quality.fold(quality.text_hash(F.col("text"))).alias("f")).collect()
     marks = {r.doc_id: r.quality for r in labels.collect()}
-    raw, target = collections.Counter(), collections.Counter()
+    cells = {r.doc_id: [h % quality.BUCKETS for h in r.g] for r in grams}
+    raw, target = collections.Counter(), [collections.Counter(), collections.Counter()]
     for r in grams:
-        cells = [h % quality.BUCKETS for h in r.g]
-        raw.update(cells)
-        if marks.get(r.doc_id) == 1 and r.c:
-            target.update(cells)
-    n, t, k = sum(raw.values()), sum(target.values()), len(raw)
-    w = {c: np.log((target[c] + 1) / (t + k)) - np.log((raw[c] + 1) / (n + k)) for c in raw}
+        raw.update(cells[r.doc_id])
+        if marks.get(r.doc_id) == 1:
+            target[r.f].update(cells[r.doc_id])
+    n, k = sum(raw.values()), len(raw)
+
+    def model(counts):
+        t = sum(counts.values())
+        return {c: round((np.log((counts[c] + 1) / (t + k)) - np.log((raw[c] + 1) / (n + k))) * quality.GRID) for c in raw}
+
+    def llr(w, r):
+        at = cells[r.doc_id]
+        return sum(w[c] for c in at) / len(at) / quality.GRID if at else 0.0
+
     got = {r.doc_id: r for r in quality.score_quality(docs, labels).collect()}
+    whole = model(target[0] + target[1])  # all trusted texts
+    other = [model(target[1]), model(target[0])]
+    steps = collections.defaultdict(lambda: [0, 0])
     for r in grams:
-        assert abs(got[r.doc_id].llr - np.mean([w[h % quality.BUCKETS] for h in r.g])) < 1e-5
+        assert abs(got[r.doc_id].llr - llr(whole, r)) < 1e-5
         assert got[r.doc_id].kept == (not got[r.doc_id].base_failed and got[r.doc_id].llr >= got[r.doc_id].threshold)
+        if not got[r.doc_id].base_failed and r.doc_id in marks:
+            steps[np.floor(llr(other[r.f], r) / quality.STEP)][marks[r.doc_id]] += 1
+    bad, good = (sum(x[q] for x in steps.values()) for q in (0, 1))
+    gain = {s: sum(x[0] for z, x in steps.items() if z < s) / bad - sum(x[1] for z, x in steps.items() if z < s) / good for s in steps}
+    assert {r.threshold for r in got.values()} == {min(gain, key=lambda s: (-gain[s], s)) * quality.STEP}
 
 
 def test_trusted_rows_stay(spark):
