@@ -9,14 +9,20 @@ lineage never grows and a lost executor recomputes at most one round.
 from __future__ import annotations
 
 import itertools
+import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ruleweave.functions.numeric import grid_round
-from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, cut_lineage, is_small, materialize
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, cut_lineage, is_small, materialize, materialize_sized
 from ruleweave.operators.skew import DEFAULT_CHUNK_ROWS, lookup_join
+from ruleweave.session import ensure_checkpoint_dir
+
+# Bytes of weighted edges in one partition of a graph too large to broadcast its ranks.
+EDGE_PARTITION_BYTES = 128 << 20
 
 
 def dictionary_encode(terms: DataFrame, col: str = "label", num_partitions: int | None = None) -> DataFrame:
@@ -148,76 +154,74 @@ def _weighted_edges(edges: DataFrame, **kw) -> DataFrame:
     return lookup_join(mult, deg, "src", "_ds", **kw).select("src", "dst", (F.col("_m") / F.col("_d")).alias("w"), "_d")
 
 
+def _edge_sender(edges: DataFrame, n_vertices: int, broadcast_rows: int, chunk_rows: int):
+    """``send(values <id, value>, n) -> <id, _c>``: every value times the weights of its vertex's out-edges, and ``release()``.
+
+    Values of at most ``broadcast_rows`` vertices are broadcast, so the edges do not move.  If there may be more, the edges are
+    persisted hash partitioned by ``(src, salt)``, in as many partitions as their size asks for: a source with more than
+    ``chunk_rows`` out-edges gets several salts and its value is replicated per salt, so only values move.
+    """
+    spark = edges.sparkSession
+    weighted, _, size = materialize_sized(_weighted_edges(edges, lookup_small=n_vertices <= broadcast_rows,
+                                                          broadcast_rows=broadcast_rows, chunk_rows=chunk_rows))
+    if n_vertices <= broadcast_rows:
+        w, hot, parts = weighted.drop("_d"), None, 0
+    else:
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // EDGE_PARTITION_BYTES))
+        hot, n_hot = materialize(
+            weighted.select("src", "_d").distinct().filter(F.col("_d") > chunk_rows)
+            .select(F.col("src").alias("_hk"), F.ceil(F.col("_d") / F.lit(chunk_rows)).cast("int").alias("_ns")))
+        hot = F.broadcast(hot) if n_hot <= broadcast_rows else hot
+        salted = weighted.join(hot, weighted.src == hot._hk, "left").select(
+            "src", "dst", "w", F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_ns"), F.lit(1))).cast("int").alias("_salt"))
+        # kept in memory or on disk with its partitioning; a lost block is made again from the written table
+        w = salted.repartition(parts, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def send(values: DataFrame, n: int) -> DataFrame:
+        side = values.select(F.col("id").alias("src"), "value")
+        if n <= broadcast_rows:
+            met = w.join(F.broadcast(side), "src")
+        else:
+            side = side.join(hot, side.src == hot._hk, "left").select(
+                "src", "value", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)).alias("_salt"))
+            met = w.join(side.repartition(parts, "src", "_salt"), ["src", "_salt"])
+        return met.select(F.col("dst").alias("id"), (F.col("value") * F.col("w")).alias("_c"))
+
+    return send, (w.unpersist if hot is not None else lambda: None)
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_iter: int = 20,
              tol: float | None = None, normalize: bool = False, checkpoint_every: int = 5,
              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """``<id, rank>``: ``rank = reset + (1-reset) * Σ rank(src) * mult / outdeg(src)``, start 1.0.
+    """``<id, rank>``: ``rank = reset + (1-reset) * Σ rank(src) * mult / outdeg(src)``.
 
-    Fixed ``max_iter`` rounds, or until the largest change is below ``tol``.
+    Without a tolerance: ``max_iter`` rounds from 1.0.  With ``tol``: until no vertex holds a residual above it
+    (:func:`residual_rounds`), which raises if ``max_iter`` rounds do not suffice.
     ``normalize`` rescales the ranks to sum to the vertex count (mass lost in
     sinks is restored).
 
     Parallel edges are merged into weights once and checkpointed.  Per round
-    the ranks meet the edges on ``src`` and one ``groupBy`` sum with partial
+    the ranks meet the edges on ``src`` (:func:`_edge_sender`) and one ``groupBy`` sum with partial
     aggregation collects the contributions (plus a zero per vertex, so
-    vertices without in-edges keep ``reset``).  When the vertex count is
-    small the ranks are broadcast.  Otherwise the edges are persisted hash
-    partitioned by ``(src, salt)`` where a source with more than
-    ``chunk_rows`` out-edges gets several salts; each round the rank of such a
-    source is replicated per salt and partitioned the same way, so only the
-    ranks move and no partition holds more than about ``chunk_rows`` edges of
-    one source.  With a tolerance every round is checkpointed (the stop test
-    reads old and new ranks); with a fixed count every ``checkpoint_every``.
+    vertices without in-edges keep ``reset``).  Every ``checkpoint_every`` rounds are written.
     """
-    spark = vertices.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids, n_v = materialize(vertices.select("id"))
-    small = n_v <= broadcast_rows
-    kw = dict(broadcast_rows=broadcast_rows, chunk_rows=chunk_rows)
-    wd = cut_lineage(_weighted_edges(edges, lookup_small=small, **kw))
-    w = hot = None
-    if small:
-        w = wd.drop("_d")
+    if tol is not None:
+        rounds = residual_rounds(vertices, edges, tol, reset, max_iter, broadcast_rows, chunk_rows)
+        # what a vertex has sent, and what it holds at the end
+        ranks = cut_lineage(rounds.filter((F.col("residual") > tol) | (F.col("round") == F.col("last")))
+                            .groupBy("id").agg(F.sum("residual").alias("rank")))
     else:
-        hot, n_hot = materialize(
-            wd.select("src", "_d").distinct().filter(F.col("_d") > chunk_rows)
-            .select(F.col("src").alias("_hk"), F.ceil(F.col("_d") / F.lit(chunk_rows)).cast("int").alias("_ns")))
-        hot = F.broadcast(hot) if n_hot <= broadcast_rows or not broadcast_rows else hot
-        salted = wd.join(hot, wd.src == hot._hk, "left").select(
-            "src", "dst", "w", F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_ns"), F.lit(1))).cast("int").alias("_salt"))
-        # kept in memory or on disk with its partitioning; a lost block is made again from the written table
-        w = salted.repartition(parts, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def rank_side(r: DataFrame) -> DataFrame:
-        side = r.select(F.col("id").alias("src"), "rank")
-        if small:
-            return F.broadcast(side)
-        rep = side.join(hot, side.src == hot._hk, "left").select(
-            "src", "rank", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)).alias("_salt"))
-        return rep.repartition(parts, "src", "_salt")
-
-    keys = ["src"] if small else ["src", "_salt"]
-    ranks = cut_lineage(ids.withColumn("rank", F.lit(1.0)))
-    for i in range(max_iter):
-        contrib = w.join(rank_side(ranks), keys).select(F.col("dst").alias("id"),
-                                                        (F.col("rank") * F.col("w")).alias("_c"))
+        ids, n_v = materialize(vertices.select("id"))
+        send, release = _edge_sender(edges, n_v, broadcast_rows, chunk_rows)
+        ranks = cut_lineage(ids.withColumn("rank", F.lit(1.0)))
         zeros = ids.select("id", F.lit(0.0).alias("_c"))
-        new = contrib.unionByName(zeros).groupBy("id").agg(
-            (F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank"))
-        if tol is not None or (i + 1) % checkpoint_every == 0 or i + 1 == max_iter:
-            new = cut_lineage(new)
-        if tol is not None:
-            delta = (new.join(ranks.withColumnRenamed("rank", "_old"), "id")
-                     .agg(F.max(F.abs(F.col("rank") - F.col("_old")))).first()[0])
-            ranks = new
-            if delta is None or delta < tol:
-                break
-            if i + 1 == max_iter:
-                raise RuntimeError(f"ranks still change by {delta} after {max_iter} rounds")
-        else:
-            ranks = new
-    if not small:
-        w.unpersist()
+        for i in range(max_iter):
+            contrib = send(ranks.select("id", F.col("rank").alias("value")), n_v)
+            ranks = contrib.unionByName(zeros).groupBy("id").agg(
+                (F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank"))
+            if (i + 1) % checkpoint_every == 0 or i + 1 == max_iter:
+                ranks = cut_lineage(ranks)
+        release()
     if normalize:
         n = ranks.select(F.count(F.lit(1)).cast("double")).scalar()
         total = ranks.select(F.sum("rank")).scalar()
@@ -225,6 +229,47 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
     return ranks
 
 
+def residual_rounds(vertices: DataFrame, edges: DataFrame, tol: float, reset: float = 0.15, max_iter: int = 1000,
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """The rounds of a PageRank in which only vertices with news send: ``<round, id, residual, last>``.
+
+    Every vertex starts with the residual ``reset``.  In a round those whose residual exceeds ``tol`` send
+    ``(1-reset) * residual * weight`` along their out-edges and keep nothing; the others keep theirs and add what arrives.
+    It ends with the round ``last`` in which none exceeds ``tol``.  A vertex's rank is all it ever sent plus what it still
+    holds; over all vertices the ranks miss at most ``n * tol * (1-reset) / reset`` of the exact ones.
+
+    A round is written once, holds only vertices with a residual, and its write counts the senders, so a round costs what the
+    senders' edges cost and no round rewrites ranks.  Senders that fit are broadcast: the edges then stay where they are,
+    however large the graph.  No vertices give no rows.
+    """
+    if tol <= 0:
+        raise ValueError("tol must be positive")
+    spark = vertices.sparkSession
+    base = f"{ensure_checkpoint_dir(spark)}/residuals-{uuid.uuid4().hex}"
+    ids, n_v = materialize(vertices.select("id"))
+    send, release = _edge_sender(edges, n_v, broadcast_rows, chunk_rows)
+    held = ids.select("id", F.lit(reset).cast("double").alias("residual"))
+    schema = held.schema
+    for i in range(max_iter + 1):
+        seen = Observation()
+        path = f"{base}/round={i}"
+        held.observe(seen, F.count_if(F.col("residual") > tol).alias("senders")).write.parquet(path)
+        held = spark.read.schema(schema).parquet(path)
+        # a plan known to be empty may drop the observation
+        senders = seen.get["senders"] if "senders" in seen.get else held.filter(F.col("residual") > tol).count()
+        if senders == 0:
+            break
+        if i == max_iter:
+            raise RuntimeError(f"{senders} vertices still hold more than {tol} after {max_iter} rounds")
+        sent = send(held.filter(F.col("residual") > tol).select("id", F.col("residual").alias("value")), senders)
+        kept = held.filter(F.col("residual") <= tol)
+        arrived = sent.select("id", (F.col("_c") * F.lit(1.0 - reset)).alias("residual"))
+        held = arrived.unionByName(kept).groupBy("id").agg(F.sum("residual").alias("residual"))
+    release()
+    rounds = spark.read.schema(T.StructType([*schema.fields, T.StructField("round", T.IntegerType())])).parquet(base)
+    return rounds.select("round", "id", "residual", F.lit(i).alias("last"))
+
+
 def ranked_vertices(ranks: DataFrame, vertices: DataFrame, k: int = 5, bits: int = 20) -> DataFrame:
     """Top-k vertices by rank (rounded to a 2**-bits grid), ties by label: ``<id, label, rank>``."""
     r = ranks.join(vertices, "id").select("id", "label", grid_round("rank", bits).alias("rank"))

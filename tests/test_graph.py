@@ -103,3 +103,29 @@ def test_pagerank_tolerance_and_normalize(spark):
     assert sum(r.rank for r in norm.collect()) == pytest.approx(n)
     top = G.ranked_vertices(G.pagerank(v, e, max_iter=15), v, k=3).collect()
     assert [r.rank for r in top] == sorted([r.rank for r in top], reverse=True)
+
+
+def test_pagerank_senders_shrink(spark):
+    # a long chain, a cycle and a hub with many leaves: the chain is done soon, the cycle goes on
+    triples = [(f"c{i:03d}", "p", f"c{i + 1:03d}") for i in range(30)]
+    triples += [("k0", "p", "k1"), ("k1", "p", "k2"), ("k2", "p", "k0")] + [(f"l{i}", "p", "hub") for i in range(50)]
+    v, e = G.build_graph(spark.createDataFrame(triples, "s string, p string, o string"))
+    n, tol = v.count(), 1e-4
+    edges = [(r.src, r.dst) for r in e.collect()]
+    degree = {}
+    for s, _ in edges:
+        degree[s] = degree.get(s, 0) + 1
+    rounds = G.residual_rounds(v, e, tol, max_iter=200)
+    log = [(r.round, r.id, r.residual) for r in rounds.collect()]
+    last = max(r for r, _, _ in log)
+    active = [sum(degree.get(i, 0) for r, i, x in log if r == k and x > tol) for k in range(last + 1)]
+    assert active[0] == len(edges) and active[-1] == 0
+    assert all(a >= b for a, b in zip(active, active[1:])) and active[40] == 3  # only the cycle is left
+    want = _pagerank_np(n, edges, 400)
+    for rows in (500_000, 20):  # always broadcast, and once the senders are few
+        got = {r.id: r.rank for r in G.pagerank(v, e, max_iter=200, tol=tol, broadcast_rows=rows, chunk_rows=10).collect()}
+        assert sorted(got) == list(range(n))
+        assert sum(abs(got[i] - want[i]) for i in range(n)) <= n * tol * 0.85 / 0.15
+    assert G.pagerank(v.limit(0), e.limit(0), tol=tol).collect() == []
+    with pytest.raises(RuntimeError):
+        G.pagerank(v, e, max_iter=3, tol=tol)
