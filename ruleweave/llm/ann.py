@@ -31,6 +31,8 @@ SHARE = 1.25
 LEAST = 400
 BLOCK_ROWS = 32_768
 QUERY_SLICE = 64
+#: Where there are fewer blocks than cores, a block's queries are dealt over several tasks, of this many queries at least.
+TASK_QUERIES = 256
 
 
 class Forest:
@@ -107,7 +109,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     vectors take no part; every vector of a repeated id is a candidate and the nearest counts; of queries with
     the same id the one with the smallest vector does.  Ties go to the smaller id; a query with fewer candidates has fewer
     rows, and an empty table gives none.  Other columns are not read.  A task holds one
-    block (``block_rows`` on average) and a slice of the queries.
+    block (``block_rows`` on average) and streams queries past it.  While there are fewer blocks than cores, a block goes to
+    several tasks, each with a share of the queries; they build the same forest, so the result is the same.
     """
     share_code(rows.sparkSession)
     take = lambda df: df.filter(usable(vector_col) & F.col(id_col).isNotNull()).select(
@@ -115,31 +118,36 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     base = take(rows)
     blocks = max(1, -(-base.count() // block_rows))
     asked = take(queries).groupBy("id").agg(F.min("v").alias("v"))
-    side = base.select(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"), F.size("v").alias("dim"),
-                       F.lit(0).alias("kind"), "id", "v")
-    into = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.size("v").alias("dim"),
-                        F.lit(1).alias("kind"), "id", "v")
-    dealt = (side.unionByName(into).repartitionById(blocks, F.col("block"))
-             .sortWithinPartitions("block", "dim", "kind"))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    copies = max(1, min(-(-take(queries).count() // TASK_QUERIES), -(-cores // blocks)))
+    block = F.pmod(F.xxhash64("id", "v"), F.lit(blocks))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    side = base.withColumn("copy", each(copies)).select(
+        (block * copies + F.col("copy")).cast("int").alias("task"), F.size("v").alias("dim"), F.lit(0).alias("kind"), "id", "v")
+    into = asked.withColumn("block", each(blocks)).select(
+        (F.col("block") * copies + F.pmod(F.xxhash64("id"), F.lit(copies))).cast("int").alias("task"),
+        F.size("v").alias("dim"), F.lit(1).alias("kind"), "id", "v")
+    dealt = (side.unionByName(into).repartitionById(blocks * copies, F.col("task"))
+             .sortWithinPartitions("task", "dim", "kind"))
     schema = "query_id bigint, vec_id bigint, score double"
     arrow = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches):
-        """Rows come block by block, those to be searched before the queries."""
+        """Rows come task by task, those to be searched before the queries."""
         at, ids, vectors, forest = None, [], [], None
         for batch in batches:
-            keys = list(zip(batch["block"].to_pylist(), batch["dim"].to_pylist(), batch["kind"].to_pylist()))
+            keys = list(zip(batch["task"].to_pylist(), batch["dim"].to_pylist(), batch["kind"].to_pylist()))
             begin = 0
             while begin < len(keys):
                 end = begin
                 limit = begin + (QUERY_SLICE if keys[begin][2] else len(keys))
                 while end < len(keys) and end < limit and keys[end] == keys[begin]:
                     end += 1
-                block, dim, kind = keys[begin]
+                task, dim, kind = keys[begin]
                 mine = batch["id"].slice(begin, end - begin).to_numpy()
                 part = batch["v"].slice(begin, end - begin).flatten().to_numpy().reshape(-1, dim)
-                if (block, dim) != at:
-                    at, ids, vectors, forest = (block, dim), [], [], None
+                if (task, dim) != at:
+                    at, ids, vectors, forest = (task, dim), [], [], None
                 if kind == 0:
                     ids.append(mine)
                     vectors.append(part)

@@ -666,3 +666,16 @@ def test_pipeline_edges(spark):
             out.collect()
             at = stage(spark, at, SF_SMALL)
         at.collect()
+
+
+def test_queries_of_a_block_dealt_over_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    frame = vectors(spark, [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(2000, 8)))])
+    frame = spark.createDataFrame(frame.collect(), frame.schema)
+    asked = frame.filter("vec_id % 4 = 0")
+    found = {}
+    for least, blocks in ((10_000, 2_000), (50, 2_000), (50, 1_000)):  # one task, a block in several, blocks in several
+        monkeypatch.setattr(ann, "TASK_QUERIES", least)
+        found[least, blocks] = {tuple(r) for r in ann.search(frame, asked, k=3, share=16.0, block_rows=blocks).collect()}
+    whole = found.pop((10_000, 2_000))
+    assert len(whole) == 1500 and all(f == whole for f in found.values())  # with that share every row is a candidate
