@@ -16,6 +16,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import itertools
 import re
 import uuid
 import zlib
@@ -33,6 +34,9 @@ LEAST_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
 #: Tasks that read archives back, at most; a task streams its archives one after the other.
 READERS = 20_000
+#: Index entries that one task merges, about, and the least for which a further task is worth while.
+RANGE_ENTRIES = 1 << 18
+LEAST_ENTRIES = 4_096
 EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
@@ -226,18 +230,31 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
 
 
 def merged_index(runs: DataFrame) -> DataFrame:
-    """``<position, url_key, ts, id, archive, at, size>``: all entries in the order of URL key, timestamp, id; positions from 0 without gaps."""
+    """``<position, url_key, ts, id, archive, at, size>``: all entries in the order of URL key, timestamp, id; positions from 0 without gaps.
+
+    The number of ranges follows that of the entries, so a task holds about ``RANGE_ENTRIES`` of them, as Arrow columns;
+    only the runs' heads become Python rows.  Equal entries (repeated rows) lie in one range.
+    """
     order = ["url_key", "ts", "id"]
-    dealt = runs.repartitionByRange(*order).sortWithinPartitions("run", "place")
+    entries = runs.count()
+    cores = runs.sparkSession.sparkContext.defaultParallelism
+    ranges = max(1, -(-entries // RANGE_ENTRIES), min(cores, -(-entries // LEAST_ENTRIES)))
+    dealt = runs.repartitionByRange(ranges, *order).sortWithinPartitions("run", "place")
     schema = "url_key string, ts bigint, id bigint, archive string, at bigint, size bigint, part int, inside bigint"
 
+    def rows_of(parts):
+        for piece in slices(parts, 64):
+            yield from zip(*(column.to_pylist() for column in piece.columns))
+
     def merge(batches):
-        by_run: dict[str, list] = {}
+        by_run: dict[str, list[pa.RecordBatch]] = {}
         for batch in batches:
-            cols = [batch[c].to_pylist() for c in ("url_key", "ts", "id", "archive", "at", "size")]
-            for name, entry in zip(batch["run"].to_pylist(), zip(*cols)):
-                by_run.setdefault(name, []).append(entry)
-        tree = LoserTree([by_run[k] for k in sorted(by_run)], key=lambda e: order_key(e[:3]))
+            light, begin = batch.select(arrow.names[:6]), 0
+            for name, same in itertools.groupby(batch["run"].to_pylist()):
+                end = begin + sum(1 for _ in same)
+                by_run.setdefault(name, []).append(light.slice(begin, end - begin))
+                begin = end
+        tree = LoserTree([rows_of(by_run[k]) for k in sorted(by_run)], key=lambda e: order_key(e[:3]))
         part, rows = TaskContext.get().partitionId(), []
         for i, entry in enumerate(tree):
             rows.append((*entry, part, i))

@@ -679,3 +679,15 @@ def test_queries_of_a_block_dealt_over_tasks(spark, monkeypatch):
         found[least, blocks] = {tuple(r) for r in ann.search(frame, asked, k=3, share=16.0, block_rows=blocks).collect()}
     whole = found.pop((10_000, 2_000))
     assert len(whole) == 1500 and all(f == whole for f in found.values())  # with that share every row is a candidate
+
+
+def test_index_merged_in_many_ranges(spark, tmp_path, monkeypatch):
+    rows = [(i, f"http://h{i % 3}.org/p{i % 7}" if i % 11 else None, f"<p>{'word ' * 30}{i % 50}</p>") for i in range(400)] + [(5, "http://a.org/", None)] * 9
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    monkeypatch.setattr(warc, "RANGE_ENTRIES", 30)
+    index, captures = warc.archive_pages(pages, folder=str(tmp_path), archive_bytes=3000)
+    entries = index.orderBy("position").collect()
+    assert [e.position for e in entries] == list(range(409)) and captures.count() == 409
+    keys = [warc.order_key((e.url_key, e.ts, e.id)) for e in entries]
+    assert keys == sorted(keys) and len({(e.archive, e["at"]) for e in entries}) == 409
+    assert collections.Counter(e.id for e in entries) == collections.Counter(r[0] for r in rows)
