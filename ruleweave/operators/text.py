@@ -12,10 +12,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.numeric import grid_round
+from ruleweave.operators.sizing import broadcast_if_small, cut_lineage
 
 
 def _drop_empty(c: str):
@@ -100,12 +101,12 @@ def count_vectors(docs: DataFrame, vocab_size: int = 1000, key: str = "doc_id",
 
 
 def fit_text_classifier(train: DataFrame, text: str = "text", label: str = "label", num_features: int = 1000,
-                        max_iter: int = 10, reg_param: float = 0.001) -> PipelineModel:
+                        max_iter: int = 10, reg_param: float = 0.001, tol: float = 1e-6) -> PipelineModel:
     """``Pipeline(Tokenizer, HashingTF, LogisticRegression)`` fitted on ``<text, label>``."""
     pipe = Pipeline(stages=[
         Tokenizer(inputCol=text, outputCol="_words"),
         HashingTF(inputCol="_words", outputCol="features", numFeatures=num_features),
-        LogisticRegression(maxIter=max_iter, regParam=reg_param, labelCol=label, featuresCol="features"),
+        LogisticRegression(maxIter=max_iter, regParam=reg_param, tol=tol, labelCol=label, featuresCol="features"),
     ])
     return pipe.fit(train)
 
@@ -116,3 +117,69 @@ def predict(model: PipelineModel, docs: DataFrame, key: str = "doc_id", label: s
     kept = [label] if label in docs.columns else []
     return out.select(key, *kept, vector_to_array("features").alias("features"),
                       vector_to_array("probability").alias("probability"), "prediction")
+
+
+INTERCEPT = -1
+
+
+def coefficients(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    """``<class int, feature int, weight double>`` of a fitted classifier; the intercept is feature ``INTERCEPT``.
+
+    A row per class and feature, so its size is set by the model's parameters.  With two classes the fit has weights for
+    class 1 alone; class 0 then has an intercept of zero and nothing else.
+    """
+    lr = model.stages[-1]
+    weights, intercepts = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()
+    first = 1 if len(weights) == 1 else 0
+    rows = [(0, INTERCEPT, 0.0)] * first
+    for c, (row, intercept) in enumerate(zip(weights.tolist(), intercepts.tolist()), start=first):
+        rows += [(c, INTERCEPT, intercept), *((c, f, w) for f, w in enumerate(row))]
+    return spark.createDataFrame(rows, "class int, feature int, weight double")
+
+
+def sparse_features(model: PipelineModel, docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``<key, feature int, value double>``: the features a document has, and 1.0 for ``INTERCEPT`` in every document."""
+    held = PipelineModel(model.stages[:-1]).transform(docs).withColumn("_x", vector_to_array("features"))
+    entries = F.filter(F.transform("_x", lambda x, i: F.struct(i.cast("int").alias("feature"), x.alias("value"))),
+                       lambda e: e.value != 0)
+    constant = F.array(F.struct(F.lit(INTERCEPT).alias("feature"), F.lit(1.0).alias("value")))
+    return held.select(key, F.explode(F.concat(constant, entries)).alias("_e")).select(key, "_e.feature", "_e.value")
+
+
+def class_probabilities(features: DataFrame, weights: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``<key, class, probability>`` by joins alone: sparse features meet weights, sums per class, softmax.
+
+    ``key`` must be unique.  Sums combine before the shuffle; the weights are broadcast behind a check of their size.
+    """
+    scores = (features.join(broadcast_if_small(weights), "feature").groupBy(key, "class")
+              .agg(F.sum(F.col("value") * F.col("weight")).alias("_s")))
+    whole = Window.partitionBy(key)
+    shifted = scores.withColumn("_p", F.exp(F.col("_s") - F.max("_s").over(whole)))
+    return shifted.select(key, "class", (F.col("_p") / F.sum("_p").over(whole)).alias("probability"))
+
+
+def loss_gradient(model: PipelineModel, train: DataFrame, key: str = "doc_id", label: str = "label") -> DataFrame:
+    """``<class, feature, gradient double, expected double>``: gradient of the penalised loss at the model's weights.
+
+    The loss is the mean negative log-likelihood plus ``regParam / 2`` times the squared weights of standardised features;
+    the gradient is that by those weights (by the plain weight where a feature does not vary), so it is zero in every row
+    exactly at the optimum.  ``expected`` is the sum of ``value * probability`` over the documents; for the intercept
+    this is the number of documents that the model expects in the class.  ``key`` must be unique.
+    """
+    spark = train.sparkSession
+    weights = coefficients(model, spark)
+    free = weights.filter("class > 0") if model.stages[-1].numClasses == 2 else weights
+    features = cut_lineage(sparse_features(model, train, key))
+    n = train.select(F.count(F.lit(1)).cast("double")).scalar()
+    off = class_probabilities(features, weights, key).join(train.select(key, F.col(label).alias("_y")), key).select(
+        key, "class", "probability", (F.col("probability") - F.when(F.col("_y") == F.col("class"), 1.0).otherwise(0.0)).alias("_off"))
+    moved = features.join(off, key).groupBy("class", "feature").agg(
+        F.sum(F.col("value") * F.col("_off")).alias("_g"), F.sum(F.col("value") * F.col("probability")).alias("expected"))
+    spread = features.groupBy("feature").agg(F.sum("value").alias("_s1"), F.sum(F.col("value") * F.col("value")).alias("_s2")).select(
+        "feature", F.greatest((F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1.0), F.lit(0.0)).alias("_var"))
+    at = free.join(spread, "feature", "left").join(moved, ["class", "feature"], "left")
+    var = F.coalesce("_var", F.lit(0.0))
+    unit = F.when(var > 0, F.sqrt(var)).otherwise(1.0)
+    slope = F.coalesce("_g", F.lit(0.0)) / n + F.when(F.col("feature") == INTERCEPT, 0.0).otherwise(
+        model.stages[-1].getRegParam() * var * F.col("weight"))
+    return at.select("class", "feature", (slope / unit).alias("gradient"), F.coalesce("expected", F.lit(0.0)).alias("expected"))

@@ -19,6 +19,7 @@ from ruleweave.operators import rules as R
 from ruleweave.operators import sets as S
 from ruleweave.operators import text as X
 from ruleweave.operators import triples as T
+from ruleweave.operators.sizing import cut_lineage
 from ruleweave.plans import bindings as B
 from ruleweave.plans.mining import Mining
 from ruleweave.sources.ntriples import parse_ntriples, read_lines, read_taxonomy_files
@@ -290,6 +291,18 @@ def q_lr_predict(spark, sf_dir):
     return X.predict(X.fit_text_classifier(docs), docs)
 
 
+OPTIMUM_FEATURES = 32
+
+
+def q_lr_optimum(spark, sf_dir):
+    """A converged fit with its certificate: every slope of the loss is zero, and the expected positives are the real ones."""
+    docs = B.labeled_documents(spark, sf_dir)
+    model = X.fit_text_classifier(docs, num_features=OPTIMUM_FEATURES, max_iter=500, reg_param=0.1, tol=1e-12)
+    slopes = cut_lineage(X.loss_gradient(model, docs))
+    positives = slopes.filter(F.col("feature") == X.INTERCEPT).select(F.round("expected").cast("long")).scalar()
+    return slopes.select("class", "feature", (grid_round("gradient", 10) + 0.0).alias("gradient"), positives.alias("positives"))
+
+
 # --- set algebra and whole-row joins ---------------------------------------------
 SET_CONCEPTS = {"a": {0: "EUROPE"}, "b": {1: "Industrial"}, "c": {2: "Expedited"},
                 "d": {0: "AFRICA"}, "e": {0: "AMERICA"}, "f": {1: "Consumer"}}
@@ -366,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "tfidf_hashed": q_tfidf_hashed,
     "count_vectors": q_count_vectors,
     "lr_predict": q_lr_predict,
+    "lr_optimum": q_lr_optimum,
     "graph_vertices": q_graph_vertices,
     "graph_edges": q_graph_edges,
     "graph_order_line_vertices": q_order_line_vertices,

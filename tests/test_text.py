@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +72,33 @@ def test_logistic_regression_pipeline(spark):
         assert r.prediction == r.label and sum(r.probability) == pytest.approx(1.0)
         assert sum(r.features) == len(docs.filter(F.col("doc_id") == r.doc_id).first().text.split())
     assert "label" not in X.predict(model, docs.drop("label")).columns
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_relational_scores_and_gradient(spark, classes):
+    rng = np.random.default_rng(classes)
+    rows = [(i, float(y := i % classes), " ".join(f"w{int(w)}" for w in rng.integers(y, 8 + y, 1 + i % 5))) for i in range(60)]
+    train = spark.createDataFrame(rows + [(60, 0.0, "")], "doc_id int, label double, text string")
+    model = X.fit_text_classifier(train, num_features=16, max_iter=2, reg_param=0.05)
+    want = {r.doc_id: r for r in X.predict(model, train).collect()}
+    got = X.class_probabilities(X.sparse_features(model, train), X.coefficients(model, spark)).collect()
+    assert len(got) == 61 * classes
+    assert all(r.probability == pytest.approx(want[r.doc_id].probability[r["class"]], abs=1e-12) for r in got)
+    # the gradient by plain arrays
+    ids = sorted(want)
+    x = np.array([want[i].features for i in ids])
+    off = np.array([want[i].probability for i in ids]) - np.eye(classes)[[int(want[i].label) for i in ids]]
+    unit = np.where(x.std(0, ddof=1) > 0, x.std(0, ddof=1), 1.0)
+    lr = model.stages[-1]
+    first = 1 if classes == 2 else 0
+    slope = {(c, X.INTERCEPT): off[:, c].mean() for c in range(first, classes)}
+    for c in range(first, classes):
+        data = off[:, c] @ x / len(ids) + 0.05 * x.var(0, ddof=1) * lr.coefficientMatrix.toArray()[c - first]
+        slope |= {(c, f): v for f, v in enumerate(data / unit)}
+    rows = X.loss_gradient(model, train).collect()
+    found = {(r["class"], r.feature): r.gradient for r in rows}
+    assert sorted(found) == sorted(slope)
+    assert all(found[k] == pytest.approx(slope[k], abs=1e-12) for k in slope)
+    assert max(map(abs, found.values())) > 1e-3  # two rounds do not reach the optimum
+    best = X.fit_text_classifier(train, num_features=16, max_iter=500, reg_param=0.05, tol=1e-12)
+    assert max(abs(r.gradient) for r in X.loss_gradient(best, train).collect()) < 1e-5
