@@ -44,6 +44,12 @@ EPOCHS = 6
 BATCH = 128
 BLOCK = 64
 CACHE_WORDS = 400_000
+#: A text is foreign to its language under this part of the lexicon share that all but ``RARE`` of the sample reach.
+FOREIGN = 0.5
+RARE = 0.01
+#: Words that every text is credited with at its language's usual share, and texts that a language needs for a floor.
+CREDIT = 8
+LEAST_TEXTS = 20
 
 
 #: Cells that features are hashed into, as a power of two.
@@ -88,6 +94,8 @@ class Model:
     weights: np.ndarray  # [cells + 1, langs], the last row 0
     transitions: np.ndarray  # [langs, langs], logs
     start: np.ndarray
+    usual: np.ndarray  # share of a language's words that a lexicon of other texts holds
+    floors: np.ndarray  # least such share of a text that is taken for the language
     cache: dict[str, int] = field(default_factory=dict)
     table: np.ndarray | None = None
 
@@ -211,22 +219,54 @@ def code_switched(rows: list[tuple[list[str], int]], rng: np.random.Generator) -
     return [(words[i:i + SEQUENCE], labels[i:i + SEQUENCE]) for i in range(0, len(words), SEQUENCE)]
 
 
+def lexicon_words(rows: list[tuple[list[str], int]]) -> dict[str, tuple[int, ...]]:
+    """Lower-case words that two texts of one language hold, with all languages that they occur in."""
+    seen: dict[str, Counter] = {}
+    for ws, y in rows:
+        for w in {w.lower() for w in ws}:
+            seen.setdefault(w, Counter())[y] += 1
+    return {w: tuple(sorted(c)) for w, c in seen.items() if max(c.values()) >= 2}
+
+
+def n_known(words: list[str], lexicon: dict) -> int:
+    """How many of the words a lexicon holds, of whatever language."""
+    return sum(w.lower() in lexicon for w in words)
+
+
+def lexicon_floors(rows: list[tuple[list[str], int]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Usual lexicon share of each language's words, and the share under which a text is foreign to it.
+
+    Every text is looked up in the lexicon of the other half of the sample, so the shares are those of unseen
+    texts.  A language of few texts, or one whose words do not recur (no spaces between words), gets a floor at or near 0.
+    """
+    halves = lexicon_words(rows[1::2]), lexicon_words(rows[0::2])
+    found: list[list[tuple[int, int]]] = [[] for _ in range(k)]
+    for i, (ws, y) in enumerate(rows):
+        if ws:
+            found[y].append((n_known(ws, halves[i % 2]), len(ws)))
+    usual, floors = np.zeros(k), np.zeros(k)
+    for y, pairs in enumerate(found):
+        if len(pairs) < LEAST_TEXTS:
+            continue
+        known, size = np.array(pairs, dtype=float).T
+        usual[y] = known.sum() / size.sum()
+        floors[y] = FOREIGN * np.quantile((known + CREDIT * usual[y]) / (size + CREDIT), RARE)
+    return usual, floors
+
+
 def train(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Model:
     """Fit on (text, language) rows by Adagrad on the conditional log-likelihood."""
     langs = sorted({y for _, y in rows})
     k = len(langs)
     code = {y: i for i, y in enumerate(langs)}
     split = [(WORD.findall(t), code[y]) for t, y in rows]
-    seen: dict[str, Counter] = {}
-    for ws, y in split:
-        for w in {w.lower() for w in ws}:
-            seen.setdefault(w, Counter())[y] += 1
-    known = {w: tuple(sorted(c)) for w, c in seen.items() if max(c.values()) >= 2}
+    known = lexicon_words(split)
     combos = [(), *sorted(set(known.values()))]
     lexicon = {w: combos.index(c) for w, c in known.items()}
     cells = 1 << HASH_BITS
     trans, start = np.zeros((k, k)), np.zeros(k)
-    model = Model(langs, lexicon, np.zeros((len(combos), k)), np.zeros((cells + 1, k), np.float32), trans, start)
+    model = Model(langs, lexicon, np.zeros((len(combos), k)), np.zeros((cells + 1, k), np.float32), trans, start,
+                  *lexicon_floors(split, k))
     if k < 2:
         return model
     split = [([w.lower() for w in ws if len(w.lower()) <= WIDTHS[-1]], y) for ws, y in split]
@@ -356,24 +396,51 @@ def judge(m: Model, texts: list) -> tuple[list[str], list[float], list[int]]:
             [float(s) if n else 0.0 for s, n in zip(score, sizes)], sizes)
 
 
+def identified(m: Model, texts: list, least: float = 1 / 3) -> list[bool]:
+    """Whether each text is in a learned language, or switches between learned ones.
+
+    One language must hold the share ``least`` of the word labels.  As labels only weigh the learned languages
+    against each other, the lexicons must also know enough of the text: words of any learned language count, short
+    texts are credited with ``CREDIT`` usual words, and the floor is that of the language of most labels.
+    """
+    out = []
+    code = {y: i for i, y in enumerate(m.langs)}
+    for text, lang, share, n in zip(texts, *judge(m, texts)):
+        if lang == UNKNOWN or share < least:
+            out.append(False)
+            continue
+        y = code[lang]
+        known = n_known(WORD.findall(text), m.lexicon) if m.floors[y] else 0
+        out.append((known + CREDIT * m.usual[y]) / (n + CREDIT) >= m.floors[y])
+    return [bool(x) for x in out]
+
+
 def keep_identified(docs: DataFrame, model: Model, least: float = 1 / 3, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has one language with at least the share ``least`` of its word labels."""
+    """The rows of ``docs`` whose text is :func:`identified`, with all their columns whatever their names.
+
+    Texts that are null, empty or without a letter go, and all of them if the model knows no language; a text's own
+    label is not read.  Equal rows share one fate, all words of a long text count, an empty table stays empty.
+    """
     share_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf("boolean")
-    def identified(texts: pd.Series) -> pd.Series:
+    def keeps(texts: pd.Series) -> pd.Series:
         out: list[bool] = []
         for at in range(0, len(texts), SLICE_ROWS):
-            langs, scores, _ = judge(shared.value, texts.iloc[at:at + SLICE_ROWS].tolist())
-            out += [y != UNKNOWN and s >= least for y, s in zip(langs, scores)]
+            out += identified(shared.value, texts.iloc[at:at + SLICE_ROWS].tolist(), least)
         return pd.Series(out, dtype=bool)
 
-    return docs.filter(identified(F.col(text_col)))
+    return docs.filter(keeps(F.col(text_col)))
 
 
 def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``<id, start, end, word, lang, score>`` for every word of every text (code points, end exclusive)."""
+    """``<id, start, end, word, lang, score>`` for every word of every text (code points, end exclusive).
+
+    Texts that are null, empty or without a letter give no row, nor does any text if the model knows no language.
+    Equal scores go to the language first in the alphabet; repeated rows give repeated results; other columns are
+    not read; long texts are labelled whole.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = docs.schema[id_col].dataType.simpleString()
 

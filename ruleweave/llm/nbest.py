@@ -371,7 +371,11 @@ def encode_nbest(docs: DataFrame, model_path: str, n: int = 3, id_col: str = "do
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """Adds the text that the ids stand for (null ids: null)."""
+    """Adds the text that the ids stand for.
+
+    Null ids give null, an empty list the empty text.  Lists of any length are decoded whole; rows (repeated ones too)
+    and other columns are kept, but for one named ``out_col``, which is replaced.
+    """
     share_code(encoded.sparkSession)
 
     @pandas_udf("string")

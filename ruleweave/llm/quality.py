@@ -184,7 +184,11 @@ def text_hash(text: Column) -> Column:
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`score_quality` keeps (the verdict on a row depends on its text alone)."""
+    """The rows of ``docs`` that :func:`score_quality` keeps (the verdict on a row depends on its text alone).
+
+    Null and empty texts fail the base rules and go; equal texts share one verdict, so repeated rows stay or go together.
+    All columns of ``docs`` are kept, whatever their names; an empty table stays empty.
+    """
     scored = score_quality(docs, trusted, id_col, text_col, **options)
     kept = scored.filter("kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]) & (text_hash(docs[text_col]) == kept["_hash"]), "left_semi")

@@ -170,7 +170,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret in the text replaced by ``mask``; a text without secrets stays as it is (null too)."""
+    """``docs`` with every secret in the text replaced by ``mask``.
+
+    Texts without secrets stay as they are, null and empty ones too.  Whole texts are scanned, of overlapping secrets
+    the union is masked once.  Rows, their number and all other columns are kept, whatever their names; an empty table stays empty.
+    """
     share_code(docs.sparkSession)
 
     @pandas_udf("string")

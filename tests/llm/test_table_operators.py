@@ -197,6 +197,46 @@ def test_language_edges(spark):
     assert langid.keep_identified(docs, langid.fit(docs)).columns == docs.columns
 
 
+def made_text(rng, frequent: str, parts: str, n: int) -> str:
+    """Words of a made-up language: half of them frequent ones, half joined from its syllables."""
+    frequent, parts = frequent.split(), parts.split()
+    return " ".join(rng.choice(frequent) if rng.random() < 0.5 else "".join(rng.choice(parts) for _ in range(3)) for _ in range(n))
+
+
+LEARNED = {"aa": ("ta ro mi sel nov ab", "ka le ti mo ra su"), "bb": ("und der vek os im zu", "sch ber ung gel tig ken"),
+           "cc": ("lo qui eth ama por vi", "cio nte are lia pro dis")}
+UNLEARNED = ("jest nie szy dla tylko byc", "krz wsk czy prz ola dzi")
+
+
+def test_unlearned_language_is_rejected(spark):
+    """Labels alone give every text a learned language; the lexicons tell texts of another one, and keep code-switched ones."""
+    rng = random.Random(11)
+    rows = [(i, made_text(rng, *LEARNED[y], rng.randint(5, 120)), y) for i, y in enumerate(sorted(LEARNED) * 80)]
+    model = langid.fit(documents(spark, rows))
+    assert (model.floors > 0).all() and (model.floors < model.usual).all()
+    own = [made_text(rng, *LEARNED[y], n) for y in LEARNED for n in (1, 2, 5, 20, 400) for _ in range(10)]
+    assert all(langid.identified(model, own))
+    mixed = [made_text(rng, *LEARNED["aa"], 30) + " " + made_text(rng, *LEARNED["cc"], 30) for _ in range(20)]
+    assert all(langid.identified(model, mixed))
+    other = [made_text(rng, *UNLEARNED, n) for n in (60, 300) for _ in range(20)]
+    assert not any(langid.identified(model, other))
+    langs, shares, _ = langid.judge(model, other)
+    assert min(shares) >= 1 / 3 and "und" not in langs  # the share of the labels alone keeps them all
+    docs = documents(spark, [(1, own[0], None), (2, other[0], "aa"), (3, None, "aa"), (4, "", None), (5, "12 %", "bb"), (6, mixed[0], None)])
+    clash = docs.withColumnsRenamed({"source": "keeps"})
+    assert sorted(r.doc_id for r in langid.keep_identified(clash, model).collect()) == [1, 6]
+    assert langid.keep_identified(clash, model).columns == clash.columns
+
+
+def test_floor_needs_recurring_words():
+    """A language of few texts, or whose words never recur, has no floor: nothing is foreign to it."""
+    rng = random.Random(12)
+    few = [(made_text(rng, *LEARNED["aa"], 40).split(), 0) for _ in range(langid.LEAST_TEXTS - 1)]
+    once = [(["".join(rng.choice("abcdefghij") for _ in range(24)) for _ in range(10)], 1) for _ in range(60)]
+    usual, floors = langid.lexicon_floors(few + once, 3)
+    assert floors.tolist() == [0.0, 0.0, 0.0] and usual[2] == 0
+
+
 # ---- quality ----
 
 def brute_base(text):
