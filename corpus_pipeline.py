@@ -1,7 +1,8 @@
 """Corpus pipeline: language ID, quality rules, near-dedup, secret redaction, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; each but the last
-returns the columns of ``documents``.
+returns the columns of ``documents`` (and any further ones, whatever their names).  Each says what
+becomes of null and empty texts; long texts are read whole and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -15,28 +16,31 @@ from ruleweave.llm.queries import BYTE_BPE
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, or in which no language holds a third of the words, go."""
+    """Texts without a letter (null, empty), or in which no language holds a third of the words, or of whose words the
+    learned languages' lexicons know too few, go; repeated rows share one fate."""
     return langid.keep_identified(docs, langid.fit(docs))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that fail the base rules or score below the fitted threshold go."""
+    """Texts that fail the base rules (null and empty ones do) or score below the fitted threshold go; repeated rows
+    share one fate."""
     return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near duplicates stays, that of the smallest id."""
+    """One row of each class of near duplicates stays, that of the smallest id, and of repeated rows one. Empty
+    texts (null ones count as empty) are copies of each other."""
     return neardup.keep_one(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked; ``n_chars`` follows the text."""
+    """Secrets are masked, no row goes; ``n_chars`` follows the text (null for a null text)."""
     masked = secrets.redact_secrets(docs)
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 1024 tokens along the curve."""
+    """Sequences of 1024 tokens along the curve: one row per piece of a document (null text: the end token alone)."""
     return packing.pack(docs, **BYTE_BPE)
 
 
