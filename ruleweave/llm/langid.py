@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,13 +27,33 @@ from ruleweave.llm.common import SLICE_ROWS, map_slices, share_code
 
 
 
-def _letters() -> re.Pattern:
-    """Runs of letters: word characters but for ``_`` and all that is numeric (digits, fractions, Roman numerals)."""
-    other = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha()]
-    return re.compile("[^\\W_" + "".join(map(re.escape, other)) + "]+")
+class Words:
+    """Runs of letters: word characters but for ``_`` and all that is numeric (digits, fractions, Roman numerals).
+
+    The pattern of runs without decimal digits is quick; only runs with another numeral in them are cut by the exact
+    one, whose class lists hundreds of characters that every letter is compared with.
+    """
+
+    def __init__(self):
+        other = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha()]
+        self.runs = re.compile(r"[^\W\d_]+")
+        self.exact = re.compile(r"[^\W_" + "".join(map(re.escape, other)) + "]+")
+
+    def findall(self, text: str) -> list[str]:
+        found = self.runs.findall(text)
+        if not found or "".join(found).isalpha():
+            return found
+        return [x for w in found for x in ([w] if w.isalpha() else self.exact.findall(w))]
+
+    def finditer(self, text: str) -> Iterator[re.Match]:
+        for m in self.runs.finditer(text):
+            if m[0].isalpha():
+                yield m
+            else:
+                yield from self.exact.finditer(text, *m.span())
 
 
-WORD = _letters()
+WORD = Words()
 UNKNOWN = "und"
 #: Bounds of the training sample: rows per language and characters of a row.
 SAMPLE_ROWS = 300
@@ -383,10 +404,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def judge(m: Model, texts: list) -> tuple[list[str], list[float], list[int]]:
     """Language, share of its labels and number of words of each text."""
-    ws = [WORD.findall(t) if t else [] for t in texts]
+    return judge_words(m, split_words(texts))
+
+
+def split_words(texts: list) -> list[list[str]]:
+    return [WORD.findall(t) if t else [] for t in texts]
+
+
+def judge_words(m: Model, ws: list[list[str]]) -> tuple[list[str], list[float], list[int]]:
+    """:func:`judge` for texts given by their words."""
     sizes = [len(w) for w in ws]
     if not m.langs:
-        return [UNKNOWN] * len(texts), [0.0] * len(texts), sizes
+        return [UNKNOWN] * len(ws), [0.0] * len(ws), sizes
     total = np.vstack([np.zeros((1, len(m.langs))), np.cumsum(m.posteriors(ws), axis=0)])
     ends = np.cumsum([0] + sizes)
     share = (total[ends[1:]] - total[ends[:-1]]) / np.maximum(np.array(sizes), 1)[:, None]
@@ -405,12 +434,13 @@ def identified(m: Model, texts: list, least: float = 1 / 3) -> list[bool]:
     """
     out = []
     code = {y: i for i, y in enumerate(m.langs)}
-    for text, lang, share, n in zip(texts, *judge(m, texts)):
+    split = split_words(texts)
+    for words, lang, share, n in zip(split, *judge_words(m, split)):
         if lang == UNKNOWN or share < least:
             out.append(False)
             continue
         y = code[lang]
-        known = n_known(WORD.findall(text), m.lexicon) if m.floors[y] else 0
+        known = n_known(words, m.lexicon) if m.floors[y] else 0
         out.append((known + CREDIT * m.usual[y]) / (n + CREDIT) >= m.floors[y])
     return [bool(x) for x in out]
 

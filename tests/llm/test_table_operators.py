@@ -607,6 +607,12 @@ def test_every_vector_of_a_repeated_id_is_a_candidate(spark):
 
 def test_numerals_are_no_letters(spark):
     assert langid.WORD.findall("½ ² Ⅻ 12 a_b m² ß 你好 é") == ["a", "b", "m", "ß", "你好", "é"]
+    rng = random.Random(5)
+    for _ in range(300):  # the quick way finds what the exact class finds, at the same places
+        text = "".join(rng.choice(["a", "é", "ß", "你", "²", "½", "Ⅻ", "7", "٣", "_", " ", "-", "\U00010107", "\U0001d7d8", "𝒜", "\u0301"]) for _ in range(rng.randint(0, 30)))
+        want = [(x.span(), x[0]) for x in langid.WORD.exact.finditer(text)]
+        assert [(x.span(), x[0]) for x in langid.WORD.finditer(text)] == want
+        assert langid.WORD.findall(text) == [w for _, w in want]
 
 
 
