@@ -58,6 +58,7 @@ UNKNOWN = "und"
 #: Bounds of the training sample: rows per language and characters of a row.
 SAMPLE_ROWS = 300
 SAMPLE_CHARS = 6_000
+SAMPLE_PARTS = 16
 #: Words per training sequence, and of the stretches of one language in it.
 SEQUENCE = 48
 STRETCH = (4, 32)
@@ -366,8 +367,12 @@ def sample_rows(docs: DataFrame, rows_per_lang: int, max_chars: int, id_col: str
     fit = fit.select(F.col(text_col).alias("t"), F.col(lang_col).alias("y")).withColumn("h", F.xxhash64("t"))
     # copies are one row before the rank; the texts of the picked hashes are read again, so only hashes are dealt
     each = fit.select("y", "h").distinct()
-    first = Window.partitionBy("y").orderBy("h")
-    picked = each.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= rows_per_lang).select("y", "h")
+    # a language's hashes are dealt over parts, of which each gives its first ones: no task orders a whole language
+    part = each.withColumn("part", F.pmod(F.col("h"), F.lit(SAMPLE_PARTS)))
+    for by in (["y", "part"], ["y"]):
+        first = Window.partitionBy(*by).orderBy("h")
+        part = part.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= rows_per_lang).drop("r")
+    picked = part.select("y", "h")
     found = fit.join(F.broadcast(picked), ["y", "h"]).groupBy("y", "h").agg(F.min("t").alias("t"))
     return sorted((r.t, r.y) for r in found.select("t", "y").collect())
 

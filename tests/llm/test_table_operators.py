@@ -183,6 +183,9 @@ def test_copies_do_not_fill_the_sample(spark):
     copied = docs.unionByName(documents(spark, [(1000 + i, front, "en") for i in range(50)]))
     pick = lambda d: langid.sample_rows(d, 20, 6_000, "doc_id", "text", "lang")
     assert pick(copied) == pick(docs)
+    for y in ("en", "de"):  # the first ones of the whole language, whatever the parts
+        want = docs.filter(F.col("lang") == y).select("text").distinct().orderBy(F.xxhash64("text")).limit(20).collect()
+        assert sorted(r.text for r in want) == sorted(t for t, lang in pick(docs) if lang == y)
     assert len(set(pick(copied))) == len(pick(copied)) == 40
 
 
