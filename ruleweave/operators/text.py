@@ -8,6 +8,8 @@ hashed TF-IDF and the logistic-regression pipeline use Spark ML directly.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, Tokenizer
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ruleweave.functions.numeric import grid_round
 from ruleweave.operators.sizing import broadcast_if_small, cut_lineage
+from ruleweave.session import ensure_checkpoint_dir
 
 
 def _drop_empty(c: str):
@@ -102,13 +105,19 @@ def count_vectors(docs: DataFrame, vocab_size: int = 1000, key: str = "doc_id",
 
 def fit_text_classifier(train: DataFrame, text: str = "text", label: str = "label", num_features: int = 1000,
                         max_iter: int = 10, reg_param: float = 0.001, tol: float = 1e-6) -> PipelineModel:
-    """``Pipeline(Tokenizer, HashingTF, LogisticRegression)`` fitted on ``<text, label>``."""
+    """``Pipeline(Tokenizer, HashingTF, LogisticRegression)`` fitted on ``<text, label>``.
+
+    The model goes through the checkpoint folder: it comes back without its training summary, which with two classes holds
+    the session, and tasks cannot take a session that has observed a write.
+    """
     pipe = Pipeline(stages=[
         Tokenizer(inputCol=text, outputCol="_words"),
         HashingTF(inputCol="_words", outputCol="features", numFeatures=num_features),
         LogisticRegression(maxIter=max_iter, regParam=reg_param, tol=tol, labelCol=label, featuresCol="features"),
     ])
-    return pipe.fit(train)
+    path = f"{ensure_checkpoint_dir(train.sparkSession)}/model-{uuid.uuid4().hex}"
+    pipe.fit(train).save(path)
+    return PipelineModel.load(path)
 
 
 def predict(model: PipelineModel, docs: DataFrame, key: str = "doc_id", label: str = "label") -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ruleweave.operators import text as X
+from ruleweave.operators.sizing import materialize
 
 SENTENCES = [(0, "Boats leave the old harbour"), (1, "Nobody counts seven sleepy grey geese"),
              (2, "salt,pepper,thyme,and,bay")]
@@ -74,6 +75,14 @@ def test_logistic_regression_pipeline(spark):
     assert "label" not in X.predict(model, docs.drop("label")).columns
 
 
+def test_two_classes_predicted_after_an_observed_write(spark):
+    assert materialize(spark.range(3))[1] == 3  # the session now holds its observations
+    train = spark.createDataFrame([(0, 0.0, "boats leave the old harbour"), (1, 1.0, "nobody counts seven sleepy geese")],
+                                  "doc_id int, label double, text string")
+    rows = X.predict(X.fit_text_classifier(train), train).collect()
+    assert len(rows) == 2 and all(r.prediction == r.label for r in rows)
+
+
 @pytest.mark.parametrize("classes", [2, 3])
 def test_relational_scores_and_gradient(spark, classes):
     rng = np.random.default_rng(classes)
