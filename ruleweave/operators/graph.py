@@ -8,7 +8,6 @@ lineage never grows and a lost executor recomputes at most one round.
 
 from __future__ import annotations
 
-import itertools
 import uuid
 
 from pyspark import StorageLevel
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 
 from ruleweave.functions.numeric import grid_round
 from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, cut_lineage, is_small, materialize, materialize_sized
-from ruleweave.operators.skew import DEFAULT_CHUNK_ROWS, lookup_join
+from ruleweave.operators.skew import DEFAULT_CHUNK_ROWS, hot_keys, lookup_join
 from ruleweave.session import ensure_checkpoint_dir
 
 # Bytes of weighted edges in one partition of a graph too large to broadcast its ranks.
@@ -65,15 +64,19 @@ def edges_from_triples(triples: DataFrame, vertices: DataFrame, s: str = "s", p:
 
     Both lookups are skew-safe joins: broadcast when the dictionary is small,
     otherwise hot terms (say a class IRI that every type triple points to)
-    are split over several partitions.
+    are split over several partitions; one pass over the triples counts them for both.
     """
     v = vertices.select(F.col("id"), F.col("label"))
     small = is_small(v)
     vs = v.select(F.col("label").alias("_sl"), F.col("id").alias("src"))
     vo = v.select(F.col("label").alias("_ol"), F.col("id").alias("dst"))
     t = triples.select(F.col(s).alias("_s"), F.col(p).alias("attr"), F.col(o).alias("_o"))
-    with_src = lookup_join(t, vs, "_s", "_sl", lookup_small=small)
-    return lookup_join(with_src, vo, "_o", "_ol", lookup_small=small).select("src", "dst", "attr")
+    hot = {c: None for c in ("_s", "_o")}
+    if not small:
+        counted = hot_keys(t, list(hot))
+        hot = {c: counted.filter(F.col("column") == c).select("_hk", "_ns") for c in hot}
+    with_src = lookup_join(t, vs, "_s", "_sl", lookup_small=small, hot=hot["_s"])
+    return lookup_join(with_src, vo, "_o", "_ol", lookup_small=small, hot=hot["_o"]).select("src", "dst", "attr")
 
 
 def subgraph(edges: DataFrame, attr: str) -> DataFrame:
@@ -90,13 +93,14 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
                          chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``<id, component>`` with component = smallest vertex id of the component.
 
-    Hook and contract: every round each vertex that still has edges hooks to
-    its smallest neighbour if that is smaller (one ``groupBy(min)``, partial
+    Hook and contract: every round each vertex with a smaller neighbour hooks to
+    its smallest one (one ``groupBy(min)`` over the pairs' larger ends, partial
     aggregation absorbs hubs), two pointer jumps shorten the chains, and the
-    edges are contracted to the distinct pairs of new labels.  So a round reads
+    edges are contracted to the distinct pairs of new labels.  Vertices that do not hook
+    keep their label and are in no map.  So a round reads
     only vertices and edges of the contracted graph, which shrinks.  A component's
     smallest vertex never hooks, so it names the component once no edge is left.
-    The rounds' label maps are then composed from the last one back, and every
+    The rounds' label maps are then joined from the last one back, and every
     vertex is looked up once.  All lookups are skew-safe joins: broadcast when the
     label count is small, else hub vertices and giant labels are split over
     several partitions.  Edges are undirected and their ends must be in
@@ -104,27 +108,32 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
     """
     kw = dict(chunk_rows=chunk_rows, broadcast_rows=broadcast_rows)
     e, n_e = materialize(_contracted(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))))
-    maps: list[tuple[DataFrame, bool]] = []
+    maps: list[tuple[DataFrame, int]] = []
     while n_e:
         if max_rounds is not None and len(maps) > max_rounds:
             raise RuntimeError(f"components are not done after {max_rounds} rounds")
-        # a < b: both ends propose a
-        ends = F.array(F.struct(F.col("a").alias("id"), F.col("a").alias("comp")),
-                       F.struct(F.col("b").alias("id"), F.col("a").alias("comp")))
-        hook, n_ids = materialize(e.select(F.inline(ends)).groupBy("id").agg(F.min("comp").alias("comp")))
-        small = n_ids <= broadcast_rows
-        label = cut_lineage(_jump(_jump(hook, lookup_small=small, **kw), lookup_small=small, **kw))
-        maps.append((label, small))
-        for end in ("a", "b"):
+        # a < b: a vertex hooks only where it is a pair's larger end
+        hook, n_ids = materialize(e.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("comp"), F.count(F.lit(1)).alias("_n")))
+        hot = hook.filter(F.col("_n") > chunk_rows).select(
+            F.col("id").alias("_hk"), F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int").alias("_ns"))
+        label, small = hook.drop("_n"), n_ids <= broadcast_rows
+        for _ in range(2):
+            label = cut_lineage(_relabel(label, label, small, **kw))
+        maps.append((label, n_ids))
+        for end, found in (("a", None), ("b", hot)):
             side = label.select(F.col("id").alias("_i"), F.col("comp").alias(f"_{end}"))
-            e = lookup_join(e, side, end, "_i", lookup_small=small, **kw)
+            e = lookup_join(e, side, end, "_i", how="left", lookup_small=small, hot=found, **kw)
+        e = e.select(F.coalesce("_a", "a").alias("_a"), F.col("_b"))
         e, n_e = materialize(_contracted(e.select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
-    last = None
-    for label, small in reversed(maps):
-        # a label without edges in the later rounds is final
-        last = ((label if last is None else cut_lineage(_relabel(label, *last, **kw))), small)
+    last, n_last = None, 0
+    for label, n_ids in reversed(maps):
+        # a label without edges in the later rounds is final; one that hooks in a later round only comes from there
+        if last is not None:
+            both = _relabel(label, last, n_last <= broadcast_rows, **kw).unionByName(last)
+            label = cut_lineage(both.groupBy("id").agg(F.min("comp").alias("comp")))
+        last, n_last = label, n_ids + n_last
     ids = vertices.select("id", F.col("id").alias("comp"))
-    out = ids if last is None else _relabel(ids, *last, **kw)
+    out = ids if last is None else _relabel(ids, last, n_last <= broadcast_rows, **kw)
     return out.select("id", F.col("comp").alias("component"))
 
 
@@ -141,57 +150,71 @@ def _relabel(labels: DataFrame, later: DataFrame, small: bool, **kw) -> DataFram
     return out.select("id", F.coalesce("_pc", "comp").alias("comp"))
 
 
-def _jump(labels: DataFrame, **kw) -> DataFrame:
-    """One pointer jump: comp <- comp(comp)."""
-    parent = labels.select(F.col("id").alias("_pid"), F.col("comp").alias("_pc"))
-    return lookup_join(labels, parent, "comp", "_pid", **kw).select("id", F.col("_pc").alias("comp"))
+def _weighted_edges(edges: DataFrame, broadcast_rows: int, chunk_rows: int) -> tuple[DataFrame, DataFrame, int, int]:
+    """Parallel edges merged into ``weight = multiplicity / out_degree(src)``, the sources ``<id, _d, _n>`` with their
+    out-degree and distinct targets, the number of sources and the bytes of the weighted edges.
+
+    The merged edges are written before they are counted, so the given edges are computed once.
+    """
+    mult = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m")))
+    sources, n_sources = materialize(mult.groupBy(F.col("src").alias("id")).agg(F.sum("_m").alias("_d"), F.count(F.lit(1)).alias("_n")))
+    deg = sources.select(F.col("id").alias("_ds"), "_d")
+    met = lookup_join(mult, deg, "src", "_ds", lookup_small=n_sources <= broadcast_rows, hot=_hot_sources(sources, chunk_rows))
+    weighted, _, size = materialize_sized(met.select("src", "dst", (F.col("_m") / F.col("_d")).alias("w")))
+    return weighted, sources, n_sources, size
 
 
-def _weighted_edges(edges: DataFrame, **kw) -> DataFrame:
-    """Parallel edges merged into ``weight = multiplicity / out_degree(src)``, with ``_d`` = out-degree."""
-    mult = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m"))
-    deg = mult.groupBy(F.col("src").alias("_ds")).agg(F.sum("_m").alias("_d"))
-    return lookup_join(mult, deg, "src", "_ds", **kw).select("src", "dst", (F.col("_m") / F.col("_d")).alias("w"), "_d")
+def _hot_sources(sources: DataFrame, chunk_rows: int) -> DataFrame:
+    """``<_hk, _ns>``: sources with more than ``chunk_rows`` distinct targets and their salts."""
+    return sources.filter(F.col("_n") > chunk_rows).select(
+        F.col("id").alias("_hk"), F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int").alias("_ns"))
 
 
-def _edge_sender(edges: DataFrame, n_vertices: int, broadcast_rows: int, chunk_rows: int):
-    """``send(values <id, value>, n) -> <id, _c>``: every value times the weights of its vertex's out-edges, and ``release()``.
+class _EdgeSender:
+    """Sends values along weighted out-edges.
 
-    Values of at most ``broadcast_rows`` vertices are broadcast, so the edges do not move.  If there may be more, the edges are
-    persisted hash partitioned by ``(src, salt)``, in as many partitions as their size asks for: a source with more than
-    ``chunk_rows`` out-edges gets several salts and its value is replicated per salt, so only values move.
+    Values of at most ``broadcast_rows`` vertices are broadcast, so the edges do not move.  The first time there are more, the
+    edges are persisted hash partitioned by ``(src, salt)`` and sorted, in as many partitions as their size asks for: a source with
+    more than ``chunk_rows`` out-edges gets several salts and its value is replicated per salt, so from then on only values move.
     """
-    spark = edges.sparkSession
-    weighted, _, size = materialize_sized(_weighted_edges(edges, lookup_small=n_vertices <= broadcast_rows,
-                                                          broadcast_rows=broadcast_rows, chunk_rows=chunk_rows))
-    if n_vertices <= broadcast_rows:
-        w, hot, parts = weighted.drop("_d"), None, 0
-    else:
-        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // EDGE_PARTITION_BYTES))
-        hot, n_hot = materialize(
-            weighted.select("src", "_d").distinct().filter(F.col("_d") > chunk_rows)
-            .select(F.col("src").alias("_hk"), F.ceil(F.col("_d") / F.lit(chunk_rows)).cast("int").alias("_ns")))
-        hot = F.broadcast(hot) if n_hot <= broadcast_rows else hot
-        salted = weighted.join(hot, weighted.src == hot._hk, "left").select(
-            "src", "dst", "w", F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_ns"), F.lit(1))).cast("int").alias("_salt"))
-        # kept in memory or on disk with its partitioning; a lost block is made again from the written table
-        w = salted.repartition(parts, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def send(values: DataFrame, n: int) -> DataFrame:
+
+    def __init__(self, edges: DataFrame, broadcast_rows: int, chunk_rows: int):
+        self.spark, self.broadcast_rows, self.chunk_rows = edges.sparkSession, broadcast_rows, chunk_rows
+        self.weighted, self.sources, self.n_sources, self.size = _weighted_edges(edges, broadcast_rows, chunk_rows)
+        self.salted = None
+
+    def _dealt(self) -> DataFrame:
+        if self.salted is None:
+            self.parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-self.size // EDGE_PARTITION_BYTES))
+            hot, n_hot = materialize(_hot_sources(self.sources, self.chunk_rows))
+            self.hot = F.broadcast(hot) if n_hot <= self.broadcast_rows else hot
+            w = self.weighted.join(self.hot, F.col("src") == F.col("_hk"), "left").select(
+                "src", "dst", "w", F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_ns"), F.lit(1))).cast("int").alias("_salt"))
+            # kept in memory or on disk with its partitioning; a lost block is made again from the written table
+            self.salted = w.repartition(self.parts, "src", "_salt").sortWithinPartitions("src", "_salt").persist(StorageLevel.MEMORY_AND_DISK)
+        return self.salted
+
+    def send(self, values: DataFrame, n: int) -> DataFrame:
+        """``<id, _c>`` of ``values <id, value>`` of ``n`` vertices: every value times the weights of its vertex's out-edges."""
         side = values.select(F.col("id").alias("src"), "value")
-        if n <= broadcast_rows:
-            met = w.join(F.broadcast(side), "src")
+        if min(n, self.n_sources) <= self.broadcast_rows:
+            if n > self.broadcast_rows:
+                side = side.join(F.broadcast(self.sources.select(F.col("id").alias("src"))), "src", "left_semi")
+            met = self.weighted.join(F.broadcast(side), "src")
         else:
-            side = side.join(hot, side.src == hot._hk, "left").select(
+            w = self._dealt()
+            side = side.join(self.hot, F.col("src") == F.col("_hk"), "left").select(
                 "src", "value", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1)).alias("_salt"))
-            met = w.join(side.repartition(parts, "src", "_salt"), ["src", "_salt"])
+            met = w.join(side.repartition(self.parts, "src", "_salt"), ["src", "_salt"])
         return met.select(F.col("dst").alias("id"), (F.col("value") * F.col("w")).alias("_c"))
 
-    return send, (w.unpersist if hot is not None else lambda: None)
+    def release(self) -> None:
+        if self.salted is not None:
+            self.salted.unpersist()
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_iter: int = 20,
-             tol: float | None = None, normalize: bool = False, checkpoint_every: int = 5,
+             tol: float | None = None, normalize: bool = False,
              broadcast_rows: int = DEFAULT_BROADCAST_ROWS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``<id, rank>``: ``rank = reset + (1-reset) * Σ rank(src) * mult / outdeg(src)``.
 
@@ -200,10 +223,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
     ``normalize`` rescales the ranks to sum to the vertex count (mass lost in
     sinks is restored).
 
-    Parallel edges are merged into weights once and checkpointed.  Per round
-    the ranks meet the edges on ``src`` (:func:`_edge_sender`) and one ``groupBy`` sum with partial
-    aggregation collects the contributions (plus a zero per vertex, so
-    vertices without in-edges keep ``reset``).  Every ``checkpoint_every`` rounds are written.
+    Parallel edges are merged into weights once and checkpointed.  The ``max_iter`` rounds are those of :func:`walk_rounds`.
+    Edges' ends must be in ``vertices``.
     """
     if tol is not None:
         rounds = residual_rounds(vertices, edges, tol, reset, max_iter, broadcast_rows, chunk_rows)
@@ -211,17 +232,12 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
         ranks = cut_lineage(rounds.filter((F.col("residual") > tol) | (F.col("round") == F.col("last")))
                             .groupBy("id").agg(F.sum("residual").alias("rank")))
     else:
-        ids, n_v = materialize(vertices.select("id"))
-        send, release = _edge_sender(edges, n_v, broadcast_rows, chunk_rows)
-        ranks = cut_lineage(ids.withColumn("rank", F.lit(1.0)))
-        zeros = ids.select("id", F.lit(0.0).alias("_c"))
-        for i in range(max_iter):
-            contrib = send(ranks.select("id", F.col("rank").alias("value")), n_v)
-            ranks = contrib.unionByName(zeros).groupBy("id").agg(
-                (F.lit(reset) + F.lit(1.0 - reset) * F.sum("_c")).alias("rank"))
-            if (i + 1) % checkpoint_every == 0 or i + 1 == max_iter:
-                ranks = cut_lineage(ranks)
-        release()
+        ids = vertices.select("id")
+        parts = ids.withColumn("part", F.lit(reset if max_iter else 1.0))
+        if max_iter:
+            walks = walk_rounds(edges, reset, max_iter, broadcast_rows, chunk_rows)
+            parts = parts.unionByName(walks.select("id", (F.col("value") * F.when(F.col("round") == max_iter, 1.0).otherwise(reset)).alias("part")))
+        ranks = cut_lineage(parts.groupBy("id").agg(F.sum("part").alias("rank")))
     if normalize:
         n = ranks.select(F.count(F.lit(1)).cast("double")).scalar()
         total = ranks.select(F.sum("rank")).scalar()
@@ -229,6 +245,37 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, max_ite
     return ranks
 
 
+def walk_rounds(edges: DataFrame, reset: float = 0.15, max_iter: int = 20, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """``<round, id, value, sends>`` for the rounds ``k`` from 1 to ``max_iter``: what arrives by walks of ``k`` edges.
+
+    A vertex's value of round 0 is 1; in every round vertices with out-edges send ``(1-reset) * value * weight`` along them.
+    Unrolled, the rank after ``max_iter`` rounds is ``reset`` times the values of the rounds before the last plus
+    the last one's value, so no round rewrites ranks.  A round is written once, holds only vertices that a walk of its length
+    ends at, and its write counts the senders (``sends``); without any, longer walks do not exist and their rounds are empty.
+    """
+    spark = edges.sparkSession
+    base = f"{ensure_checkpoint_dir(spark)}/walks-{uuid.uuid4().hex}"
+    sender = _EdgeSender(edges, broadcast_rows, chunk_rows)
+    goes_on = sender.sources.select(F.col("id").alias("_src"))
+    goes_on = F.broadcast(goes_on) if sender.n_sources <= broadcast_rows else goes_on
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("value", T.DoubleType()), T.StructField("sends", T.BooleanType())])
+    sent = sender.weighted.select(F.col("dst").alias("id"), F.col("w").alias("_c"))  # every value is 1
+    for i in range(1, max_iter + 1):
+        seen, path = Observation(), f"{base}/round={i}"
+        arrived = sent.groupBy("id").agg((F.lit(1.0 - reset) * F.sum("_c")).alias("value"))
+        (arrived.join(goes_on, F.col("id") == F.col("_src"), "left").select("id", "value", F.col("_src").isNotNull().alias("sends"))
+         .observe(seen, F.count_if(F.col("sends")).alias("senders")).write.parquet(path))
+        values = spark.read.schema(schema).parquet(path).filter("sends")
+        # a plan known to be empty may drop the observation
+        senders = seen.get["senders"] if "senders" in seen.get else values.count()
+        if senders == 0:
+            break
+        sent = sender.send(values, senders)
+    sender.release()
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("round", T.IntegerType())])).parquet(base)
+
+
 def residual_rounds(vertices: DataFrame, edges: DataFrame, tol: float, reset: float = 0.15, max_iter: int = 1000,
                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """The rounds of a PageRank in which only vertices with news send: ``<round, id, residual, last>``.
@@ -246,8 +293,8 @@ def residual_rounds(vertices: DataFrame, edges: DataFrame, tol: float, reset: fl
         raise ValueError("tol must be positive")
     spark = vertices.sparkSession
     base = f"{ensure_checkpoint_dir(spark)}/residuals-{uuid.uuid4().hex}"
-    ids, n_v = materialize(vertices.select("id"))
-    send, release = _edge_sender(edges, n_v, broadcast_rows, chunk_rows)
+    ids = cut_lineage(vertices.select("id"))
+    sender = _EdgeSender(edges, broadcast_rows, chunk_rows)
     held = ids.select("id", F.lit(reset).cast("double").alias("residual"))
     schema = held.schema
     for i in range(max_iter + 1):
@@ -261,11 +308,11 @@ def residual_rounds(vertices: DataFrame, edges: DataFrame, tol: float, reset: fl
             break
         if i == max_iter:
             raise RuntimeError(f"{senders} vertices still hold more than {tol} after {max_iter} rounds")
-        sent = send(held.filter(F.col("residual") > tol).select("id", F.col("residual").alias("value")), senders)
+        sent = sender.send(held.filter(F.col("residual") > tol).select("id", F.col("residual").alias("value")), senders)
         kept = held.filter(F.col("residual") <= tol)
         arrived = sent.select("id", (F.col("_c") * F.lit(1.0 - reset)).alias("residual"))
         held = arrived.unionByName(kept).groupBy("id").agg(F.sum("residual").alias("residual"))
-    release()
+    sender.release()
     rounds = spark.read.schema(T.StructType([*schema.fields, T.StructField("round", T.IntegerType())])).parquet(base)
     return rounds.select("round", "id", "residual", F.lit(i).alias("last"))
 

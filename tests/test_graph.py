@@ -68,6 +68,34 @@ def test_components_long_chain(spark):
     assert comps == {0}
 
 
+def test_components_hooks_only_larger_ends(spark, monkeypatch):
+    # two hubs with many leaves of smaller ids: in the first round, whose pairs are the most, only the hubs hook
+    smalls = []
+    joined = G.lookup_join
+    monkeypatch.setattr(G, "lookup_join", lambda *a, **kw: smalls.append(kw["lookup_small"]) or joined(*a, **kw))
+    v = spark.range(42)
+    e = spark.createDataFrame([(40 + i % 2, i, "p") for i in range(40)] + [(41, 40, "p")] * 2, "src bigint, dst bigint, attr string")
+    assert {r.component for r in G.connected_components(v, e, broadcast_rows=10).collect()} == {0}
+    assert smalls[:4] == [True] * 4  # two jumps, two ends
+
+
+@pytest.mark.parametrize("broadcast_rows", [3, 500_000])
+def test_components_maps_of_several_rounds(spark, broadcast_rows):
+    # vertices that hook in a later round only, long chains and a hub, by shuffles and by broadcasts
+    rnd = random.Random(broadcast_rows)
+    graphs = ([(9, 8), (8, 7), (7, 6), (6, 5), (5, 4), (4, 3), (3, 2), (2, 1), (1, 0)],
+              [(1, 8), (0, 9), (8, 9), (2, 7), (3, 7), (7, 30), (30, 0)], [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)],
+              [(50, i) for i in range(1, 20)] + [(51, 50), (51, 0)])
+    edges = [(60 * k + a, 60 * k + b) for k, g in enumerate(graphs) for a, b in g]
+    up = list(range(240))
+    for _ in range(60):
+        for a, b in edges:
+            up[a] = up[b] = min(up[a], up[b])
+    e = spark.createDataFrame([(a, b, "p") for a, b in edges], "src bigint, dst bigint, attr string")
+    got = G.connected_components(spark.range(240), e, broadcast_rows=broadcast_rows, chunk_rows=5).collect()
+    assert sorted((r.id, r.component) for r in got) == list(enumerate(up))
+
+
 def _pagerank_np(n, edges, iters, reset=0.15):
     out = np.zeros(n)
     for s, d in edges:
@@ -91,6 +119,26 @@ def test_pagerank_fixed_iterations(spark):
     assert np.allclose([got[i] for i in range(n)], want, atol=1e-12)
 
 
+@pytest.mark.parametrize("broadcast_rows", [2, 500_000])
+def test_pagerank_rounds_by_every_join(spark, broadcast_rows):
+    rnd = random.Random(7)
+    pairs = [(rnd.randrange(40), rnd.randrange(50)) for _ in range(120)] + [(3, i) for i in range(50)]
+    v, e = spark.range(55), spark.createDataFrame([(a, b, "p") for a, b in pairs], "src bigint, dst bigint, attr string")
+    for rounds in (0, 1, 4):
+        got = {r.id: r.rank for r in G.pagerank(v, e, max_iter=rounds, broadcast_rows=broadcast_rows, chunk_rows=4).collect()}
+        assert np.allclose([got[i] for i in range(55)], _pagerank_np(55, pairs, rounds), atol=1e-12)
+    assert G.pagerank(v, e.limit(0), max_iter=3).filter("rank != 0.15").count() == 0
+
+
+def test_pagerank_ends_with_the_longest_walk(spark):
+    # sources and sinks: no walk has two edges, so the second of twenty rounds has nothing to send
+    e = spark.createDataFrame([(i, 10 + i % 3, "p") for i in range(10)], "src bigint, dst bigint, attr string")
+    walks = G.walk_rounds(e, max_iter=20)
+    assert {(r.round, r.id, r.sends) for r in walks.collect()} == {(1, 10, False), (1, 11, False), (1, 12, False)}
+    got = {r.id: r.rank for r in G.pagerank(spark.range(13), e, max_iter=20).collect()}
+    assert np.allclose([got[i] for i in range(13)], _pagerank_np(13, [(i, 10 + i % 3) for i in range(10)], 20), atol=1e-12)
+
+
 def test_pagerank_tolerance_and_normalize(spark):
     triples, df = _graph(spark)
     v, e = G.build_graph(df)
