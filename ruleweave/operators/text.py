@@ -12,13 +12,13 @@ import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, RegexTokenizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ruleweave.functions.numeric import grid_round
-from ruleweave.operators.sizing import broadcast_if_small, cut_lineage
+from ruleweave.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small, cut_lineage, materialize
 from ruleweave.session import ensure_checkpoint_dir
 
 
@@ -87,20 +87,43 @@ def count_vectors(docs: DataFrame, vocab_size: int = 1000, key: str = "doc_id",
     """``<key, indices array<int>, counts array<long>>``: sparse term counts over a bounded vocabulary.
 
     The vocabulary holds the ``vocab_size`` terms of largest document frequency, ties by term; a term's index is its place in
-    that order.  Only those (a bound given by the caller) are broadcast, so terms meet the vocabulary without a shuffle.
-    A document without a vocabulary term has empty arrays.  ``key`` must be unique.
+    that order.  Only those (a bound given by the caller) leave the tasks.
+    A document without a vocabulary term has empty arrays.
+
+    A row is counted where it stands: its distinct terms go into the document frequencies (sums combine before the shuffle),
+    then its words meet the vocabulary.  Rows that share a key are one document, counted by a shuffle of their own terms;
+    those without a key are one document for the frequencies and have empty arrays.
     """
     words = F.split(F.lower(F.col(text)), "\\s")
-    tf = (docs.select(key, F.explode_outer(words).alias("term")).filter(F.col("term") != "")
-          .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
-    order = [F.col("df").desc(), F.col("term")]
-    top = tf.groupBy("term").agg(F.count("n").alias("df")).orderBy(*order).limit(vocab_size)
-    vocabulary = top.select("term", (F.row_number().over(Window.orderBy(*order)) - 1).alias("i"))
-    held = (tf.join(F.broadcast(vocabulary), "term").groupBy(key)
-            .agg(F.sort_array(F.collect_list(F.struct("i", "n"))).alias("_v")).withColumnRenamed(key, "_key"))
+    shared, n_shared = materialize(docs.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+                                   .filter((F.col("_n") > 1) | F.col("_key").isNull()).select("_key"))
+    single, tf = docs, None
+    if n_shared:
+        shared = F.broadcast(shared) if n_shared <= DEFAULT_BROADCAST_ROWS else shared
+        single = docs.join(shared, F.col(key) == F.col("_key"), "left_anti").filter(F.col(key).isNotNull())
+        merged = docs.join(shared, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        tf = (merged.select(key, F.explode_outer(words).alias("term")).filter(F.col("term") != "")
+              .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
+    terms = single.select(F.explode_outer(F.array_distinct(words)).alias("term")).filter(F.col("term") != "")
+    if tf is not None:
+        terms = terms.unionByName(tf.select("term"))
+    top = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).orderBy(F.col("df").desc(), F.col("term")).limit(vocab_size)
+    vocabulary = [r.term for r in top.collect()]
+    empty = [F.array().cast("array<int>").alias("indices"), F.array().cast("array<bigint>").alias("counts")]
+    if not vocabulary:
+        return docs.select(key, *empty)
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_w", outputCol="_v", minTF=1.0)
+    found = counter.transform(single.select(key, F.coalesce(words, F.array().cast("array<string>")).alias("_w")))
+    found = found.select(key, F.unwrap_udt("_v").alias("_v")).select(
+        key, F.col("_v.indices").alias("indices"), F.col("_v.values").cast("array<bigint>").alias("counts"))
+    if tf is None:
+        return found
+    index = docs.sparkSession.createDataFrame(list(enumerate(vocabulary)), "i int, term string")
+    held = (tf.join(F.broadcast(index), "term").groupBy(F.col(key).alias("_key"))
+            .agg(F.sort_array(F.collect_list(F.struct("i", "n"))).alias("_v")))
     none = F.array().cast("array<struct<i:int,n:bigint>>")
-    out = docs.select(key).join(held, F.col(key) == F.col("_key"), "left").withColumn("_v", F.coalesce("_v", none))
-    return out.select(key, F.col("_v.i").alias("indices"), F.col("_v.n").alias("counts"))
+    out = merged.select(key).join(held, F.col(key) == F.col("_key"), "left").withColumn("_v", F.coalesce("_v", none))
+    return found.unionByName(out.select(key, F.col("_v.i").alias("indices"), F.col("_v.n").alias("counts")))
 
 
 def fit_text_classifier(train: DataFrame, text: str = "text", label: str = "label", num_features: int = 1000,

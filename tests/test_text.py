@@ -40,6 +40,24 @@ def test_term_tfidf(spark):
     assert len(got) == 5
 
 
+def test_count_vectors_by_row_and_by_shared_key(spark):
+    rows = [(1, "a b  a"), (2, "B c"), (3, None), (4, ""), (5, "zz yy"), (6, "a c"), (6, "c C"), (None, "b q"), (None, "q")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    got = sorted(((r.doc_id or 0, r.indices, r.counts) for r in X.count_vectors(docs, 3).collect()))
+    # documents holding: b 3 (1, 2, keyless), a 2 (1, 6), c 2 (2, 6), q 1
+    assert got == [(0, [], []), (0, [], []), (1, [0, 1], [1, 2]), (2, [0, 2], [1, 1]), (3, [], []), (4, [], []), (5, [], []),
+                   (6, [1, 2], [1, 3]), (6, [1, 2], [1, 3])]
+    assert {f.name: f.dataType.simpleString() for f in X.count_vectors(docs, 3).schema} == {
+        "doc_id": "int", "indices": "array<int>", "counts": "array<bigint>"}
+    assert X.count_vectors(docs.filter("doc_id in (3, 4)")).filter("size(indices) = 0").count() == 2
+
+
+def test_count_vectors_do_not_shuffle_terms_of_rows(spark):
+    docs = spark.createDataFrame([(i, f"a b{i}") for i in range(5)], "doc_id int, text string")
+    plan = X.count_vectors(docs, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+
+
 def test_hashed_tfidf_equals_bucketed_term_tfidf(spark):
     from pyspark.ml.feature import HashingTF
 
