@@ -478,9 +478,10 @@ def text_node(text: Column) -> Column:
 
 
 def led_pairs(rest: DataFrame, similarity: float, turn: int) -> DataFrame:
-    """``<a, na, b, nb>``: a leader of every bucket and the members of other classes whose lengths the threshold allows.
+    """``<a, na, b, nb>``: of the leaders of a member's buckets the one to compare it with, of another class and a length the threshold allows.
 
-    The leader is the first by a hash that changes with the round, so buckets that overlap tend to share it.
+    A bucket's leader is the first by a hash that changes with the round, so buckets that overlap tend to share it.  A member
+    meets one leader a round, that of most of its buckets: a round has at most a pair for each member, whatever the groups.
     """
     first = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("a"), F.col("n_words").alias("na"), F.col("cls").alias("ca"))
     lead = written(rest.groupBy("bucket").agg(F.min(first).alias("lead"), F.count(F.lit(1)).alias("_m"))
@@ -488,7 +489,10 @@ def led_pairs(rest: DataFrame, similarity: float, turn: int) -> DataFrame:
     hot = lead.filter(F.col("_m") > HOT).select(F.col("_b").alias("_hk"), F.ceil(F.col("_m") / HOT).cast("int").alias("_ns"))
     met = lookup_join(rest, lead, "bucket", "_b", lookup_small=False, hot=hot).filter(F.col("cls") != F.col("ca"))
     fit = F.least("n_words", "na") >= similarity * F.greatest("n_words", "na")
-    return met.filter(fit).select("a", F.col("na").cast("long").alias("na"), F.col("node").alias("b"), F.col("n_words").cast("long").alias("nb")).distinct()
+    each = met.filter(fit).groupBy(F.col("node").alias("b"), "a").agg(
+        F.count(F.lit(1)).alias("_c"), F.first(F.col("na").cast("long")).alias("na"), F.first(F.col("n_words").cast("long")).alias("nb"))
+    best = F.max(F.struct("_c", F.xxhash64("a", F.lit(turn)).alias("_h"), "a", "na", "nb")).alias("_best")
+    return each.groupBy("b").agg(best).select("_best.a", "_best.na", "b", "_best.nb")
 
 
 def linked_classes(links: DataFrame) -> DataFrame:

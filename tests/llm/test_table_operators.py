@@ -510,6 +510,20 @@ def test_groups_lose_no_link(spark, most):
     assert all(cls[a] != cls[b] for a, b in links)
 
 
+
+def test_a_round_has_a_pair_for_each_member_at_most(spark):
+    # forty near copies that share many buckets with different leaders
+    rows = [(b, n, 100, n) for b in range(30) for n in range(40) if (n * 7 + b * 11) % 5]
+    rest = spark.createDataFrame(rows, "bucket bigint, node bigint, n_words int, cls bigint")
+    leaders = set()
+    for turn in range(2):
+        pairs = [(r.a, r.na, r.b, r.nb) for r in neardup.led_pairs(rest, 0.8, turn).collect()]
+        assert len({b for _, _, b, _ in pairs}) == len(pairs) >= 39
+        assert all(a != b and na == nb == 100 for a, na, b, nb in pairs)
+        leaders.add(frozenset(p[0] for p in pairs))
+    assert len(leaders) == 2
+
+
 def test_bags_rule_out_no_link(spark):
     rng = random.Random(9)
     rows = []
