@@ -10,7 +10,8 @@ classes merge; this goes on while a fair share of the pairs are links.  Then eve
 compared in groups of bounded size (:func:`grouped`): a task holds a group's members, rules pairs out by length and by bags of
 words, and aligns the rest unless they are already in one class.  Only members that may have a partner bring their
 texts, and only links leave the task: no pairs are written.  Members of a bucket's largest class meet the bucket's other
-members only, and a pair with several common buckets is compared in one of them.  So the classes do not depend on where the rounds end.
+members only, and a pair with several common buckets is compared in the largest of them: a member stays out of a bucket
+where all its pairs belong to larger ones (:func:`owning`).  So the classes do not depend on where the rounds end.
 
 Verification: edit similarity of the word sequences, ``1 - distance / longer length``, at least ``similarity``; the
 distance comes from a bit-parallel alignment inside the band that this threshold allows.  Classes are the
@@ -48,6 +49,9 @@ LED = 256
 YIELD = 0.2
 #: Members of a bucket from which it counts as hot.
 HOT = 100_000
+#: Members up to which buckets are ordered by size, and bits of a bucket's hash that are kept in this order.
+ORDERED = 1 << 20
+BUCKET_BITS = 42
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MASK = (1 << 64) - 1
 
@@ -359,8 +363,34 @@ def verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return led(pairs, texts, "text", near, "a bigint, b bigint, similarity double")
 
 
+def by_size(bucket: str, n: str) -> Column:
+    """Numbers of buckets of ``n`` members, larger buckets first; buckets that meet in a number are compared as one."""
+    smaller = F.lit(ORDERED).cast("long") - F.least(F.col(n), F.lit(ORDERED))
+    return F.shiftleft(smaller, BUCKET_BITS).bitwiseOR(F.col(bucket).bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)))
+
+
+def owning(members: DataFrame) -> DataFrame:
+    """``members`` without rows in buckets that own no pair of theirs; ``first`` is a node's first bucket.
+
+    A pair belongs to its first common bucket, so two members with the same first bucket meet there and nowhere else.  Where all members
+    outside a bucket's largest class have one first bucket, those of that class with the same one stay out, and the
+    bucket goes if that is all of them.
+    """
+    per = written(members.groupBy("bucket", "cls").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("lo"), F.max("first").alias("hi")), "parts")
+    whole = per.groupBy("bucket").agg(F.max_by("cls", F.struct("n", "cls")).alias("_big"), F.sum("n").alias("_m"),
+                                      (F.min("lo") == F.max("hi")).alias("_same")).withColumnRenamed("bucket", "_b")
+    whole = written(whole, "buckets")
+    hot = whole.filter(F.col("_m") > HOT).select(F.col("_b").alias("_hk"), F.ceil(F.col("_m") / HOT).cast("int").alias("_ns"))
+    rest = lookup_join(per, whole, "bucket", "_b", lookup_small=False, hot=hot).filter("cls != _big").groupBy(F.col("bucket").alias("_b")).agg(
+        F.first("_big").alias("_big"), F.first("_same").alias("_same"), F.min("lo").alias("_only"), F.max("hi").alias("_hi"))
+    alike = rest.filter("_only = _hi and _only != _b").drop("_hi")
+    met = lookup_join(members, alike, "bucket", "_b", "left", lookup_small=False, hot=hot)
+    kept = F.col("_only").isNull() | ~F.col("_same") & ((F.col("cls") != F.col("_big")) | (F.col("first") != F.col("_only")))
+    return met.filter(kept).select("bucket", "node", "n_words", "cls")
+
+
 def grouped(members: DataFrame, most: int = GROUP, words: int = GROUP_WORDS) -> DataFrame:
-    """``<gid, side, bucket, node, n_words, cls>``: the buckets of several classes in groups of bounded size.
+    """``<bucket, node, n_words, cls, groups>``: the members of buckets of several classes and their places ``<kind, i, j, side>`` in groups of bounded size.
 
     A bucket of at most ``most`` members (fewer of long texts) is one group, compared within (side 2).  A larger one is dealt into
     blocks, those of its largest class apart from the rest; every block of the rest meets itself, every other one of the
@@ -385,8 +415,7 @@ def grouped(members: DataFrame, most: int = GROUP, words: int = GROUP_WORDS) ->
     meets = F.transform(F.sequence(zero, F.col("_rest") - 1), lambda z: place(
         "r", F.least(z, F.col("_x")), F.greatest(z, F.col("_x")), F.when(z == F.col("_x"), within).when(F.col("_x") < z, left).otherwise(right)))
     groups = F.when(F.col("_whole"), F.array(place("w", zero, zero, within))).when(in_big, meets_rest).otherwise(F.concat(meets, meets_big))
-    return rows.select("bucket", "node", "n_words", "cls", F.explode(groups).alias("_g")).select(
-        F.xxhash64("bucket", "_g.kind", "_g.i", "_g.j").alias("gid"), F.col("_g.side").alias("side"), "bucket", "node", "n_words", "cls")
+    return rows.select("bucket", "node", "n_words", "cls", groups.alias("groups"))
 
 
 class _Joined:
@@ -408,10 +437,11 @@ class _Joined:
 def _candidates(rows: list[tuple], similarity: float) -> Iterator[tuple[int, int]]:
     """Pairs of rows ``(side, bucket, node, n_words, cls, shared, bag, ...)`` of one group that are to be aligned.
 
-    A pair in several common buckets belongs to the smallest one.
+    A pair in several common buckets belongs to the one of smallest number.
     """
     every = unfolded([r[6] for r in rows])
     side, lengths, cls = (np.array([r[i] for r in rows], np.int64) for i in (0, 3, 4))
+    first = np.array([min(r[5]) for r in rows], np.int64)
     shared = [None] * len(rows)
     bucket = rows[0][1]
 
@@ -423,7 +453,7 @@ def _candidates(rows: list[tuple], similarity: float) -> Iterator[tuple[int, int
     for i in range(len(rows)):
         # within a group each pair once, else left ones with right ones (rows come by side)
         at = np.arange(i + 1, len(rows)) if side[i] == 2 else np.flatnonzero(side == 1) if side[i] == 0 else np.arange(0)
-        at = at[cls[at] != cls[i]]
+        at = at[(cls[at] != cls[i]) & ((first[at] != first[i]) | (first[i] == bucket))]
         if len(at):
             for j in at[near_bags(every[i], int(lengths[i]), every[at], lengths[at], similarity)].tolist():
                 if min(of(i) & of(j)) == bucket:
@@ -432,13 +462,17 @@ def _candidates(rows: list[tuple], similarity: float) -> Iterator[tuple[int, int
 
 def remaining_links(members: DataFrame, texts: DataFrame, bag_of: DataFrame, similarity: float, most: int = GROUP) -> DataFrame:
     """Links ``<a, b, similarity>`` between members ``<bucket, node, n_words, cls>`` of different classes, enough to join all classes that have one."""
-    mixed = members.groupBy("bucket").agg(F.min("cls").alias("_lo"), F.max("cls").alias("_hi")).filter("_lo < _hi").select("bucket")
-    members = written(members.join(mixed.hint("merge"), "bucket"), "mixed")
+    mixed = members.groupBy("bucket").agg(F.min("cls").alias("_lo"), F.max("cls").alias("_hi"), F.count(F.lit(1)).alias("_m")).filter("_lo < _hi")
+    members = members.join(mixed.select("bucket", "_m").hint("merge"), "bucket").select(by_size("bucket", "_m").alias("bucket"), "node", "n_words", "cls")
     # a node's buckets: two per sketch at most
+    members = written(members.withColumn("first", F.min("bucket").over(Window.partitionBy("node"))), "mixed")
+    members = written(owning(members), "owned")
     shared = members.groupBy("node").agg(F.collect_set("bucket").alias("shared"))
     light = bag_of.join(shared.hint("merge"), "node").select(F.col("node").alias("_n"), "shared", "bag")
-    rows = written(grouped(members, most).join(light.hint("merge"), F.col("node") == F.col("_n")).select(
-        "gid", "side", "bucket", "node", "n_words", "cls", "shared", "bag"), "groups")
+    # a row for each member of a bucket meets its bag; only then it is dealt to the groups
+    dealt = grouped(members, most).join(light.hint("merge"), F.col("node") == F.col("_n")).select("*", F.explode("groups").alias("_g"))
+    rows = written(dealt.select(F.xxhash64("bucket", "_g.kind", "_g.i", "_g.j").alias("gid"), F.col("_g.side").alias("side"),
+                                "bucket", "node", "n_words", "cls", "shared", "bag"), "groups")
 
     def wanted(key, held):
         need = set()

@@ -510,6 +510,50 @@ def test_groups_lose_no_link(spark, most):
     assert all(cls[a] != cls[b] for a, b in links)
 
 
+def test_a_family_meets_in_one_bucket(spark, monkeypatch):
+    """Forty texts that share thirty buckets bring a row each to the groups, not one for every bucket."""
+    rows = []
+    for i in range(20):
+        own = [f"w{i}x{j}" for j in range(50)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[:-5]))]
+    texts = spark.createDataFrame(rows, "node long, text string")
+    held = [(b, n, 50 - 5 * (n % 2), n if n > 9 else 0) for b in range(30) for n in range(40)]
+    members = spark.createDataFrame(held, "bucket long, node long, n_words int, cls long")
+    made, was = collections.Counter(), neardup.written
+
+    def written(df, label):
+        out = was(df, label)
+        made[label] += out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "written", written)
+    links = neardup.remaining_links(members, texts, neardup.bags(texts), 0.8).collect()
+    assert sorted((r.a, r.b) for r in links) == [(n, n + 1) for n in range(10, 40, 2)]  # the first ten are one class
+    assert made["groups"] == 40
+
+
+def test_members_stay_where_they_own_a_pair(spark):
+    """Of a pair with several common buckets both members stay in the first one; members without a pair there leave some."""
+    rng = random.Random(12)
+    held = set()
+    for n in range(120):
+        family = n % 6
+        held |= {(10 * family + b, n) for b in range(10) if rng.random() < ((b == 0 and family < 5) or 0.4)}
+        if n % 40 < 2:
+            held |= {(rng.randrange(60), n)}
+    held = sorted(held)
+    cls = {n: n % 6 if n % 6 < 4 and n % 9 else 1000 + n for n in range(120)}
+    of = collections.defaultdict(set)
+    for b, n in held:
+        of[n].add(b)
+    members = spark.createDataFrame([(b, n, 9, cls[n], min(of[n])) for b, n in held], "bucket long, node long, n_words int, cls long, first long")
+    kept = {(r.bucket, r.node) for r in neardup.owning(members).collect()}
+    for x, y in itertools.combinations(range(120), 2):
+        if cls[x] != cls[y] and of[x] & of[y]:
+            assert {(min(of[x] & of[y]), x), (min(of[x] & of[y]), y)} <= kept
+    assert kept <= set(held) and len(kept) < 0.8 * len(held)
+
+
 
 def test_a_round_has_a_pair_for_each_member_at_most(spark):
     # forty near copies that share many buckets with different leaders
