@@ -21,6 +21,8 @@ ROOT = str(Path(__file__).resolve().parents[2])
 SLICE_ROWS = 256
 #: Slices between two collections of cyclic garbage.
 COLLECT_EVERY = 64
+#: With this setting a write's shuffle files go when it ends; else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def share_code(spark: SparkSession) -> None:
@@ -44,11 +46,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
-    Cuts the lineage: readers survive lost executors and never recompute ``df``.
+    Cuts the lineage: readers survive lost executors and never recompute ``df``, so the shuffle files of the write are
+    removed at its end.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -548,14 +548,15 @@ def linked_nodes(texts: DataFrame, similarity: float = SIMILARITY, sketches: int
     every = buckets(texts, similarity, sketches, picks)
     near = every.select("*", F.lag("node").over(order).alias("_p"), F.lead("node").over(order).alias("_q"))
     members = written(near.filter("_p is not null or _q is not null").select("bucket", "node", "n_words"), "buckets")
-    used = texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi")
+    # every pair is one of members: texts without a neighbour in any bucket move here for the last time
+    used = written(texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi"), "used")
     bag_of = written(bags(used), "bags")
     known = members.withColumn("cls", F.col("node"))
     links = classes = None
     turn = 0
     while True:
         pairs = written(led_pairs(known, similarity, turn), "pairs")
-        found = written(verify(plausible(pairs, bag_of, similarity), texts, similarity), "links")
+        found = written(verify(plausible(pairs, bag_of, similarity), used, similarity), "links")
         n_pairs, n_found, turn = pairs.count(), found.count(), turn + 1
         if n_found:
             links = found if links is None else links.unionByName(found)
@@ -563,7 +564,7 @@ def linked_nodes(texts: DataFrame, similarity: float = SIMILARITY, sketches: int
             known = classed(members, classes)
         if n_found < YIELD * n_pairs or not n_found:
             break
-    found = written(remaining_links(known, texts, bag_of, similarity, most), "links")
+    found = written(remaining_links(known, used, bag_of, similarity, most), "links")
     if not found.isEmpty():
         classes = linked_classes(found if links is None else links.unionByName(found))
     return classes

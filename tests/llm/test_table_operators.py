@@ -11,6 +11,7 @@ import os
 import random
 import re
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -18,7 +19,7 @@ import pytest
 
 from conftest import ROOT, SF_SMALL
 from oracle_harness import compare, duck
-from ruleweave.llm import ann, langid, neardup, packing, quality, queries, secrets, warc
+from ruleweave.llm import ann, common, langid, neardup, packing, quality, queries, secrets, warc
 
 sys.path.insert(0, ROOT)
 SF = "/root/testdata/sf0.01"
@@ -568,6 +569,43 @@ def test_a_round_has_a_pair_for_each_member_at_most(spark):
     assert len(leaders) == 2
 
 
+def test_texts_without_neighbours_move_once(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{i}x{rng.randrange(10 ** 6)}" for _ in range(60)) for i in range(40)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(100 + i, texts[i] + " end", "en") for i in range(4)]
+    seen = []
+    for name, of in (("verify", neardup.verify), ("remaining_links", neardup.remaining_links)):
+        monkeypatch.setattr(neardup, name, lambda x, texts, *a, of=of: seen.append({r.text for r in texts.collect()}) or of(x, texts, *a))
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {i: i % 100 for i, _, _ in rows}
+    paired = set(texts[:4]) | {t + " end" for t in texts[:4]}
+    assert len(seen) >= 2 and all(x == paired for x in seen)
+
+
+@pytest.mark.parametrize("setting", [None, "false"])
+def test_shuffle_files_go_with_the_write(spark, setting):
+    from pyspark.sql import functions as F
+
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(held.size()) if (name := held.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    if setting:
+        spark.conf.set(common.CLEANUP, setting)
+    try:
+        df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+        back = common.written(df, "test")
+        until = time.time() + 20
+        while files() - before and time.time() < until:
+            time.sleep(0.1)
+        assert not files() - before  # though df, and with it the plan, is still held
+        assert spark.conf.get(common.CLEANUP, None) == setting
+        assert sorted(back.collect()) == sorted(df.collect()) and back.count() == 10
+    finally:
+        spark.conf.unset(common.CLEANUP)
+
+
 def test_bags_rule_out_no_link(spark):
     rng = random.Random(9)
     rows = []
